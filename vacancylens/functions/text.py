@@ -8,6 +8,8 @@ from vacancylens.fixed_values import MISSING_TEXTS
 
 # Letters that have a case; every other character ends a word in title case.
 _CASED = r"\p{IsUppercase}\p{IsLowercase}\p{Lt}"
+# Private-use characters, which text does not contain.
+_WORD_MARK = "\ue000\uf8ff\ue000"
 
 
 def split_before_capitals(text: Column) -> Column:
@@ -18,11 +20,11 @@ def split_before_capitals(text: Column) -> Column:
 def title_case(text: Column) -> Column:
     """Capitalise every run of cased letters: ``ux/ui`` to ``Ux/Ui``.
 
-    ``initcap`` alone only starts a word after white space, so the text is cut
-    into runs of letters and runs of everything else first.
+    ``initcap`` only starts a word after a space, so one is put, with a mark to
+    find it again, wherever a cased letter follows anything else.
     """
-    runs = F.regexp_extract_all(text, F.lit(f"[{_CASED}]+|[^{_CASED}]+"), F.lit(0))
-    return F.array_join(F.transform(runs, F.initcap), "")
+    spaced = F.regexp_replace(text, f"([^{_CASED}])(?=[{_CASED}])", f"$1{_WORD_MARK} ")
+    return F.replace(F.initcap(spaced), F.lit(f"{_WORD_MARK} "), F.lit(""))
 
 
 def capitalize(text: Column, special: dict[str, str] | None = None) -> Column:

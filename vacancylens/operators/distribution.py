@@ -37,10 +37,10 @@ def distribution(
     if not keys:  # the whole table is one group
         whole = df.withColumn("_all", F.lit(1))
         return distribution(whole, ["_all"], value, quantiles, more_than, max_groups=1).drop("_all")
-    rows = df.where(F.col(value).isNotNull() & ~F.isnan(value)).select(
-        *keys, F.col(value).cast("double").alias("_v"), magnitude_bin(F.col(value).cast("double")).alias("_bin")
+    number = F.col(value).cast("double")
+    rows = df.select(*keys, number.alias("_v"), magnitude_bin(number).alias("_bin")).where(
+        F.col("_v").isNotNull() & ~F.isnan("_v")
     )
-    bins = _bins_with_ranks(rows, keys).where(F.col("_total") > more_than)
 
     # 0-based ranks around each quantile, and how far it lies between the two.
     ranks = {}
@@ -52,65 +52,65 @@ def distribution(
     for below, above, _ in ranks.values():
         for rank in (below, above):
             holds_a_rank |= (rank >= F.col("_start")) & (rank < F.col("_end"))
-    wanted = bins.where(holds_a_rank).select(*keys, "_bin", "_start", "_total")
+    wanted = _ranked_bins(rows, keys).where((F.col("_total") > more_than) & holds_a_rank).drop("_end", "_n")
     most = None if max_groups is None else 2 * len(quantiles) * max_groups
 
-    found = _values_at_ranks(rows, broadcast_bounded(wanted, most), keys, ranks)
-    summary = bins.groupBy(*keys).agg(
-        F.sum("_n").alias("n"),
-        F.max("_mean").alias("mean"),
-        # Pooled variance: spread inside the bins plus spread of the bin means.
-        F.sqrt(
-            F.sum(F.col("_n") * (F.col("_var") + F.pow(F.col("_bin_mean") - F.col("_mean"), 2)))
-            / F.nullif(F.sum("_n") - 1, F.lit(0))
-        ).alias("stddev"),
-        F.min("_min").alias("min"),
-        F.max("_max").alias("max"),
-    )
-    renamed = found.select(*[F.col(k).alias(f"_{k}") for k in keys], *quantiles)
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return summary.join(broadcast_bounded(renamed, max_groups), same).select(
-        *keys, "n", "mean", "stddev", "min", *quantiles, "max"
-    )
+    placed = _values_with_ranks(rows, broadcast_bounded(wanted, most), keys)
+
+    def value_at(rank):
+        return F.max(F.when((rank >= F.col("_from")) & (rank < F.col("_to")), F.col("_v")))
+
+    found = {"n": F.max("_total")} | {name: F.max(f"_{name}") for name in ("mean", "stddev", "min")}
+    for name, (below, above, part) in ranks.items():
+        low, high = value_at(below), value_at(above)
+        found[name] = F.when(low == high, low).otherwise(low + (high - low) * F.max(part))
+    found["max"] = F.max("_max")
+    return placed.groupBy(*keys).agg(*[column.alias(name) for name, column in found.items()])
+
 
+def _ranked_bins(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """First pass: per group and bin the ranks it covers, with the group's totals.
 
-def _bins_with_ranks(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """First pass: one row per group and bin, with the ranks the bin covers."""
+    The totals ride on the bin rows, so the bins are needed in one place only
+    and the first pass runs once.
+    """
     per_bin = rows.groupBy(*keys, "_bin").agg(
         F.count(F.lit(1)).alias("_n"),
         F.avg("_v").alias("_bin_mean"),
-        F.var_pop("_v").alias("_var"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
+        F.var_pop("_v").alias("_bin_var"),
+        F.min("_v").alias("_bin_min"),
+        F.max("_v").alias("_bin_max"),
     )
     group = Window.partitionBy(*keys)
+    # Pooled variance: spread inside the bins plus spread of the bin means.
+    spread = F.col("_n") * (F.col("_bin_var") + F.pow(F.col("_bin_mean") - F.col("_mean"), 2))
     return (
         per_bin.withColumn("_end", F.sum("_n").over(group.orderBy("_bin")))
         .withColumn("_start", F.col("_end") - F.col("_n"))
         .withColumn("_total", F.sum("_n").over(group))
         .withColumn("_mean", F.sum(F.col("_n") * F.col("_bin_mean")).over(group) / F.col("_total"))
+        .withColumn("_stddev", F.sqrt(F.sum(spread).over(group) / F.nullif(F.col("_total") - 1, F.lit(0))))
+        .withColumn("_min", F.min("_bin_min").over(group))
+        .withColumn("_max", F.max("_bin_max").over(group))
+        .drop("_bin_mean", "_bin_var", "_bin_min", "_bin_max")
     )
 
 
-def _values_at_ranks(rows: DataFrame, wanted: DataFrame, keys: list[str], ranks: dict) -> DataFrame:
-    """Second pass: the values at the wanted ranks, from their bins only."""
-    bins = wanted.select(*[F.col(c).alias(f"_w{c}") for c in [*keys, "_bin"]], "_start", "_total")
+def _values_with_ranks(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """Second pass: distinct values of the wanted bins with the ranks they cover."""
+    totals = ["_start", "_total", "_mean", "_stddev", "_min", "_max"]
+    bins = wanted.select(*[F.col(c).alias(f"_w{c}") for c in [*keys, "_bin"]], *totals)
     same = [F.col(c).eqNullSafe(F.col(f"_w{c}")) for c in [*keys, "_bin"]]
-    distinct = rows.join(bins, same).groupBy(*keys, "_bin", "_start", "_total", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    distinct = (
+        rows.join(bins, same)
+        .groupBy(*keys, "_bin", "_v")
+        .agg(F.count(F.lit(1)).alias("_n"), *[F.max(t).alias(t) for t in totals])
+    )
     inside = Window.partitionBy(*keys, "_bin").orderBy("_v")
-    placed = distinct.withColumn("_to", F.col("_start") + F.sum("_n").over(inside)).withColumn(
+    return distinct.withColumn("_to", F.col("_start") + F.sum("_n").over(inside)).withColumn(
         "_from", F.col("_to") - F.col("_n")
     )
 
-    def value_at(rank):
-        return F.max(F.when((rank >= F.col("_from")) & (rank < F.col("_to")), F.col("_v")))
-
-    columns = []
-    for name, (below, above, part) in ranks.items():
-        low, high = value_at(below), value_at(above)
-        columns.append((low + (high - low) * F.max(part)).alias(name))
-    return placed.groupBy(*keys).agg(*columns)
-
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per statistic and one column per described column."""

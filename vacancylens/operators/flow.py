@@ -41,9 +41,14 @@ def flow_nodes(edges: DataFrame) -> DataFrame:
 
 
 def encode_edges(edges: DataFrame, nodes: DataFrame, max_nodes: int | None = None) -> DataFrame:
-    """Add ``source_id`` and ``target_id``; a label has one id on both sides."""
-    sources = nodes.select(F.col("node_id").alias("source_id"), F.col("label").alias("source"))
-    targets = nodes.select(F.col("node_id").alias("target_id"), F.col("label").alias("target"))
-    return edges.join(broadcast_bounded(sources, max_nodes), "source").join(
-        broadcast_bounded(targets, max_nodes), "target"
+    """Add ``source_id`` and ``target_id``; a label has one id on both sides.
+
+    Null-safe for the same reason as :func:`flow_edges`.
+    """
+    sources = nodes.select(F.col("node_id").alias("source_id"), F.col("label").alias("_source"))
+    targets = nodes.select(F.col("node_id").alias("target_id"), F.col("label").alias("_target"))
+    return (
+        edges.join(broadcast_bounded(sources, max_nodes), F.col("source").eqNullSafe(F.col("_source")))
+        .join(broadcast_bounded(targets, max_nodes), F.col("target").eqNullSafe(F.col("_target")))
+        .drop("_source", "_target")
     )

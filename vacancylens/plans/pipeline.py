@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vacancylens import fixed_values as fixed
 from vacancylens.plans.clean import clean
+from vacancylens.plans.insights import all_insights
 from vacancylens.plans.tables import warehouse_tables
 from vacancylens.sources import snapshots as snap
 from vacancylens.sources import warehouse
@@ -15,17 +16,28 @@ from vacancylens.sources.lake import archive_snapshots, load_archived
 log = logging.getLogger(__name__)
 
 
-def archive(envelopes: DataFrame, lake: str, expected_source: str = fixed.EXPECTED_SOURCE) -> None:
+def archive(envelopes: DataFrame, lake: str, expected_source: str = fixed.EXPECTED_SOURCE, unique_keys: bool = False) -> None:
     """Check snapshots and store them under their keys."""
-    parsed = snap.read_snapshot(envelopes)
-    archive_snapshots(parsed.transform(snap.check_source, expected_source).transform(snap.check_count), lake)
+    parsed = snap.read_snapshot(envelopes).transform(snap.check_source, expected_source).transform(snap.check_count)
+    archive_snapshots(parsed, lake, unique_keys)
 
 
-def newest_key(envelopes: DataFrame) -> tuple | None:
-    """``(obtained_datetime, key)`` of the newest snapshot; one row reaches the driver."""
-    parsed = snap.read_snapshot(envelopes)
-    newest = parsed.agg(F.max(F.struct("obtained_datetime", "key")).alias("s")).select("s.*").first()
-    return None if newest.key is None else (newest.obtained_datetime, newest.key)
+def newest_key(envelopes: DataFrame) -> tuple:
+    """``(newest (obtained_datetime, key) or None, whether all keys differ)``.
+
+    One pass that reads the head of each document; one row reaches the driver.
+    """
+    found = (
+        snap.snapshot_heads(envelopes)
+        .groupBy("key")
+        .agg(F.max("obtained_datetime").alias("obtained_datetime"), F.count(F.lit(1)).alias("n"))
+        .agg(F.max(F.struct("obtained_datetime", "key")).alias("newest"), F.max("n").alias("n"))
+        .first()
+    )
+    if found.newest is None or found.newest.obtained_datetime is None:
+        snap.read_snapshot(envelopes).count()  # says what is wrong with the documents
+        return None, True
+    return (found.newest.obtained_datetime, found.newest.key), found.n == 1
 
 
 def serve(
@@ -39,15 +51,26 @@ def serve(
     """Clean one snapshot and publish its tables.
 
     The cleaned documents are written first and read back for the relational
-    tables, so cleaning runs once.
+    tables and the insights, so cleaning runs once.
     """
     spark = envelopes.sparkSession
     metadata, postings = snap.extract(envelopes, expected_source)
     warehouse.write_documents(metadata, clean(postings, gazetteer), path, key)
+    documents = warehouse.read_written(spark, path, key, "documents")
     if relational:
-        documents = spark.read.schema(warehouse.DOCUMENT).parquet(warehouse._folder(path, key, "documents"))
         warehouse.write_warehouse(warehouse_tables(documents), path, key)
-    warehouse.publish(metadata, path, key)
+    warehouse.publish(warehouse.read_written(spark, path, key, "metadata"), path, key)
+
+
+def write_insights(spark: SparkSession, path: str) -> None:
+    """Keep the insights of the served snapshot as tables of their own.
+
+    Readers of the insights then scan small results and not the documents.
+    """
+    key, _ = warehouse.served_snapshot(spark, path)
+    _, documents = warehouse.read_documents(spark, path)
+    results = {f"insight_{name}": result for name, result in all_insights(documents).items()}
+    warehouse.write_warehouse(results, path, key)
 
 
 def run_pipeline(
@@ -65,10 +88,10 @@ def run_pipeline(
     archived. Errors are logged and raised again.
     """
     try:
-        newest = newest_key(envelopes)
+        newest, unique_keys = newest_key(envelopes)
         served = warehouse.served_snapshot(spark, path)
         if lake is not None:
-            archive(envelopes, lake, expected_source)
+            archive(envelopes, lake, expected_source, unique_keys)
         if newest is None or (served is not None and newest < (served[1], served[0])):
             return served and served[0]
         obtained, key = newest

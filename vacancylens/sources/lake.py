@@ -13,18 +13,18 @@ from vacancylens.schemas import RAW_SNAPSHOT
 _PLAIN = re.compile(r"[A-Za-z0-9_.\-]+")
 
 
-def archive_snapshots(snapshots: DataFrame, path: str) -> None:
+def archive_snapshots(snapshots: DataFrame, path: str, unique_keys: bool = False) -> None:
     """Store parsed snapshots; a key already present is replaced, others stay.
 
-    If a batch holds a key twice, the file modified last wins.
+    If a batch holds a key twice, the file modified last wins. A caller who
+    knows that no key repeats says so, and the payloads are not shuffled.
     """
-    newest = first_per_key(
-        snapshots.select("key", "source_name", "obtained_datetime", "payload", "modified", "path"),
-        ["key"],
-        [F.col("modified").desc(), F.col("path").desc(), F.col("payload").desc()],
-    )
+    stored = ["obtained_datetime", "payload", "source_name", "key"]
+    if not unique_keys:
+        latest = [F.col("modified").desc(), F.col("path").desc(), F.col("payload").desc()]
+        snapshots = first_per_key(snapshots.select(*stored, "modified", "path"), ["key"], latest)
     (
-        newest.select("obtained_datetime", "payload", "source_name", "key")
+        snapshots.select(*stored)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("source_name", "key")

@@ -7,6 +7,7 @@ batches should use it.
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vacancylens import fixed_values as fixed
 from vacancylens.functions.times import format_iso, parse_iso, snapshot_key
@@ -71,6 +72,15 @@ def read_snapshot(envelopes: DataFrame) -> DataFrame:
     )
 
 
+def snapshot_heads(envelopes: DataFrame) -> DataFrame:
+    """``(source_name, obtained_datetime, key)`` only; postings are not parsed."""
+    head = F.from_json("payload", T.StructType([ENVELOPE["metadata"]]))
+    opened = envelopes.select(head.getField("metadata").alias("m")).select(
+        "m.source_name", parse_iso(F.col("m.obtained_datetime")).alias("obtained_datetime")
+    )
+    return opened.withColumn("key", snapshot_key(F.col("obtained_datetime"), F.col("source_name")))
+
+
 def _must(df: DataFrame, holds: Column, message: str) -> DataFrame:
     """Fail the query on a row where ``holds`` is not true.
 

@@ -20,6 +20,14 @@ def _folder(path: str, key: str, table: str) -> str:
     return f"{path}/{table}/snapshot={key}"
 
 
+def read_written(spark: SparkSession, path: str, key: str, table: str) -> DataFrame:
+    """A table of one snapshot, published or not."""
+    reader = spark.read
+    if table in ("documents", "metadata"):
+        reader = reader.schema({"documents": DOCUMENT, "metadata": METADATA}[table])
+    return reader.parquet(_folder(path, key, table))
+
+
 def write_documents(metadata: DataFrame, documents: DataFrame, path: str, key: str) -> None:
     metadata.write.mode("overwrite").parquet(_folder(path, key, "metadata"))
     documents.select(*DOCUMENT_COLUMNS).write.mode("overwrite").parquet(_folder(path, key, "documents"))
@@ -31,7 +39,10 @@ def write_warehouse(tables: dict[str, DataFrame], path: str, key: str) -> None:
 
 
 def publish(metadata: DataFrame, path: str, key: str) -> None:
-    """Make the tables of ``key`` the served ones, unless newer ones are."""
+    """Make the tables of ``key`` the served ones, unless newer ones are.
+
+    One appended row is one file, so readers see all of the switch or none.
+    """
     row = metadata.select(F.lit(key).alias("key"), "obtained_datetime").limit(1)
     row.write.mode("append").parquet(f"{path}/served")
 
@@ -53,10 +64,7 @@ def read_served(spark: SparkSession, path: str, table: str) -> DataFrame:
     served = served_snapshot(spark, path)
     if served is None:
         raise RuntimeError(f"nothing is published below {path}")
-    reader = spark.read
-    if table in ("documents", "metadata"):
-        reader = reader.schema({"documents": DOCUMENT, "metadata": METADATA}[table])
-    return reader.parquet(_folder(path, served[0], table))
+    return read_written(spark, path, served[0], table)
 
 
 def read_documents(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -4,8 +4,8 @@
 _DETAILS = """
 details AS (
   SELECT l_orderkey,
-         min(l_extendedprice) / 4 AS salary_min,
-         max(l_extendedprice) / 1.5 AS salary_max,
+         min(l_extendedprice) / 4.1 AS salary_min,
+         max(l_extendedprice) / 1.7 AS salary_max,
          CASE WHEN min(l_linestatus) = 'O' THEN 'B2B' ELSE 'Permanent' END AS contract_type,
          min(l_partkey) AS p_partkey
   FROM lineitem GROUP BY l_orderkey
@@ -98,8 +98,8 @@ nodes AS (
 
 def _cities(condition: str, tail: str) -> str:
     return f"""{_DOCS}
-    SELECT city, count(id) AS job_counts, round(avg(salary_mean), 4) AS salary_mean,
-           round(avg(lat), 4) AS lat, round(avg(lon), 4) AS lon
+    SELECT city, count(id) AS job_counts, round(avg(salary_mean), 3) AS salary_mean,
+           round(avg(lat), 3) AS lat, round(avg(lon), 3) AS lon
     FROM docs JOIN cities USING (id) WHERE {condition} GROUP BY city {tail}"""
 
 
@@ -343,7 +343,7 @@ ORACLES: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "clean_several_snapshots": f"""
         SELECT key, upper(technology[1]) || technology[2:] AS technology, "fullyRemote" AS remote, count(*) AS n,
-               round(avg((salary_to + salary_to / 2) / 2), 4) AS salary_mean
+               round(avg((salary_to + salary_to / 2) / 2), 8) AS salary_mean
         FROM ({_event_rows("event_type <> 'error'")}) GROUP BY 1, 2, 3""",
     "iso_times": """
         SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS told,

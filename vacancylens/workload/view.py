@@ -59,8 +59,8 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str, all_currencies: b
 
     level = F.when(F.col("l_returnflag") == "N", "Junior").when(F.col("l_returnflag") == "A", "Mid").otherwise("Senior")
     details = {
-        "_low": F.min("l_extendedprice") / 4,
-        "_high": F.max("l_extendedprice") / 1.5,
+        "_low": F.min("l_extendedprice") / 4.1,
+        "_high": F.max("l_extendedprice") / 1.7,
         "contract_type": F.when(F.min("l_linestatus") == "O", "b2b").otherwise("permanent"),
         "p_partkey": F.min("l_partkey"),
         "seniority": F.array_sort(F.collect_set(level)),
