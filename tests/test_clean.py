@@ -1,5 +1,6 @@
 import pytest
 from golden import POSTINGS, gazetteer, posting, raw
+from plantext import executed
 from pyspark.sql import functions as F
 
 from vacancylens import fixed_values as fixed
@@ -96,9 +97,7 @@ def test_ambiguous_alias_gives_one_place(spark):
 
 def test_lookup_adds_no_shuffle_to_a_deduplicated_table(spark):
     df = clean.clean(raw(spark), gazetteer(spark))
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    final = plan.split("Initial Plan")[0]
+    final = executed(df)
     assert final.count("Exchange hashpartitioning(id") == 1
     assert "WindowGroupLimit" in final
 

@@ -16,7 +16,7 @@ from vacancylens.schemas import ENVELOPE
 
 def read_archive(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Envelope texts as ``payload`` with ``modified`` (file time), one row each."""
-    return _payloads(spark.read.option("wholetext", str(not lines)).text(path))
+    return _payloads(spark.read.text(path, wholetext=not lines))
 
 
 def stream_archive(spark: SparkSession, path: str, lines: bool = False, **options: str) -> DataFrame:
