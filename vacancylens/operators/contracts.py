@@ -130,16 +130,18 @@ def validate(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
     return table, violations.select(F.lit(contract.table).alias("table_name"), "column_name", "rule", "n")
 
 
-def require(df: DataFrame, contract: Contract) -> DataFrame:
-    """Strict mode: the coerced table, or :class:`ContractViolation`.
-
-    Runs the check; the driver sees at most one row per rule.
-    """
-    table, violations = validate(df, contract)
+def raise_violations(violations: DataFrame) -> None:
+    """Run the checks; the driver sees at most one row per rule."""
     broken = violations.collect()
     if broken:
-        told = ", ".join(f"{r.column_name} {r.rule} ({r.n} rows)" for r in broken)
-        raise ContractViolation(f"{contract.table}: {told}")
+        told = ", ".join(f"{r.table_name}.{r.column_name} {r.rule} ({r.n} rows)" for r in broken)
+        raise ContractViolation(told)
+
+
+def require(df: DataFrame, contract: Contract) -> DataFrame:
+    """Strict mode: the coerced table, or :class:`ContractViolation`."""
+    table, violations = validate(df, contract)
+    raise_violations(violations)
     return table
 
 

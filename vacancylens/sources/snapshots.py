@@ -54,9 +54,11 @@ def wrap_raw(df: DataFrame, raw: Column, source_name: Column, obtained: Column)
 def read_snapshot(envelopes: DataFrame) -> DataFrame:
     """Parse payloads; a document without its mandatory parts fails the query.
 
-    Adds ``source_name``, ``obtained_datetime``, ``key`` and ``raw_data``.
+    Adds ``source_name``, ``obtained_datetime``, ``key`` and ``raw_data``. The
+    document is parsed in a generator: the checks are filters, and a filter on a
+    plain column would be moved below it together with a parse of its own.
     """
-    parsed = envelopes.withColumn("_envelope", F.from_json("payload", ENVELOPE))
+    parsed = envelopes.withColumn("_envelope", F.explode(F.array(F.from_json("payload", ENVELOPE))))
     obtained = parse_iso(F.col("_envelope.metadata.obtained_datetime"))
     opened = parsed.select(
         *envelopes.columns,

@@ -37,8 +37,8 @@ def _longitude(nation_key):
 def documents(spark: SparkSession, sf_dir: str, *columns: str, all_currencies: bool = False) -> DataFrame:
     """One cleaned document per order with lines, limited to ``columns``.
 
-    Only the joins the wanted columns need are made. Lists come from small
-    fixed domains (three flags, the nations), so collecting them is bounded.
+    Only the joins the wanted columns need are made. Levels come from three
+    flags and places from the fixed set of nations, so both lists are bounded.
     """
     wanted = set(columns or DOCUMENT_COLUMNS)
     needs_part = bool(wanted & {"title", "technology", "category"})
@@ -57,13 +57,17 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str, all_currencies: b
         suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
         lines = lines.join(suppliers.join(nations, "s_nationkey"), "l_suppkey")
 
-    level = F.when(F.col("l_returnflag") == "N", "Junior").when(F.col("l_returnflag") == "A", "Mid").otherwise("Senior")
+    flag = F.col("l_returnflag")
+    levels = [
+        F.when(F.bool_or(condition), F.lit(level))
+        for level, condition in (("Junior", flag == "N"), ("Mid", flag == "A"), ("Senior", flag == "R"))
+    ]
     details = {
         "_low": F.min("l_extendedprice") / 4.1,
         "_high": F.max("l_extendedprice") / 1.7,
-        "contract_type": F.when(F.min("l_linestatus") == "O", "b2b").otherwise("permanent"),
+        "contract_type": F.when(F.bool_and(F.col("l_linestatus") == "O"), "B2B").otherwise("Permanent"),
         "p_partkey": F.min("l_partkey"),
-        "seniority": F.array_sort(F.collect_set(level)),
+        "seniority": F.array_compact(F.array(*levels)),
     }
     if needs_city:
         details["city"] = F.array_sort(F.collect_set("_city"))
@@ -76,33 +80,40 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str, all_currencies: b
         orders = orders.where(F.col("o_orderpriority") != "5-LOW")
     rows = orders.join(per_order, "o_orderkey")
     if needs_part:
-        rows = rows.join(table(spark, sf_dir, "part"), "p_partkey")
+        rows = rows.join(_named_parts(spark, sf_dir), "p_partkey")
     if "name" in wanted:
         rows = rows.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
 
     built = {
         "id": F.col("o_orderkey").cast("string"),
+        "name": F.col("c_name") if "name" in wanted else None,
         "posted": epoch_millis("o_orderdate"),
+        "title": F.col("title") if needs_part else None,
+        "technology": F.col("technology") if needs_part else None,
+        "category": F.col("category") if needs_part else None,
         "url": F.concat(F.lit("offer-"), F.col("o_orderkey").cast("string")),
         "remote": F.col("o_orderstatus") == "O",
         "contract_type": F.col("contract_type"),
         "salary_min": F.col("_low"),
         "salary_max": F.col("_high"),
         "salary_mean": row_mean(F.col("_high"), F.col("_low")),
+        "city": F.col("city") if needs_city else None,
         "seniority": F.col("seniority"),
         "currency": F.when(F.col("o_orderpriority") == "5-LOW", "EUR").otherwise("PLN"),
     }
-    if needs_part:
-        built |= {"title": F.col("p_name"), "technology": F.col("p_brand"), "category": F.lower("p_type")}
-    if "name" in wanted:
-        built["name"] = F.col("c_name")
-    if needs_city:
-        built["city"] = F.col("city")
+    return rows.select(*[value.alias(name) for name, value in built.items() if name in wanted])
 
-    text = {"technology": F.lit(None).cast("string"), "category": F.lit(None).cast("string")}
-    chosen = rows.select(*[value.alias(name) for name, value in (text | built).items()])
-    extra = ["currency"] if "currency" in wanted else []
-    return normalize_names(chosen).select(*[c for c in DOCUMENT_COLUMNS if c in wanted], *extra)
+
+def _named_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts with cleaned names: the text steps run once per part, not per order."""
+    parts = table(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.col("p_name").alias("title"),
+        F.col("p_brand").alias("technology"),
+        F.lower("p_type").alias("category"),
+        F.lit(None).cast("string").alias("contract_type"),
+    )
+    return normalize_names(parts).drop("contract_type")
 
 
 #: The order in which the lines of one order count as its postings.
