@@ -153,6 +153,15 @@ def test_streaming_ingests_each_file_once(spark, tmp_path):
     assert lake.read_lake(spark, store).count() == 3
 
 
+def test_streaming_of_raw_responses(spark, tmp_path):
+    landing, path, store, mark = (str(tmp_path / n) for n in ("in", "wh", "lake", "mark"))
+    land(landing, "a.json", json.dumps(json.loads(envelope(GOOD))["raw_data"]))
+    os.utime(os.path.join(landing, "a.json"), (1638347405, 1638347405))
+    ingest_new_snapshots(spark, landing, gazetteer(spark), path, store, mark, raw=True).awaitTermination()
+    assert warehouse.served_snapshot(spark, path)[0] == "1638347405_nofluffjobs"
+    assert lake.load_archived(spark, store, "1638347405_nofluffjobs").count() == 1
+
+
 def test_posting_url(spark):
     df = spark.createDataFrame([("slug",)], "url string")
     assert snapshots.posting_url(df).first().page_url.endswith("/pl/job/slug")

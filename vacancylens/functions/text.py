@@ -38,7 +38,7 @@ def capitalize(text: Column, special: dict[str, str] | None = None) -> Column:
 
 def keyword(text: Column) -> Column:
     """Lower-case keyword without surrounding white space (any kind of it)."""
-    return F.regexp_replace(F.lower(text), r"^[\s\x{A0}]+|[\s\x{A0}]+$", "")
+    return F.regexp_replace(F.lower(text), r"(?U)^[\s\x{1C}-\x{1F}]+|[\s\x{1C}-\x{1F}]+$", "")
 
 
 def yes_no(flag: Column) -> Column:

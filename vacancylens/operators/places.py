@@ -40,10 +40,7 @@ def lookup_table(gazetteer: DataFrame, countries: Sequence[str] | None) -> DataF
 
 def place_names(location: Column) -> Column:
     """Names of the places that have a city, in the order given."""
-    return F.transform(
-        F.filter(location.getField("places"), lambda place: place.getField("city").isNotNull()),
-        lambda place: place.getField("city"),
-    )
+    return F.array_compact(location.getField("places").getField("city"))
 
 
 def lookup_places(

@@ -1,5 +1,6 @@
 """Session settings and the folder that jobs may use for intermediate tables."""
 
+import functools
 import tempfile
 import uuid
 
@@ -39,20 +40,22 @@ def local_session(cores: int | str = "*", app: str = "vacancylens", **conf: str)
     return spark
 
 
+@functools.cache
+def _laptop_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix="vacancylens-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a test, a laptop) gets a temporary
-    folder, which is then kept for the life of the session.
+    Only a local session without that setting (a test, a laptop) gets a
+    temporary folder, the same one for the life of the application.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.conf.get("spark.master").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="vacancylens-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        named = _laptop_dir(spark.conf.get("spark.app.id"))
     return named.rstrip("/")
 
 

@@ -43,6 +43,14 @@ def read_landing(
     return wrap_raw(read_archive(spark, path, lines), F.col("payload"), F.lit(source_name), F.col("modified"))
 
 
+def stream_landing(
+    spark: SparkSession, path: str, source_name: str = fixed.EXPECTED_SOURCE, lines: bool = False, **options: str
+) -> DataFrame:
+    """The same as a file stream."""
+    landed = stream_archive(spark, path, lines, **options)
+    return wrap_raw(landed, F.col("payload"), F.lit(source_name), F.col("modified"))
+
+
 def wrap_raw(df: DataFrame, raw: Column, source_name: Column, obtained: Column) -> DataFrame:
     """Put raw JSON text into an envelope, byte for byte, as column ``payload``."""
     metadata = F.to_json(F.struct(source_name.alias("source_name"), format_iso(obtained).alias("obtained_datetime")))

@@ -5,7 +5,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vacancylens import fixed_values as fixed
 from vacancylens.plans.pipeline import run_pipeline
-from vacancylens.sources.snapshots import stream_archive
+from vacancylens.sources.snapshots import stream_archive, stream_landing
 
 
 def ingest_new_snapshots(
@@ -18,22 +18,27 @@ def ingest_new_snapshots(
     lines: bool = False,
     relational: bool = True,
     expected_source: str = fixed.EXPECTED_SOURCE,
+    raw: bool = False,
     **options: str,
 ) -> StreamingQuery:
     """Start a query over the files that arrived since the last call, then stop.
 
     Each micro-batch archives its snapshots and serves the newest one unless a
     newer one is served already. The checkpoint remembers the files. A batch
-    that is repeated after a failure overwrites the same keys. Source options
-    such as ``maxFilesPerTrigger`` bound a batch.
+    that is repeated after a failure overwrites the same keys. With ``raw`` the
+    files are bare responses of ``expected_source`` and not envelopes. Source
+    options such as ``maxFilesPerTrigger`` bound a batch.
     """
+    if raw:
+        arriving = stream_landing(spark, landing, expected_source, lines, **options)
+    else:
+        arriving = stream_archive(spark, landing, lines, **options)
 
     def process(batch: DataFrame, _: int) -> None:
         run_pipeline(batch.sparkSession, batch, gazetteer, path, lake, relational, expected_source)
 
     return (
-        stream_archive(spark, landing, lines, **options)
-        .writeStream.foreachBatch(process)
+        arriving.writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -291,7 +291,7 @@ ORACLES: dict[str, str] = {
           AND contract_type = 'B2B'""",
     "seniority_sorted": f"""{_DOCS}
         SELECT id, seniority, CASE seniority WHEN 'Junior' THEN 1 WHEN 'Mid' THEN 2 ELSE 3 END AS seniority_rank
-        FROM docs JOIN levels USING (id) ORDER BY seniority_rank, id LIMIT 1000""",
+        FROM docs JOIN levels USING (id)""",
     "postings_table": f"""{_DOCS}
         SELECT id, name, strftime(make_timestamp(posted * 1000), '%Y-%m-%d %H:%M:%S') AS posted, title, technology,
                category, url, remote FROM docs""",
@@ -328,6 +328,10 @@ ORACLES: dict[str, str] = {
         SELECT 'nofluffjobs' AS source_name, obtained || '_nofluffjobs' AS key, obtained,
                strftime(make_timestamp(obtained * 1000000), '%-d %B %Y') AS shown, n_postings
         FROM (SELECT 1704067200 + (event_id // 2000) * 3600 AS obtained, count(*) AS n_postings FROM events GROUP BY 1)""",
+    "snapshot_freshness": """
+        SELECT 'nofluffjobs' AS source_name,
+               strftime(make_timestamp((1704067200 + chunk * 3600) * 1000000), '%-d %B %Y') AS obtained, count(*) AS n
+        FROM (SELECT DISTINCT event_id // 2000 AS chunk FROM events) GROUP BY 1, 2""",
     "envelope_json": _EVENTS,
     "archive_roundtrip": _EVENTS,
     "landing_snapshots": f"SELECT * EXCLUDE (key) FROM ({_EVENTS})",

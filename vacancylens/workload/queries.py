@@ -353,10 +353,10 @@ def salary_ranges(spark, sf_dir):
 
 @query
 def seniority_sorted(spark, sf_dir):
-    """The first rows of the seniority order, with the rank it sorts by."""
+    """Postings and levels in seniority order, with the rank that sorts them."""
     docs = filters.explode_list(view.documents(spark, sf_dir, "id", "seniority"), "seniority")
     rank = ordering.rank_of(F.col("seniority"), ordering.SENIORITY_ORDER)
-    return ordering.sort_by_seniority(docs, "id").limit(1000).withColumn("seniority_rank", rank)
+    return ordering.sort_by_seniority(docs, "id").withColumn("seniority_rank", rank)
 
 
 # ---- warehouse tables and contracts -----------------------------------------
@@ -456,6 +456,12 @@ def snapshot_metadata(spark, sf_dir):
     )
 
 
+@query
+def snapshot_freshness(spark, sf_dir):
+    metadata, _ = snapshots.extract(view.event_envelopes(spark, sf_dir))
+    return insights.freshness(metadata).groupBy("source_name", "obtained").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def envelope_json(spark, sf_dir):
     """Parsed snapshots written as envelope text once more and read back."""
