@@ -119,9 +119,9 @@ def _city_salaries(places: DataFrame) -> DataFrame:
 
 def _places(documents: DataFrame, seniority: str | None = None) -> DataFrame:
     if seniority is not None:
-        # A level listed twice counts twice, so matching levels are exploded.
-        level = F.filter("seniority", lambda s: s == seniority)
-        documents = documents.where(F.array_contains("seniority", seniority)).withColumn("_level", F.explode(level))
+        # A level listed twice counts twice, so levels are exploded all the same.
+        chosen = documents.where(F.array_contains("seniority", seniority))
+        documents = explode_list(chosen, "seniority", keep_empty=False).where(F.col("seniority") == seniority)
     return exploded_cities(documents.select("id", "salary_mean", "city"))
 
 
@@ -162,7 +162,10 @@ def salary_by_city_min_jobs(
 def salary_histogram(
     documents: DataFrame, width: float = 1000, limit: float = fixed.HISTOGRAM_SALARY_LIMIT
 ) -> DataFrame:
-    """Postings per seniority and salary bin, least to most experienced."""
+    """Postings per seniority and salary bin, least to most experienced.
+
+    A posting without levels belongs to no series and is not counted.
+    """
     paid = keep_between(documents.select("seniority", "salary_mean"), F.col("salary_mean"), above=0, below=limit)
     levels = explode_list(paid, "seniority", keep_empty=False).where(F.col("seniority").isNotNull())
     bins = counts.histogram(levels, ["seniority"], bin_start(F.col("salary_mean"), width))
