@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vacancylens.operators.bounded import broadcast_bounded
+from vacancylens.operators.bounded import BROADCAST_ROWS, broadcast_bounded
 
 
 def value_counts(df: DataFrame, *names: str) -> DataFrame:
@@ -40,10 +40,10 @@ def rows_with_top_values(df: DataFrame, name: str, n: int) -> DataFrame:
 def with_share(counts: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Add ``share``, each row's part of the sum of ``n``.
 
-    Rows bounded by ``max_rows`` are summed by a window; for any other number
-    the total is a scalar subquery, so no task has to hold all rows.
+    Few rows, as bounded by ``max_rows``, are summed by a window. Otherwise the
+    total is a scalar subquery, so no task has to hold all rows.
     """
-    if max_rows is not None:
+    if max_rows is not None and max_rows <= BROADCAST_ROWS:
         total = F.sum("n").over(Window.partitionBy())
     else:
         total = counts.agg(F.sum("n")).scalar()

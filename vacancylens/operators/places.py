@@ -33,8 +33,8 @@ def lookup_table(gazetteer: DataFrame, countries: Sequence[str] | None) -> DataF
     )
     if countries is not None:
         table = table.where(F.col("_place.country").isin(list(countries)))
-    return table.select("_alias", F.col("_place").getField("city").alias("_city"), "_place.lat", "_place.lon").where(
-        F.col("_alias").isNotNull()
+    return table.where(F.col("_alias").isNotNull()).select(
+        "_alias", *[F.col("_place").getField(name).alias(f"_{name}") for name in ("city", "lat", "lon")]
     )
 
 
@@ -63,19 +63,15 @@ def lookup_places(
     """
     others = [c for c in df.columns if c not in keys and c != names]
     table = lookup_table(gazetteer, countries)
-    unfolded = df.select(
-        *keys,
-        F.struct(*others).alias("_row"),
-        F.posexplode_outer(names).alias("_place_pos", "_name"),
-    )
+    unfolded = df.select(*keys, *others, F.posexplode_outer(names).alias("_place_pos", "_name"))
     found = unfolded.join(table, place_key(F.col("_name")) == F.col("_alias"), "left")
-    place = F.struct("_place_pos", F.col("_city").alias("city"), "lat", "lon")
+    place = F.struct("_place_pos", F.col("_city").alias("city"), F.col("_lat").alias("lat"), F.col("_lon").alias("lon"))
     regrouped = found.groupBy(*keys).agg(
-        F.first("_row").alias("_row"),
+        *[F.first(c).alias(c) for c in others],
         F.collect_list(F.when(F.col("_place_pos").isNotNull(), place)).alias("_places"),
     )
     cities = F.transform(
         F.array_sort("_places"),
         lambda p: F.struct(p.getField("city").alias("city"), p.getField("lat").alias("lat"), p.getField("lon").alias("lon")),
     )
-    return regrouped.select(*keys, "_row.*", cities.cast(f"array<{_CITY}>").alias(into))
+    return regrouped.select(*keys, *others, cities.cast(f"array<{_CITY}>").alias(into))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vacancylens import fixed_values as fixed
+from vacancylens.functions.times import epoch_seconds
 from vacancylens.plans.clean import clean
 from vacancylens.plans.insights import all_insights
 from vacancylens.plans.tables import warehouse_tables
@@ -16,28 +17,30 @@ from vacancylens.sources.lake import archive_snapshots, load_archived
 log = logging.getLogger(__name__)
 
 
-def archive(envelopes: DataFrame, lake: str, expected_source: str = fixed.EXPECTED_SOURCE, unique_keys: bool = False) -> None:
+def archive(
+    envelopes: DataFrame, lake: str, expected_source: str = fixed.EXPECTED_SOURCE, unique_keys: bool = False
+) -> None:
     """Check snapshots and store them under their keys."""
     parsed = snap.read_snapshot(envelopes).transform(snap.check_source, expected_source).transform(snap.check_count)
     archive_snapshots(parsed, lake, unique_keys)
 
 
-def newest_key(envelopes: DataFrame) -> tuple:
-    """``(newest (obtained_datetime, key) or None, whether all keys differ)``.
+def newest_snapshot(envelopes: DataFrame) -> tuple[tuple[int, str] | None, bool]:
+    """``((epoch second obtained, key) of the newest or None, whether all keys differ)``.
 
     One pass that reads the head of each document; one row reaches the driver.
     """
     found = (
         snap.snapshot_heads(envelopes)
-        .groupBy("key")
-        .agg(F.max("obtained_datetime").alias("obtained_datetime"), F.count(F.lit(1)).alias("n"))
-        .agg(F.max(F.struct("obtained_datetime", "key")).alias("newest"), F.max("n").alias("n"))
+        .groupBy(epoch_seconds(F.col("obtained_datetime")).alias("obtained"), "key")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.max(F.struct("obtained", "key")).alias("newest"), F.max("n").alias("n"))
         .first()
     )
-    if found.newest is None or found.newest.obtained_datetime is None:
+    if found.newest is None or found.newest.obtained is None:
         snap.read_snapshot(envelopes).count()  # says what is wrong with the documents
         return None, True
-    return (found.newest.obtained_datetime, found.newest.key), found.n == 1
+    return (found.newest.obtained, found.newest.key), found.n == 1
 
 
 def serve(
@@ -67,7 +70,7 @@ def write_insights(spark: SparkSession, path: str) -> None:
 
     Readers of the insights then scan small results and not the documents.
     """
-    key, _ = warehouse.served_snapshot(spark, path)
+    _, key = warehouse.served_snapshot(spark, path)
     _, documents = warehouse.read_documents(spark, path)
     results = {f"insight_{name}": result for name, result in all_insights(documents).items()}
     warehouse.write_warehouse(results, path, key)
@@ -88,19 +91,19 @@ def run_pipeline(
     archived. Errors are logged and raised again.
     """
     try:
-        newest, unique_keys = newest_key(envelopes)
+        newest, unique_keys = newest_snapshot(envelopes)
         served = warehouse.served_snapshot(spark, path)
         if lake is not None:
             archive(envelopes, lake, expected_source, unique_keys)
-        if newest is None or (served is not None and newest < (served[1], served[0])):
-            return served and served[0]
-        obtained, key = newest
+        if newest is None or (served is not None and newest < served):
+            return served and served[1]
+        key = newest[1]
         if lake is not None:
             chosen = load_archived(spark, lake, key)
         else:
             chosen = snap.read_snapshot(envelopes).where(F.col("key") == key).select("payload")
         serve(chosen.select("payload"), gazetteer, path, key, relational, expected_source)
-        log.info("serving snapshot %s of %s", key, obtained)
+        log.info("serving snapshot %s", key)
         return key
     except Exception:
         log.exception("pipeline run failed")

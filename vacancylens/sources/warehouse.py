@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vacancylens.fixed_values import DOCUMENT_COLUMNS
+from vacancylens.functions.times import epoch_seconds
 from vacancylens.operators.contracts import require_rows
 from vacancylens.schemas import DOCUMENT, METADATA, SERVED
 
@@ -47,16 +48,17 @@ def publish(metadata: DataFrame, path: str, key: str) -> None:
     row.write.mode("append").parquet(f"{path}/served")
 
 
-def served_snapshot(spark: SparkSession, path: str):
-    """``(key, obtained_datetime)`` of the newest published snapshot, or None."""
+def served_snapshot(spark: SparkSession, path: str) -> tuple[int, str] | None:
+    """``(epoch second obtained, key)`` of the newest published snapshot, or None."""
     try:
         published = spark.read.schema(SERVED).parquet(f"{path}/served")
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error.getCondition()):
             return None
         raise
-    newest = published.agg(F.max(F.struct("obtained_datetime", "key")).alias("s")).select("s.*").first()
-    return None if newest.key is None else (newest.key, newest.obtained_datetime)
+    obtained = epoch_seconds(F.col("obtained_datetime")).alias("obtained")
+    newest = published.agg(F.max(F.struct(obtained, "key")).alias("s")).select("s.*").first()
+    return None if newest.key is None else (newest.obtained, newest.key)
 
 
 def read_served(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -64,7 +66,7 @@ def read_served(spark: SparkSession, path: str, table: str) -> DataFrame:
     served = served_snapshot(spark, path)
     if served is None:
         raise RuntimeError(f"nothing is published below {path}")
-    return read_written(spark, path, served[0], table)
+    return read_written(spark, path, served[1], table)
 
 
 def read_documents(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
