@@ -1,10 +1,11 @@
 import pytest
 from golden import POSTINGS, gazetteer, posting, raw
-from plantext import executed
+from plantext import executed, planned
 from pyspark.sql import functions as F
 
 from vacancylens import fixed_values as fixed
-from vacancylens.operators.places import lookup_places
+from vacancylens.operators.bounded import measured_rows
+from vacancylens.operators.places import lookup_places, measured_places
 from vacancylens.plans import clean
 
 
@@ -95,13 +96,22 @@ def test_ambiguous_alias_gives_one_place(spark):
     assert [c.city for c in found] == ["Warszawa", "Gdynia", "Białystok"]
 
 
-def test_lookup_adds_no_shuffle_to_a_deduplicated_table(spark, tmp_path):
-    gazetteer(spark).write.parquet(str(tmp_path / "g"))  # a table of known size
-    final = executed(clean.clean(raw(spark), spark.read.parquet(str(tmp_path / "g"))))
+def test_lookup_adds_no_shuffle_to_a_deduplicated_table(spark):
+    places = gazetteer(spark)
+    assert measured_places(places) == 5
+    final = executed(clean.clean(raw(spark), places, max_places=measured_places(places)))
     assert final.count("Exchange hashpartitioning(id") == 1
     assert "WindowGroupLimit" in final
 
 
+def test_large_gazetteer_is_not_broadcast(spark):
+    assert measured_rows(spark.range(11), 10) is None
+    names = spark.createDataFrame([(1, ["Warsaw", "Gdynia"])], "k int, place_names array<string>")
+    plan = planned(lookup_places(names, gazetteer(spark), ["k"], max_places=10**9))
+    assert "BroadcastHashJoin" not in plan
+    assert "BroadcastHashJoin" in planned(lookup_places(names, gazetteer(spark), ["k"], max_places=5))
+
+
 def test_lookup_requires_no_places_column(spark):
     df = spark.createDataFrame([(1, ["Warsaw"]), (2, None), (3, [])], "k int, place_names array<string>")
     out = {r.k: [c.city for c in r.city] for r in lookup_places(df.withColumn("z", F.lit(0)), gazetteer(spark), ["k"]).collect()}

@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacancylens.functions.text import address_city_country, place_key
+from vacancylens.operators.bounded import broadcast_bounded, measured_rows
+
+#: A lookup table of at most this many rows (some 20 MB) may be broadcast.
+BROADCAST_PLACES = 200_000
 
 _CITY = "struct<city:string,lat:double,lon:double>"
 
@@ -38,6 +42,11 @@ def lookup_table(gazetteer: DataFrame, countries: Sequence[str] | None) -> DataF
     )
 
 
+def measured_places(gazetteer: DataFrame) -> int | None:
+    """Rows of a gazetteer small enough to broadcast, else None. Runs a count."""
+    return measured_rows(gazetteer, BROADCAST_PLACES)
+
+
 def place_names(location: Column) -> Column:
     """Names of the places that have a city, in the order given."""
     return F.array_compact(location.getField("places").getField("city"))
@@ -50,20 +59,23 @@ def lookup_places(
     names: str = "place_names",
     into: str = "city",
     countries: Sequence[str] | None = None,
+    max_places: int | None = None,
 ) -> DataFrame:
     """Replace the array ``names`` by an array of ``(city, lat, lon)``.
 
     ``df`` must be unique on ``keys``. An unknown or foreign place becomes a
     struct of NULLs and keeps its position; an empty list stays empty.
 
-    The gazetteer carries no hint: its size is not known here, so Spark
-    broadcasts it by measured size or shuffles and splits hot names. Input that
-    is already partitioned by ``keys`` (the output of a deduplication) is
-    regrouped without another shuffle, and a group is one posting's places.
+    With ``max_places``, as found by :func:`measured_places`, a small gazetteer
+    is broadcast; otherwise Spark decides, and splits hot names if it shuffles.
+    Input that is already partitioned by ``keys`` (the output of a
+    deduplication) is then regrouped without another shuffle. A group is the
+    places of one posting.
     """
     others = [c for c in df.columns if c not in keys and c != names]
     table = lookup_table(gazetteer, countries)
     unfolded = df.select(*keys, *others, F.posexplode_outer(names).alias("_place_pos", "_name"))
+    table = broadcast_bounded(table, max_places, BROADCAST_PLACES)
     found = unfolded.join(table, place_key(F.col("_name")) == F.col("_alias"), "left")
     place = F.struct("_place_pos", F.col("_city").alias("city"), F.col("_lat").alias("lat"), F.col("_lon").alias("lon"))
     regrouped = found.groupBy(*keys).agg(

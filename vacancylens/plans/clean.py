@@ -94,6 +94,7 @@ def clean(
     gazetteer: DataFrame,
     keys: Sequence[str] = ("id",),
     order: Sequence[Column | str] = ("pos",),
+    max_places: int | None = None,
 ) -> DataFrame:
     """The document table: one row per posting, first occurrence of each id.
 
@@ -103,6 +104,7 @@ def clean(
     is represented by its first row whatever that row's currency. Both filters
     come before the place lookup, so no place is looked up for nothing. Keys in
     addition to ``id`` (a snapshot key) clean several snapshots at once.
+    ``max_places`` is the size of a gazetteer known to be small.
     """
     extracted = (
         postings.transform(drop_unwanted)
@@ -114,6 +116,6 @@ def clean(
         .drop("location")
     )
     kept = extracted.transform(drop_duplicates, keys, order).transform(keep_currency).drop("salary")
-    placed = lookup_places(kept, gazetteer, keys, countries=fixed.KEPT_COUNTRIES)
+    placed = lookup_places(kept, gazetteer, keys, countries=fixed.KEPT_COUNTRIES, max_places=max_places)
     extra = [k for k in keys if k not in fixed.DOCUMENT_COLUMNS]
     return placed.transform(normalize_names).select(*extra, *fixed.DOCUMENT_COLUMNS)

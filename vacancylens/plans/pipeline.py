@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vacancylens import fixed_values as fixed
 from vacancylens.functions.times import epoch_seconds
+from vacancylens.operators.places import measured_places
 from vacancylens.plans.clean import clean
 from vacancylens.plans.insights import all_insights
 from vacancylens.plans.tables import warehouse_tables
@@ -58,7 +59,8 @@ def serve(
     """
     spark = envelopes.sparkSession
     metadata, postings = snap.extract(envelopes, expected_source)
-    warehouse.write_documents(metadata, clean(postings, gazetteer), path, key)
+    documents = clean(postings, gazetteer, max_places=measured_places(gazetteer))
+    warehouse.write_documents(metadata, documents, path, key)
     documents = warehouse.read_written(spark, path, key, "documents")
     if relational:
         warehouse.write_warehouse(warehouse_tables(documents), path, key)
