@@ -123,6 +123,16 @@ def test_pipeline_serves_the_newest(spark, tmp_path):
     assert warehouse.read_written(spark, path, "1577836800_nofluffjobs", "documents").first().id == "OLD"
 
 
+def test_sink_gets_the_five_tables(spark, tmp_path):
+    given = {}
+    places = gazetteer(spark)
+    pipeline.run_pipeline(
+        spark, payloads(spark, envelope(GOOD)), places, str(tmp_path), relational=False,
+        sink=lambda tables: given.update({name: table.count() for name, table in tables.items()}),
+    )
+    assert given == {"metadata": 1, "postings": 6, "salaries": 6, "locations": 13, "seniorities": 12}
+
+
 def test_failed_run_leaves_the_served_tables(spark, tmp_path):
     path = str(tmp_path / "wh")
     places = gazetteer(spark)

@@ -1,6 +1,7 @@
 """One run: archive new snapshots, clean the newest, serve its tables."""
 
 import logging
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ from vacancylens.sources.lake import archive_snapshots, load_archived
 
 log = logging.getLogger(__name__)
 
+Sink = Callable[[dict[str, DataFrame]], None]
+
 
 def archive(
     envelopes: DataFrame, lake: str, expected_source: str = fixed.EXPECTED_SOURCE, unique_keys: bool = False
@@ -51,20 +54,27 @@ def serve(
     key: str,
     relational: bool = True,
     expected_source: str = fixed.EXPECTED_SOURCE,
+    sink: Sink | None = None,
 ) -> None:
     """Clean one snapshot and publish its tables.
 
     The cleaned documents are written first and read back for the relational
-    tables and the insights, so cleaning runs once.
+    tables and the insights, so cleaning runs once. A ``sink`` (such as
+    ``warehouse.jdbc_sink``) is given the five relational tables as well.
     """
     spark = envelopes.sparkSession
     metadata, postings = snap.extract(envelopes, expected_source)
     documents = clean(postings, gazetteer, max_places=measured_places(gazetteer))
     warehouse.write_documents(metadata, documents, path, key)
     documents = warehouse.read_written(spark, path, key, "documents")
-    if relational:
-        warehouse.write_warehouse(warehouse_tables(documents), path, key)
-    warehouse.publish(warehouse.read_written(spark, path, key, "metadata"), path, key)
+    metadata = warehouse.read_written(spark, path, key, "metadata")
+    if relational or sink is not None:
+        tables = warehouse_tables(documents)
+        if relational:
+            warehouse.write_warehouse(tables, path, key)
+        if sink is not None:
+            sink({"metadata": metadata, **tables})
+    warehouse.publish(metadata, path, key)
 
 
 def write_insights(spark: SparkSession, path: str) -> None:
@@ -86,6 +96,7 @@ def run_pipeline(
     lake: str | None = None,
     relational: bool = True,
     expected_source: str = fixed.EXPECTED_SOURCE,
+    sink: Sink | None = None,
 ) -> str | None:
     """Archive (if a lake is given) and serve the newest of ``envelopes``.
 
@@ -104,7 +115,7 @@ def run_pipeline(
             chosen = load_archived(spark, lake, key)
         else:
             chosen = snap.read_snapshot(envelopes).where(F.col("key") == key).select("payload")
-        serve(chosen.select("payload"), gazetteer, path, key, relational, expected_source)
+        serve(chosen.select("payload"), gazetteer, path, key, relational, expected_source, sink)
         log.info("serving snapshot %s", key)
         return key
     except Exception:

@@ -91,7 +91,7 @@ edges AS (
   WHERE category IN (FROM cats) AND technology IN (FROM techs) GROUP BY 1, 2 HAVING count(*) >= 90
 ),
 nodes AS (
-  SELECT row_number() OVER (ORDER BY label) - 1 AS node_id, label
+  SELECT CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS node_id, label
   FROM (SELECT category AS label FROM edges UNION SELECT technology FROM edges)
 )"""
 
@@ -146,7 +146,7 @@ _CAPITAL = "upper({c}[1]) || lower({c}[2:])"
 
 def _event_rows(condition: str = "true") -> str:
     return f"""
-    SELECT (1704067200 + (event_id // 2000) * 3600) || '_nofluffjobs' AS key, event_id % 2000 AS pos,
+    SELECT (1704067200 + (event_id // 2000) * 3600) || '_nofluffjobs' AS key, CAST(event_id % 2000 AS INTEGER) AS pos,
            CAST(event_id AS VARCHAR) AS id, 'User ' || user_id AS name, epoch_us(ts) // 1000 AS posted,
            event_type AS technology, event_type = 'view' AS "fullyRemote", value * 2 AS salary_to,
            'Warsaw' AS first_city
@@ -327,7 +327,7 @@ ORACLES: dict[str, str] = {
     "snapshot_metadata": """
         SELECT 'nofluffjobs' AS source_name, obtained || '_nofluffjobs' AS key, obtained,
                strftime(make_timestamp(obtained * 1000000), '%-d %B %Y') AS shown, n_postings
-        FROM (SELECT 1704067200 + (event_id // 2000) * 3600 AS obtained, count(*) AS n_postings FROM events GROUP BY 1)""",
+        FROM (SELECT 1704067200 + (event_id // 2000) * 3600 AS obtained, CAST(count(*) AS INTEGER) AS n_postings FROM events GROUP BY 1)""",
     "snapshot_freshness": """
         SELECT 'nofluffjobs' AS source_name,
                strftime(make_timestamp((1704067200 + chunk * 3600) * 1000000), '%-d %B %Y') AS obtained, count(*) AS n
