@@ -148,3 +148,15 @@ def test_tables(docs):
     assert tables.locations_table(df).count() == sum(1 for r in rows for c in r[C["city"]] if c[0])
     assert tables.seniorities_table(df).count() == sum(max(len(r[C["seniority"]]), 1) for r in rows)
     assert tables.postings_table(df).columns == tables.fixed.POSTINGS_COLUMNS
+
+
+def test_partitioning_of_the_input_does_not_matter(docs):
+    def rows(name, n):
+        def cell(value):
+            return f"{value:.6f}" if isinstance(value, float) else str(value)
+
+        found = insights.INSIGHTS[name](docs[1].repartition(n)).collect()
+        return sorted(tuple(map(cell, row)) for row in found)
+
+    for name in insights.INSIGHTS:
+        assert rows(name, 1) == rows(name, 7), name

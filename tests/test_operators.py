@@ -85,6 +85,8 @@ def test_large_groups_drop_null_keys(spark):
     df = spark.createDataFrame([("a", "x")] * 4 + [("a", None)] * 5 + [(None, "x")] * 5 + [("b", "x")] * 3, "s string, t string")
     kept = groups.rows_of_large_groups(df, ["s", "t"], "t", 3)
     assert [tuple(r) for r in kept.collect()] == [("a", "x")] * 4
+    bounded = groups.rows_of_large_groups(df, ["s", "t"], "t", 3, max_groups=6)
+    assert bounded.count() == 4 and "BroadcastHashJoin" in planned(bounded)
 
 
 def test_top_values_and_ties(spark):

@@ -5,6 +5,7 @@ import pytest
 from golden import POSTINGS, envelope, gazetteer, payloads, posting
 from pyspark.sql import functions as F
 
+from vacancylens.operators import places
 from vacancylens.plans import pipeline
 from vacancylens.sources import lake, snapshots, warehouse
 from vacancylens.streaming.ingest import ingest_new_snapshots
@@ -101,13 +102,13 @@ GOOD = [p for p in POSTINGS if p["id"] in ("MOCK", "DUP", "NODE", "REACT", "FORE
 def test_pipeline_serves_the_newest(spark, tmp_path):
     path, store = str(tmp_path / "wh"), str(tmp_path / "lake")
     new, old = envelope(GOOD), envelope([posting("OLD")], obtained="2020-01-01 00:00:00")
-    places = gazetteer(spark)
+    known = gazetteer(spark)
     with pytest.raises(RuntimeError):
         warehouse.read_documents(spark, path)
-    key = pipeline.run_pipeline(spark, payloads(spark, new, old), places, path, store)
+    key = pipeline.run_pipeline(spark, payloads(spark, new, old), known, path, store)
     assert key == "1638347405_nofluffjobs" and lake.read_lake(spark, store).count() == 2
     # An older snapshot that arrives later is archived, not served.
-    assert pipeline.run_pipeline(spark, payloads(spark, old), places, path) == key
+    assert pipeline.run_pipeline(spark, payloads(spark, old), known, path) == key
     metadata, documents = warehouse.read_documents(spark, path)
     assert metadata.count() == 1
     assert {r.id for r in documents.collect()} == {p["id"] for p in GOOD}
@@ -118,16 +119,25 @@ def test_pipeline_serves_the_newest(spark, tmp_path):
     pipeline.write_insights(spark, path)
     assert warehouse.read_served(spark, path, "insight_remote_share").count() == 2
     # Replay of the archived old snapshot writes its tables; the newest stays served.
-    pipeline.replay(spark, store, "1577836800_nofluffjobs", places, path)
+    pipeline.replay(spark, store, "1577836800_nofluffjobs", known, path)
     assert warehouse.served_snapshot(spark, path)[1] == key
     assert warehouse.read_written(spark, path, "1577836800_nofluffjobs", "documents").first().id == "OLD"
 
 
+def test_large_gazetteer_is_cut_to_the_places_in_use(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(places, "BROADCAST_PLACES", 4)
+    _, postings = snapshots.extract(payloads(spark, envelope(GOOD)))
+    known, most = pipeline._small_gazetteer(gazetteer(spark), postings)
+    assert most == 4 and {r.alias for r in known.collect()} == {"Warsaw", "Gdynia", "Białystok", "Berlin"}
+    pipeline.run_pipeline(spark, payloads(spark, envelope(GOOD)), gazetteer(spark), str(tmp_path))
+    assert warehouse.read_served(spark, str(tmp_path), "locations").count() == 13
+
+
 def test_sink_gets_the_five_tables(spark, tmp_path):
     given = {}
-    places = gazetteer(spark)
+    known = gazetteer(spark)
     pipeline.run_pipeline(
-        spark, payloads(spark, envelope(GOOD)), places, str(tmp_path), relational=False,
+        spark, payloads(spark, envelope(GOOD)), known, str(tmp_path), relational=False,
         sink=lambda tables: given.update({name: table.count() for name, table in tables.items()}),
     )
     assert given == {"metadata": 1, "postings": 6, "salaries": 6, "locations": 13, "seniorities": 12}
@@ -135,20 +145,20 @@ def test_sink_gets_the_five_tables(spark, tmp_path):
 
 def test_failed_run_leaves_the_served_tables(spark, tmp_path):
     path = str(tmp_path / "wh")
-    places = gazetteer(spark)
-    pipeline.run_pipeline(spark, payloads(spark, envelope(GOOD)), places, path)
+    known = gazetteer(spark)
+    pipeline.run_pipeline(spark, payloads(spark, envelope(GOOD)), known, path)
     broken = envelope([posting("X", salary={"from": None, "to": None, "type": "b2b", "currency": "PLN"})], obtained="2022-01-01 00:00:00")
     with pytest.raises(Exception, match="salary_mean"):
-        pipeline.run_pipeline(spark, payloads(spark, broken), places, path)
+        pipeline.run_pipeline(spark, payloads(spark, broken), known, path)
     assert warehouse.read_documents(spark, path)[1].count() == 6
 
 
 def test_streaming_ingests_each_file_once(spark, tmp_path):
     landing, path, store, mark = (str(tmp_path / n) for n in ("in", "wh", "lake", "mark"))
-    places = gazetteer(spark)
+    known = gazetteer(spark)
 
     def run():
-        query = ingest_new_snapshots(spark, landing, places, path, store, mark, maxFilesPerTrigger="1")
+        query = ingest_new_snapshots(spark, landing, known, path, store, mark, maxFilesPerTrigger="1")
         query.awaitTermination()
         return sum(p["numInputRows"] > 0 for p in query.recentProgress)  # batches of one file
 

@@ -5,6 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vacancylens.operators.bounded import broadcast_bounded
+
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """Keep the first row of every key; NULL keys form one group.
@@ -30,12 +32,15 @@ def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def rows_of_groups(df: DataFrame, keys: Sequence[str], having: Column, **aggregates: Column) -> DataFrame:
+def rows_of_groups(
+    df: DataFrame, keys: Sequence[str], having: Column, max_groups: int | None = None, **aggregates: Column
+) -> DataFrame:
     """All rows of the groups whose aggregates satisfy ``having``.
 
     Groups are counted with map-side combining and joined back, instead of
     gathering every group's rows in one window partition. The join is
-    null-safe, so a NULL key counts as a value; AQE splits a hot key.
+    null-safe, so a NULL key counts as a value; AQE splits a hot key. With a
+    proven ``max_groups`` the groups are broadcast and the rows stay in place.
     """
     chosen = (
         df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys])
@@ -44,7 +49,7 @@ def rows_of_groups(df: DataFrame, keys: Sequence[str], having: Column, **aggrega
         .select(*[f"_{k}" for k in keys])
     )
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return df.join(chosen, same, "left_semi")
+    return df.join(broadcast_bounded(chosen, max_groups), same, "left_semi")
 
 
 def duplicate_members(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -52,10 +57,12 @@ def duplicate_members(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows_of_groups(df, keys, F.col("_n") > 1, _n=F.count(F.lit(1)))
 
 
-def rows_of_large_groups(df: DataFrame, keys: Sequence[str], counted: str, more_than: int) -> DataFrame:
+def rows_of_large_groups(
+    df: DataFrame, keys: Sequence[str], counted: str, more_than: int, max_groups: int | None = None
+) -> DataFrame:
     """Rows of groups with more than ``more_than`` non-null ``counted`` cells.
 
     Rows with a NULL in any key belong to no group and vanish.
     """
     grouped = df.dropna(subset=list(keys))
-    return rows_of_groups(grouped, keys, F.col("_n") > more_than, _n=F.count(counted))
+    return rows_of_groups(grouped, keys, F.col("_n") > more_than, max_groups, _n=F.count(counted))

@@ -47,6 +47,16 @@ def measured_places(gazetteer: DataFrame) -> int | None:
     return measured_rows(gazetteer, BROADCAST_PLACES)
 
 
+def places_in_use(gazetteer: DataFrame, df: DataFrame, names: str = "place_names") -> DataFrame:
+    """The rows of a large gazetteer that some row of ``df`` asks for.
+
+    Names repeat far more than they differ, so their distinct values combine
+    before the shuffle and usually leave little to look up.
+    """
+    asked = df.select(F.explode(names).alias("_name")).select(place_key(F.col("_name")).alias("_asked")).distinct()
+    return gazetteer.join(asked, place_key(F.col("alias")) == F.col("_asked"), "left_semi")
+
+
 def place_names(location: Column) -> Column:
     """Names of the places that have a city, in the order given."""
     return F.array_compact(location.getField("places").getField("city"))

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from vacancylens import fixed_values as fixed
 from vacancylens.functions.times import epoch_seconds
-from vacancylens.operators.places import measured_places
-from vacancylens.plans.clean import clean
+from vacancylens.operators import places
+from vacancylens.plans.clean import clean, extract_place_names
 from vacancylens.plans.insights import all_insights
 from vacancylens.plans.tables import warehouse_tables
+from vacancylens.session import new_folder
 from vacancylens.sources import snapshots as snap
 from vacancylens.sources import warehouse
 from vacancylens.sources.lake import archive_snapshots, load_archived
@@ -64,8 +65,8 @@ def serve(
     """
     spark = envelopes.sparkSession
     metadata, postings = snap.extract(envelopes, expected_source)
-    documents = clean(postings, gazetteer, max_places=measured_places(gazetteer))
-    warehouse.write_documents(metadata, documents, path, key)
+    known, most = _small_gazetteer(gazetteer, postings)
+    warehouse.write_documents(metadata, clean(postings, known, max_places=most), path, key)
     documents = warehouse.read_written(spark, path, key, "documents")
     metadata = warehouse.read_written(spark, path, key, "metadata")
     if relational or sink is not None:
@@ -77,6 +78,17 @@ def serve(
     warehouse.publish(metadata, path, key)
 
 
+def _small_gazetteer(gazetteer: DataFrame, postings: DataFrame) -> tuple[DataFrame, int | None]:
+    """A gazetteer with its size, cut to the places in use if it is a large one."""
+    most = places.measured_places(gazetteer)
+    if most is not None:
+        return gazetteer, most
+    spark, path = postings.sparkSession, new_folder(postings.sparkSession, "places")
+    places.places_in_use(gazetteer, extract_place_names(postings)).write.parquet(path)
+    used = spark.read.schema(gazetteer.schema).parquet(path)
+    return used, places.measured_places(used)
+
+
 def write_insights(spark: SparkSession, path: str) -> None:
     """Keep the insights of the served snapshot as tables of their own.
 
