@@ -12,5 +12,9 @@ def rank_of(value: Column, order: dict[str, int]) -> Column:
 
 
 def sort_by_seniority(df: DataFrame, *then: Column | str, name: str = "seniority") -> DataFrame:
-    """Least to most experienced; unknown levels and NULL come last."""
+    """Least to most experienced; unknown levels and NULL come last.
+
+    Columns in ``then`` order rows of one level, and let a frequent level
+    spread over several sort tasks.
+    """
     return df.orderBy(rank_of(F.col(name), SENIORITY_ORDER).asc_nulls_last(), F.col(name), *then)
