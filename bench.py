@@ -7,7 +7,6 @@ sink), so result transfer to Python is not part of it.
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -20,8 +19,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     only = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n]
     cpus = os.environ.get("BENCH_CPUS", "8")
-    shared = tempfile.mkdtemp(prefix="vacancylens-bench-")
-    spark = local_session(cpus, "bench", **{"spark.checkpoint.dir": shared, "spark.sql.shuffle.partitions": cpus})
+    spark = local_session(cpus, "bench", **{"spark.sql.shuffle.partitions": cpus})
     # Start the JVM's code paths and the file system before the first timing.
     for name in ("technology_share", "page_keywords_nested"):
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -10,8 +10,7 @@ from vacancylens.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    shared = tmp_path_factory.mktemp("shared")
-    session = local_session(4, "tests", **{"spark.checkpoint.dir": str(shared), "spark.sql.shuffle.partitions": "4"})
+def spark():
+    session = local_session(4, "tests", **{"spark.sql.shuffle.partitions": "4"})
     yield session
     session.stop()

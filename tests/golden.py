@@ -10,15 +10,15 @@ PLACE = {"country": {"code": "POL", "name": "Poland"}, "street": "", "postalCode
 def posting(id, **changes):
     base = {
         "id": id,
-        "name": "Acaisoft Poland Sp. z.o.o",
+        "name": "Example Sp. z o.o.",
         "location": {
             "places": [{**PLACE, "city": c} for c in ("Warsaw", "Gdynia", "Białystok")],
             "fullyRemote": True,
             "covidTimeRemotely": False,
         },
-        "posted": 1635163809168,
-        "renewed": 1636895409168,
-        "title": "SQL Developer (Node.js)",
+        "posted": 1640995200123,
+        "renewed": 1641081600456,
+        "title": "Database Developer",
         "technology": "sql",
         "logo": {"original": "a.jpeg", "jobs_details": "b.jpeg"},
         "category": "backend",

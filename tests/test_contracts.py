@@ -37,10 +37,10 @@ def test_every_rule_reports(spark):
 
 def test_postings_contract_reads_epoch_millis(spark):
     df = spark.sql(
-        "SELECT 'a' AS id, 'n' AS name, 1635163809168L AS posted, '' AS title, '' AS technology, '' AS category, '' AS url, true AS remote, 1 AS other"
+        "SELECT 'a' AS id, 'n' AS name, 1640995200123L AS posted, '' AS title, '' AS technology, '' AS category, '' AS url, true AS remote, 1 AS other"
     )
     table = contracts.require(df, contracts.POSTINGS)
-    assert table.select(F.date_format("posted", "yyyy-MM-dd")).first()[0] == "2021-10-25"
+    assert table.select(F.date_format("posted", "yyyy-MM-dd")).first()[0] == "2022-01-01"
     assert "other" in table.columns
 
 

@@ -95,9 +95,9 @@ def test_snapshot_key_and_times(spark):
         times.snapshot_key(F.col("t"), F.lit("nofluffjobs")).alias("key"),
         times.format_iso(F.col("t")).alias("iso"),
         times.display_date(F.col("t")).alias("shown"),
-        F.date_format(times.from_epoch_millis(F.lit(1635163809168)), "yyyy-MM-dd HH:mm:ss.SSS").alias("posted"),
+        F.date_format(times.from_epoch_millis(F.lit(1640995200123)), "yyyy-MM-dd HH:mm:ss.SSS").alias("posted"),
     ).first()
     assert row.key == "1638347405_nofluffjobs"
     assert row.iso == "2021-12-01 08:30:05"
     assert row.shown == "1 December 2021"
-    assert row.posted == dt.datetime.fromtimestamp(1635163809.168, dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.168")
+    assert row.posted == dt.datetime.fromtimestamp(1640995200.123, dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.123")
