@@ -6,7 +6,7 @@ from golden import POSTINGS, envelope, gazetteer, payloads, posting
 from pyspark.sql import functions as F
 
 from vacancylens.operators import places
-from vacancylens.plans import pipeline
+from vacancylens.plans import clean, pipeline
 from vacancylens.sources import lake, snapshots, warehouse
 from vacancylens.streaming.ingest import ingest_new_snapshots
 
@@ -59,6 +59,17 @@ def test_envelope_json_keeps_null_fields(spark):
     assert again["raw_data"]["postings"][0]["referralBonus"] is None
 
 
+def test_nan_tokens_are_read_as_missing(spark):
+    nan = float("nan")
+    odd = posting("A", referralBonus=nan, referralBonusCurrency=nan, title=nan, salary={"from": nan, "to": 5, "type": "b2b", "currency": "PLN"})
+    text = envelope([odd, posting("B")])
+    assert "NaN" in text
+    _, postings = snapshots.extract(payloads(spark, text))
+    rows = {r.id: r for r in clean.clean(postings, gazetteer(spark)).collect()}
+    assert (rows["A"].title, rows["A"].salary_min, rows["A"].salary_mean) == (None, None, 5.0)
+    assert rows["B"].salary_mean == 22500
+
+
 def test_landing_wraps_raw_responses(spark, tmp_path):
     raw = json.loads(envelope([posting("A")]))["raw_data"]
     land(tmp_path / "in", "a.json", json.dumps(raw, indent=1))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from vacancylens import fixed_values as fixed
 from vacancylens.functions.times import format_iso, parse_iso, snapshot_key
-from vacancylens.schemas import ENVELOPE
+from vacancylens.schemas import ENVELOPE, POSTING
 
 
 def read_archive(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
@@ -114,9 +114,19 @@ def snapshot_metadata(snapshots: DataFrame) -> DataFrame:
 
 def snapshot_postings(snapshots: DataFrame) -> DataFrame:
     """One row per posting with its snapshot ``key`` and place ``pos`` in the array."""
-    return snapshots.select("key", F.posexplode("raw_data.postings").alias("pos", "_posting")).select(
-        "key", "pos", "_posting.*"
-    )
+    rows = snapshots.select("key", F.posexplode("raw_data.postings").alias("pos", "_posting"))
+    fields = {field.name: F.col("_posting").getField(field.name) for field in POSTING}
+    for field in POSTING:
+        if isinstance(field.dataType, T.StringType):
+            fields[field.name] = _text(fields[field.name])
+    salary = fields["salary"]
+    fields["salary"] = salary.withField("type", _text(salary.getField("type")))
+    return rows.select("key", "pos", *[value.alias(name) for name, value in fields.items()])
+
+
+def _text(value: Column) -> Column:
+    """NULL for a bare NaN, which JSON parsing puts into a text field with quotes."""
+    return F.when(value != '"NaN"', value)
 
 
 def extract(envelopes: DataFrame, expected_source: str = fixed.EXPECTED_SOURCE) -> tuple[DataFrame, DataFrame]:
