@@ -60,11 +60,13 @@ def serve(
     """Clean one snapshot and publish its tables.
 
     The cleaned documents are written first and read back for the relational
-    tables and the insights, so cleaning runs once. A ``sink`` (such as
-    ``warehouse.jdbc_sink``) is given the five relational tables as well.
+    tables and the insights, so cleaning runs once. Their query checks the
+    snapshot; the metadata then only needs the head of the document. A ``sink``
+    (such as ``warehouse.jdbc_sink``) is given the five relational tables too.
     """
     spark = envelopes.sparkSession
-    metadata, postings = snap.extract(envelopes, expected_source)
+    _, postings = snap.extract(envelopes, expected_source)
+    metadata = snap.snapshot_metadata(snap.snapshot_heads(envelopes))
     known, most = _small_gazetteer(gazetteer, postings)
     warehouse.write_documents(metadata, clean(postings, known, max_places=most), path, key)
     documents = warehouse.read_written(spark, path, key, "documents")
