@@ -4,7 +4,8 @@ Quartiles need ranks. Instead of one task holding (or sorting) all values of a
 group, values are first counted per narrow, order-preserving bin. Running
 totals over the bins of a group tell which bins hold the wanted ranks; only the
 values in those bins are looked at again. Both passes combine before their
-shuffle, and a group spreads over as many tasks as it has bins.
+shuffle, and a group spreads over as many tasks as it has bins. What one task
+has to order is the distinct values of one bin, about 0.3 % wide.
 """
 
 from collections.abc import Sequence
@@ -123,7 +124,9 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     cells = summary.select(
         "_column",
         F.posexplode(
-            F.array(*[F.struct(F.lit(s).alias("statistic"), F.col(s).cast("double").alias("v")) for s in SUMMARY_COLUMNS])
+            F.array(
+                *[F.struct(F.lit(s).alias("statistic"), F.col(s).cast("double").alias("v")) for s in SUMMARY_COLUMNS]
+            )
         ).alias("_order", "_cell"),
     )
     return (

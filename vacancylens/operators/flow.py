@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from vacancylens.operators.bounded import broadcast_bounded
 
 
-def flow_edges(df: DataFrame, source: str, target: str, top_sources: int, top_targets: int, min_count: int) -> DataFrame:
+def flow_edges(
+    df: DataFrame, source: str, target: str, top_sources: int, top_targets: int, min_count: int
+) -> DataFrame:
     """``(source, target, n)`` for pairs of frequent values seen ``min_count`` times.
 
     Each column's frequent values are ranked over the whole table. All three

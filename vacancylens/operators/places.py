@@ -94,6 +94,6 @@ def lookup_places(
     )
     cities = F.transform(
         F.array_sort("_places"),
-        lambda p: F.struct(p.getField("city").alias("city"), p.getField("lat").alias("lat"), p.getField("lon").alias("lon")),
+        lambda p: F.struct(*[p.getField(name).alias(name) for name in ("city", "lat", "lon")]),
     )
     return regrouped.select(*keys, *others, cities.cast(f"array<{_CITY}>").alias(into))

@@ -27,7 +27,9 @@ def drop_unwanted(df: DataFrame) -> DataFrame:
     return drop_columns(df, fixed.UNWANTED_COLUMNS)
 
 
-def drop_duplicates(df: DataFrame, keys: Sequence[str] = ("id",), order: Sequence[Column | str] = ("pos",)) -> DataFrame:
+def drop_duplicates(
+    df: DataFrame, keys: Sequence[str] = ("id",), order: Sequence[Column | str] = ("pos",)
+) -> DataFrame:
     return first_per_key(df, keys, order)
 
 

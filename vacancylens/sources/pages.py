@@ -99,7 +99,8 @@ def page_keywords(
                 parser.close()
                 ids.extend([identity] * len(parser.texts))
                 texts.extend(parser.texts)
-            yield pd.DataFrame({page_id: pd.Series(ids, dtype=batch[page_id].dtype), "_text": pd.Series(texts, dtype=object)})
+            identities = pd.Series(ids, dtype=batch[page_id].dtype)
+            yield pd.DataFrame({page_id: identities, "_text": pd.Series(texts, dtype=object)})
 
     kind = dict(pages.dtypes)[page_id]
     found = candidates.select(page_id, "html").mapInPandas(parse, f"`{page_id}` {kind}, _text string")

@@ -519,7 +519,8 @@ def latest_snapshot(spark, sf_dir):
         spark, landing, view.warsaw(spark), path, stored, new_folder(spark, "ingest"), lines=True
     ).awaitTermination()
     _, documents = warehouse.read_documents(spark, path)
-    return documents.select("id", "technology", "remote", "contract_type", "salary_mean", F.col("city")[0]["city"].alias("city"))
+    city = F.col("city")[0]["city"].alias("city")
+    return documents.select("id", "technology", "remote", "contract_type", "salary_mean", city)
 
 
 @query

@@ -197,11 +197,14 @@ def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "seniority": F.when(F.col("l_returnflag") == "N", F.array(F.lit("Junior")))
         .when(F.col("l_returnflag") == "A", F.array(F.lit("Senior"), F.lit("Mid")))
         .otherwise(F.array().cast("array<string>")),
-        "url": F.concat_ws("-", F.lit("offer"), F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")),
+        "url": F.concat_ws("-", F.lit("offer"), *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber")]),
         "salary": F.struct(
             F.when(F.col("l_discount") != 0, F.col("l_extendedprice") / 4).alias("from"),
             F.when(F.col("l_tax") != 0, F.col("l_extendedprice") / 1.5).alias("to"),
-            F.when(F.col("l_linestatus") == "O", "b2b").when(F.col("l_quantity") > 10, "permanent").otherwise("").alias("type"),
+            F.when(F.col("l_linestatus") == "O", "b2b")
+            .when(F.col("l_quantity") > 10, "permanent")
+            .otherwise("")
+            .alias("type"),
             F.when(F.pmod("l_linenumber", F.lit(4)) == 0, "EUR").otherwise("PLN").alias("currency"),
         ),
     }
