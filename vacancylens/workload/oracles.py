@@ -347,7 +347,7 @@ ORACLES: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "clean_several_snapshots": f"""
         SELECT key, upper(technology[1]) || technology[2:] AS technology, "fullyRemote" AS remote, count(*) AS n,
-               round(avg((salary_to + salary_to / 2) / 2), 8) AS salary_mean
+               round(sum((salary_to + salary_to / 2) / 2), 4) AS salary_sum
         FROM ({_event_rows("event_type <> 'error'")}) GROUP BY 1, 2, 3""",
     "iso_times": """
         SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS told,

@@ -537,7 +537,7 @@ def clean_several_snapshots(spark, sf_dir):
     _, postings = snapshots.extract(view.event_envelopes(spark, sf_dir))
     cleaned = clean.clean(postings, view.warsaw(spark), keys=("key", "id"))
     return cleaned.groupBy("key", "technology", "remote").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg("salary_mean"), 8).alias("salary_mean")
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("salary_mean"), 4).alias("salary_sum")
     )
 
 
