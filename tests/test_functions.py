@@ -45,6 +45,14 @@ def test_text_functions_property(spark, words):
     assert apply(spark, words, text.capitalize) == [w.capitalize() for w in words]
 
 
+def test_text_functions_over_all_european_letters(spark):
+    letters = [chr(c) for c in range(0x20, 0x530) if chr(c).isprintable() and c != 0x19B and c != 0x264]
+    words = [c + "b" for c in letters] + ["a" + c + "Bc" for c in letters]
+    assert apply(spark, words, text.title_case) == [w.title() for w in words]
+    assert apply(spark, words, text.capitalize) == [w.capitalize() for w in words]
+    assert apply(spark, words, text.split_before_capitals) == [re.sub(r"(\w)([A-Z])", r"\1 \2", w) for w in words]
+
+
 def test_keyword_strips_all_white_space(spark):
     assert apply(spark, ["\n  Python\t", " Go "], text.keyword) == ["python", "go"]
 
