@@ -10,7 +10,9 @@ from vacancylens.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = local_session(4, "tests", **{"spark.sql.shuffle.partitions": "4"})
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()

@@ -1,9 +1,13 @@
 """Session settings and the folder that jobs may use for intermediate tables."""
 
 import functools
+import hashlib
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 #: What the engine relies on. Cluster sizing (executors, memory, shuffle
@@ -42,25 +46,40 @@ def local_session(cores: int | str = "*", app: str = "vacancylens", **conf: str)
     return spark
 
 
-@functools.cache
-def _laptop_dir(application: str) -> str:
-    return tempfile.mkdtemp(prefix="vacancylens-")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local session without that setting (a test, a laptop) gets a
-    temporary folder, the same one for the life of the application.
-    """
+    """The folder every executor can reach, as named by ``spark.checkpoint.dir``."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not spark.conf.get("spark.master").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        named = _laptop_dir(spark.conf.get("spark.app.id"))
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return named.rstrip("/")
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below :func:`shared_dir`; nothing is created yet."""
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+@functools.cache
+def _package_zip() -> str:
+    """This package's sources as a zip file on the driver, named by its content."""
+    root = pathlib.Path(__file__).parent
+    files = sorted(root.rglob("*.py"))
+    digest = hashlib.sha256(b"".join(str(f.relative_to(root)).encode() + f.read_bytes() for f in files)).hexdigest()
+    path = pathlib.Path(tempfile.mkdtemp()) / f"{root.name}_{digest[:12]}.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for f in files:
+            archive.write(f, f.relative_to(root.parent))
+    return str(path)
+
+
+@functools.cache
+def _shipped(context: SparkContext) -> None:
+    context.addPyFile(_package_zip())
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Spark send this package to its Python workers, once per application.
+
+    Workers on other machines need not have it installed.
+    """
+    _shipped(spark.sparkContext)

@@ -1,19 +1,15 @@
 """Keywords from HTML pages."""
 
-import sys
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vacancylens import fixed_values as fixed
 from vacancylens.functions.text import keyword
-
-# The parser travels with the query, so workers need not have this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from vacancylens.session import ship_package
 
 # Elements that have no end tag (fixed list of the HTML standard).
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -102,6 +98,7 @@ def page_keywords(
             identities = pd.Series(ids, dtype=batch[page_id].dtype)
             yield pd.DataFrame({page_id: identities, "_text": pd.Series(texts, dtype=object)})
 
+    ship_package(pages.sparkSession)
     kind = dict(pages.dtypes)[page_id]
     found = candidates.select(page_id, "html").mapInPandas(parse, f"`{page_id}` {kind}, _text string")
     return found.select(page_id, keyword(F.col("_text")).alias("keyword"))
