@@ -4,9 +4,10 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
+from vacancylens.workload.oracles import ORACLES as SQL
+from vacancylens.workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)
