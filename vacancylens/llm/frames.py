@@ -92,3 +92,51 @@ def list_column(parts: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
     if flat.dtype == np.uint64:
         flat = flat.view(np.int64)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, kind))
+
+
+def over_groups(
+    df: DataFrame, keys: list[str], function: Callable[[pa.Table], dict], schema: str, partitions: int | None = None
+) -> DataFrame:
+    """Apply a function to the rows of each key, for groups that are bounded by construction.
+
+    Rows are dealt by the keys and sorted in each task, so groups follow one
+    another in Arrow batches, and only the group at hand is held.
+    """
+    ship_package(df.sparkSession)
+    names = [f.name for f in _fields(df.sparkSession, schema)]
+    types = [_arrow(f) for f in _fields(df.sparkSession, schema)]
+    out = pa.schema(list(zip(names, types, strict=True)))
+
+    def finish(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        columns = function(pa.Table.from_batches(rows))
+        return pa.RecordBatch.from_arrays([_array(columns[n], t) for n, t in zip(names, types, strict=True)], schema=out)
+
+    def groups(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in stream:
+            if not len(batch):
+                continue
+            columns = [batch.column(batch.schema.get_field_index(k)) for k in keys]
+            new = np.zeros(len(batch), bool)
+            for c in columns:
+                values = c.to_numpy(zero_copy_only=False)
+                new[1:] |= values[1:] != values[:-1]
+            first = [c[0].as_py() for c in columns]
+            new[0] = last is not None and first != last
+            lo = 0
+            for cut in [*np.flatnonzero(new).tolist(), None]:
+                if cut is None:
+                    break
+                if cut > lo:
+                    held.append(batch.slice(lo, cut - lo))
+                if held:
+                    yield finish(held)
+                held, lo = [], cut
+            held.append(batch.slice(lo))
+            last = [c[len(batch) - 1].as_py() for c in columns]
+        if held:
+            yield finish(held)
+
+    dealt = df.repartition(*keys) if partitions is None else df.repartition(partitions, *keys)
+    return dealt.sortWithinPartitions(*keys).mapInArrow(groups, schema)

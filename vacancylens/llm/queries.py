@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancylens.llm import language, quality, sampling, toxicity
+from vacancylens.llm import dedup, language, quality, sampling, toxicity
 from vacancylens.llm.frames import table
 from vacancylens.session import configure
 
@@ -32,6 +32,11 @@ def op1_language_id(spark, sf_dir):
     return labels.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query
+def op2_near_dedup(spark, sf_dir):
+    return dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
+
+
 @query
 def op8_host_quality(spark, sf_dir):
     columns = ["doc_id", *quality.COUNTS[:5], "base_failed", "kept", "host_failed"]
