@@ -17,21 +17,40 @@ CHUNK = 4 << 20
 #: Bytes whose 64-bit prefix sums are held at a time.
 BLOCK = 1 << 18
 
-_rng = np.random.default_rng(20240607)
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-#: A random odd number for each byte.
-EXACT = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-#: The same with A-Z like a-z.
-LOWER = EXACT.copy()
-LOWER[ord("A") : ord("Z") + 1] = EXACT[ord("a") : ord("z") + 1]
 
+
+def byte_set(*members: int | str) -> bytes:
+    """A table of flags, 1 for the bytes given as numbers or as characters."""
+    flags = bytearray(256)
+    for m in members:
+        for b in [m] if isinstance(m, int) else m.encode():
+            flags[b] = 1
+    return bytes(flags)
+
+
+def complement(flags: bytes) -> bytes:
+    return bytes(1 - f for f in flags)
+
+
+def mapped(data: np.ndarray, table: bytes) -> np.ndarray:
+    """Each byte's entry of a table of 256."""
+    return np.frombuffer(data.tobytes().translate(table), np.uint8)
+
+
+def flagged(data: np.ndarray, flags: bytes) -> np.ndarray:
+    return mapped(data, flags).view(bool)
+
+
+#: A-Z like a-z, for hashing; None hashes exact bytes.
+LOWER = bytes(range(256)).lower()
 #: Bytes of words that end at white space (0x20, 0x09 to 0x0D).
-NOT_SPACE = np.ones(256, dtype=bool)
-NOT_SPACE[[0x20, *range(0x09, 0x0E)]] = False
+NOT_SPACE = complement(byte_set(0x20, *range(0x09, 0x0E)))
 #: Bytes of words made of letters: ASCII letters and all of longer characters.
-LETTER = np.zeros(256, dtype=bool)
-LETTER[ord("a") : ord("z") + 1] = LETTER[ord("A") : ord("Z") + 1] = LETTER[128:] = True
+_ASCII_LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+ASCII_LETTER = byte_set(_ASCII_LETTERS)
+LETTER = byte_set(_ASCII_LETTERS, *range(128, 256))
 
 _powers: list[np.ndarray] = []
 
@@ -118,59 +137,66 @@ class Words:
         return np.diff(self.first)
 
 
-def _block_end(data: np.ndarray, offsets: np.ndarray, lo: int, solid: np.ndarray) -> int:
-    """Where a block that begins at ``lo`` can end without cutting a word."""
-    hi = lo + BLOCK
-    if hi >= len(data):
-        return len(data)
-    gaps = np.flatnonzero(~solid[data[lo:hi]])
-    if len(gaps):
-        return lo + int(gaps[-1]) + 1
-    while hi < len(data):
-        gaps = np.flatnonzero(~solid[data[hi : hi + BLOCK]])
-        if len(gaps):
-            return hi + int(gaps[0]) + 1
-        hi += BLOCK
-    return len(data)
-
-
-def words(chunk: Texts, symbols: np.ndarray = EXACT, solid: np.ndarray = NOT_SPACE, prefix: int = 0) -> Words:
-    """Maximal runs of ``solid`` bytes, hashed by the ``symbols`` of their bytes.
-
-    Equal words (after folding bytes with equal symbols) have equal hashes;
-    different words have different ones but for chances of 2**-64. With
-    ``prefix``, the first so many bytes of each word are hashed as well.
+def _long_span(data: np.ndarray) -> np.uint64:
+    """Hash of one span that is longer than a block."""
+    power, _ = _power_tables(BLOCK)
+    total = 0
+    for lo in range(0, len(data), BLOCK):
+        part = data[lo : lo + BLOCK]
+        own = int(((part + np.uint64(1)) * power[: len(part)]).sum(dtype=np.uint64))
+        total += own * pow(int(_BASE), lo, 1 << 64)
+    return np.uint64(total & ((1 << 64) - 1))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bytes | None = None) -> np.ndarray:
+    """64-bit hashes of ascending, disjoint spans, after ``fold`` of their bytes.
+
+    Prefix sums over a block of bytes at a time serve all its spans.
+    """
+    power, inverse = _power_tables(BLOCK + 1)
+    if fold is not None:
+        data = mapped(data, fold)
+    out = np.empty(len(starts), np.uint64)
+    sums = np.zeros(BLOCK + 1, np.uint64)
+    k = 0
+    while k < len(starts):
+        lo = int(starts[k])
+        stop = int(np.searchsorted(ends, lo + BLOCK, side="right"))
+        if stop <= k:
+            out[k] = _long_span(data[lo : int(ends[k])])
+            k += 1
+            continue
+        hi = int(ends[stop - 1])
+        values = data[lo:hi].astype(np.uint64)
+        values += np.uint64(1)
+        values *= power[: hi - lo]
+        np.cumsum(values, out=sums[1 : hi - lo + 1])
+        at = starts[k:stop] - lo
+        out[k:stop] = (sums[ends[k:stop] - lo] - sums[at]) * inverse[at]
+        k = stop
+    return mix(out)
+
+
+def words(chunk: Texts, fold: bytes | None = None, solid: bytes = NOT_SPACE, prefix: int = 0) -> Words:
+    """Maximal runs of ``solid`` bytes, hashed after ``fold`` of their bytes.
+
+    Equal words have equal hashes; different words have different ones but for
+    chances of 2**-64. With ``prefix``, the first so many bytes of each word are
+    hashed as well.
     """
     data, offsets = chunk.data, chunk.offsets
-    found: list[tuple[np.ndarray, ...]] = []
-    lo = 0
-    while lo < len(data):
-        hi = _block_end(data, offsets, lo, solid)
-        block = data[lo:hi]
-        inside = solid[block]
-        heads = offsets[np.searchsorted(offsets, lo) : np.searchsorted(offsets, hi)] - lo
-        before = np.empty(len(block), dtype=bool)
-        before[0] = False
-        before[1:] = inside[:-1]
-        before[heads] = False
-        after = np.empty(len(block), dtype=bool)
-        after[-1] = False
-        after[:-1] = inside[1:]
-        after[heads[heads > 0] - 1] = False
-        starts = np.flatnonzero(inside & ~before)
-        ends = np.flatnonzero(inside & ~after) + 1
-        power, inverse = _power_tables(len(block) + 1)
-        sums = np.zeros(len(block) + 1, dtype=np.uint64)
-        np.cumsum(symbols[block] * power[: len(block)], out=sums[1:])
-        cuts = (ends, np.minimum(ends, starts + prefix)) if prefix else (ends,)
-        hashes = ((sums[cut] - sums[starts]) * inverse[starts] for cut in cuts)
-        found.append((starts + lo, ends + lo, *hashes))
-        lo = hi
-    if not found:
-        found.append((np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2)
-    starts, ends, *hashes = (np.concatenate(x) for x in zip(*found, strict=True))
+    inside = flagged(data, solid)
+    heads = offsets[:-1][offsets[:-1] < len(data)]
+    fresh = np.ones(len(data) + 1, dtype=bool)  # no word goes on here from the byte before
+    np.logical_not(inside[:-1], out=fresh[1:-1])
+    fresh[heads] = True
+    starts = np.flatnonzero(inside & fresh[:-1])
+    fresh[:-1] |= ~inside
+    ends = np.flatnonzero(inside & fresh[1:]) + 1
     first = np.searchsorted(starts, offsets)
-    return Words(starts, ends, mix(hashes[0]), first, mix(hashes[1]) if prefix else None)
+    hashes = span_hashes(data, starts, ends, fold)
+    prefixes = span_hashes(data, starts, np.minimum(ends, starts + prefix), fold) if prefix else None
+    return Words(starts, ends, hashes, first, prefixes)
 
 
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)

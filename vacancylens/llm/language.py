@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vacancylens.llm.arrays import LETTER, Texts
+from vacancylens.llm.arrays import LETTER, LOWER, Texts, mapped
 from vacancylens.llm.frames import over_texts
 from vacancylens.llm.sampling import bounded_by_label
 
@@ -41,9 +41,7 @@ EXCERPT = 60
 UNKNOWN = "und"
 
 _EDGE = 0x20
-_FOLD = np.full(256, _EDGE, np.uint8)
-_FOLD[LETTER] = np.arange(256, dtype=np.uint8)[LETTER]
-_FOLD[ord("A") : ord("Z") + 1] = np.arange(ord("a"), ord("z") + 1)
+_FOLD = bytes(LOWER[b] if LETTER[b] else _EDGE for b in range(256))
 #: For each place in a subword a random bucket for each byte; xor joins them.
 _TABLES = np.random.default_rng(99).integers(0, BUCKETS, (max(SIZES), 256), dtype=np.uint16)
 
@@ -54,7 +52,7 @@ def subwords(chunk: Texts) -> list[np.ndarray]:
     An edge may be a subword's first or last symbol only, and no subword
     reaches from one text into the next.
     """
-    data = _FOLD[chunk.data]
+    data = mapped(chunk.data, _FOLD)
     n = len(data)
     edge = data == _EDGE
     left = np.full(n, max(SIZES) + 1, np.int8)  # bytes to the end of the text, as far as needed

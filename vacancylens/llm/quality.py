@@ -20,18 +20,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vacancylens.llm.arrays import LETTER, NOT_SPACE, Texts, windows, words
+from vacancylens.llm.arrays import LETTER, NOT_SPACE, Texts, byte_set, complement, flagged, windows, words
 from vacancylens.llm.frames import over_texts, small_side, stored
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 COUNTS = "n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_letters".split(", ")
 
-_IS_SYMBOL = np.zeros(256, dtype=bool)
-_IS_SYMBOL[[ord(c) for c in SYMBOLS]] = True
-_IN_LINE = np.ones(256, dtype=bool)
-_IN_LINE[ord("\n")] = False
-_FIRST_BYTE = (np.arange(256) & 0xC0) != 0x80
+_IS_SYMBOL = byte_set(SYMBOLS)
+_IN_LINE = complement(byte_set("\n"))
+_LATER_BYTE = byte_set(*range(0x80, 0xC0))
 
 
 def _per_text(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -69,15 +67,15 @@ def count_chunk(chunk: Texts) -> dict[str, np.ndarray]:
         n_lines[row] = len(own)
         dup[row] = len(own) - len(np.unique(own)) if len(own) > 1 else 0
         repeated[row] = _repeated_words(found.hashes[found.first[row] : found.first[row + 1]])
-    head = _FIRST_BYTE[data]
+    head = ~flagged(data, _LATER_BYTE)
     return {
         "n_words": found.counts,
-        "word_chars": _per_text(NOT_SPACE[data] & head, offsets),
-        "n_symbols": _per_text(_IS_SYMBOL[data], offsets),
+        "word_chars": _per_text(flagged(data, NOT_SPACE) & head, offsets),
+        "n_symbols": _per_text(flagged(data, _IS_SYMBOL), offsets),
         "n_dup_lines": dup,
         "n_repeat_words": repeated,
         "n_lines": n_lines,
-        "n_letters": _per_text(LETTER[data] & head, offsets),
+        "n_letters": _per_text(flagged(data, LETTER) & head, offsets),
     }
 
 

@@ -2,12 +2,13 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from vacancylens.llm import dedup, language, quality, sampling, toxicity
+from vacancylens.llm import dedup, language, packing, quality, sampling, toxicity, wavelet
 from vacancylens.llm.frames import table
-from vacancylens.session import configure
+from vacancylens.llm.tokens import TokenizerFile
+from vacancylens.session import configure, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,6 +38,20 @@ def op2_near_dedup(spark, sf_dir):
     return dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
 
 
+@query
+def op4_best_fit_packing(spark, sf_dir):
+    file = TokenizerFile(public_tokenizers.path("word_bpe_49k.json"), "word")
+    return packing.pack_documents(table(spark, sf_dir, "documents"), file, end_id=1, capacity=4096)
+
+
+@query
+def op7_wavelet_shards(spark, sf_dir):
+    file = TokenizerFile(public_tokenizers.path("byte_bpe_50k.json"), "byte")
+    path = new_folder(spark, "shards")
+    wavelet.write_shards(table(spark, sf_dir, "documents"), path, file, end_id=0)
+    return wavelet.documents(wavelet.read_shards(spark, path))
+
+
 @query
 def op8_host_quality(spark, sf_dir):
     columns = ["doc_id", *quality.COUNTS[:5], "base_failed", "kept", "host_failed"]
