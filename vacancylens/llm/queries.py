@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vacancylens.llm import dedup, language, packing, quality, sampling, toxicity, wavelet
+from vacancylens.llm import decontam, dedup, language, packing, quality, sampling, toxicity, wavelet
 from vacancylens.llm.frames import table
 from vacancylens.llm.tokens import TokenizerFile
 from vacancylens.session import configure, new_folder
@@ -44,6 +44,11 @@ def op4_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), file, end_id=1, capacity=4096)
 
 
+@query
+def op5_spaced_seeds(spark, sf_dir):
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op7_wavelet_shards(spark, sf_dir):
     file = TokenizerFile(public_tokenizers.path("byte_bpe_50k.json"), "byte")
