@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vacancylens.llm import decontam, dedup, language, packing, quality, sampling, toxicity, wavelet
+from vacancylens.llm import decontam, dedup, language, packing, pii, quality, sampling, toxicity, wavelet
 from vacancylens.llm.frames import table
 from vacancylens.llm.tokens import TokenizerFile
 from vacancylens.session import configure, new_folder
@@ -63,6 +63,16 @@ def op8_host_quality(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents")).select(*columns)
 
 
+#: Stands for the deployment's secret; the surrogates depend on it.
+SURROGATE_KEY = b"registered query"
+
+
+@query
+def op9_surrogates(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace(docs, SURROGATE_KEY)
+
+
 @query
 def op10_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
