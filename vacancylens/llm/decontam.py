@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vacancylens.llm.arrays import LETTER, LOWER, Texts, byte_set, mix, words
-from vacancylens.llm.frames import list_column, over_texts, small_side, stored
+from vacancylens.llm.frames import list_column, over_texts, small_side, stored, without
 
 #: Spaced masks of ten places, and a plain one for the shortest items.
 MASKS = ("1101001011", "1011100101", "1100110101", "11111111")
@@ -183,5 +183,4 @@ def contaminated(
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a passage of the benchmark."""
-    bad = stored(contaminated(docs, benchmark).select("doc_id").distinct(), "contaminated")
-    return docs.join(small_side(bad, bad.count()), "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, contaminated(docs, benchmark).select("doc_id"))

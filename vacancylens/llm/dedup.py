@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from vacancylens.llm.arrays import LOWER, Texts, mix, shingle_sets, texts, words
 from vacancylens.llm.components import connected_components
-from vacancylens.llm.frames import list_column, over_groups, over_texts, small_side, stored
+from vacancylens.llm.frames import list_column, over_groups, over_texts, small_side, stored, without
 
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
@@ -318,6 +318,5 @@ def _across(pairs: DataFrame, components: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without the rows that aren't the least of their component."""
-    dropped = near_duplicates(docs, shingle_words, percent).filter(~F.col("kept")).select("doc_id").distinct()
-    dropped = stored(dropped, "dropped")
-    return docs.join(small_side(dropped, dropped.count()), "doc_id", "left_anti").select(*docs.columns)
+    gone = near_duplicates(docs, shingle_words, percent).filter(~F.col("kept")).select("doc_id")
+    return without(docs, gone)

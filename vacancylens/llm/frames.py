@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -34,6 +34,29 @@ def small_side(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df.hint("merge")
 
 
+def split_off_text(docs: DataFrame, text_col: str) -> DataFrame:
+    """``_rest`` (all other columns as one struct, by place) and ``_text``."""
+    rest = [F.col(_quoted(c)).alias(f"c{k}") for k, c in enumerate(docs.columns) if c != text_col]
+    return docs.select(F.struct(*rest, F.lit(0).alias("end")).alias("_rest"), F.col(_quoted(text_col)).alias("_text"))
+
+
+def joined_with_text(columns: list[str], text_col: str) -> list[Column]:
+    """The columns that :func:`split_off_text` took apart."""
+    return [
+        (F.col("_text") if c == text_col else F.col("_rest").getField(f"c{k}")).alias(c) for k, c in enumerate(columns)
+    ]
+
+
+def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows of some ids (a table of one column)."""
+    ids = stored(ids.toDF("_gone").distinct(), "gone")
+    return docs.join(small_side(ids, ids.count()), docs[_quoted(id_col)] == ids["_gone"], "left_anti")
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def over_texts(
     df: DataFrame,
     function: Callable[[Texts, pa.RecordBatch], dict | Iterator[dict]],

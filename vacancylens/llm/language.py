@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vacancylens.llm.arrays import LETTER, LOWER, Texts, mapped
-from vacancylens.llm.frames import over_texts
+from vacancylens.llm.frames import joined_with_text, over_texts, split_off_text
 from vacancylens.llm.sampling import bounded_by_label
 
 BUCKETS = 1 << 15
@@ -211,3 +211,20 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
         return {"doc_id": rows.column(0), "lang_pred": names, "score": score, "rejected": ~has_letter | (score < model.least)}
 
     return over_texts(narrow, label, "doc_id long, lang_pred string, score double, rejected boolean")
+
+
+def keep_known(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that :func:`predict` rejects."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    parts = split_off_text(docs, text_col)
+    rows = parts.filter(F.col("_text").rlike(r"\p{L}"))
+
+    def known(chunk: Texts, rows: pa.RecordBatch) -> dict:
+        model = shared.value
+        if not model.languages:
+            keep = np.zeros(len(chunk), bool)
+        else:
+            keep = model.probabilities(model.logits(chunk)).max(axis=1) >= model.least
+        return {name: rows.column(name).filter(pa.array(keep)) for name in ("_rest", "_text")}
+
+    return over_texts(rows, known, rows.schema, column="_text").select(*joined_with_text(docs.columns, text_col))

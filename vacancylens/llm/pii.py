@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vacancylens.llm.arrays import Texts
-from vacancylens.llm.frames import over_texts, stored
+from vacancylens.llm.frames import joined_with_text, over_texts, split_off_text, stored
 
 #: Forms of address (fixed values), by the gender of the name that follows.
 MALE_FORMS = "Mr Sir Herr Herrn Monsieur Señor Sr Don Signor господин пан κύριος".split()
@@ -252,8 +252,8 @@ def draw_again(values: DataFrame, key: bytes) -> DataFrame:
     raise RuntimeError("a kind of value has more values than surrogates")
 
 
-def replace(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
-    """``docs`` with surrogates in its texts, and ``n_replaced`` after its columns."""
+def replace(docs: DataFrame, key: bytes, text_col: str = "text", count_col: str | None = "n_replaced") -> DataFrame:
+    """``docs`` with surrogates in its texts; how many is in a column after its own."""
     columns = docs.columns
     text_key = F.xxhash64(F.col(text_col))
     found = stored(values_of(docs.select(text_key.alias("text_key"), F.col(text_col).alias("text"))), "values")
@@ -266,12 +266,7 @@ def replace(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
     by_text = stored(by_text, "again_by_text")
     n = by_text.count()
     hinted = F.broadcast(by_text) if n <= BROADCAST_DOCS else by_text.hint("merge")
-    # Own columns have names that no table has; the others go through as one struct.
-    rows = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in columns if c != text_col), F.lit(0).alias("_")).alias("_rest"),
-        F.col(text_col).alias("_text"),
-        text_key.alias("text_key"),
-    )
+    rows = split_off_text(docs, text_col).withColumn("text_key", F.xxhash64("_text"))
     rows = rows.join(hinted, "text_key", "left").select("_rest", "_text", "again")
 
     def change(chunk: Texts, batch: pa.RecordBatch) -> dict:
@@ -291,5 +286,5 @@ def replace(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
 
     out_schema = rows.select("_rest", "_text", F.lit(0).cast("int").alias("n_replaced")).schema
     changed = over_texts(rows, change, out_schema, column="_text")
-    back = [F.col("_text").alias(c) if c == text_col else F.col("_rest").getField(c).alias(c) for c in columns]
-    return changed.select(*back, "n_replaced")
+    counted = [] if count_col is None else [F.col("n_replaced").alias(count_col)]
+    return changed.select(*joined_with_text(columns, text_col), *counted)

@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vacancylens.llm import decontam, dedup, language, packing, pii, quality, sampling, toxicity, wavelet
+from vacancylens.llm import decontam, dedup, language, licenses, packing, pii, quality, quotes, sampling, toxicity, wavelet
 from vacancylens.llm.frames import table
 from vacancylens.llm.tokens import TokenizerFile
 from vacancylens.session import configure, new_folder
@@ -38,6 +38,11 @@ def op2_near_dedup(spark, sf_dir):
     return dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
 
 
+@query
+def op3_license_sentences(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_best_fit_packing(spark, sf_dir):
     file = TokenizerFile(public_tokenizers.path("word_bpe_49k.json"), "word")
@@ -49,6 +54,11 @@ def op5_spaced_seeds(spark, sf_dir):
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op6_quote_threads(spark, sf_dir):
+    return quotes.linked_conversations(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op7_wavelet_shards(spark, sf_dir):
     file = TokenizerFile(public_tokenizers.path("byte_bpe_50k.json"), "byte")
