@@ -88,8 +88,8 @@ def op10_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = sampling.id_remainder("doc_id", 4) == 2
     known = docs.filter(~held_out)
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    model = toxicity.train(known.join(labels, "doc_id"), language.train(known))
+    labels = table(spark, sf_dir, "labels").filter(~held_out)
+    model = toxicity.train(known, labels, language.train(known))
     scores = toxicity.score(docs.select("doc_id", "text"), model)
     return scores.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
