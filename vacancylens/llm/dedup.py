@@ -222,11 +222,10 @@ def near_duplicates(
         .select(*whole, F.col("least.doc_id").alias("rep"), "least.sig", "least.bands"),
         "classes",
     )
-    members = _members(classes)
-    components = _link(narrow, classes, members, shingle_words, percent)
+    own = stored(signed.select("doc_id", *whole).join(classes.select(*whole, "rep"), whole, "left"), "own")
+    components = _link(narrow, classes, _one_id(own), shingle_words, percent)
 
-    own_class = classes.select(*whole, "rep")
-    placed = _with_component(signed.select("doc_id", *whole).join(own_class, whole, "left"), components)
+    placed = _with_component(own, components)
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
     return placed.select(
         "doc_id",
@@ -236,6 +235,12 @@ def near_duplicates(
     )
 
 
+def _one_id(own: DataFrame) -> DataFrame:
+    """Links (a, b) of classes that have a document, by its id, in common."""
+    shared = own.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("last")).filter("b < last")
+    return own.join(shared, "doc_id").filter("rep > b").select(F.col("rep").alias("a"), "b").distinct()
+
+
 def _members(classes: DataFrame) -> DataFrame:
     """``(key, band, rep, pivot, size)`` of buckets with two classes or more."""
     keyed = classes.select("rep", F.posexplode("bands").alias("band", "key"))
@@ -244,8 +249,9 @@ def _members(classes: DataFrame) -> DataFrame:
     return stored(keyed.join(small_side(heads, heads.count()), "key"), "members")
 
 
-def _link(docs: DataFrame, classes: DataFrame, members: DataFrame, k: int, percent: int) -> DataFrame:
-    """``(node, component)`` of the classes that are linked with others."""
+def _link(docs: DataFrame, classes: DataFrame, given: DataFrame, k: int, percent: int) -> DataFrame:
+    """``(node, component)`` of the classes that are linked with others, ``given`` links included."""
+    members = _members(classes)
     signature = classes.select("rep", "n", "sig")
     stars = members.filter("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
     sides = (
@@ -257,10 +263,8 @@ def _link(docs: DataFrame, classes: DataFrame, members: DataFrame, k: int, perce
     likely = sides.mapInArrow(_count_matches, "a long, b long, matches int").filter(F.col("matches") >= least_matches(percent))
     likely = stored(likely, "likely")
 
-    # Rows with one id and different texts.
-    twice = classes.groupBy("rep").count().filter("count > 1").select(F.col("rep").alias("a"), F.col("rep").alias("b"))
     best = likely.groupBy("a").agg(F.max(F.struct("matches", "b")).alias("best")).select("a", "best.b")
-    links = stored(_confirm(docs, best, k, percent).unionByName(twice), "links")
+    links = stored(_confirm(docs, best, k, percent).unionByName(given), "links")
     components = connected_components(links)
 
     tried = _across(likely.select("a", "b").join(best, ["a", "b"], "left_anti"), components)

@@ -1,6 +1,6 @@
 """Licence recognition by sentences and rules.
 
-A text is cut into sentences (at full stops and the like, and at line ends; lines
+A text is cut into sentences (at full stops and the like and at line ends; lines
 that wrap a sentence are joined again). A sentence in its one form (lower case,
 words only) is looked up among known licence sentences, which gives an identifier
 and perhaps a version. The identifiers of a text, in order, are matched against
@@ -89,10 +89,15 @@ RULES = (
 
 #: Every known sentence has one of these words, so texts without any need no cutting.
 _HINT = re.compile(rb"(?i)licen[sc]|permission|redistribution|apache|free software|in no event|as is|general public|hope that|public domain|rights reserved|mozilla|mpl|unless required|neither the name")
-_CUT = re.compile(r"(?<=[.!?;:])[^\w\s]*(?:\s+|$)|\n+")
+_CUT = re.compile(r"(?<=[.!?])[^\w\s]*(?:\s+|$)|\n+")
 _WORD = re.compile(r"[^\W_]+")
 _KNOWN = [(name, re.compile(pattern)) for name, pattern in SENTENCES]
 _FIRST = re.compile("|".join(f"(?:{pattern.replace('(?P<v>', '(?:').replace('(?P<k>', '(?:')})" for _, pattern in SENTENCES))
+#: Words that known sentences begin with; a number may stand before a condition.
+_BEGIN = frozenset(
+    "this the licensed released distributed apache mit you unless see permission in redistribution redistributions "
+    "neither if copyright all".split()
+)
 #: Lines that one sentence may be wrapped over.
 MOST_LINES = 16
 
@@ -102,7 +107,7 @@ def one_form(sentence: str) -> str:
 
 
 def _ended(part: str) -> bool:
-    return part.rstrip().rstrip("\"')]}*#$%&").endswith((".", "!", "?", ";", ":"))
+    return part.rstrip().rstrip("\"')]}*#$%&").endswith((".", "!", "?"))
 
 
 def identify(form: str) -> tuple[str, str, str] | None:
@@ -121,10 +126,13 @@ def identify(form: str) -> tuple[str, str, str] | None:
 def sentences(text: str) -> list[tuple[str, str, str]]:
     """Identifiers (with version and kind) of the known sentences, in order."""
     parts = [p for p in _CUT.split(text) if p and not p.isspace()]
-    # Only parts near a hint can begin or continue a licence sentence.
     forms = [one_form(p) for p in parts]
     found, k = [], 0
     while k < len(parts):
+        first = forms[k].partition(" ")[0]
+        if first not in _BEGIN and not first.isdigit():
+            k += 1
+            continue
         hit, used = identify(forms[k]), 1
         joined = forms[k]
         n = k

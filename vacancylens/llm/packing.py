@@ -37,6 +37,8 @@ OPEN_PART = 1 / 128
 TARGETS = 24
 #: Documents of a bin that are looked at for exchanges of two.
 PAIRED = 48
+#: Pairs of bins that a block's search looks at; all rows are packed whenever it ends.
+MOST_LOOKS = 20_000
 MOST_LEVELS = 6
 
 
@@ -107,7 +109,8 @@ def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[l
     live = [b for b in range(len(bins)) if fill[b] < capacity]
     stuck: set[int] = set()
     count = len(bins)
-    while count > least:
+    looks = 0
+    while count > least and looks < MOST_LOOKS:
         donors = [b for b in live if bins[b] and b not in stuck]
         if not donors:
             break
@@ -117,6 +120,7 @@ def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[l
         changed = False
         for target in others[:TARGETS]:
             while bins[donor]:
+                looks += 1
                 found = _exchange(bins[donor], bins[target], capacity - fill[target], size)
                 if found is None:
                     break
@@ -130,7 +134,9 @@ def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[l
                 break
         if not bins[donor]:
             count -= 1
-        elif not changed:
+        if changed:
+            stuck.clear()
+        else:
             stuck.add(donor)
         live = [b for b in live if bins[b] and fill[b] < capacity]
     return [b for b in bins if b]

@@ -142,5 +142,72 @@ WITH texts AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT host_failed AS kept, host_failed
 FROM judged JOIN verdicts ON judged.host IS NOT DISTINCT FROM verdicts.host
+""",
+    "op6_quote_threads": r"""
+WITH RECURSIVE messages AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
+), numbered AS (
+  SELECT *, regexp_matches(text, '(?m)^[ \t]*(?:>[ \t]?)+') AS quotes,
+    string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)) AS lines
+  FROM messages
+), owned AS (
+  SELECT *, CASE WHEN quotes THEN regexp_replace(regexp_replace(array_to_string(
+      list_filter(lines, lambda x: NOT regexp_matches(x, '^[ \t]*>')
+        AND NOT regexp_matches(x, '(?i)^.{1,200}\b(?:wrote|writes|said|schrieb|a écrit|escribió)[ \t]*:[ \t]*$')),
+      chr(10)), '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') ELSE text END AS own
+  FROM numbered
+), placed AS (
+  SELECT DISTINCT conv_id, turn, text, lines, quotes, own FROM owned WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+), split_lines AS (
+  SELECT conv_id, turn, text, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM placed WHERE quotes
+), levelled AS (
+  SELECT *, length(regexp_replace(regexp_extract(line, '^[ \t]*(?:>[ \t]?)+', 0), '[^>]', '', 'g')) AS level
+  FROM split_lines
+), turned AS (
+  SELECT *, (level <> lag(level, 1, -1) OVER (PARTITION BY conv_id, turn, text ORDER BY pos))::INT AS new FROM levelled
+), parted AS (
+  SELECT *, sum(new) OVER (PARTITION BY conv_id, turn, text ORDER BY pos) AS part FROM turned
+), passages AS (
+  SELECT conv_id, turn, level, part,
+    list_filter(list(trim(regexp_replace(lower(regexp_replace(line, '^[ \t]*(?:>[ \t]?)+', '')), '\s+', ' ', 'g'))
+      ORDER BY pos), lambda x: x <> '') AS bodies
+  FROM parted WHERE level > 0 GROUP BY conv_id, turn, text, level, part
+), kept AS (
+  SELECT conv_id, turn, level, part, array_to_string(bodies, ' ') AS form, bodies[1] AS first_form
+  FROM passages WHERE len(bodies) > 0
+), units AS (
+  SELECT conv_id, turn, unnest(list_distinct(list_filter(list_transform(
+      list_concat([own], regexp_split_to_array(own, '\n\s*\n'),
+        string_split(regexp_replace(own, '\r\n?', chr(10), 'g'), chr(10))),
+      lambda x: trim(regexp_replace(lower(x), '\s+', ' ', 'g'))), lambda x: x <> ''))) AS form
+  FROM placed
+), originals AS (
+  SELECT conv_id, form, min(turn) AS source FROM units GROUP BY conv_id, form
+), tried AS (
+  SELECT conv_id, turn, level, part, 1 AS rank, form FROM kept
+  UNION ALL SELECT conv_id, turn, level, part, 2, first_form FROM kept
+), links AS (
+  SELECT conv_id, turn, level, part, arg_min(source, rank * 1000000000 + source) AS source
+  FROM tried JOIN originals USING (conv_id, form) WHERE source < turn GROUP BY conv_id, turn, level, part
+), parents AS (
+  SELECT conv_id, turn, count(*) AS n_linked,
+    first(source ORDER BY level, part, source) AS parent
+  FROM links GROUP BY conv_id, turn
+), chain(conv_id, turn, thread) AS (
+  SELECT conv_id, turn, parent FROM parents
+  UNION ALL
+  SELECT c.conv_id, c.turn, p.parent FROM chain c JOIN parents p ON p.conv_id = c.conv_id AND p.turn = c.thread
+), threads AS (
+  SELECT conv_id, turn, min(thread) AS thread FROM chain GROUP BY conv_id, turn
+), counted AS (
+  SELECT conv_id, turn, count(*) AS n_passages FROM kept GROUP BY conv_id, turn
+)
+SELECT o.conv_id, coalesce(t.thread, o.turn) AS thread, o.turn, p.parent, o.role, o.own AS text,
+  '<|' || o.role || '|>' || chr(10) || o.own || chr(10) || '<|end|>' || chr(10) AS formatted,
+  coalesce(c.n_passages, 0) AS n_passages, coalesce(p.n_linked, 0) AS n_linked
+FROM owned o
+LEFT JOIN parents p ON p.conv_id = o.conv_id AND p.turn = o.turn
+LEFT JOIN threads t ON t.conv_id = o.conv_id AND t.turn = o.turn
+LEFT JOIN counted c ON c.conv_id = o.conv_id AND c.turn = o.turn
 """,
 }
