@@ -21,6 +21,17 @@ def test_good_table_is_coerced(spark):
     assert contracts.require(salaries(spark, GOOD), contracts.SALARIES).first().salary_min == 1.0
 
 
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    assert broken(salaries(spark, GOOD, ("b", "B2B", "NaN", nan, nan)), contracts.SALARIES) == {
+        ("salary_max", "not_null"): 1,
+        ("salary_mean", "not_null"): 1,
+        ("salary_min", "not_null"): 1,
+    }
+    places = spark.createDataFrame([("a", "x", nan, 5.0)], "id string, city string, lat double, lon double")
+    assert broken(places, contracts.LOCATIONS) == {("lat", "not_null"): 1}
+
+
 def test_every_rule_reports(spark):
     df = salaries(spark, GOOD, ("a", None, "-1", -2.0, 1.0), ("b", "B2B", "x", None, 0.0))
     assert broken(df, contracts.SALARIES) == {

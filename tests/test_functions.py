@@ -97,6 +97,12 @@ def test_magnitude_bin_keeps_order(spark):
     assert apply(spark, [-1.0, 1.0], numbers.magnitude_bin, "double") == [-bins[values.index(1.0)], bins[values.index(1.0)]]
 
 
+def test_times_need_a_full_date(spark):
+    texts = ["2021", "2021-12", "2021-12-01", "2021-12-01T08:30:05", "2021-12-01 25:00:00", "12:30", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "v string").select(times.parse_iso(F.col("v")).alias("t"))
+    assert [r.t is not None for r in df.collect()] == [False, False, True, True, False, False, False, False]
+
+
 def test_snapshot_key_and_times(spark):
     df = spark.createDataFrame([("2021-12-01 08:30:05",)], "v string").select(times.parse_iso(F.col("v")).alias("t"))
     row = df.select(

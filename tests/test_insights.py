@@ -39,7 +39,7 @@ def top(counter, n):
 
 
 def test_registry_holds_twelve_insights(docs):
-    assert len(insights.INSIGHTS) == 12
+    assert len(insights.INSIGHTS) == 15
     results = insights.all_insights(docs[1])
     assert all(df.count() > 0 for df in results.values())
     with pytest.raises(ValueError):

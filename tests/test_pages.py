@@ -1,3 +1,5 @@
+import pytest
+
 from vacancylens.sources import pages
 
 HTML = """<html><body><button class="btn">Outside</button>
@@ -32,6 +34,14 @@ def test_flat_and_nested_agree_on_flat_markup(spark):
     assert flat == sorted(map(tuple, pages.page_keywords(df, "ad", None).collect())) == [(0, "one"), (0, "two")]
 
 
+def test_flat_form_takes_all_quotings_and_refuses_markup(spark):
+    df = frame(spark, "<DIV class='x c.'>a</DIV><div class=c.>b</div><div class=\"cx\">no</div><divx class='c.'>no</divx>")
+    assert [r.keyword for r in pages.flat_keywords(df, "c.").collect()] == ["a", "b"]
+    for html in ('<div class="ad">x <b>y</b></div>', '<div class="ad">a &amp; b</div>'):
+        with pytest.raises(Exception, match="not plain text"):
+            pages.flat_keywords(frame(spark, html), "ad").collect()
+
+
 def test_unclosed_elements(spark):
     df = frame(spark, '<div id="posting-requirements"><p><span class="btn">A</div><span class="btn">B</span>')
     assert [r.keyword for r in pages.page_keywords(df).collect()] == ["a"]

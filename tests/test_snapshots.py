@@ -85,11 +85,12 @@ def test_whole_files_and_lines(spark, tmp_path):
     assert snapshots.extract(snapshots.read_archive(spark, str(tmp_path / "l"), lines=True))[1].count() == 2
 
 
-def test_lake_replaces_one_key_only(spark, tmp_path):
+def test_lake_keeps_every_document_and_reads_the_last_of_a_key(spark, tmp_path):
     path = str(tmp_path / "lake")
     pipeline.archive(payloads(spark, one("A", "2021-12-01 08:30:05"), one("B", "2021-12-02 08:30:05")), path)
-    pipeline.archive(payloads(spark, one("C", "2021-12-01 08:30:05")), path)
-    assert lake.read_lake(spark, path).count() == 2
+    for _ in range(2):
+        pipeline.archive(payloads(spark, one("C", "2021-12-01 08:30:05")), path)
+    assert lake.read_lake(spark, path).count() == 3
     stored = lake.load_archived(spark, path, "1638347405_nofluffjobs")
     assert json.loads(stored.first().payload)["raw_data"]["postings"][0]["id"] == "C"
     assert stored.first().key == "1638347405_nofluffjobs"
@@ -105,6 +106,32 @@ def test_lake_last_file_of_a_batch_wins(spark, tmp_path):
     pipeline.archive(payloads(spark, one("A", same), one("B", same)), path)
     stored = lake.load_archived(spark, path, "1638347405_nofluffjobs").collect()
     assert len(stored) == 1 and '"B"' in stored[0].payload
+    assert lake.read_lake(spark, path).count() == 2
+
+
+@pytest.mark.parametrize("with_lake", [True, False])
+def test_one_document_of_a_key_is_served(spark, tmp_path, with_lake):
+    path, store = str(tmp_path / "wh"), str(tmp_path / "lake") if with_lake else None
+    same = "2021-12-01 08:30:05"
+    both = payloads(spark, one("A", same), one("B", same))
+    pipeline.run_pipeline(spark, both, gazetteer(spark), path, store, relational=False, insights=False)
+    metadata, documents = warehouse.read_documents(spark, path)
+    assert metadata.count() == 1 and [r.id for r in documents.collect()] == ["B"]
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_responses_of_one_second_are_all_archived(spark, tmp_path, files):
+    landing, path, store, mark = (str(tmp_path / n) for n in ("in", "wh", "lake", "mark"))
+    raw = [json.dumps(json.loads(one(i, "2021-12-01 08:30:05"))["raw_data"]) for i in "ABC"]
+    for n in range(files):
+        land(landing, f"{n}.json", "\n".join(raw if files == 1 else [raw[n]]))
+        os.utime(os.path.join(landing, f"{n}.json"), (1638347405, 1638347405))
+    ingest_new_snapshots(
+        spark, landing, gazetteer(spark), path, store, mark, lines=True, raw=True, relational=False, insights=False
+    ).awaitTermination()
+    kept = snapshots.extract(lake.read_lake(spark, store).select("payload"))[1]
+    assert sorted(r.id for r in kept.collect()) == ["A", "B", "C"]
+    assert warehouse.read_documents(spark, path)[1].count() == 1
 
 
 GOOD = [p for p in POSTINGS if p["id"] in ("MOCK", "DUP", "NODE", "REACT", "FOREIGN", "NOPLACE")]
@@ -127,12 +154,13 @@ def test_pipeline_serves_the_newest(spark, tmp_path):
     assert {t: df.count() for t, df in served.items()} == {"postings": 6, "salaries": 6, "locations": 13, "seniorities": 12}
     assert dict(served["postings"].dtypes)["posted"] == "timestamp"
 
-    pipeline.write_insights(spark, path)
     assert warehouse.read_served(spark, path, "insight_remote_share").count() == 2
-    # Replay of the archived old snapshot writes its tables; the newest stays served.
+    assert warehouse.read_served(spark, path, "insight_category_technology_nodes").columns == ["node_id", "label"]
+    # Replay of the archived old snapshot takes effect, insights included.
     pipeline.replay(spark, store, "1577836800_nofluffjobs", known, path)
-    assert warehouse.served_snapshot(spark, path)[1] == key
-    assert warehouse.read_written(spark, path, "1577836800_nofluffjobs", "documents").first().id == "OLD"
+    assert warehouse.served_snapshot(spark, path).key == "1577836800_nofluffjobs"
+    assert [r.id for r in warehouse.read_documents(spark, path)[1].collect()] == ["OLD"]
+    assert warehouse.read_served(spark, path, "insight_remote_share").count() == 1
 
 
 def test_large_gazetteer_is_cut_to_the_places_in_use(spark, tmp_path, monkeypatch):
@@ -162,6 +190,11 @@ def test_failed_run_leaves_the_served_tables(spark, tmp_path):
     with pytest.raises(Exception, match="salary_mean"):
         pipeline.run_pipeline(spark, payloads(spark, broken), known, path)
     assert warehouse.read_documents(spark, path)[1].count() == 6
+    # The same holds for a corrected document of the served key.
+    again = envelope([posting("X", salary={"from": None, "to": None, "type": "b2b", "currency": "PLN"})])
+    with pytest.raises(Exception, match="salary_mean"):
+        pipeline.run_pipeline(spark, payloads(spark, again), known, path)
+    assert {r.id for r in warehouse.read_documents(spark, path)[1].collect()} == {p["id"] for p in GOOD}
 
 
 def test_streaming_ingests_each_file_once(spark, tmp_path):

@@ -7,7 +7,8 @@ ENVELOPE_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def parse_iso(text: Column) -> Column:
-    return F.try_to_timestamp(text)
+    """A timestamp from ISO text; a text without a full date is NULL."""
+    return F.when(text.rlike(r"^\s*\d{4}-\d{2}-\d{2}(?:[ T].*)?$"), F.try_to_timestamp(text))
 
 
 def format_iso(moment: Column) -> Column:

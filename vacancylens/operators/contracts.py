@@ -67,8 +67,8 @@ SENIORITIES = Contract("seniorities", (Rule("id", "string"), Rule("seniority", "
 
 def _coerced(df: DataFrame, rule: Rule) -> Column:
     """The column in the contract's type; what cannot be converted is NULL."""
-    column = F.col(rule.name)
     have = dict(df.dtypes)[rule.name]
+    column = _present(F.col(rule.name), have, rule.dtype)
     if have == rule.dtype:
         return column
     if rule.dtype == "timestamp" and have in ("bigint", "int"):
@@ -76,6 +76,15 @@ def _coerced(df: DataFrame, rule: Rule) -> Column:
     return column.try_cast(rule.dtype)
 
 
+def _present(column: Column, dtype: str, wanted: str) -> Column:
+    """NaN, as a number or as text for one, is missing, as it is in the tables' source."""
+    if dtype in ("double", "float"):
+        return F.when(~F.isnan(column), column)
+    if dtype == "string" and wanted == "double":
+        return F.when(~F.coalesce(F.isnan(column.try_cast("double")), F.lit(False)), column)
+    return column
+
+
 def _check_schema(df: DataFrame, contract: Contract) -> None:
     have = dict(df.dtypes)
     absent = [r.name for r in contract.rules if r.name not in have]
@@ -94,11 +103,13 @@ def validate(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
     aggregation by the key, combined before its shuffle.
     """
     _check_schema(df, contract)
+    have = dict(df.dtypes)
     coerced = {r.name: _coerced(df, r) for r in contract.rules if r.coerce}
     checks: list[tuple[str, str, Column]] = []
     for rule in contract.rules:
-        value = coerced.get(rule.name, F.col(rule.name))
-        present = F.col(rule.name).isNotNull()
+        given = _present(F.col(rule.name), have[rule.name], rule.dtype)
+        value = coerced.get(rule.name, given)
+        present = given.isNotNull()
         if rule.coerce:
             checks.append((rule.name, "coercible", F.count_if(present & value.isNull())))
         if not rule.nullable:

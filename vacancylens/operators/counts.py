@@ -2,10 +2,10 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vacancylens.operators.bounded import BROADCAST_ROWS, broadcast_bounded
+from vacancylens.operators.bounded import broadcast_bounded
 
 
 def value_counts(df: DataFrame, *names: str) -> DataFrame:
@@ -37,16 +37,12 @@ def rows_with_top_values(df: DataFrame, name: str, n: int) -> DataFrame:
     return df.join(broadcast_bounded(top_values(df, name, n), n), name, "left_semi")
 
 
-def with_share(counts: DataFrame, max_rows: int | None = None) -> DataFrame:
+def with_share(counts: DataFrame) -> DataFrame:
     """Add ``share``, each row's part of the sum of ``n``.
 
-    Few rows, as bounded by ``max_rows``, are summed by a window. Otherwise the
-    total is a scalar subquery, so no task has to hold all rows.
+    The total is a scalar subquery, so no task has to hold all rows.
     """
-    if max_rows is not None and max_rows <= BROADCAST_ROWS:
-        total = F.sum("n").over(Window.partitionBy())
-    else:
-        total = counts.agg(F.sum("n")).scalar()
+    total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("share", F.col("n") / total)
 
 
@@ -61,7 +57,7 @@ def top_share(df: DataFrame, name: str, n: int) -> DataFrame:
     The counts that rank the values are the counts to show, so the rows are
     read once and never joined back.
     """
-    return with_share(most_frequent(value_counts(df, name), n), max_rows=n)
+    return with_share(most_frequent(value_counts(df, name), n))
 
 
 def null_counts(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:

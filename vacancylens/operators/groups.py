@@ -33,14 +33,20 @@ def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def rows_of_groups(
-    df: DataFrame, keys: Sequence[str], having: Column, max_groups: int | None = None, **aggregates: Column
+    df: DataFrame,
+    keys: Sequence[str],
+    having: Column,
+    max_groups: int | None = None,
+    null_groups: bool = True,
+    **aggregates: Column,
 ) -> DataFrame:
     """All rows of the groups whose aggregates satisfy ``having``.
 
     Groups are counted with map-side combining and joined back, instead of
     gathering every group's rows in one window partition. The join is
-    null-safe, so a NULL key counts as a value; AQE splits a hot key. With a
-    proven ``max_groups`` the groups are broadcast and the rows stay in place.
+    null-safe, so a NULL key counts as a value; AQE splits a hot key. Without
+    ``null_groups`` no key is NULL, and the plain equality lets the join reuse the
+    partitioning of the counts. With a proven ``max_groups`` the groups are broadcast and the rows stay in place.
     """
     chosen = (
         df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys])
@@ -48,7 +54,7 @@ def rows_of_groups(
         .where(having)
         .select(*[f"_{k}" for k in keys])
     )
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) if null_groups else F.col(k) == F.col(f"_{k}") for k in keys]
     return df.join(broadcast_bounded(chosen, max_groups), same, "left_semi")
 
 
@@ -65,4 +71,4 @@ def rows_of_large_groups(
     Rows with a NULL in any key belong to no group and vanish.
     """
     grouped = df.dropna(subset=list(keys))
-    return rows_of_groups(grouped, keys, F.col("_n") > more_than, max_groups, _n=F.count(counted))
+    return rows_of_groups(grouped, keys, F.col("_n") > more_than, max_groups, null_groups=False, _n=F.count(counted))

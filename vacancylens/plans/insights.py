@@ -90,6 +90,7 @@ def category_technology_flow(
     )
 
 
+@insight("category_technology_nodes")
 def category_technology_nodes(
     documents: DataFrame,
     n_categories: int = fixed.FLOW_TOP_N,
@@ -223,6 +224,7 @@ def contract_salary_distribution(
     return distribution(rows, ["contract_type", "technology"], "salary_mean", max_groups=n * len(contracts))
 
 
+@insight("technology_salary_shape")
 def technology_salary_shape(
     documents: DataFrame,
     n: int = fixed.DISTRIBUTION_TOP_N,
@@ -234,6 +236,7 @@ def technology_salary_shape(
     return counts.histogram(_technology_rows(documents, n, limit), ["seniority", "technology"], bins)
 
 
+@insight("contract_salary_shape")
 def contract_salary_shape(
     documents: DataFrame,
     n: int = fixed.DISTRIBUTION_TOP_N,

@@ -15,37 +15,33 @@ from vacancylens.plans.tables import warehouse_tables
 from vacancylens.session import new_folder
 from vacancylens.sources import snapshots as snap
 from vacancylens.sources import warehouse
-from vacancylens.sources.lake import archive_snapshots, load_archived
+from vacancylens.sources.lake import archive_snapshots, last_first, load_archived
 
 log = logging.getLogger(__name__)
 
 Sink = Callable[[dict[str, DataFrame]], None]
 
 
-def archive(
-    envelopes: DataFrame, lake: str, expected_source: str = fixed.EXPECTED_SOURCE, unique_keys: bool = False
-) -> None:
-    """Check snapshots and store them under their keys."""
+def archive(envelopes: DataFrame, lake: str, expected_source: str = fixed.EXPECTED_SOURCE) -> None:
+    """Check snapshots and store them under their keys, all of them."""
     parsed = snap.read_snapshot(envelopes).transform(snap.check_source, expected_source).transform(snap.check_count)
-    archive_snapshots(parsed, lake, unique_keys)
+    archive_snapshots(parsed, lake)
 
 
-def newest_snapshot(envelopes: DataFrame) -> tuple[tuple[int, str] | None, bool]:
-    """``((epoch second obtained, key) of the newest or None, whether all keys differ)``.
+def newest_snapshot(envelopes: DataFrame) -> tuple[int, str] | None:
+    """``(epoch second obtained, key)`` of the newest, or None.
 
     One pass that reads the head of each document; one row reaches the driver.
     """
     found = (
         snap.snapshot_heads(envelopes)
-        .groupBy(epoch_seconds(F.col("obtained_datetime")).alias("obtained"), "key")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.max(F.struct("obtained", "key")).alias("newest"), F.max("n").alias("n"))
+        .agg(F.max(F.struct(epoch_seconds(F.col("obtained_datetime")).alias("obtained"), "key")).alias("newest"))
         .first()
     )
     if found.newest is None or found.newest.obtained is None:
         snap.read_snapshot(envelopes).count()  # says what is wrong with the documents
-        return None, True
-    return (found.newest.obtained, found.newest.key), found.n == 1
+        return None
+    return found.newest.obtained, found.newest.key
 
 
 def serve(
@@ -56,28 +52,31 @@ def serve(
     relational: bool = True,
     expected_source: str = fixed.EXPECTED_SOURCE,
     sink: Sink | None = None,
+    insights: bool = True,
 ) -> None:
-    """Clean one snapshot and publish its tables.
+    """Clean one snapshot and publish its tables and insights.
 
     The cleaned documents are written first and read back for the relational
     tables and the insights, so cleaning runs once. Their query checks the
     snapshot; the metadata then only needs the head of the document. A ``sink``
     (such as ``warehouse.jdbc_sink``) is given the five relational tables too.
+    All tables are written and checked before anything becomes visible.
     """
-    spark = envelopes.sparkSession
+    spark, run = envelopes.sparkSession, warehouse.new_run()
     _, postings = snap.extract(envelopes, expected_source)
     metadata = snap.snapshot_metadata(snap.snapshot_heads(envelopes))
     known, most = _small_gazetteer(gazetteer, postings)
-    warehouse.write_documents(metadata, clean(postings, known, max_places=most), path, key)
-    documents = warehouse.read_written(spark, path, key, "documents")
-    metadata = warehouse.read_written(spark, path, key, "metadata")
-    if relational or sink is not None:
-        tables = warehouse_tables(documents)
-        if relational:
-            warehouse.write_warehouse(tables, path, key)
-        if sink is not None:
-            sink({"metadata": metadata, **tables})
-    warehouse.publish(metadata, path, key)
+    warehouse.write_documents(metadata, clean(postings, known, max_places=most), path, run)
+    documents = warehouse.read_written(spark, path, run, "documents")
+    metadata = warehouse.read_written(spark, path, run, "metadata")
+    tables = warehouse_tables(documents) if relational or sink is not None else {}
+    if relational:
+        warehouse.write_warehouse(tables, path, run)
+    if insights:
+        write_insights(documents, path, run)
+    if sink is not None:
+        sink({"metadata": metadata, **tables})
+    warehouse.publish(metadata, path, key, run)
 
 
 def _small_gazetteer(gazetteer: DataFrame, postings: DataFrame) -> tuple[DataFrame, int | None]:
@@ -91,15 +90,13 @@ def _small_gazetteer(gazetteer: DataFrame, postings: DataFrame) -> tuple[DataFra
     return used, places.measured_places(used)
 
 
-def write_insights(spark: SparkSession, path: str) -> None:
-    """Keep the insights of the served snapshot as tables of their own.
+def write_insights(documents: DataFrame, path: str, run: str) -> None:
+    """Keep the insights of a run's documents as tables of the same run.
 
     Readers of the insights then scan small results and not the documents.
     """
-    _, key = warehouse.served_snapshot(spark, path)
-    _, documents = warehouse.read_documents(spark, path)
     results = {f"insight_{name}": result for name, result in all_insights(documents).items()}
-    warehouse.write_warehouse(results, path, key)
+    warehouse.write_warehouse(results, path, run)
 
 
 def run_pipeline(
@@ -111,25 +108,27 @@ def run_pipeline(
     relational: bool = True,
     expected_source: str = fixed.EXPECTED_SOURCE,
     sink: Sink | None = None,
+    insights: bool = True,
 ) -> str | None:
     """Archive (if a lake is given) and serve the newest of ``envelopes``.
 
     Returns the key now served. A snapshot older than the served one is only
-    archived. Errors are logged and raised again.
+    archived. Of several documents of one key the last is served, with a lake the
+    last that the lake holds. Errors are logged and raised again.
     """
     try:
-        newest, unique_keys = newest_snapshot(envelopes)
+        newest = newest_snapshot(envelopes)
         served = warehouse.served_snapshot(spark, path)
         if lake is not None:
-            archive(envelopes, lake, expected_source, unique_keys)
-        if newest is None or (served is not None and newest < served):
-            return served and served[1]
+            archive(envelopes, lake, expected_source)
+        if newest is None or (served is not None and newest < (served.obtained, served.key)):
+            return served and served.key
         key = newest[1]
         if lake is not None:
             chosen = load_archived(spark, lake, key)
         else:
-            chosen = snap.read_snapshot(envelopes).where(F.col("key") == key).select("payload")
-        serve(chosen.select("payload"), gazetteer, path, key, relational, expected_source, sink)
+            chosen = snap.read_snapshot(envelopes).where(F.col("key") == key).orderBy(*last_first()).limit(1)
+        serve(chosen.select("payload"), gazetteer, path, key, relational, expected_source, sink, insights)
         log.info("serving snapshot %s", key)
         return key
     except Exception:
@@ -145,6 +144,8 @@ def replay(
     path: str,
     relational: bool = True,
     expected_source: str = fixed.EXPECTED_SOURCE,
+    insights: bool = True,
 ) -> None:
-    """Serve an archived snapshot again."""
-    serve(load_archived(spark, lake, key).select("payload"), gazetteer, path, key, relational, expected_source)
+    """Serve an archived snapshot again, whatever is served now."""
+    chosen = load_archived(spark, lake, key).select("payload")
+    serve(chosen, gazetteer, path, key, relational, expected_source, insights=insights)

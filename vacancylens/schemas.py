@@ -113,8 +113,11 @@ RAW_SNAPSHOT = T.StructType(
     [
         T.StructField("obtained_datetime", T.TimestampType()),
         T.StructField("payload", T.StringType()),
+        T.StructField("modified", T.TimestampType()),
+        T.StructField("path", T.StringType()),
         T.StructField("source_name", T.StringType()),
         T.StructField("key", T.StringType()),
+        T.StructField("document", T.StringType()),
     ]
 )
 
@@ -129,6 +132,8 @@ SERVED = T.StructType(
     [
         T.StructField("key", T.StringType()),
         T.StructField("obtained_datetime", T.TimestampType()),
+        T.StructField("run", T.StringType()),
+        T.StructField("published", T.LongType()),
     ]
 )
 

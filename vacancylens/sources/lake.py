@@ -3,42 +3,50 @@
 import re
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancylens.operators.groups import first_per_key
 from vacancylens.schemas import RAW_SNAPSHOT
 
 # Values Spark writes into a partition folder's name without escaping them.
 _PLAIN = re.compile(r"[A-Za-z0-9_.\-]+")
 
 
-def archive_snapshots(snapshots: DataFrame, path: str, unique_keys: bool = False) -> None:
-    """Store parsed snapshots; a key already present is replaced, others stay.
+#: Which of several documents of one key is the last: the file modified last.
+LAST_FIRST = ("modified", "path", "payload")
 
-    If a batch holds a key twice, the file modified last wins. A caller who
-    knows that no key repeats says so, and the payloads are not shuffled.
+
+def last_first() -> list[Column]:
+    return [F.col(c).desc_nulls_last() for c in LAST_FIRST]
+
+
+def archive_snapshots(snapshots: DataFrame, path: str) -> None:
+    """Store parsed snapshots; nothing that differs is ever replaced.
+
+    A key names a second, so several documents may have it (responses that landed
+    in one file, a corrected document). Each lies in a folder of its own, named by
+    its content; the same document archived again replaces itself. Which of a
+    key's documents counts is decided on reading.
     """
-    stored = ["obtained_datetime", "payload", "source_name", "key"]
-    if not unique_keys:
-        latest = [F.col("modified").desc(), F.col("path").desc(), F.col("payload").desc()]
-        snapshots = first_per_key(snapshots.select(*stored, "modified", "path"), ["key"], latest)
+    document = F.substring(F.sha2(F.col("payload"), 256), 1, 32)
+    stored = ["obtained_datetime", "payload", "modified", "path", "source_name", "key", "document"]
     (
-        snapshots.select(*stored)
+        snapshots.withColumn("document", document)
+        .select(*stored)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("source_name", "key")
+        .partitionBy("source_name", "key", "document")
         .parquet(path)
     )
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
-    """All archived snapshots; the explicit schema keeps keys strings."""
+    """All archived documents; the explicit schema keeps keys strings."""
     return spark.read.schema(RAW_SNAPSHOT).parquet(path)
 
 
 def load_archived(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """The snapshot stored under ``key``, or ``KeyError``.
+    """The last document stored under ``key``, or ``KeyError``.
 
     A key ends in its source name, so its folder is opened directly and the
     other keys of a large archive are not listed.
@@ -56,4 +64,4 @@ def load_archived(spark: SparkSession, path: str, key: str) -> DataFrame:
         raise
     if found.isEmpty():
         raise KeyError(f"no snapshot is archived under {key}")
-    return found
+    return found.orderBy(*last_first()).limit(1)

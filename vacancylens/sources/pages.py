@@ -1,5 +1,6 @@
 """Keywords from HTML pages."""
 
+import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -18,9 +19,17 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 def flat_keywords(pages: DataFrame, css_class: str, tag: str = "div", page_id: str = "page_id") -> DataFrame:
     """``(page_id, keyword)`` for elements that hold plain text only.
 
-    One regular expression over the whole page, without leaving the JVM.
+    One regular expression over the whole page, without leaving the JVM. An
+    element of the class that holds markup or a character reference fails the
+    query: such pages are for :func:`page_keywords`.
     """
-    pattern = rf'(?i)<{tag}\b[^>]*\bclass="(?:[^"]*\s)?{css_class}(?:\s[^"]*)?"[^>]*>([^<]*)</{tag}>'
+    name, element = re.escape(css_class), re.escape(tag)
+    quoted = "|".join(rf"{q}(?:[^{q}>]*\s)?{name}(?:\s[^{q}>]*)?{q}" for q in "\"'")
+    opened = rf"(?i)<{element}(?:\s[^>]*)?\sclass\s*=\s*(?:{quoted}|{name}(?=[\s>]))[^>]*>"
+    pattern = rf"{opened}([^<&]*)</{element}\s*>"
+    flat = F.regexp_count("html", F.lit(opened)) == F.regexp_count("html", F.lit(pattern))
+    message = F.lit(f"an element of class {css_class} is not plain text; use page_keywords")
+    pages = pages.where(F.when(F.coalesce(flat, F.lit(True)), F.lit(True)).otherwise(F.raise_error(message)))
     texts = F.regexp_extract_all("html", F.lit(pattern), F.lit(1))
     return pages.select(page_id, F.explode(texts).alias("_text")).select(
         page_id, keyword(F.col("_text")).alias("keyword")

@@ -1,11 +1,15 @@
 """Served tables: the nested documents and the flat relational tables.
 
-Every snapshot is written to folders of its own. A row appended to ``served``
-then makes the whole set visible at once, so a job that dies half way leaves
-readers on the previous set.
+Every run writes to folders of its own, also for a snapshot that is served
+already. A row appended to ``served`` then makes the whole set visible at once, so
+a job that dies half way, or whose tables break a contract, leaves readers on the
+previous set. The row published last is the served one.
 """
 
+import time
+import uuid
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,67 +21,98 @@ from vacancylens.operators.contracts import require_rows
 from vacancylens.schemas import DOCUMENT, METADATA, SERVED
 
 
-def _folder(path: str, key: str, table: str) -> str:
-    return f"{path}/{table}/snapshot={key}"
+class Served(NamedTuple):
+    """The run that readers see."""
 
+    obtained: int  # epoch second of its snapshot
+    key: str
+    run: str
 
-def read_written(spark: SparkSession, path: str, key: str, table: str) -> DataFrame:
-    """A table of one snapshot, published or not."""
+
+def new_run() -> str:
+    """A name for the folders of one run."""
+    return uuid.uuid4().hex
+
+
+def _folder(path: str, run: str, table: str) -> str:
+    return f"{path}/{table}/run={run}"
+
+
+def read_written(spark: SparkSession, path: str, run: str, table: str) -> DataFrame:
+    """A table of one run, published or not."""
     reader = spark.read
     if table in ("documents", "metadata"):
         reader = reader.schema({"documents": DOCUMENT, "metadata": METADATA}[table])
-    return reader.parquet(_folder(path, key, table))
+    return reader.parquet(_folder(path, run, table))
 
 
-def write_documents(metadata: DataFrame, documents: DataFrame, path: str, key: str) -> None:
-    documents.select(*DOCUMENT_COLUMNS).write.mode("overwrite").parquet(_folder(path, key, "documents"))
-    metadata.write.mode("overwrite").parquet(_folder(path, key, "metadata"))
+def write_documents(metadata: DataFrame, documents: DataFrame, path: str, run: str) -> None:
+    documents.select(*DOCUMENT_COLUMNS).write.parquet(_folder(path, run, "documents"))
+    metadata.write.parquet(_folder(path, run, "metadata"))
 
 
-def write_warehouse(tables: dict[str, DataFrame], path: str, key: str) -> None:
+def write_warehouse(tables: dict[str, DataFrame], path: str, run: str) -> None:
     for name, table in tables.items():
-        table.write.mode("overwrite").parquet(_folder(path, key, name))
+        table.write.parquet(_folder(path, run, name))
 
 
-def publish(metadata: DataFrame, path: str, key: str) -> None:
-    """Make the tables of ``key`` the served ones, unless newer ones are.
+def publish(metadata: DataFrame, path: str, key: str, run: str) -> None:
+    """Make the tables of ``run`` the served ones.
 
-    One appended row is one file, so readers see all of the switch or none.
+    One appended row is one file, so readers see all of the switch or none. Its
+    number is above those of all rows before it, whatever the clocks say.
     """
-    row = metadata.select(F.lit(key).alias("key"), "obtained_datetime").limit(1)
-    row.write.mode("append").parquet(f"{path}/served")
+    before = _published(metadata.sparkSession, path)
+    last = 0 if before is None else before.agg(F.max("published")).first()[0] or 0
+    now = max(time.time_ns() // 1000, last + 1)
+    row = metadata.select(F.lit(key).alias("key"), "obtained_datetime", F.lit(run).alias("run"), F.lit(now).alias("published"))
+    row.limit(1).write.mode("append").parquet(f"{path}/served")
 
 
-def served_snapshot(spark: SparkSession, path: str) -> tuple[int, str] | None:
-    """``(epoch second obtained, key)`` of the newest published snapshot, or None."""
+def _published(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        published = spark.read.schema(SERVED).parquet(f"{path}/served")
+        return spark.read.schema(SERVED).parquet(f"{path}/served")
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error.getCondition()):
             return None
         raise
+
+
+def served_snapshot(spark: SparkSession, path: str) -> Served | None:
+    """The run published last, or None."""
+    published = _published(spark, path)
+    if published is None:
+        return None
     obtained = epoch_seconds(F.col("obtained_datetime")).alias("obtained")
-    newest = published.agg(F.max(F.struct(obtained, "key")).alias("s")).select("s.*").first()
-    return None if newest.key is None else (newest.obtained, newest.key)
+    last = published.agg(F.max(F.struct("published", "run", obtained, "key")).alias("s")).select("s.*").first()
+    return None if last.run is None else Served(last.obtained, last.key, last.run)
 
 
-def read_served(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """A table of the newest published snapshot."""
+def require_served(spark: SparkSession, path: str) -> Served:
     served = served_snapshot(spark, path)
     if served is None:
         raise RuntimeError(f"nothing is published below {path}")
-    return read_written(spark, path, served[1], table)
+    return served
+
+
+def read_served(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """A table of the run published last."""
+    return read_written(spark, path, require_served(spark, path).run, table)
 
 
 def read_documents(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """``(metadata, documents)`` as served; an empty table is an error."""
-    metadata = read_served(spark, path, "metadata")
-    documents = read_served(spark, path, "documents")
+    """``(metadata, documents)`` of one and the same run; an empty table is an error."""
+    run = require_served(spark, path).run
+    metadata, documents = (read_written(spark, path, run, t) for t in ("metadata", "documents"))
     return require_rows(metadata, "metadata"), require_rows(documents, "documents")
 
 
 def jdbc_sink(url: str, **options: str) -> Callable[[dict[str, DataFrame]], None]:
-    """A writer that replaces the tables of a relational database over JDBC."""
+    """A writer that replaces the tables of a relational database over JDBC.
+
+    It replaces one table after another, so readers of the database may see the
+    tables of two runs while it works.
+    """
 
     def write(tables: dict[str, DataFrame]) -> None:
         for name, table in tables.items():

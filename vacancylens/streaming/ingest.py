@@ -19,13 +19,14 @@ def ingest_new_snapshots(
     relational: bool = True,
     expected_source: str = fixed.EXPECTED_SOURCE,
     raw: bool = False,
+    insights: bool = True,
     **options: str,
 ) -> StreamingQuery:
     """Start a query over the files that arrived since the last call, then stop.
 
     Each micro-batch archives its snapshots and serves the newest one unless a
     newer one is served already. The checkpoint remembers the files. A batch
-    that is repeated after a failure overwrites the same keys. With ``raw`` the
+    that is repeated after a failure archives the same documents again. With ``raw`` the
     files are bare responses of ``expected_source`` and not envelopes. Source
     options such as ``maxFilesPerTrigger`` bound a batch.
     """
@@ -35,7 +36,7 @@ def ingest_new_snapshots(
         arriving = stream_archive(spark, landing, lines, **options)
 
     def process(batch: DataFrame, _: int) -> None:
-        run_pipeline(batch.sparkSession, batch, gazetteer, path, lake, relational, expected_source)
+        run_pipeline(batch.sparkSession, batch, gazetteer, path, lake, relational, expected_source, insights=insights)
 
     return (
         arriving.writeStream.foreachBatch(process)

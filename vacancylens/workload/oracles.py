@@ -335,6 +335,7 @@ ORACLES: dict[str, str] = {
     "envelope_json": _EVENTS,
     "archive_roundtrip": _EVENTS,
     "landing_snapshots": f"SELECT * EXCLUDE (key) FROM ({_EVENTS})",
+    "landing_archive": f"SELECT * EXCLUDE (key) FROM ({_EVENTS})",
     "incremental_ingest": _EVENTS,
     "latest_snapshot": """
         SELECT CAST(event_id AS VARCHAR) AS id, upper(event_type[1]) || event_type[2:] AS technology,
@@ -342,6 +343,10 @@ ORACLES: dict[str, str] = {
                'Warszawa' AS city
         FROM events
         WHERE event_id // 2000 = (SELECT max(event_id // 2000) FROM events) AND event_type <> 'error'""",
+    "served_insights": """
+        WITH c AS (SELECT CASE WHEN event_type = 'view' THEN 'Yes' ELSE 'No' END AS remote, count(*) AS n FROM events
+          WHERE event_id // 2000 = (SELECT max(event_id // 2000) FROM events) AND event_type <> 'error' GROUP BY 1)
+        SELECT remote, n, n / (SELECT sum(n) FROM c) AS share FROM c""",
     "latest_event_per_user": """
         SELECT user_id, event_id, event_type, value FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",

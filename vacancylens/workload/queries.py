@@ -415,10 +415,11 @@ def warehouse_roundtrip(spark, sf_dir):
     path, key = new_folder(spark, "warehouse"), "1704067200_nofluffjobs"
     docs = view.documents(spark, sf_dir)
     metadata = spark.sql("SELECT 'nofluffjobs' AS source_name, TIMESTAMP'2024-01-01 00:00:00' AS obtained_datetime")
-    warehouse.write_documents(metadata, docs, path, key)
-    warehouse.publish(metadata, path, key)
+    run = warehouse.new_run()
+    warehouse.write_documents(metadata, docs, path, run)
+    warehouse.publish(metadata, path, key, run)
     _, served = warehouse.read_documents(spark, path)
-    warehouse.write_warehouse(tables.warehouse_tables(served), path, key)
+    warehouse.write_warehouse(tables.warehouse_tables(served), path, run)
     seniorities = warehouse.read_served(spark, path, "seniorities")
     levels = seniorities.groupBy("id").agg(F.count("seniority").alias("n_levels"))
     cities = warehouse.read_served(spark, path, "locations").groupBy("id").agg(F.count("city").alias("n_cities"))
@@ -505,7 +506,7 @@ def incremental_ingest(spark, sf_dir):
     _land(spark, sf_dir, landing)
     for _ in range(2):
         ingest_new_snapshots(
-            spark, landing, view.warsaw(spark), path, stored, checkpoint, lines=True, relational=False
+            spark, landing, view.warsaw(spark), path, stored, checkpoint, lines=True, relational=False, insights=False
         ).awaitTermination()
     return _shown(snapshots.extract(lake.read_lake(spark, stored).select("payload"))[1])
 
@@ -516,13 +517,40 @@ def latest_snapshot(spark, sf_dir):
     landing, path, stored = (new_folder(spark, p) for p in ("landing", "warehouse", "lake"))
     _land(spark, sf_dir, landing)
     ingest_new_snapshots(
-        spark, landing, view.warsaw(spark), path, stored, new_folder(spark, "ingest"), lines=True
+        spark, landing, view.warsaw(spark), path, stored, new_folder(spark, "ingest"), lines=True, insights=False
     ).awaitTermination()
     _, documents = warehouse.read_documents(spark, path)
     city = F.col("city")[0]["city"].alias("city")
     return documents.select("id", "technology", "remote", "contract_type", "salary_mean", city)
 
 
+@query
+def landing_archive(spark, sf_dir):
+    """Bare responses that land in one second, archived through ingestion: all are kept."""
+    landing, path, stored = (new_folder(spark, p) for p in ("landing", "warehouse", "lake"))
+    raw = view.event_envelopes(spark, sf_dir).select(F.get_json_object("payload", "$.raw_data").alias("raw"))
+    raw.coalesce(1).write.text(landing)
+    ingest_new_snapshots(
+        spark, landing, view.warsaw(spark), path, stored, new_folder(spark, "ingest"),
+        lines=True, relational=False, raw=True, insights=False,
+    ).awaitTermination()
+    return _shown(snapshots.extract(lake.read_lake(spark, stored).select("payload"))[1]).drop("key")
+
+
+@query
+def served_insights(spark, sf_dir):
+    """Stored insights after two ingestions, of the snapshot then served."""
+    landing, path, stored = (new_folder(spark, p) for p in ("landing", "warehouse", "lake"))
+    checkpoint, envelopes = new_folder(spark, "ingest"), view.event_envelopes(spark, sf_dir).select("payload")
+    first = F.pmod(F.xxhash64("payload"), F.lit(2)) == 0
+    for part in (first, ~first):
+        envelopes.where(part).write.mode("append").text(landing)
+        ingest_new_snapshots(
+            spark, landing, view.warsaw(spark), path, stored, checkpoint, lines=True, relational=False
+        ).awaitTermination()
+    return warehouse.read_served(spark, path, "insight_remote_share")
+
+
 @query
 def latest_event_per_user(spark, sf_dir):
     """Newest row wins, per key."""
