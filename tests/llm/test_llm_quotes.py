@@ -68,6 +68,11 @@ def test_no_python_in_the_plan(spark):
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
 
 
+def test_very_many_marks(spark):
+    (row,) = linked(spark, [(1, 1, "u", ">" * 50_000 + " deep\nown")]).collect()
+    assert (row.text, row.n_passages) == ("own", 1)
+
+
 def test_empty_table_and_long_text(spark):
     assert linked(spark, MESSAGES).filter("false").count() == 0
     assert linked(spark, []).count() == 0

@@ -147,7 +147,7 @@ FROM judged JOIN verdicts ON judged.host IS NOT DISTINCT FROM verdicts.host
 WITH RECURSIVE messages AS (
   SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
 ), numbered AS (
-  SELECT *, regexp_matches(text, '(?m)^[ \t]*(?:>[ \t]?)+') AS quotes,
+  SELECT *, regexp_matches(text, '(?m)^[ \t]*>[> \t]*') AS quotes,
     string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)) AS lines
   FROM messages
 ), owned AS (
@@ -161,7 +161,7 @@ WITH RECURSIVE messages AS (
 ), split_lines AS (
   SELECT conv_id, turn, text, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM placed WHERE quotes
 ), levelled AS (
-  SELECT *, length(regexp_replace(regexp_extract(line, '^[ \t]*(?:>[ \t]?)+', 0), '[^>]', '', 'g')) AS level
+  SELECT *, length(regexp_replace(regexp_extract(line, '^[ \t]*>[> \t]*', 0), '[^>]', '', 'g')) AS level
   FROM split_lines
 ), turned AS (
   SELECT *, (level <> lag(level, 1, -1) OVER (PARTITION BY conv_id, turn, text ORDER BY pos))::INT AS new FROM levelled
@@ -169,7 +169,7 @@ WITH RECURSIVE messages AS (
   SELECT *, sum(new) OVER (PARTITION BY conv_id, turn, text ORDER BY pos) AS part FROM turned
 ), passages AS (
   SELECT conv_id, turn, level, part,
-    list_filter(list(trim(regexp_replace(lower(regexp_replace(line, '^[ \t]*(?:>[ \t]?)+', '')), '\s+', ' ', 'g'))
+    list_filter(list(trim(regexp_replace(lower(regexp_replace(line, '^[ \t]*>[> \t]*', '')), '\s+', ' ', 'g'))
       ORDER BY pos), lambda x: x <> '') AS bodies
   FROM parted WHERE level > 0 GROUP BY conv_id, turn, text, level, part
 ), kept AS (

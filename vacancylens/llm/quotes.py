@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from vacancylens.llm.frames import stored
 
-_QUOTED = r"^[ \t]*(?:>[ \t]?)+"
+_QUOTED = r"^[ \t]*>[> \t]*"
 #: Lines that name who is quoted, in some languages (fixed values).
 ATTRIBUTION = r"(?i)^.{1,200}\b(?:wrote|writes|said|schrieb|a écrit|escribió)[ \t]*:[ \t]*$"
 #: A chain of answers halves in each round; this is enough for any.
