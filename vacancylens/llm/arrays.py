@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on together; a longer text goes alone.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 #: Bytes whose 64-bit prefix sums are held at a time.
 BLOCK = 1 << 18
 

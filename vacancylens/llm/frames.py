@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from vacancylens.llm.arrays import Texts, texts
+from vacancylens.llm.arrays import CHUNK, Texts, texts
 from vacancylens.session import new_folder, ship_package
 
 #: A table of at most so many rows of a few numbers each may be broadcast
@@ -18,6 +18,16 @@ from vacancylens.session import new_folder, ship_package
 BROADCAST_ROWS = 500_000
 
 
+#: Batches for Python hold a chunk of text, not as many rows as there are.
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def ready_for_python(spark: SparkSession) -> None:
+    """Send the package along, and bound batches by their bytes in this session."""
+    ship_package(spark)
+    spark.conf.set(_BATCH_BYTES, str(CHUNK))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -69,7 +79,7 @@ def over_texts(
     The function gets the chunk and the rows it covers, and returns (or
     yields) columns for ``schema``. Memory is bounded by the chunk.
     """
-    ship_package(df.sparkSession)
+    ready_for_python(df.sparkSession)
     names = [f.name for f in _fields(df.sparkSession, schema)]
     types = [_arrow(f) for f in _fields(df.sparkSession, schema)]
     out = pa.schema(list(zip(names, types, strict=True)))
@@ -125,7 +135,7 @@ def over_groups(
     Rows are dealt by the keys and sorted in each task, so groups follow one
     another in Arrow batches, and only the group at hand is held.
     """
-    ship_package(df.sparkSession)
+    ready_for_python(df.sparkSession)
     names = [f.name for f in _fields(df.sparkSession, schema)]
     types = [_arrow(f) for f in _fields(df.sparkSession, schema)]
     out = pa.schema(list(zip(names, types, strict=True)))

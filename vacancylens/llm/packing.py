@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from vacancylens.llm.arrays import Texts
-from vacancylens.llm.frames import list_column, over_texts, ship_package, stored
+from vacancylens.llm.frames import list_column, over_texts, ready_for_python, stored
 from vacancylens.llm.tokens import TokenizerFile, encoder, ids_crc32
 
 CAPACITY = 4096
@@ -178,7 +178,7 @@ def pieces(
 
 def _pack_level(rows: DataFrame, level: int, capacity: int) -> DataFrame:
     """``rows`` with ``sequence_id, offset, room`` of the block that a task sees them in."""
-    ship_package(rows.sparkSession)
+    ready_for_python(rows.sparkSession)
     places = "sequence_id long, offset long, room int, block long"
     schema = StructType(rows.schema.fields + StructType.fromDDL(places).fields)
 

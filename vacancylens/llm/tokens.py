@@ -22,6 +22,8 @@ from vacancylens.llm.arrays import LOWER, Texts, mapped, span_hashes
 STORED_UNITS = 1_200_000
 #: New units that are encoded as one text.
 JOINED = 128
+#: New units that are sorted on their own, so the large store is sorted seldom.
+SMALL_TIER = 60_000
 
 # Kinds of bytes, one bit each.
 _SPACE, _GRAPHIC, _LEAD, _LATER, _LETTER, _MARK = (1 << k for k in range(6))
@@ -112,16 +114,32 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.keys = np.zeros(0, np.uint64)  # ascending
+        self.tiers = [(np.zeros(0, np.uint64), np.zeros(0, np.int32))] * 2  # ascending hashes and their entries
         self.begin = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
 
-    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.searchsorted(self.keys, hashes)
-        known = at < len(self.keys)
-        known[known] = self.keys[at[known]] == hashes[known]
-        return at, known
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """The entry of each unit, -1 if it has none."""
+        out = np.full(len(hashes), -1, np.int32)
+        for keys, entries in self.tiers:
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+                same = keys[at] == hashes
+                out[same] = entries[at[same]]
+        return out
+
+    def _add(self, hashes: np.ndarray) -> None:
+        """Merge new hashes into the small tier, and that into the large one when it is full."""
+        keys = np.concatenate([self.tiers[1][0], hashes])
+        entries = np.concatenate([self.tiers[1][1], np.arange(len(self.length) - len(hashes), len(self.length), dtype=np.int32)])
+        large = self.tiers[0]
+        if len(keys) > SMALL_TIER:
+            keys, entries = np.concatenate([large[0], keys]), np.concatenate([large[1], entries])
+            large = (np.zeros(0, np.uint64), np.zeros(0, np.int32))
+        order = np.argsort(keys, kind="stable")
+        tier = (keys[order], entries[order])
+        self.tiers = [large, tier] if len(large[0]) or len(keys) <= SMALL_TIER else [tier, large]
 
     def _encode_units(self, units: list[str]) -> list[list[int]]:
         """Ids of each unit; plain ones are encoded many at a time.
@@ -152,12 +170,10 @@ class Encoder:
         length = np.fromiter(map(len, got), np.int32, len(got))
         ids = np.fromiter(itertools.chain.from_iterable(got), np.uint32, int(length.sum()))
         begin = len(self.ids) + np.cumsum(length, dtype=np.int64) - length
-        keys = np.concatenate([self.keys, hashes])
-        order = np.argsort(keys, kind="stable")
-        self.keys = keys[order]
-        self.begin = np.concatenate([self.begin, begin])[order]
-        self.length = np.concatenate([self.length, length])[order]
+        self.begin = np.concatenate([self.begin, begin])
+        self.length = np.concatenate([self.length, length])
         self.ids = np.concatenate([self.ids, ids])
+        self._add(hashes)
 
     def encode(self, chunk: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a chunk, and where each text's ids begin."""
@@ -168,18 +184,18 @@ class Encoder:
         coded = pa.array(span_hashes(data, starts, ends, self.fold)).dictionary_encode()
         distinct = coded.dictionary.to_numpy()
         which = coded.indices.to_numpy()
-        at, known = self._find(distinct)
-        if not known.all():
-            if len(self.keys) + len(distinct) > STORED_UNITS:
+        entry = self._find(distinct)
+        if (entry < 0).any():
+            if len(self.length) + len(distinct) > STORED_UNITS:
                 self._forget()
-                known[:] = False
-            new = np.flatnonzero(~known)
+                entry[:] = -1
+            new = np.flatnonzero(entry < 0)
             sample = np.empty(len(distinct), np.int64)
             sample[which] = np.arange(len(which))
             raw, spans = data.tobytes(), zip(starts[sample[new]].tolist(), ends[sample[new]].tolist(), strict=True)
             self._learn(distinct[new], [raw[a:b].decode("utf-8", "replace") for a, b in spans])
-            at, _ = self._find(distinct)
-        place = at[which]
+            entry[new] = np.arange(len(self.length) - len(new), len(self.length))
+        place = entry[which]
         length = self.length[place]
         total = np.zeros(len(length) + 1, np.int64)
         np.cumsum(length, out=total[1:])

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vacancylens.llm.arrays import texts
-from vacancylens.llm.frames import ship_package, small_side
+from vacancylens.llm.frames import ready_for_python, small_side
 from vacancylens.llm.tokens import TokenizerFile, encoder, ids_crc32
 
 SHARD_TOKENS = 1 << 18
@@ -189,7 +189,7 @@ def write_shards(
     Rows without an id can't be placed and fail the run.
     """
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    ship_package(docs.sparkSession)
+    ready_for_python(docs.sparkSession)
 
     def shards(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, shard, n = TaskContext.get().partitionId(), 0, 0
@@ -240,7 +240,7 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _over_shards(shards: DataFrame, function, schema: str, columns: list[str]) -> DataFrame:
-    ship_package(shards.sparkSession)
+    ready_for_python(shards.sparkSession)
 
     def each(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
