@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from vacancylens import fixed_values as fixed
 from vacancylens.functions.text import keyword
 from vacancylens.session import ship_package
+from vacancylens.sources.snapshots import posting_url
 
 # Elements that have no end tag (fixed list of the HTML standard).
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -111,3 +112,19 @@ def page_keywords(
     kind = dict(pages.dtypes)[page_id]
     found = candidates.select(page_id, "html").mapInPandas(parse, f"`{page_id}` {kind}, _text string")
     return found.select(page_id, keyword(F.col("_text")).alias("keyword"))
+
+
+def posting_keywords(
+    postings: DataFrame,
+    pages: DataFrame,
+    css_class: str = fixed.KEYWORD_CSS_CLASS,
+    container_id: str | None = fixed.REQUIREMENTS_ELEMENT_ID,
+) -> DataFrame:
+    """``(id, keyword)``: keywords of the page (``url``, ``html``) behind each posting.
+
+    An equi join by address; pages that no posting leads to are not parsed.
+    """
+    linked = posting_url(postings).select("id", "page_url")
+    wanted = pages.join(linked, pages["url"] == linked["page_url"], "left_semi")
+    found = page_keywords(wanted, css_class, container_id, page_id="url")
+    return linked.join(found, linked["page_url"] == found["url"]).select("id", "keyword")

@@ -347,6 +347,9 @@ ORACLES: dict[str, str] = {
         WITH c AS (SELECT CASE WHEN event_type = 'view' THEN 'Yes' ELSE 'No' END AS remote, count(*) AS n FROM events
           WHERE event_id // 2000 = (SELECT max(event_id // 2000) FROM events) AND event_type <> 'error' GROUP BY 1)
         SELECT remote, n, n / (SELECT sum(n) FROM c) AS share FROM c""",
+    "head_rows": """
+        SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders
+        ORDER BY o_totalprice DESC, o_orderkey LIMIT 12""",
     "latest_event_per_user": """
         SELECT user_id, event_id, event_type, value FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
@@ -365,7 +368,10 @@ ORACLES: dict[str, str] = {
         SELECT page_id, lower(trim(unnest(regexp_extract_all(html, '<div class="ad">([^<]*)</div>', 1)))) AS keyword
         FROM pages""",
     "page_keywords_nested": """
-        SELECT page_id, lower(trim(unnest(regexp_extract_all(html, '<div class="ad">([^<]*)</div>', 1)))) AS keyword
+        SELECT page_id, lower(trim(unnest(regexp_extract_all(html, '<div class="ad">([^<]*)</div>', 1)) || '& more')) AS keyword
         FROM pages""",
+    "posting_keywords": """
+        SELECT page_id AS id, lower(trim(unnest(regexp_extract_all(html, '<div class="ad">([^<]*)</div>', 1)))) AS keyword
+        FROM pages WHERE page_id % 3 <> 0""",
     "posting_urls": f"{_DOCS} SELECT id, 'https://nofluffjobs.com/pl/job/' || url AS page_url FROM docs",
 }

@@ -582,6 +582,13 @@ def iso_times(spark, sf_dir):
     )
 
 
+@query
+def head_rows(spark, sf_dir):
+    """The first rows of a stated order, ties included in it."""
+    orders = view.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    return filters.head(orders, 12, F.col("o_totalprice").desc(), "o_orderkey")
+
+
 @query
 def flatten_documents(spark, sf_dir):
     nested = view.table(spark, sf_dir, "orders").select(
@@ -604,8 +611,22 @@ def page_keywords(spark, sf_dir):
 
 @query
 def page_keywords_nested(spark, sf_dir):
-    """The parsing variant; on flat elements both agree."""
-    return pages.page_keywords(view.table(spark, sf_dir, "pages"), "ad", container_id=None)
+    """The parsing variant, in a container only, with nested markup and a void element."""
+    given = view.table(spark, sf_dir, "pages")
+    nested = F.regexp_replace("html", '<div class="ad">([^<]*)</div>', '<div class="x ad"><p><b>$1</b><br>&amp; more</p></div>')
+    before = F.lit('<div class="ad">outside</div><div id="posting-requirements">')
+    html = F.concat(before, nested, F.lit('</div><div class="ad">after</div>'))
+    return pages.page_keywords(given.select("page_id", html.alias("html")), "ad")
+
+
+@query
+def posting_keywords(spark, sf_dir):
+    """Keywords of the pages behind postings; every third posting has no page."""
+    given = view.table(spark, sf_dir, "pages")
+    slug = F.concat(F.lit("page-"), F.col("page_id"))
+    postings = given.select(F.col("page_id").alias("id"), F.when(F.col("page_id") % 3 == 0, "gone").otherwise(slug).alias("url"))
+    reached = snapshots.posting_url(given.select(slug.alias("url"), "html"), "page_url")
+    return pages.posting_keywords(postings, reached.select(F.col("page_url").alias("url"), "html"), "ad", None)
 
 
 @query
