@@ -107,3 +107,33 @@ def test_query_leaves_no_planted_value(spark):
         if not re.search(r"[@0-9]", row.text):
             assert got[row.doc_id] == row.text
     assert found
+
+
+def test_crowded_short_values_settle(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    values = [("email", f"{a}@b.org") for a in letters] + [("email", f"{a}{b}@mail.example.com") for a in letters for b in letters]
+    values += [("name", f"m:{a}{b}") for a in letters for b in letters] + [("phone", f"1+{k:04d}") for k in range(10_000)]
+    values += [("secret", "-----------" + d) for d in "0123456789"] + [("secret", "." * 12)]
+    values += [("ip", f"{a}.{b}.{c}.{d}") for a in range(10) for b in range(10) for c in range(10) for d in range(6)]
+    frame = spark.createDataFrame(values, "kind string, value string")
+    again = {(r.kind, r.value): r.attempt for r in pii.draw_again(frame, KEY).collect()}
+    drawn = [(kind, pii.surrogate(KEY, kind, value, again.get((kind, value), 0))) for kind, value in values]
+    assert len(set(drawn)) == len(values) and not set(drawn) & set(values)
+    assert all(len(d) <= len(v) + 8 for (_, d), (_, v) in zip(drawn, values, strict=True))
+
+
+def test_longer_surrogates_reach_the_texts(spark):
+    texts = [f"to {a}@Box.org now" for a in "abcdefghijklmnopqrstuvwxyz"] + [f"Mr {a}i came" for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
+    got = replaced(spark, *texts)
+    assert len(set(got)) == len(texts) and not set(got) & set(texts)
+    hosts = {re.fullmatch(r"to [a-z]+@([A-Z][a-z]{2}\.org) now", t)[1] for t in got[:26]}
+    assert len(hosts) == 1 and all(re.fullmatch(r"Mr [A-Z][a-z]*n came", t) for t in got[26:])
+
+
+def test_longer_forms_are_shown():
+    for kind, shown, value in (("card", "4111 1111 1111 1111", "4111111111111111"), ("phone", "+1 23 45", "1+2345")):
+        drawn = pii.surrogate(KEY, kind, value, pii.SAME_LENGTH + 1)
+        put = pii._shown_as(kind, shown, drawn)
+        assert re.sub(r"\D", "", put) == drawn.replace("+", "") and len(put) == len(shown) + 2
+    assert pii._luhn(pii.surrogate(KEY, "card", "4111111111111111", pii.SAME_LENGTH + 2)) == 0
+    assert pii.surrogate(KEY, "ip", "1.2.3.4", pii.MOST_DRAWS - 1).startswith("2001:db8:")

@@ -10,7 +10,9 @@ before; an octet stays an octet; a name ends as names of its gender do.
 
 Two values may draw the same surrogate, and a surrogate may be a value of the
 corpus. All distinct values are checked for both, and the later one (by value)
-draws again until neither happens. What was drawn again is looked up when texts
+draws again until neither happens. After ``SAME_LENGTH`` draws each further one is
+a character longer (octets of any width, then IPv6 addresses), so short values
+that crowd their length settle too. What was drawn again is looked up when texts
 are replaced; everything else needs no table.
 
 Null and empty texts hold nothing and stay. Repeated rows are replaced alike. An
@@ -38,6 +40,9 @@ FEMALE_FORMS = "Mrs Ms Miss Madam Frau Fräulein Madame Mme Mademoiselle Señora
 
 #: Documents whose drawn-again values may be broadcast; beyond it Spark shuffles.
 BROADCAST_DOCS = 50_000
+#: Draws of a value's own length; each later one has one character more.
+SAME_LENGTH = 4
+#: Never reached: surrogates have 36 more characters by then.
 MOST_DRAWS = 40
 
 _FORMS = "|".join(sorted(MALE_FORMS + FEMALE_FORMS, key=len, reverse=True))
@@ -56,6 +61,7 @@ _FOUND = re.compile(
 )
 _MAYBE = re.compile("|".join(["[@0-9]", "[Tt]oken", "[Ss]ecret", "passw", "pwd", "key", "[Bb]earer", *MALE_FORMS, *FEMALE_FORMS]))
 
+_LETTERS = {"LATIN": "abcdefghijklmnopqrstuvwxyz", "CYRILLIC": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "GREEK": "αβγδεζηθικλμνξοπρστυφχψω"}
 _VOWELS = {"LATIN": "aeiou", "CYRILLIC": "аеиоу", "GREEK": "αεηιου"}
 _CONSONANTS = {"LATIN": "bcdfghklmnprstvz", "CYRILLIC": "бвгдзклмнпрст", "GREEK": "βγδζκλμνπρστ"}
 _LAST = {"LATIN": ("n", "a"), "CYRILLIC": ("н", "а"), "GREEK": ("ς", "α")}
@@ -101,8 +107,7 @@ def _luhn(digits: str) -> int:
 
 def _same_kinds(value: str, draw: _Draw) -> str:
     """Digits for digits and letters of the script for letters; the rest stays."""
-    script = _script(value)
-    letters = _VOWELS[script] + _CONSONANTS[script]
+    letters = _LETTERS[_script(value)]
     return "".join(draw.of("0123456789") if c.isdigit() else draw.of(letters) if c.isalpha() else c for c in value)
 
 
@@ -111,26 +116,38 @@ def _octet(width: int, draw: _Draw) -> str:
     return str(low + draw.below(high - low + 1))
 
 
-def _email(value: str, draw: _Draw, key: bytes) -> str:
+def _ip(value: str, draw: _Draw, more: int) -> str:
+    """Octets as wide as the value's, then of any width, then an address of IPv6."""
+    if not more:
+        return ".".join(_octet(len(o), draw) for o in value.split("."))
+    if more <= 2 * SAME_LENGTH:
+        return ".".join(str(draw.below(256)) for _ in range(4))
+    return "2001:db8:" + ":".join(f"{draw.below(1 << 16):04x}" for _ in range(6))
+
+
+def _email(value: str, draw: _Draw, key: bytes, more: int) -> str:
     """Local part by the whole address; the domain by itself, so hosts stay one."""
     local, _, domain = value.partition("@")
     labels = domain.split(".")
     own = _Draw(key, "domain", domain, 0)
     kept = 2 if len(labels) > 2 and labels[-2] == "example" else 1
     moved = [_same_kinds(x, own) for x in labels[:-kept]]
-    return f"{_same_kinds(local, draw)}@{'.'.join(moved + labels[-kept:])}"
+    longer = "".join(draw.of(_LETTERS[_script(local)]) for _ in range(more))
+    return f"{_same_kinds(local, draw)}{longer}@{'.'.join(moved + labels[-kept:])}"
 
 
-def _name(value: str, draw: _Draw) -> str:
+def _name(value: str, draw: _Draw, more: int) -> str:
     female, value = value[0] == "f", value[2:]
     script = _script(value)
     out = []
-    for part in re.split(r"([ -])", value):
+    parts = re.split(r"([ -])", value)
+    for at, part in enumerate(parts):
         if len(part) < 2:
             out.append(part)
             continue
         start = draw.below(2)
-        letters = [draw.of((_VOWELS if (k + start) % 2 else _CONSONANTS)[script]) for k in range(len(part) - 1)]
+        n = len(part) - 1 + (more if at == len(parts) - 1 else 0)
+        letters = [draw.of((_VOWELS if (k + start) % 2 else _CONSONANTS)[script]) for k in range(n)]
         out.append("".join(letters) + _LAST[script][female])
     return ("f:" if female else "m:") + "".join(out)
 
@@ -138,27 +155,29 @@ def _name(value: str, draw: _Draw) -> str:
 def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     """What a value in its one form is replaced by, in that form."""
     draw = _Draw(key, kind, value, attempt)
+    more = max(0, attempt - SAME_LENGTH + 1)
     if kind == "email":
-        return _email(value, draw, key)
+        return _email(value, draw, key, more)
     if kind == "ip":
-        return ".".join(_octet(len(o), draw) for o in value.split("."))
+        return _ip(value, draw, more)
     if kind == "phone":
         country, _, rest = value.rpartition("+")
-        return f"{country}+{draw.of('23456789')}" + "".join(draw.of("0123456789") for _ in rest[1:])
+        return f"{country}+{draw.of('23456789')}" + "".join(draw.of("0123456789") for _ in range(len(rest) - 1 + more))
     if kind == "card":
-        body = value[0] + "".join(draw.of("0123456789") for _ in value[1:-1])
+        body = value[0] + "".join(draw.of("0123456789") for _ in range(len(value) - 2 + more))
         last = [d for d in "0123456789" if (_luhn(body + d) == 0) == (_luhn(value) == 0)]
         return body + last[draw.below(len(last))]
     if kind == "name":
-        return _name(value, draw)
+        return _name(value, draw, more)
     if re.fullmatch("[0-9a-f]+", value) or re.fullmatch("[0-9A-F]+", value):
-        return "".join(draw.of("0123456789abcdef" if value == value.lower() else "0123456789ABCDEF") for _ in value)
+        digits = "0123456789abcdef" if value == value.lower() else "0123456789ABCDEF"
+        return "".join(draw.of(digits) for _ in range(len(value) + more))
     cased = "".join(
         draw.of("0123456789") if c.isdigit() else draw.of("abcdefghijklmnopqrstuvwxyz") if c.islower()
         else draw.of("ABCDEFGHIJKLMNOPQRSTUVWXYZ") if c.isupper() else c
         for c in value
     )
-    return cased
+    return cased + "".join(draw.of("abcdefghijklmnopqrstuvwxyz") for _ in range(more))
 
 
 def _one_form(kind: str, shown: str, form: str | None) -> str:
@@ -175,15 +194,23 @@ def _one_form(kind: str, shown: str, form: str | None) -> str:
     return shown
 
 
+def _capitals(shown: str, drawn: str) -> str:
+    """What is longer than the value ends as the value does."""
+    shown += shown[-1:] * (len(drawn) - len(shown))
+    return "".join(d.upper() if c.isupper() else d for c, d in zip(shown, drawn, strict=True))
+
+
 def _shown_as(kind: str, shown: str, drawn: str) -> str:
     """The surrogate with the separators and capitals that the value had in the text."""
     if kind in ("card", "phone"):
         digits = iter(drawn.replace("+", ""))
-        return "".join(next(digits) if c.isdigit() else c for c in shown)
+        return "".join(next(digits) if c.isdigit() else c for c in shown) + "".join(digits)
     if kind == "name":
         drawn = drawn[2:]
-    if kind in ("email", "name") and len(drawn) == len(shown):
-        return "".join(d.upper() if c.isupper() else d for c, d in zip(shown, drawn, strict=True))
+    if kind in ("email", "name") and len(drawn) >= len(shown):
+        (a, at, b), (c, _, d) = shown.partition("@"), drawn.partition("@")
+        if len(a) <= len(c) and len(b) == len(d):
+            return _capitals(a, c) + at + _capitals(b, d)
     return drawn
 
 
