@@ -137,3 +137,21 @@ def test_longer_forms_are_shown():
         assert re.sub(r"\D", "", put) == drawn.replace("+", "") and len(put) == len(shown) + 2
     assert pii._luhn(pii.surrogate(KEY, "card", "4111111111111111", pii.SAME_LENGTH + 2)) == 0
     assert pii.surrogate(KEY, "ip", "1.2.3.4", pii.MOST_DRAWS - 1).startswith("2001:db8:")
+
+
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ("API_KEY=", ""), ("Token: ", ""), ('PASSWORD = "', '"'), ('{"Secret": "', '"}'), ("Access-Key=", ""), ("PWD:", ""),
+        ("Authorization: Bearer ", "\n"), ("authorization: bearer ", ""), ("BEARER ", ""), ("token: Bearer ", ""),
+    ],
+)
+def test_labels_of_secrets_in_any_case(before, after):
+    text = f"x\n{before}qT.zz-Abc123xyz{after}"
+    assert [(text[a:b], kind) for a, b, kind, _ in pii.find(text)] == [("qT.zz-Abc123xyz", "secret")]
+
+
+def test_words_after_bearer_stay_and_long_runs_take_no_time():
+    assert not any(list(pii.find(t)) for t in ("the bearer responsibilities", "Bearer well-established-thing", "BEARER of a"))
+    for run in ("bearer" + " " * 400_000, "bearer " * 60_000, "Bearer " + "z" * 400_000, "token=Bearer" + " " * 400_000):
+        assert list(pii.find(run + " 1")) == []

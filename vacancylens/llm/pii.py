@@ -45,11 +45,13 @@ SAME_LENGTH = 4
 #: Never reached: surrogates have 36 more characters by then.
 MOST_DRAWS = 40
 
+#: Labels of secrets in any case; the first letter stands for itself, so other places are left fast.
+_LABELS = "[Tt](?i:oken)|[Ss](?i:ecret)|[Pp](?i:asswor[dt]|asswd|wd)|[Aa](?i:pi[_-]?key|ccess[_-]?key)|[Bb](?i:earer)"
 _FORMS = "|".join(sorted(MALE_FORMS + FEMALE_FORMS, key=len, reverse=True))
 # Every part is bounded or begins where a run begins, so long words cost no more.
 _FOUND = re.compile(
     rf"""
-      (?:token|secret|passwor[dt]|passwd|pwd|api[_-]?key|access[_-]?key|bearer)["']?\s*[=:]\s*["']?(?P<labelled>[A-Za-z0-9+/_.~-]{{12,}})
+      (?:(?:{_LABELS})["']?\s*[=:]\s*["']?(?:[Bb](?i:earer)\s+)?|[Bb](?i:earer)\s+(?=[a-z+/_.~-]*[0-9A-Z]))(?P<labelled>[A-Za-z0-9+/_.~-]{{12,}})
     | (?<![0-9A-Za-z])(?P<hex>[0-9a-f]{{32,}}|[0-9A-F]{{32,}})(?![0-9A-Za-z])
     | (?<![\w.%+-])(?P<email>[\w.%+-]{{1,256}}@\w[\w-]{{0,62}}(?:\.\w[\w-]{{0,62}})+)
     | (?<![\w.])(?P<ip>(?:\d{{1,3}}\.){{3}}\d{{1,3}})(?!\d|\.\d)
@@ -59,7 +61,7 @@ _FOUND = re.compile(
     """,
     re.VERBOSE,
 )
-_MAYBE = re.compile("|".join(["[@0-9]", "[Tt]oken", "[Ss]ecret", "passw", "pwd", "key", "[Bb]earer", *MALE_FORMS, *FEMALE_FORMS]))
+_MAYBE = re.compile("|".join(["[@0-9]", f"(?:{_LABELS})", *MALE_FORMS, *FEMALE_FORMS]))
 
 _LETTERS = {"LATIN": "abcdefghijklmnopqrstuvwxyz", "CYRILLIC": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "GREEK": "αβγδεζηθικλμνξοπρστυφχψω"}
 _VOWELS = {"LATIN": "aeiou", "CYRILLIC": "аеиоу", "GREEK": "αεηιου"}
