@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 import pytest
 import tricky
@@ -81,3 +82,82 @@ def test_query_finds_every_plain_license_line(spark):
     for row in spark.read.parquet(f"{sf}/documents.parquet").collect():
         lines = [plain[x] for x in row.text.split("\n") if x in plain]
         assert set(lines) <= set(got[row.doc_id]) and (lines or not got[row.doc_id])
+
+
+APACHE = """Copyright 2020 Somebody
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+BSD2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+BSD3 = BSD2 + """
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS."""
+MIT_WHOLE = "MIT License\n\nCopyright (c) 2020 Somebody\n\n" + MIT + """
+
+IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+GPL_COPY = "\n\nYou should have received a copy of the GNU General Public License\nalong with this program.  If not, see <https://www.gnu.org/licenses/>."
+
+
+def wrapped(text, width=None):
+    """Words in lines of another width, paragraphs kept."""
+    return "\n\n".join("\n".join(textwrap.wrap(" ".join(p.split()), width or 10**6)) for p in text.split("\n\n"))
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        (APACHE, "Apache-2.0"),
+        (MPL, "MPL-2.0"),
+        (BSD2, "BSD-2-Clause"),
+        (BSD3, "BSD-3-Clause"),
+        (ISC, "ISC"),
+        (ISC.replace("and/or", "and"), "ISC"),
+        (MIT_WHOLE, "MIT"),
+        (GPL + GPL_COPY, "GPL-3.0-or-later"),
+        ((GPL + GPL_COPY).replace("software:", "software;").replace("version 3", "version 2"), "GPL-2.0-or-later"),
+        ((GPL + GPL_COPY).replace("GNU General", "GNU Affero General"), "AGPL-3.0-or-later"),
+        ((GPL + GPL_COPY).replace("GNU General", "GNU Lesser General").replace("program", "library").replace("version 3", "version 2.1"), "LGPL-2.1-or-later"),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", "CC-BY-NC-SA-4.0"),
+        ("This is free and unencumbered software released into the public domain.", "Unlicense"),
+        ("Licensed under the Mozilla Public License,\nv. 2.0.", "MPL-2.0"),
+        ("Licensed under the GNU GPL, v.\n3.", "GPL-3.0"),
+    ],
+)
+@pytest.mark.parametrize("comment", ["", "# ", " * "])
+def test_standard_notices_are_matched_whole(text, expected, comment):
+    for shown in (text, wrapped(text, 60), wrapped(text, 75), wrapped(text)):
+        found = licenses.sentences("".join(f"{comment}{x}\n" for x in shown.split("\n")))
+        assert licenses.match_rules(found) == ([expected], []), shown

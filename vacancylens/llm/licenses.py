@@ -22,11 +22,11 @@ from pyspark.sql import functions as F
 from vacancylens.llm.arrays import Texts
 from vacancylens.llm.frames import over_texts
 
-_V = r"(?:version )?v?(?P<v>\d(?: \d)?)"
+_V = r"(?:version )?(?:v ?)?(?P<v>\d(?: \d)?)"
 #: Known sentences in their one form (fixed values): identifier and pattern; v is a version.
 SENTENCES = (
-    ("apache-ref", rf"(?:this (?:work|file|software|project) is )?(?:licensed|released|distributed) under the(?: terms of the)? apache(?: software)? license(?: {_V})?"),
-    ("apache-ref", rf"(?:the )?apache(?: software)? license {_V}"),
+    ("apache-ref", rf"(?:this (?:work|file|software|project) is )?(?:licensed|released|distributed) under the(?: terms of the)? apache(?: software)? license(?: {_V})?(?: the license)?"),
+    ("apache-ref", rf"(?:the )?apache(?: software)? license {_V}(?: the license)?"),
     ("apache-comply", r"(?:you may not use this file except in compliance with the license)"),
     ("apache-copy", r"you may obtain a copy of the license at(?: (?:http )?https? .*| www .*)?"),
     ("apache-basis", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"),
@@ -44,17 +44,19 @@ SENTENCES = (
     ("bsd-ref", rf"(?:this (?:work|file|software|project) is )?(?:licensed|released|distributed) under the(?: terms of the)?(?: {_V} clause)? bsd license"),
     ("gpl-ref", rf"(?:this (?:work|file|software|project) is )?(?:licensed|released|distributed) under the(?: terms of the)? (?:gnu general public license|gnu gpl|gpl)(?: {_V})?"),
     ("gpl-free", rf"this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either {_V} of the license or at your option any later version"),
-    ("gpl-hope", r"this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"),
-    ("gpl-see", r"see the gnu general public license for more details"),
-    ("gpl-copy", r"you should have received a copy of the gnu general public license along with this program(?: if not .*)?"),
+    ("lgpl-free", rf"this (?:program|library|software) is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either {_V} of the license or at your option any later version"),
+    ("agpl-free", rf"this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either {_V} of the license or at your option any later version"),
+    ("gpl-hope", r"this (?:program|library|software) is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"),
+    ("gpl-see", r"see the gnu (?:lesser |affero )?general public license for more details"),
+    ("gpl-copy", r"you should have received a copy of the gnu (?:lesser |affero )?general public license along with this (?:program|library|software)(?: if not .*)?"),
     ("lgpl-ref", rf"(?:this (?:work|file|software|project) is )?(?:licensed|released|distributed) under the(?: terms of the)? (?:gnu lesser general public license|gnu lgpl|lgpl)(?: {_V})?"),
     ("agpl-ref", rf"(?:this (?:work|file|software|project) is )?(?:licensed|released|distributed) under the(?: terms of the)? (?:gnu affero general public license|gnu agpl|agpl)(?: {_V})?"),
     ("mpl-ref", rf"this source code form is subject to the terms of the mozilla public license {_V}"),
     ("mpl-ref", rf"(?:this (?:work|file|software|project) is )?(?:licensed|released|distributed) under the(?: terms of the)? mozilla public license(?: {_V})?"),
     ("mpl-copy", r"if a copy of the mpl was not distributed with this file you can obtain one at(?: https? .*| mozilla .*)?"),
-    ("isc-grant", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("isc-grant", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
     ("isc-as-is", r"the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness"),
-    ("cc-ref", rf"(?:this (?:work|file|text|page) is )?(?:licensed|released|distributed) under(?: an?| the)? (?:cc|creative commons) (?P<k>by(?: nc)?(?: sa| nd)?)(?: {_V})?(?: international)?(?: license)?"),
+    ("cc-ref", rf"(?:this (?:work|file|text|page) is )?(?:licensed|released|distributed) under(?: an?| the)? (?:cc|creative commons) (?P<k>by(?: nc)?(?: sa| nd)?|attribution(?: noncommercial)?(?: sharealike| noderiv(?:ative)?s)?)(?: {_V})?(?: international)?(?: license)?"),
     ("cc0-ref", r"(?:this (?:work|file|text|page) is )?(?:licensed|released|distributed) under(?: the)? cc0(?: 1 0)?(?: universal)?"),
     ("public-domain", r"this (?:is free and unencumbered software|work has been) released into the public domain"),
     ("all-rights", r"(?:copyright .{0,80} )?all rights reserved"),
@@ -70,6 +72,12 @@ RULES = (
     (("gpl-free", "gpl-hope", "gpl-see", "gpl-copy"), "GPL-{v}-or-later"),
     (("gpl-free", "gpl-hope", "gpl-see"), "GPL-{v}-or-later"),
     (("gpl-free",), "GPL-{v}-or-later"),
+    (("lgpl-free", "gpl-hope", "gpl-see", "gpl-copy"), "LGPL-{v}-or-later"),
+    (("lgpl-free", "gpl-hope", "gpl-see"), "LGPL-{v}-or-later"),
+    (("lgpl-free",), "LGPL-{v}-or-later"),
+    (("agpl-free", "gpl-hope", "gpl-see", "gpl-copy"), "AGPL-{v}-or-later"),
+    (("agpl-free", "gpl-hope", "gpl-see"), "AGPL-{v}-or-later"),
+    (("agpl-free",), "AGPL-{v}-or-later"),
     (("isc-grant", "isc-as-is"), "ISC"),
     (("isc-grant",), "ISC"),
     (("mpl-ref", "mpl-copy"), "MPL-{v}"),
@@ -89,7 +97,9 @@ RULES = (
 
 #: Every known sentence has one of these words, so texts without any need no cutting.
 _HINT = re.compile(rb"(?i)licen[sc]|permission|redistribution|apache|free software|in no event|as is|general public|hope that|public domain|rights reserved|mozilla|mpl|unless required|neither the name")
-_CUT = re.compile(r"(?<=[.!?])[^\w\s]*(?:\s+|$)|\n+")
+# Not after the "v." of a number; also after the ");" that ends a reference.
+_CUT = re.compile(r"(?<=[.!?])(?!(?<=\b[vV]\.)\s*\d)[^\w\s]*(?:\s+|$)|(?<=\);)\s+|\n+")
+_NUMBER_FOLLOWS = re.compile(r"\b[vV]\.\s*$")
 _WORD = re.compile(r"[^\W_]+")
 _KNOWN = [(name, re.compile(pattern)) for name, pattern in SENTENCES]
 _FIRST = re.compile("|".join(f"(?:{pattern.replace('(?P<v>', '(?:').replace('(?P<k>', '(?:')})" for _, pattern in SENTENCES))
@@ -100,6 +110,8 @@ _BEGIN = frozenset(
 )
 #: Lines that one sentence may be wrapped over.
 MOST_LINES = 16
+#: Parts of the names of Creative Commons licences, where they are written out.
+_CC = {"attribution": "by", "noncommercial": "nc", "sharealike": "sa", "noderivatives": "nd", "noderivs": "nd"}
 
 
 def one_form(sentence: str) -> str:
@@ -107,7 +119,7 @@ def one_form(sentence: str) -> str:
 
 
 def _ended(part: str) -> bool:
-    return part.rstrip().rstrip("\"')]}*#$%&").endswith((".", "!", "?"))
+    return part.rstrip().rstrip("\"')]}*#$%&").endswith((".", "!", "?")) and not _NUMBER_FOLLOWS.search(part)
 
 
 def identify(form: str) -> tuple[str, str, str] | None:
@@ -119,7 +131,8 @@ def identify(form: str) -> tuple[str, str, str] | None:
         if m:
             groups = m.groupdict()
             version = (groups.get("v") or "").replace(" ", ".")
-            return name, version, (groups.get("k") or "").replace(" ", "-").upper()
+            kind = "-".join(_CC.get(x, x) for x in (groups.get("k") or "").split())
+            return name, version, kind.upper()
     return None
 
 
@@ -140,6 +153,11 @@ def sentences(text: str) -> list[tuple[str, str, str]]:
             n += 1
             joined = f"{joined} {forms[n]}".strip()
             hit, used = identify(joined), n - k + 1
+        # A reference may go on with its version in the next line.
+        if hit is not None and hit[0].endswith("-ref") and not hit[1] and k + used < len(parts) and not _ended(parts[k + used - 1]):
+            longer = identify(f"{joined} {forms[k + used]}")
+            if longer is not None and longer[0] == hit[0]:
+                hit, used = longer, used + 1
         if hit is not None:
             found.append(hit)
             k += used
