@@ -1,3 +1,5 @@
+import itertools
+import math
 import random
 
 import pytest
@@ -86,3 +88,44 @@ def test_masks_ignore_their_gaps(mask):
         other = hashes.copy()
         other[k] = 7
         assert (decontam.seeds(hashes, mask) == decontam.seeds(other, mask)).all() == (c == "0")
+
+
+def test_masks_leave_out_all_that_may_differ():
+    for n in range(8, 30):
+        width = min(n, decontam.WINDOW)
+        places = [{s + k for k, c in enumerate(m) if c == "1"} for m in decontam.MASKS for s in range(width - len(m) + 1)]
+        replaced = width - math.ceil(decontam.SHARE * width / 100)
+        assert all(any(p.isdisjoint(e) for p in places) for e in itertools.combinations(range(width), replaced)), n
+
+
+def test_every_replacement_in_short_items_is_found(spark):
+    items = {n: prose(n) for n in range(8, 15)}
+    docs, expected = [], set()
+    for n, item in items.items():
+        width = min(n, decontam.WINDOW)
+        for places in itertools.combinations(range(width), width - math.ceil(decontam.SHARE * width / 100)):
+            changed = [f"new{k}" if k in places else w for k, w in enumerate(item[:width])]
+            expected.add((len(docs), n))
+            docs.append(["before"] * 3 + changed + ["after"] * 3)
+    got = run(spark, [(k, " ".join(d)) for k, d in enumerate(docs)], [(n, " ".join(i)) for n, i in items.items()])
+    assert all(agree(items[n], docs[k]) for k, n in expected) and set(got) == expected
+
+
+def test_equal_to_all_distances(spark):
+    items = [prose(n) for n in range(8, 21)]
+    docs = []
+    for _ in range(150):
+        part = list(RND.choice(items))[RND.randrange(0, 3) :]
+        for _ in range(RND.randrange(0, 5)):
+            part[RND.randrange(len(part))] = "changed"
+        docs.append(prose(RND.randrange(0, 40)) + part + prose(RND.randrange(0, 40)))
+    got = run(spark, [(k, " ".join(d)) for k, d in enumerate(docs)], [(k, " ".join(i)) for k, i in enumerate(items)])
+    assert set(got) == {(k, n) for k, d in enumerate(docs) for n, i in enumerate(items) if agree(i, d)}
+
+
+def test_scripts_without_spaces(spark):
+    items = [(1, "今日は朝から雨が降っていたので、家で本を読みました。"), (2, "我们在图书馆里看了一整天的书，然后一起回家"), (3, "วันนี้ฝนตกตั้งแต่เช้าฉันจึงอ่านหนังสือ"), (4, "𠀀𠀁𠀂𠀃𠀄𠀅𠀆𠀇𠀈")]
+    docs = [(k, f"前文，{t}後文") for k, t in items] + [(5, "他说：“我们在图书馆里看了—一整天的书。然后 一起回家”！"), (6, "x" + items[1][1][:9] + "yé"), (7, "完全不同的文字在这里写着没有任何关系的内容")]
+    got = run(spark, docs, items)
+    assert set(got) == {(k, k) for k in range(1, 5)} | {(5, 2)}
+    assert got[5, 2].n_same == got[5, 2].n_words == got[5, 2].item_words == 20

@@ -177,19 +177,24 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: by
     return mix(out)
 
 
-def words(chunk: Texts, fold: bytes | None = None, solid: bytes = NOT_SPACE, prefix: int = 0) -> Words:
+def words(
+    chunk: Texts, fold: bytes | None = None, solid: bytes | np.ndarray = NOT_SPACE, prefix: int = 0, breaks: np.ndarray | None = None
+) -> Words:
     """Maximal runs of ``solid`` bytes, hashed after ``fold`` of their bytes.
 
     Equal words have equal hashes; different words have different ones but for
     chances of 2**-64. With ``prefix``, the first so many bytes of each word are
-    hashed as well.
+    hashed as well. ``solid`` may be a flag for each byte of the chunk, and no word
+    goes on at the bytes ``breaks``.
     """
     data, offsets = chunk.data, chunk.offsets
-    inside = flagged(data, solid)
+    inside = flagged(data, solid) if isinstance(solid, bytes) else solid
     heads = offsets[:-1][offsets[:-1] < len(data)]
     fresh = np.ones(len(data) + 1, dtype=bool)  # no word goes on here from the byte before
     np.logical_not(inside[:-1], out=fresh[1:-1])
     fresh[heads] = True
+    if breaks is not None:
+        fresh[breaks] = True
     starts = np.flatnonzero(inside & fresh[:-1])
     fresh[:-1] |= ~inside
     ends = np.flatnonzero(inside & fresh[1:]) + 1
