@@ -41,3 +41,26 @@ def test_a_text_of_no_known_script_is_rejected(spark):
     model = language.train(docs)
     assert model.least <= language.RATHER / len(model.languages)
     assert language.keep_known(docs, model).count() >= 0.995 * docs.count()
+
+
+UNLEARNED = [
+    "La città era silenziosa quella mattina, e nessuno sapeva perché le finestre fossero chiuse. Gli uomini camminavano lentamente verso la piazza.",
+    "Kaupunki oli hiljainen sinä aamuna, eikä kukaan tiennyt miksi ikkunat olivat kiinni. Miehet kävelivät hitaasti kohti toria ja puhuivat vähän.",
+    "O sabah şehir sessizdi ve kimse pencerelerin neden kapalı olduğunu bilmiyordu. Adamlar yavaşça meydana doğru yürüyor ve az konuşuyorlardı.",
+    "Miasto było ciche tego ranka i nikt nie wiedział, dlaczego okna były zamknięte. Mężczyźni powoli szli w stronę placu.",
+    "xqzk vrtwp jjkq zzxv qwpk bvnm xcvb wqzx kjhg pqow zmxn qpwk lkjq vbzx wqpz xkcd jqkz mnbv zxqw",
+    "Город был тих в то утро, и никто не знал, почему окна были закрыты.",
+    "那天早上城市很安静，没有人知道为什么窗户都关着。",
+]
+
+
+def test_unlearned_languages_go_and_learned_ones_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = language.train(docs.filter("doc_id % 5 <> 0"))
+    got = language.predict(tricky.texts(spark, *enumerate(UNLEARNED)), model).collect()
+    assert [r.doc_id for r in got if not r.rejected] == []
+    assert language.keep_known(tricky.texts(spark, *enumerate(UNLEARNED)), model).count() == 0
+    held = docs.filter("doc_id % 5 = 0 and lang is not null")
+    labels = {r.doc_id: r for r in language.predict(held, model).collect()}
+    right = [labels[r.doc_id] for r in held.select("doc_id", "lang").collect() if labels[r.doc_id].lang_pred == r.lang]
+    assert sum(r.rejected for r in right) <= 0.003 * len(right)

@@ -8,6 +8,13 @@ temperature is fitted on rows kept apart, and on the same rows the least score
 that a text must reach (all but ``REJECTED_SHARE`` of those classified right do,
 and one whose language is ``RATHER`` times as likely as a blind guess always does).
 
+A softmax is sure of texts in languages it never saw. So a text is also rejected
+if too many of its subwords were in no sampled text of its predicted language.
+How many, is calibrated on whole texts kept apart so that all but
+``REJECTED_SHARE`` of those classified right pass: by their quantile in the language,
+or where a Pareto tail fitted to the largest rates of all puts it, whichever is
+more. A language with fewer than ``LEAST_HELD`` of them rejects none that way.
+
 Mean and softmax's input are linear, so for prediction embeddings and weights
 fold into one number for each bucket and language.
 
@@ -36,6 +43,9 @@ DIMENSION = 16
 SAMPLE_PER_LANGUAGE, MAX_LANGUAGES = 700, 200
 EPOCHS, RATE = 6, 12.0
 REJECTED_SHARE, RATHER = 0.0005, 1.5
+LEAST_HELD = 30
+#: Subwords added to a text's own, so that a few unseen ones do not reject a short text.
+ADDED = 10
 #: Bytes of the excerpt that a sampled text adds, so short texts are learned too.
 EXCERPT = 60
 UNKNOWN = "und"
@@ -96,11 +106,14 @@ class LanguageModel:
     bias: np.ndarray
     temperature: float = 1.0
     least: float = 0.0
+    #: Whether a language's sampled texts have a bucket, and the largest rate of others it takes.
+    seen: np.ndarray | None = None
+    most_unseen: np.ndarray | None = None
 
-    def logits(self, chunk: Texts) -> np.ndarray:
+    def logits(self, chunk: Texts, buckets: list[np.ndarray] | None = None) -> np.ndarray:
         total = np.zeros((len(chunk), len(self.languages)))
         count = np.zeros(len(chunk))
-        for bucket in subwords(chunk):
+        for bucket in subwords(chunk) if buckets is None else buckets:
             count += _sums((bucket != BUCKETS).astype(np.float32), chunk.offsets)
             for k, table in enumerate(self.scores):
                 total[:, k] += _sums(table[bucket], chunk.offsets)
@@ -111,6 +124,33 @@ class LanguageModel:
         z = np.exp(z - z.max(axis=1, keepdims=True))
         return z / z.sum(axis=1, keepdims=True)
 
+    def judge(self, chunk: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Language, its probability, and whether the text is accepted, for each text."""
+        buckets = subwords(chunk)
+        p = self.probabilities(self.logits(chunk, buckets))
+        best = p.argmax(axis=1)
+        score = p[np.arange(len(best)), best]
+        row = np.repeat(best * (BUCKETS + 1), np.diff(chunk.offsets))
+        unseen, count = np.zeros(len(chunk)), np.zeros(len(chunk))
+        for bucket in buckets:
+            count += _sums((bucket != BUCKETS).astype(np.float32), chunk.offsets)
+            unseen += _sums((~self.seen.reshape(-1)[row + bucket]).astype(np.float32), chunk.offsets)
+        return best, score, (score >= self.least) & (_unseen_rate(unseen, count) <= self.most_unseen[best])
+
+
+def _unseen_rate(unseen: np.ndarray, count: np.ndarray) -> np.ndarray:
+    return (unseen + 0.5) / (count + ADDED)
+
+
+def _tail(rates: np.ndarray) -> float:
+    """The rate that ``REJECTED_SHARE`` exceed, by a Pareto tail over the largest twentieth."""
+    ordered = np.sort(rates)[::-1]
+    k = len(ordered) // 20
+    if not k:
+        return float(ordered.max(initial=0.0))
+    shape = np.log(ordered[:k] / ordered[k]).mean()
+    return float(ordered[k] * (k / (len(ordered) * REJECTED_SHARE)) ** shape)
+
 
 def _bag(chunk: Texts, lo: int, hi: int, buckets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     cut = np.concatenate([b[lo:hi] for b in buckets])
@@ -151,6 +191,7 @@ def train(labelled: DataFrame, seed: int = 7) -> LanguageModel:
     for r in bags:
         n = np.frombuffer(r["n"], np.float32)
         made.append((np.frombuffer(r["bucket"], np.uint16), n / n.sum(), index[r["lang"]], r["doc_id"] % 4 == 1))
+    whole = [(r, np.frombuffer(r["n"], np.float32)) for r in bags if r["part"] == 0 and r["doc_id"] % 4 == 1]
     fit, held = [m for m in made if not m[3]] or made, [m for m in made if m[3]] or made
 
     rng = np.random.default_rng(seed)
@@ -187,6 +228,18 @@ def train(labelled: DataFrame, seed: int = 7) -> LanguageModel:
     p = model.probabilities(logits)
     right = p.max(axis=1)[p.argmax(axis=1) == targets]
     model.least = min(float(np.quantile(right, REJECTED_SHARE)), RATHER / len(languages)) if len(right) else 0.0
+
+    model.seen = np.zeros((len(languages), BUCKETS + 1), bool)
+    model.seen[:, BUCKETS] = True
+    for idx, _, target, _ in fit:
+        model.seen[target, idx] = True
+    rates: list[list[float]] = [[] for _ in languages]
+    for r, n in whole:
+        idx, target = np.frombuffer(r["bucket"], np.uint16), index[r["lang"]]
+        if (scores[:, idx] @ (n / n.sum()) + bias).argmax() == target:
+            rates[target].append(_unseen_rate(n[~model.seen[target, idx]].sum(), n.sum()))
+    tail = _tail(np.concatenate([np.array(x) for x in rates]))
+    model.most_unseen = np.array([max(tail, np.quantile(x, 1 - REJECTED_SHARE)) if len(x) >= LEAST_HELD else np.inf for x in rates])
     return model
 
 
@@ -204,11 +257,10 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
         has_letter = np.asarray(rows.column(1).to_pylist(), dtype=bool)
         if not model.languages:
             return {"doc_id": rows.column(0), "lang_pred": [UNKNOWN] * len(chunk), "score": np.zeros(len(chunk)), "rejected": np.ones(len(chunk), bool)}
-        p = model.probabilities(model.logits(chunk))
-        best = p.argmax(axis=1)
-        score = np.where(has_letter, p[np.arange(len(best)), best], 0.0)
+        best, score, accepted = model.judge(chunk)
+        score = np.where(has_letter, score, 0.0)
         names = [model.languages[k] if ok else UNKNOWN for k, ok in zip(best, has_letter, strict=True)]
-        return {"doc_id": rows.column(0), "lang_pred": names, "score": score, "rejected": ~has_letter | (score < model.least)}
+        return {"doc_id": rows.column(0), "lang_pred": names, "score": score, "rejected": ~has_letter | ~accepted}
 
     return over_texts(narrow, label, "doc_id long, lang_pred string, score double, rejected boolean")
 
@@ -224,7 +276,7 @@ def keep_known(docs: DataFrame, model: LanguageModel, text_col: str = "text") ->
         if not model.languages:
             keep = np.zeros(len(chunk), bool)
         else:
-            keep = model.probabilities(model.logits(chunk)).max(axis=1) >= model.least
+            keep = model.judge(chunk)[2]
         return {name: rows.column(name).filter(pa.array(keep)) for name in ("_rest", "_text")}
 
     return over_texts(rows, known, rows.schema, column="_text").select(*joined_with_text(docs.columns, text_col))
