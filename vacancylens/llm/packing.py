@@ -102,7 +102,7 @@ def _exchange(donor: list[int], target: list[int], room: int, size: list[int]) -
 
 
 def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
-    """Local search over the underfull bins until none can be emptied."""
+    """Local search over the underfull bins until none can be emptied or ``MOST_LOOKS`` is reached."""
     size = lengths.tolist()
     fill = [sum(size[k] for k in b) for b in bins]
     least = math.ceil(sum(fill) / capacity)
