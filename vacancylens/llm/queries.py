@@ -4,9 +4,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vacancylens.llm import decontam, dedup, language, licenses, packing, pii, quality, quotes, sampling, toxicity, wavelet
-from vacancylens.llm.frames import table
+from vacancylens.llm import decontam, dedup, language, licenses, linededup, packing, pii, quality, quotes, sampling, toxicity, wavelet
+from vacancylens.llm.frames import stored, table
 from vacancylens.llm.tokens import TokenizerFile
 from vacancylens.session import configure, new_folder
 
@@ -94,6 +95,14 @@ def op10_toxicity(spark, sf_dir):
     return scores.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+@query
+def op11_line_bitmaps(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    bitmaps = stored(linededup.keep_bitmaps(docs), "bitmaps")
+    kept = linededup.kept_texts(docs, bitmaps)
+    return kept.withColumn("text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).withColumnRenamed("text", "kept_sha256")
+
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLES: dict[str, str] = {
@@ -142,6 +151,21 @@ WITH texts AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT host_failed AS kept, host_failed
 FROM judged JOIN verdicts ON judged.host IS NOT DISTINCT FROM verdicts.host
+""",
+    "op11_line_bitmaps": r"""
+WITH lines AS (
+  SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+), firsts AS (
+  SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10 GROUP BY key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (doc_id > first) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (first IS NULL OR doc_id = first), '')) AS kept_sha256
+FROM keyed LEFT JOIN firsts USING (key) GROUP BY doc_id
 """,
     "op6_quote_threads": r"""
 WITH RECURSIVE messages AS (
