@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancylens.llm import decontam, dedup, language, licenses, linededup, packing, pii, quality, quotes, sampling, toxicity, wavelet
+from vacancylens.llm import collocations, decontam, dedup, language, licenses, linededup, packing, pii, quality, quotes, sampling, toxicity, wavelet
 from vacancylens.llm.frames import stored, table
 from vacancylens.llm.tokens import TokenizerFile
 from vacancylens.session import configure, new_folder
@@ -103,6 +103,11 @@ def op11_line_bitmaps(spark, sf_dir):
     return kept.withColumn("text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).withColumnRenamed("text", "kept_sha256")
 
 
+@query
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLES: dict[str, str] = {
@@ -166,6 +171,40 @@ WITH lines AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (doc_id > first) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (first IS NULL OR doc_id = first), '')) AS kept_sha256
 FROM keyed LEFT JOIN firsts USING (key) GROUP BY doc_id
+""",
+    "op12_collocations": r"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS piece, w
+  FROM (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM documents)
+  WHERE len(w) > 0
+), grams AS (
+  SELECT lang, w[i:i + m - 1] AS g
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM pieces, (SELECT unnest(range(1, 6)) AS m))
+), f AS (
+  SELECT lang, g, count(*) AS f FROM grams GROUP BY lang, g HAVING count(*) >= 100
+), total AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang
+), cuts AS (
+  SELECT lang, g, f AS a, unnest(range(1, len(g))) AS k FROM f WHERE len(g) > 1
+), scored AS (
+  SELECT c.lang, c.g, a, k, l.f AS l, r.f AS r, n, ((1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.g = c.g[1:k]
+  JOIN f r ON r.lang = c.lang AND r.g = c.g[k + 1:] JOIN total t ON t.lang = c.lang
+), worst AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+), inside AS (
+  SELECT DISTINCT lang, p FROM (
+    SELECT lang, f, unnest([g[1:len(g) - 1], g[2:]]) AS p FROM f WHERE len(g) > 2
+  ) x WHERE EXISTS (SELECT 1 FROM f WHERE f.lang = x.lang AND f.g = x.p AND 100 * x.f >= 100 * f.f)
+), kept AS (
+  SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, n, score
+  FROM worst WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = worst.lang AND i.p = worst.g)
+)
+SELECT * FROM (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM kept
+) WHERE rank <= 2000
 """,
     "op6_quote_threads": r"""
 WITH RECURSIVE messages AS (
