@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancylens.llm import collocations, decontam, dedup, language, licenses, linededup, packing, pii, quality, quotes, sampling, toxicity, wavelet
+from vacancylens.llm import collocations, decontam, dedup, language, licenses, linededup, packing, pii, quality, quotes, sampling, search, toxicity, wavelet
 from vacancylens.llm.frames import stored, table
 from vacancylens.llm.tokens import TokenizerFile
 from vacancylens.session import configure, new_folder
@@ -108,6 +108,11 @@ def op12_collocations(spark, sf_dir):
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_mask_search(spark, sf_dir):
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLES: dict[str, str] = {
@@ -205,6 +210,35 @@ WITH pieces AS (
 SELECT * FROM (
   SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM kept
 ) WHERE rank <= 2000
+""",
+    "op13_mask_search": r"""
+WITH terms AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), tf AS (
+  SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY doc_id, term
+), sizes AS (
+  SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id
+), total AS (
+  SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM sizes
+), held AS (
+  SELECT doc_id, 100 - 50 + ((50 * n * docs) // words) AS m FROM sizes, total
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tf, total WHERE term IN (SELECT term FROM asked) GROUP BY term, docs
+), parts AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * m)) AS part
+  FROM tf JOIN weights USING (term) JOIN held USING (doc_id)
+), scored AS (
+  SELECT item_id, doc_id, sum(part)::BIGINT AS score FROM asked JOIN parts USING (term) GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked WHERE rank <= 50
 """,
     "op6_quote_threads": r"""
 WITH RECURSIVE messages AS (
