@@ -229,3 +229,109 @@ def test_streaming_of_raw_responses(spark, tmp_path):
 def test_posting_url(spark):
     df = spark.createDataFrame([("slug",)], "url string")
     assert snapshots.posting_url(df).first().page_url.endswith("/pl/job/slug")
+
+
+def posting_lines(postings, obtained="2021-12-01 08:30:05", total=None, document=None, source="nofluffjobs"):
+    head = {"metadata": {"source_name": source, "obtained_datetime": obtained}} | ({"document": document} if document else {})
+    lines = [head | {"pos": i, "posting": p} for i, p in enumerate(postings)]
+    lines.append(head | {"totalCount": len(postings) if total is None else total})
+    return "\n".join(json.dumps(line) for line in lines) + "\n"
+
+
+def test_posting_lines_equal_the_document(spark, tmp_path):
+    land(tmp_path / "in", "a.json", posting_lines(POSTINGS))
+    lines = snapshots.read_posting_lines(spark, str(tmp_path / "in"))
+    by_line, by_document = str(tmp_path / "l"), str(tmp_path / "d")
+    pipeline.archive(lines, by_line)
+    pipeline.archive(payloads(spark, envelope()), by_document)
+    key = "1638347405_nofluffjobs"
+    columns = ["key", "pos", *snapshots.POSTING.names]
+    one_way, other = (lake.load_postings(spark, p, key).postings.select(*columns).orderBy("pos").collect() for p in (by_line, by_document))
+    assert list(map(str, one_way)) == list(map(str, other)) and len(other) == len(POSTINGS)
+    plain = snapshots.extract(payloads(spark, envelope()))[1].select(*columns).orderBy("pos").collect()
+    assert list(map(str, plain)) == list(map(str, other))
+    with pytest.raises(KeyError, match="posting lines"):
+        lake.load_archived(spark, by_line, key)
+
+
+@pytest.mark.parametrize(
+    "text, message",
+    [
+        (posting_lines([posting("A")], total=2), "totalCount"),
+        (posting_lines([posting("A")]).split("\n")[0], "totalCount"),
+        (posting_lines([posting("A")], obtained="soon"), "obtained_datetime"),
+        (posting_lines([posting("A")], source="other"), "does not come from"),
+        ('{"posting": {"id": "A"}, "pos": 0}', "source_name"),
+        (posting_lines([posting("A")]).replace('"pos": 0, ', ""), "both pos and posting"),
+    ],
+)
+def test_bad_posting_lines_leave_the_lake_as_it_was(spark, tmp_path, text, message):
+    path = str(tmp_path / "lake")
+    pipeline.archive(payloads(spark, one("OLD", "2020-01-01 00:00:00")), path)
+    land(tmp_path / "in", "a.json", text)
+    with pytest.raises(Exception, match=message):
+        pipeline.archive(snapshots.read_posting_lines(spark, str(tmp_path / "in")), path)
+    assert [r.key for r in lake.read_heads(spark, path).collect()] == ["1577836800_nofluffjobs"]
+    assert lake.read_postings(spark, path).count() == 1
+
+
+def test_documents_of_one_key_in_posting_lines(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    land(tmp_path / "in", "a.json", posting_lines([posting("A")], document="one") + posting_lines([posting("B"), posting("C")], document="two"))
+    pipeline.archive(snapshots.read_posting_lines(spark, str(tmp_path / "in")), path)
+    assert {(r.document, r.n_postings) for r in lake.read_heads(spark, path).collect()} == {("one", 1), ("two", 2)}
+    assert lake.load_postings(spark, path, "1638347405_nofluffjobs").postings.count() == 2
+
+
+def test_one_large_snapshot_is_read_and_cleaned_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lake, "POSTINGS_A_FILE", 100)
+    land(tmp_path / "in", "a.json", posting_lines([posting(str(i)) for i in range(1000)]))
+    path = str(tmp_path / "lake")
+    pipeline.archive(snapshots.read_posting_lines(spark, str(tmp_path / "in")), path)
+    spark.conf.set("spark.sql.files.openCostInBytes", "100")
+    try:
+        snapshot = lake.load_postings(spark, path, "1638347405_nofluffjobs")
+        assert len(snapshot.head.files) == 11  # 1000 postings and the line that announces them
+        # Before the first exchange the rows are in as many tasks as there are to be had.
+        assert snapshot.postings.rdd.getNumPartitions() >= 4
+        cleaned = clean.clean(snapshot.postings, gazetteer(spark))
+        assert cleaned.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_a_read_by_key_opens_one_file_of_few(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    texts = [one(str(day), f"2021-12-{day:02} 08:30:05") for day in range(1, 31)]
+    pipeline.archive(payloads(spark, *texts).coalesce(3), path)
+    assert len(lake._table(spark, path, "postings", lake.ARCHIVED_POSTING).inputFiles()) <= 3
+    heads = {r.key: r for r in lake.read_heads(spark, path).collect()}
+    assert len(heads) == 30 and all(len(h.files) == len(h.payload_files) == 1 for h in heads.values())
+    for key in list(heads)[:3]:
+        found = lake.load_postings(spark, path, key)
+        assert len(found.postings.inputFiles()) == 1 and found.postings.count() == 1
+        assert len(lake.load_archived(spark, path, key).inputFiles()) == 1
+
+
+def test_a_batch_repeated_is_published_and_archived_once(spark, tmp_path):
+    path, store = str(tmp_path / "wh"), str(tmp_path / "lake")
+    batch, known = payloads(spark, envelope(GOOD)), gazetteer(spark)
+    for _ in range(2):
+        pipeline.run_pipeline(spark, batch, known, path, store, relational=False, insights=False, batch="s-0")
+    assert warehouse.published_runs(spark, path).count() == 1
+    assert lake._all_heads(spark, store).count() == 1
+    # Died after archiving and before publishing: the repeated batch is served.
+    pipeline.archive(payloads(spark, one("NEW", "2022-01-01 00:00:00")), store, batch="s-1")
+    for _ in range(2):
+        pipeline.run_pipeline(spark, payloads(spark, one("NEW", "2022-01-01 00:00:00")), known, path, store, relational=False, insights=False, batch="s-1")
+    assert [r.id for r in warehouse.read_documents(spark, path)[1].collect()] == ["NEW"]
+    assert warehouse.published_runs(spark, path).count() == 2 and lake._all_heads(spark, store).count() == 2
+
+
+def test_the_stream_names_its_batches(spark, tmp_path):
+    landing, path, store, mark = (str(tmp_path / n) for n in ("in", "wh", "lake", "mark"))
+    for day in (1, 2):
+        land(landing, f"{day}.json", posting_lines([posting(str(day))], obtained=f"2022-01-0{day} 00:00:00"))
+        ingest_new_snapshots(spark, landing, gazetteer(spark), path, store, mark, relational=False, insights=False, posting_lines=True).awaitTermination()
+    names = {r.batch for r in warehouse.published_runs(spark, path).collect()}
+    assert {n.rpartition("-")[2] for n in names} == {"0", "1"} and len({n.rpartition("-")[0] for n in names}) == 1

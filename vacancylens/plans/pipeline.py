@@ -15,56 +15,48 @@ from vacancylens.plans.tables import warehouse_tables
 from vacancylens.session import new_folder
 from vacancylens.sources import snapshots as snap
 from vacancylens.sources import warehouse
-from vacancylens.sources.lake import archive_snapshots, last_first, load_archived
+from vacancylens.sources.lake import Archived, archive_batch, load_postings, read_heads
 
 log = logging.getLogger(__name__)
 
 Sink = Callable[[dict[str, DataFrame]], None]
 
 
-def archive(envelopes: DataFrame, lake: str, expected_source: str = fixed.EXPECTED_SOURCE) -> None:
-    """Check snapshots and store them under their keys, all of them."""
-    parsed = snap.read_snapshot(envelopes).transform(snap.check_source, expected_source).transform(snap.check_count)
-    archive_snapshots(parsed, lake)
+def archive(
+    arrived: DataFrame, lake: str, expected_source: str = fixed.EXPECTED_SOURCE, batch: str | None = None
+) -> str:
+    """Check what arrived (documents or posting lines) and store all of it; the batch's name."""
+    payloads = snap.documents(arrived) if "payload" in arrived.columns else None
+    return archive_batch(snap.arrived_postings(arrived, expected_source), payloads, lake, batch)
 
 
-def newest_snapshot(envelopes: DataFrame) -> tuple[int, str] | None:
-    """``(epoch second obtained, key)`` of the newest, or None.
-
-    One pass that reads the head of each document; one row reaches the driver.
-    """
-    found = (
-        snap.snapshot_heads(envelopes)
-        .agg(F.max(F.struct(epoch_seconds(F.col("obtained_datetime")).alias("obtained"), "key")).alias("newest"))
-        .first()
-    )
-    if found.newest is None or found.newest.obtained is None:
-        snap.read_snapshot(envelopes).count()  # says what is wrong with the documents
-        return None
-    return found.newest.obtained, found.newest.key
+def newest_snapshot(heads: DataFrame) -> tuple[int, str] | None:
+    """``(epoch second obtained, key)`` of the newest, or None; one row reaches the driver."""
+    latest = F.max(F.struct(epoch_seconds(F.col("obtained_datetime")).alias("obtained"), "key"))
+    found = heads.agg(latest.alias("newest")).first().newest
+    return None if found is None else (found.obtained, found.key)
 
 
 def serve(
-    envelopes: DataFrame,
+    snapshot: Archived,
     gazetteer: DataFrame,
     path: str,
-    key: str,
     relational: bool = True,
-    expected_source: str = fixed.EXPECTED_SOURCE,
     sink: Sink | None = None,
     insights: bool = True,
+    batch: str | None = None,
 ) -> None:
-    """Clean one snapshot and publish its tables and insights.
+    """Clean one archived snapshot and publish its tables and insights.
 
-    The cleaned documents are written first and read back for the relational
-    tables and the insights, so cleaning runs once. Their query checks the
-    snapshot; the metadata then only needs the head of the document. A ``sink``
-    (such as ``warehouse.jdbc_sink``) is given the five relational tables too.
-    All tables are written and checked before anything becomes visible.
+    The snapshot's postings are rows of the lake, so all steps are the work of many
+    tasks. The cleaned documents are written first and read back for the relational
+    tables and the insights, so cleaning runs once. A ``sink`` (such as
+    ``warehouse.jdbc_sink``) is given the five relational tables too. All tables are
+    written and checked before anything becomes visible.
     """
-    spark, run = envelopes.sparkSession, warehouse.new_run()
-    _, postings = snap.extract(envelopes, expected_source)
-    metadata = snap.snapshot_metadata(snap.snapshot_heads(envelopes))
+    postings, run = snapshot.postings, warehouse.new_run()
+    spark = postings.sparkSession
+    metadata = snapshot_head(spark, snapshot)
     known, most = _small_gazetteer(gazetteer, postings)
     warehouse.write_documents(metadata, clean(postings, known, max_places=most), path, run)
     documents = warehouse.read_written(spark, path, run, "documents")
@@ -76,7 +68,13 @@ def serve(
         write_insights(documents, path, run)
     if sink is not None:
         sink({"metadata": metadata, **tables})
-    warehouse.publish(metadata, path, key, run)
+    warehouse.publish(metadata, path, snapshot.head.key, run, batch)
+
+
+def snapshot_head(spark: SparkSession, snapshot: Archived) -> DataFrame:
+    """``(source_name, obtained_datetime)`` of an archived snapshot, one row."""
+    second, _, source = snapshot.head.key.partition("_")  # what the key is made of
+    return spark.range(1).select(F.lit(source).alias("source_name"), F.timestamp_seconds(F.lit(int(second))).alias("obtained_datetime"))
 
 
 def _small_gazetteer(gazetteer: DataFrame, postings: DataFrame) -> tuple[DataFrame, int | None]:
@@ -101,7 +99,7 @@ def write_insights(documents: DataFrame, path: str, run: str) -> None:
 
 def run_pipeline(
     spark: SparkSession,
-    envelopes: DataFrame,
+    arrived: DataFrame,
     gazetteer: DataFrame,
     path: str,
     lake: str | None = None,
@@ -109,26 +107,26 @@ def run_pipeline(
     expected_source: str = fixed.EXPECTED_SOURCE,
     sink: Sink | None = None,
     insights: bool = True,
+    batch: str | None = None,
 ) -> str | None:
-    """Archive (if a lake is given) and serve the newest of ``envelopes``.
+    """Archive what arrived and serve the newest snapshot of it.
 
     Returns the key now served. A snapshot older than the served one is only
-    archived. Of several documents of one key the last is served, with a lake the
-    last that the lake holds. Errors are logged and raised again.
+    archived. Of several documents of one key the last that the lake holds is
+    served. Without a lake the batch is kept as an intermediate table. A ``batch``
+    that was published before is not worked on again. Errors are logged and raised.
     """
     try:
-        newest = newest_snapshot(envelopes)
         served = warehouse.served_snapshot(spark, path)
-        if lake is not None:
-            archive(envelopes, lake, expected_source)
+        if batch is not None and served is not None and warehouse.is_published(spark, path, batch):
+            return served.key
+        lake = lake or new_folder(spark, "arrived")
+        stored = archive(arrived, lake, expected_source, batch)
+        newest = newest_snapshot(read_heads(spark, lake, stored))
         if newest is None or (served is not None and newest < (served.obtained, served.key)):
             return served and served.key
         key = newest[1]
-        if lake is not None:
-            chosen = load_archived(spark, lake, key)
-        else:
-            chosen = snap.read_snapshot(envelopes).where(F.col("key") == key).orderBy(*last_first()).limit(1)
-        serve(chosen.select("payload"), gazetteer, path, key, relational, expected_source, sink, insights)
+        serve(load_postings(spark, lake, key), gazetteer, path, relational, sink, insights, batch)
         log.info("serving snapshot %s", key)
         return key
     except Exception:
@@ -143,9 +141,7 @@ def replay(
     gazetteer: DataFrame,
     path: str,
     relational: bool = True,
-    expected_source: str = fixed.EXPECTED_SOURCE,
     insights: bool = True,
 ) -> None:
     """Serve an archived snapshot again, whatever is served now."""
-    chosen = load_archived(spark, lake, key).select("payload")
-    serve(chosen, gazetteer, path, key, relational, expected_source, insights=insights)
+    serve(load_postings(spark, lake, key), gazetteer, path, relational, insights=insights)

@@ -109,15 +109,40 @@ GAZETTEER = T.StructType(
     ]
 )
 
-RAW_SNAPSHOT = T.StructType(
+POSTING_LINE = T.StructType(
     [
-        T.StructField("obtained_datetime", T.TimestampType()),
-        T.StructField("payload", T.StringType()),
-        T.StructField("modified", T.TimestampType()),
-        T.StructField("path", T.StringType()),
-        T.StructField("source_name", T.StringType()),
-        T.StructField("key", T.StringType()),
+        ENVELOPE["metadata"],
         T.StructField("document", T.StringType()),
+        T.StructField("totalCount", T.LongType()),
+        T.StructField("pos", T.IntegerType()),
+        T.StructField("posting", POSTING),
+    ]
+)
+
+#: What the lake knows of a document beside its postings.
+_DOCUMENT_HEAD = [
+    T.StructField("source_name", T.StringType()),
+    T.StructField("key", T.StringType()),
+    T.StructField("document", T.StringType()),
+    T.StructField("obtained_datetime", T.TimestampType()),
+    T.StructField("modified", T.TimestampType()),
+    T.StructField("path", T.StringType()),
+]
+
+RAW_SNAPSHOT = T.StructType([*_DOCUMENT_HEAD, T.StructField("payload", T.StringType())])
+
+ARCHIVED_POSTING = T.StructType(
+    [*_DOCUMENT_HEAD, T.StructField("total", T.LongType()), T.StructField("pos", T.IntegerType()), *POSTING.fields]
+)
+
+ARCHIVED_HEAD = T.StructType(
+    [
+        *_DOCUMENT_HEAD,
+        T.StructField("n_postings", T.LongType()),
+        T.StructField("files", T.ArrayType(T.StringType())),
+        T.StructField("payload_files", T.ArrayType(T.StringType())),
+        T.StructField("archived", T.LongType()),
+        T.StructField("batch", T.StringType()),
     ]
 )
 
@@ -134,6 +159,7 @@ SERVED = T.StructType(
         T.StructField("obtained_datetime", T.TimestampType()),
         T.StructField("run", T.StringType()),
         T.StructField("published", T.LongType()),
+        T.StructField("batch", T.StringType()),
     ]
 )
 

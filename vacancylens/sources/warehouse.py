@@ -56,8 +56,8 @@ def write_warehouse(tables: dict[str, DataFrame], path: str, run: str) -> None:
         table.write.parquet(_folder(path, run, name))
 
 
-def publish(metadata: DataFrame, path: str, key: str, run: str) -> None:
-    """Make the tables of ``run`` the served ones.
+def publish(metadata: DataFrame, path: str, key: str, run: str, batch: str | None = None) -> None:
+    """Make the tables of ``run`` the served ones; ``batch`` is what they were made from.
 
     One appended row is one file, so readers see all of the switch or none. Its
     number is above those of all rows before it, whatever the clocks say.
@@ -65,7 +65,8 @@ def publish(metadata: DataFrame, path: str, key: str, run: str) -> None:
     before = _published(metadata.sparkSession, path)
     last = 0 if before is None else before.agg(F.max("published")).first()[0] or 0
     now = max(time.time_ns() // 1000, last + 1)
-    row = metadata.select(F.lit(key).alias("key"), "obtained_datetime", F.lit(run).alias("run"), F.lit(now).alias("published"))
+    names = {"run": run, "published": now, "batch": batch}
+    row = metadata.select(F.lit(key).alias("key"), "obtained_datetime", *[F.lit(v).cast(SERVED[n].dataType).alias(n) for n, v in names.items()])
     row.limit(1).write.mode("append").parquet(f"{path}/served")
 
 
@@ -78,6 +79,12 @@ def _published(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def published_runs(spark: SparkSession, path: str) -> DataFrame:
+    """All runs that were published and are still known, ``(key, obtained_datetime, run, published, batch)``."""
+    published = _published(spark, path)
+    return spark.createDataFrame([], SERVED) if published is None else published
+
+
 def served_snapshot(spark: SparkSession, path: str) -> Served | None:
     """The run published last, or None."""
     published = _published(spark, path)
@@ -88,6 +95,12 @@ def served_snapshot(spark: SparkSession, path: str) -> Served | None:
     return None if last.run is None else Served(last.obtained, last.key, last.run)
 
 
+def is_published(spark: SparkSession, path: str, batch: str) -> bool:
+    """Whether some run was made from a batch, so that a repeated one need not be."""
+    published = _published(spark, path)
+    return published is not None and not published.where(F.col("batch") == batch).isEmpty()
+
+
 def require_served(spark: SparkSession, path: str) -> Served:
     served = served_snapshot(spark, path)
     if served is None:

@@ -334,6 +334,19 @@ ORACLES: dict[str, str] = {
         FROM (SELECT DISTINCT event_id // 2000 AS chunk FROM events) GROUP BY 1, 2""",
     "envelope_json": _EVENTS,
     "archive_roundtrip": _EVENTS,
+    "lake_postings": _EVENTS,
+    "archived_heads": """
+        SELECT 'nofluffjobs' AS source_name, obtained || '_nofluffjobs' AS key, obtained, n_postings, 1 AS n_files
+        FROM (SELECT 1704067200 + (event_id // 2000) * 3600 AS obtained, count(*) AS n_postings FROM events GROUP BY 1)""",
+    "large_snapshot": """
+        SELECT CAST(event_id AS VARCHAR) AS id, upper(event_type[1]) || event_type[2:] AS technology,
+               event_type = 'view' AS remote, 'B2B' AS contract_type, (value * 2 + value) / 2 AS salary_mean,
+               epoch_us(ts) // 1000 AS posted
+        FROM events WHERE event_type <> 'error'""",
+    "repeated_batch": """
+        SELECT (1704067200 + (event_id // 2000) * 3600) || '_nofluffjobs' AS key, count(*) AS n_postings,
+               1 AS n_runs, 'stream-7' AS batch
+        FROM events GROUP BY 1""",
     "landing_snapshots": f"SELECT * EXCLUDE (key) FROM ({_EVENTS})",
     "landing_archive": f"SELECT * EXCLUDE (key) FROM ({_EVENTS})",
     "incremental_ingest": _EVENTS,

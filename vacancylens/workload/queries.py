@@ -11,7 +11,7 @@ from vacancylens.functions.times import display_date, epoch_seconds, parse_iso
 from vacancylens.operators import contracts, counts, filters, flatten, groups, ordering, places
 from vacancylens.operators.distribution import describe
 from vacancylens.plans import clean, insights, profile, tables
-from vacancylens.plans.pipeline import archive
+from vacancylens.plans.pipeline import archive, run_pipeline
 from vacancylens.session import configure, new_folder
 from vacancylens.sources import lake, pages, snapshots, warehouse
 from vacancylens.streaming.ingest import ingest_new_snapshots
@@ -483,6 +483,25 @@ def archive_roundtrip(spark, sf_dir):
     return _shown(snapshots.extract(lake.read_lake(spark, path).select("payload"))[1])
 
 
+@query
+def lake_postings(spark, sf_dir):
+    """All snapshots archived in two batches with some in both, read as rows of postings."""
+    path, envelopes = new_folder(spark, "lake"), view.event_envelopes(spark, sf_dir)
+    archive(envelopes, path)
+    archive(envelopes.where(F.col("path").cast("int") % 2 == 0), path)
+    return _shown(lake.read_postings(spark, path))
+
+
+@query
+def archived_heads(spark, sf_dir):
+    """The lake's manifest after one batch came twice under its name and once under another."""
+    path, envelopes = new_folder(spark, "lake"), view.event_envelopes(spark, sf_dir)
+    for batch in ("first", "first", "second"):
+        archive(envelopes, path, batch=batch)
+    heads = lake.read_heads(spark, path)
+    return heads.select("source_name", "key", epoch_seconds(F.col("obtained_datetime")).alias("obtained"), "n_postings", F.size("payload_files").alias("n_files"))
+
+
 def _land(spark, sf_dir, path):
     """Write the envelopes as text files with one envelope per line."""
     view.event_envelopes(spark, sf_dir).select("payload").write.text(path)
@@ -529,7 +548,8 @@ def landing_archive(spark, sf_dir):
     """Bare responses that land in one second, archived through ingestion: all are kept."""
     landing, path, stored = (new_folder(spark, p) for p in ("landing", "warehouse", "lake"))
     raw = view.event_envelopes(spark, sf_dir).select(F.get_json_object("payload", "$.raw_data").alias("raw"))
-    raw.coalesce(1).write.text(landing)
+    raw.write.text(landing)
+    _set_times(spark, landing, 1704067200)
     ingest_new_snapshots(
         spark, landing, view.warsaw(spark), path, stored, new_folder(spark, "ingest"),
         lines=True, relational=False, raw=True, insights=False,
@@ -537,6 +557,37 @@ def landing_archive(spark, sf_dir):
     return _shown(snapshots.extract(lake.read_lake(spark, stored).select("payload"))[1]).drop("key")
 
 
+def _set_times(spark, path, second):
+    """Give the files of a folder one time, as if they had landed together."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(folder):
+        files.setTimes(status.getPath(), second * 1000, -1)
+
+
+@query
+def large_snapshot(spark, sf_dir):
+    """One snapshot of all events that lands as posting lines: archived, cleaned and served by rows."""
+    landing, path, stored = (new_folder(spark, p) for p in ("landing", "warehouse", "lake"))
+    view.event_posting_lines(spark, sf_dir).write.text(landing)
+    ingest_new_snapshots(
+        spark, landing, view.warsaw(spark), path, stored, new_folder(spark, "ingest"), insights=False, posting_lines=True
+    ).awaitTermination()
+    _, documents = warehouse.read_documents(spark, path)
+    return documents.select("id", "technology", "remote", "contract_type", "salary_mean", "posted")
+
+
+@query
+def repeated_batch(spark, sf_dir):
+    """One batch run twice under its name: published once, archived once."""
+    path, stored, envelopes = new_folder(spark, "warehouse"), new_folder(spark, "lake"), view.event_envelopes(spark, sf_dir)
+    for _ in range(2):
+        run_pipeline(spark, envelopes, view.warsaw(spark), path, stored, relational=False, insights=False, batch="stream-7")
+    runs = warehouse.published_runs(spark, path)
+    postings = lake.read_postings(spark, stored).groupBy("key").agg(F.count(F.lit(1)).alias("n_postings"))
+    return postings.withColumns({"n_runs": runs.agg(F.count("run")).scalar(), "batch": runs.agg(F.max("batch")).scalar()})
+
+
 @query
 def served_insights(spark, sf_dir):
     """Stored insights after two ingestions, of the snapshot then served."""

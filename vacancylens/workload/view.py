@@ -6,7 +6,7 @@ queries read, and raw nested postings with repeated ids, which cleaning reads.
 ``oracles.py`` states both in SQL.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vacancylens.functions.numbers import row_mean
@@ -232,10 +232,8 @@ def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
 ENVELOPE_EVENTS = 2000
 
 
-def event_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Envelope texts over all events, each with a fixed number of postings."""
-    chunk = F.floor(F.col("event_id") / ENVELOPE_EVENTS)
-    posting = F.struct(
+def _event_posting() -> Column:
+    return F.struct(
         F.col("event_id").cast("string").alias("id"),
         F.concat(F.lit("User "), F.col("user_id").cast("string")).alias("name"),
         epoch_millis("ts").alias("posted"),
@@ -254,22 +252,39 @@ def event_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(F.col("event_type") == "error", "EUR").otherwise("PLN").alias("currency"),
         ).alias("salary"),
     )
+
+
+def _event_metadata(obtained: Column) -> Column:
+    return F.struct(
+        F.lit("nofluffjobs").alias("source_name"),
+        F.date_format(obtained, "yyyy-MM-dd HH:mm:ss").alias("obtained_datetime"),
+    )
+
+
+def event_posting_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as one snapshot in posting lines, and the line that announces their number."""
+    events = table(spark, sf_dir, "events")
+    metadata = _event_metadata(F.timestamp_seconds(F.lit(1704067200))).alias("metadata")
+    lines = events.select(F.to_json(F.struct(metadata, F.col("event_id").cast("int").alias("pos"), _event_posting().alias("posting"))).alias("value"))
+    announced = events.agg(F.count(F.lit(1)).alias("totalCount"))
+    return lines.unionByName(announced.select(F.to_json(F.struct(metadata, "totalCount")).alias("value")))
+
+
+def event_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelope texts over all events, each with a fixed number of postings."""
+    chunk = F.floor(F.col("event_id") / ENVELOPE_EVENTS)
     packed = (
         table(spark, sf_dir, "events")
         .groupBy(chunk.alias("chunk"))
-        .agg(F.array_sort(F.collect_list(F.struct("event_id", posting.alias("posting")))).alias("_sorted"))
+        .agg(F.array_sort(F.collect_list(F.struct("event_id", _event_posting().alias("posting")))).alias("_sorted"))
     )
     raw_data = F.struct(
         F.transform("_sorted", lambda e: e.getField("posting")).alias("postings"),
         F.size("_sorted").cast("long").alias("totalCount"),
     )
     obtained = F.timestamp_seconds(F.lit(1704067200) + F.col("chunk") * 3600)
-    metadata = F.struct(
-        F.lit("nofluffjobs").alias("source_name"),
-        F.date_format(obtained, "yyyy-MM-dd HH:mm:ss").alias("obtained_datetime"),
-    )
     return packed.select(
-        F.to_json(F.struct(metadata.alias("metadata"), raw_data.alias("raw_data"))).alias("payload"),
+        F.to_json(F.struct(_event_metadata(obtained).alias("metadata"), raw_data.alias("raw_data"))).alias("payload"),
         obtained.alias("modified"),
         F.col("chunk").cast("string").alias("path"),
     )
