@@ -1,3 +1,4 @@
+import math
 import random
 import statistics
 
@@ -50,11 +51,43 @@ def test_distribution_leaves_out_small_groups(skewed):
     assert [r.k for r in distribution.distribution(df, ["k"], "v", more_than=500).collect()] == ["hot"]
 
 
-def test_distribution_reads_its_input_twice_only(spark, tmp_path):
-    path = str(tmp_path / "t")
+def rounds(monkeypatch):
+    """The plans of the rounds that split bins."""
+    seen, parts = [], distribution._parts
+    monkeypatch.setattr(distribution, "_parts", lambda *given: seen.append(parts(*given)) or seen[-1])
+    return seen
+
+
+def test_distribution_reads_its_input_twice_only(spark, tmp_path, monkeypatch):
+    path, seen = str(tmp_path / "t"), rounds(monkeypatch)
     spark.range(1000).select((F.col("id") % 3).alias("k"), F.rand(1).alias("v")).write.parquet(path)
     df = distribution.distribution(spark.read.parquet(path), ["k"], "v", max_groups=3)
-    assert planned(df).count("FileScan") == 2
+    assert [planned(round).count("FileScan") for round in seen] == [2] and "BroadcastHashJoin" in planned(seen[0])
+    assert df.count() == 3
+
+
+@pytest.mark.parametrize("sub_bins", [2, 7, 1 << 16])
+def test_crowded_bins_are_split_until_a_value_is_known(spark, monkeypatch, sub_bins):
+    """All values of a group in one bin, half of them in the least part of it."""
+    monkeypatch.setattr(distribution, "SUB_BINS", sub_bins)
+    seen = rounds(monkeypatch)
+    rng = random.Random(sub_bins)
+    close = [1e6 + rng.random() * 1e-6 for _ in range(300)] + [1e6 + rng.random() for _ in range(299)] + [1e6] * 50
+    rows = [("close", v) for v in close] + [("equal", -3.5)] * 400 + [("signs", float(v)) for v in range(-60, 61)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    found = {r.k: r for r in distribution.distribution(df, ["k"], "v", max_groups=3).collect()}
+    for name, q in distribution.QUARTILES.items():
+        for key in ("close", "equal", "signs"):
+            assert found[key][name] == quantile([v for k, v in rows if k == key], q), (key, name)
+    assert len(seen) == 2 if sub_bins == 1 << 16 else 3 < len(seen) < 60
+
+
+def test_neighbouring_doubles_are_told_apart(spark):
+    values = [1.0]
+    for _ in range(8):
+        values.append(math.nextafter(values[-1], 2))
+    row = distribution.distribution(spark.createDataFrame([(v,) for v in values], "v double"), [], "v").first()
+    assert (row.p25, row.p50, row.p75) == (values[2], values[4], values[6])
 
 
 def test_describe(spark):

@@ -1,21 +1,25 @@
-"""Exact distribution summaries without gathering a group's values.
-
-Quartiles need ranks. Instead of one task holding (or sorting) all values of a
-group, values are first counted per narrow, order-preserving bin. Running
-totals over the bins of a group tell which bins hold the wanted ranks; only the
-values in those bins are looked at again. Both passes combine before their
-shuffle, and a group spreads over as many tasks as it has bins. What one task
-has to order is the distinct values of one bin, about 0.3 % wide.
+"""Exact distribution summaries without gathering or sorting a group's values.
+
+Quartiles need ranks. Values are counted per narrow, order-preserving bin; running
+totals over the bins of a group tell which bins hold the wanted ranks. These bins
+are split again, between their own least and greatest value, and counted in the
+same way, until least and greatest are equal: then the rank's value is known. All
+passes combine before their shuffle. A task orders the parts of a bin, of which
+there are at most ``SUB_BINS``, whatever values the data hold; two passes do for
+most data and five for any.
 """
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vacancylens.functions.numbers import magnitude_bin
 from vacancylens.operators.bounded import broadcast_bounded
+from vacancylens.session import new_folder
 
+#: Parts that a bin with a wanted rank is split into.
+SUB_BINS = 1 << 16
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 SUMMARY_COLUMNS = ["n", "mean", "stddev", "min", "p25", "p50", "p75", "max"]
 
@@ -32,7 +36,8 @@ def distribution(
 
     Groups with ``more_than`` or fewer values are left out. ``max_groups`` is a
     bound the caller can prove for the number of groups; with it the selected
-    bins (two per quantile and group) are broadcast to the second pass.
+    bins (two per quantile and group) are broadcast to the next pass. The passes run
+    at once; their small results are intermediate tables.
     """
     keys = list(keys)
     if not keys:  # the whole table is one group
@@ -53,13 +58,12 @@ def distribution(
     for below, above, _ in ranks.values():
         for rank in (below, above):
             holds_a_rank |= (rank >= F.col("_start")) & (rank < F.col("_end"))
-    wanted = _ranked_bins(rows, keys).where((F.col("_total") > more_than) & holds_a_rank).drop("_end", "_n")
+    wanted = _ranked_bins(rows, keys).where((F.col("_total") > more_than) & holds_a_rank)
     most = None if max_groups is None else 2 * len(quantiles) * max_groups
-
-    placed = _values_with_ranks(rows, broadcast_bounded(wanted, most), keys)
+    placed = _values_with_ranks(rows, wanted, keys, holds_a_rank, most)
 
     def value_at(rank):
-        return F.max(F.when((rank >= F.col("_from")) & (rank < F.col("_to")), F.col("_v")))
+        return F.max(F.when((rank >= F.col("_start")) & (rank < F.col("_end")), F.col("_low")))
 
     found = {"n": F.max("_total")} | {name: F.max(f"_{name}") for name in ("mean", "stddev", "min")}
     for name, (below, above, part) in ranks.items():
@@ -93,23 +97,48 @@ def _ranked_bins(rows: DataFrame, keys: list[str]) -> DataFrame:
         .withColumn("_stddev", F.sqrt(F.sum(spread).over(group) / F.nullif(F.col("_total") - 1, F.lit(0))))
         .withColumn("_min", F.min("_bin_min").over(group))
         .withColumn("_max", F.max("_bin_max").over(group))
-        .drop("_bin_mean", "_bin_var", "_bin_min", "_bin_max")
+        .withColumnsRenamed({"_bin_min": "_low", "_bin_max": "_high"})
+        .drop("_bin_mean", "_bin_var", "_n")
     )
 
 
-def _values_with_ranks(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
-    """Second pass: distinct values of the wanted bins with the ranks they cover."""
-    totals = ["_start", "_total", "_mean", "_stddev", "_min", "_max"]
-    bins = wanted.select(*[F.col(c).alias(f"_w{c}") for c in [*keys, "_bin"]], *totals)
+_TOTALS = ["_total", "_mean", "_stddev", "_min", "_max"]
+
+
+def _values_with_ranks(rows: DataFrame, wanted: DataFrame, keys: list[str], holds_a_rank: Column, most: int | None) -> DataFrame:
+    """The values ``_low`` that cover the wanted ranks, with the ranks they cover.
+
+    Each round reads the rows of the bins that are still open and stores their
+    parts with a rank, a few rows for each group.
+    """
+    spark, found = rows.sparkSession, None
+    while True:
+        path = new_folder(spark, "ranks")
+        parts = _parts(rows, broadcast_bounded(wanted, most), keys).where(holds_a_rank)
+        parts.write.parquet(path)
+        stored = spark.read.schema(parts.schema).parquet(path)
+        known = stored.where("_low = _high")
+        found = known if found is None else found.unionByName(known)
+        wanted = stored.where("_low < _high")
+        if wanted.isEmpty():
+            return found
+
+
+def _parts(rows: DataFrame, bins: DataFrame, keys: list[str]) -> DataFrame:
+    """The bins split evenly between their least and greatest value, with ranks like theirs."""
+    cut = bins.select(*[F.col(c).alias(f"_w{c}") for c in [*keys, "_bin"]], "_start", "_low", "_high", *_TOTALS)
     same = [F.col(c).eqNullSafe(F.col(f"_w{c}")) for c in [*keys, "_bin"]]
-    distinct = (
-        rows.join(bins, same)
-        .groupBy(*keys, "_bin", "_v")
-        .agg(F.count(F.lit(1)).alias("_n"), *[F.max(t).alias(t) for t in totals])
+    inside = rows.join(cut, [*same, F.col("_v") >= F.col("_low"), F.col("_v") <= F.col("_high")])
+    share = (F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low"))
+    place = F.when(F.col("_low") == F.col("_high"), F.lit(0)).otherwise(F.floor(share * SUB_BINS).cast("int"))
+    own = [*keys, "_bin", F.col("_low").alias("_of")]
+    counted = inside.groupBy(*own, place.alias("_part")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_most"), *[F.max(t).alias(t) for t in ["_start", *_TOTALS]]
     )
-    inside = Window.partitionBy(*keys, "_bin").orderBy("_v")
-    return distinct.withColumn("_to", F.col("_start") + F.sum("_n").over(inside)).withColumn(
-        "_from", F.col("_to") - F.col("_n")
+    before = Window.partitionBy(*keys, "_bin", "_of").orderBy("_part")
+    placed = counted.withColumn("_end", F.col("_start") + F.sum("_n").over(before))
+    return placed.select(
+        *keys, "_bin", (F.col("_end") - F.col("_n")).alias("_start"), "_end", F.col("_least").alias("_low"), F.col("_most").alias("_high"), *_TOTALS
     )
 
 

@@ -199,6 +199,9 @@ ORACLES: dict[str, str] = {
     "salary_describe": _describe("docs", _SALARIES, "salary_min > 0 AND salary_max > salary_min", _DOCS),
     "salary_describe_above": _describe("docs", _SALARIES, "salary_min > 5000 AND salary_max > salary_min", _DOCS),
     "account_describe": _describe("customer", ["c_acctbal"], "true"),
+    "crowded_describe": _describe(
+        "(SELECT 1000000.0::DOUBLE + l_extendedprice / 1000 AS price, l_quantity AS quantity FROM lineitem)", ["price", "quantity"], "true"
+    ),
     "clean_postings": f"""{_CLEAN},
         named AS (
           SELECT *, CASE lower(technology) WHEN 'node.js' THEN 'Node' WHEN 'react' THEN 'JavaScript'

@@ -181,6 +181,14 @@ def account_describe(spark, sf_dir):
     return rounded(describe(view.table(spark, sf_dir, "customer"), ["c_acctbal"]), "c_acctbal")
 
 
+@query
+def crowded_describe(spark, sf_dir):
+    """Describe over a column whose values lie close together, and one of few distinct values."""
+    lines = view.table(spark, sf_dir, "lineitem")
+    close = (F.lit(1000000.0) + F.col("l_extendedprice") / 1000).alias("price")
+    return rounded(describe(lines.select(close, F.col("l_quantity").alias("quantity")), ["price", "quantity"]), "price", "quantity")
+
+
 # ---- cleaning ---------------------------------------------------------------
 
 
