@@ -37,8 +37,8 @@ from vacancylens.llm.arrays import LOWER, Texts, byte_set, complement, flagged,
 from vacancylens.llm.frames import list_column, over_texts, ready_for_python, stored
 
 MOST_WORDS, LEAST, TOP = 5, 100, 2000
-#: Occurrences that a task counts together.
-OCCURRENCES = 2_000_000
+#: Occurrences that a task counts together, and stripe entries that it hands on together.
+OCCURRENCES, ENTRIES = 500_000, 50_000
 #: A prefix with more than this part of all words has its stripe in segments.
 HOT_SHARE, SEGMENT_BITS = 4096, 6
 #: Words of a row of the stored sequences, if a break allows.
@@ -168,8 +168,10 @@ def _count_stripes(k: int, bitmap, hot) -> Callable[[Iterator[pa.RecordBatch]],
 
         def flush() -> Iterator[pa.RecordBatch]:
             made = _stripes(*(np.concatenate(x) for x in zip(*held, strict=True)), hot.value)
-            for lo in range(0, len(made), 1 << 16):
-                yield made.slice(lo, 1 << 16)
+            ends = made.column("words").offsets.to_numpy()
+            cuts = np.unique(np.searchsorted(ends, np.arange(ENTRIES, ends[-1], ENTRIES)))
+            for lo, hi in zip([0, *cuts], [*cuts, len(made)], strict=True):
+                yield made.slice(lo, hi - lo)
 
         for batch in stream:  # every row of it ends with a break
             lists = batch.column(0)
