@@ -1,5 +1,6 @@
 """Table contracts: coerce columns, then report what breaks the rules."""
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -65,10 +66,9 @@ LOCATIONS = Contract(
 SENIORITIES = Contract("seniorities", (Rule("id", "string"), Rule("seniority", "string")))
 
 
-def _coerced(df: DataFrame, rule: Rule) -> Column:
+def _coerced(given: Column, have: str, rule: Rule) -> Column:
     """The column in the contract's type; what cannot be converted is NULL."""
-    have = dict(df.dtypes)[rule.name]
-    column = _present(F.col(rule.name), have, rule.dtype)
+    column = _present(given, have, rule.dtype)
     if have == rule.dtype:
         return column
     if rule.dtype == "timestamp" and have in ("bigint", "int"):
@@ -85,8 +85,8 @@ def _present(column: Column, dtype: str, wanted: str) -> Column:
     return column
 
 
-def _check_schema(df: DataFrame, contract: Contract) -> None:
-    have = dict(df.dtypes)
+def check_schema(have: Mapping[str, str], contract: Contract) -> None:
+    """Columns and types; no data is read."""
     absent = [r.name for r in contract.rules if r.name not in have]
     if absent:
         raise ContractViolation(f"{contract.table}: columns are absent: {absent}")
@@ -95,57 +95,74 @@ def _check_schema(df: DataFrame, contract: Contract) -> None:
         raise ContractViolation(f"{contract.table}: wrong types: {wrong}")
 
 
-def validate(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
-    """``(coerced table, violations)``; columns the contract does not name pass through.
+def row_checks(row: Callable[[str], Column], have: Mapping[str, str], contract: Contract) -> list[tuple[str, str, Column]]:
+    """``(column, rule, broken)`` for every rule that one row breaks by itself.
 
-    ``violations`` has ``(table_name, column_name, rule, n)`` with ``n > 0``.
-    All row rules are counted in one aggregate pass. Uniqueness is one
-    aggregation by the key, combined before its shuffle.
+    ``row`` gives a column of the row by its name, so a row may also be an element
+    of an array.
     """
-    _check_schema(df, contract)
-    have = dict(df.dtypes)
-    coerced = {r.name: _coerced(df, r) for r in contract.rules if r.coerce}
     checks: list[tuple[str, str, Column]] = []
     for rule in contract.rules:
-        given = _present(F.col(rule.name), have[rule.name], rule.dtype)
-        value = coerced.get(rule.name, given)
+        given = _present(row(rule.name), have[rule.name], rule.dtype)
+        value = _coerced(row(rule.name), have[rule.name], rule) if rule.coerce else given
         present = given.isNotNull()
         if rule.coerce:
-            checks.append((rule.name, "coercible", F.count_if(present & value.isNull())))
+            checks.append((rule.name, "coercible", present & value.isNull()))
         if not rule.nullable:
-            checks.append((rule.name, "not_null", F.count_if(~present)))
+            checks.append((rule.name, "not_null", ~present))
         if rule.at_least is not None:
-            checks.append((rule.name, "at_least", F.count_if(value < rule.at_least)))
+            checks.append((rule.name, "at_least", value < rule.at_least))
         if rule.at_most is not None:
-            checks.append((rule.name, "at_most", F.count_if(value > rule.at_most)))
-
-    parts = []
-    if checks:
-        counted = df.agg(*[count.alias(f"c{i}") for i, (_, _, count) in enumerate(checks)])
-        cells = [
-            F.struct(F.lit(column).alias("column_name"), F.lit(rule).alias("rule"), F.col(f"c{i}").alias("n"))
-            for i, (column, rule, _) in enumerate(checks)
-        ]
-        parts.append(counted.select(F.inline(F.array(*cells))))
+            checks.append((rule.name, "at_most", value > rule.at_most))
+    return checks
+
+
+def coerced(df: DataFrame, contract: Contract) -> DataFrame:
+    """``df`` in the contract's types, without looking at its rules."""
+    have = dict(df.dtypes)
+    check_schema(have, contract)
+    changed = {r.name: _coerced(F.col(r.name), have[r.name], r) for r in contract.rules if r.coerce}
+    return df.withColumns(changed) if changed else df
+
+
+def violation_rows(counted: DataFrame, counts: Mapping[tuple[str, str, str], Column]) -> DataFrame:
+    """``(table_name, column_name, rule, n)`` with ``n > 0`` from one row of counts."""
+    cells = [
+        F.struct(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), F.lit(rule).alias("rule"), n.alias("n"))
+        for (table, column, rule), n in counts.items()
+    ]
+    return counted.select(F.inline(F.array(*cells))).where("n > 0")
+
+
+def validate(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
+    """``(coerced table, violations)``; columns the contract does not name pass through.
+
+    ``violations`` has ``(table_name, column_name, rule, n)`` with ``n > 0``.
+    All row rules are counted in one aggregate pass. Uniqueness is one
+    aggregation by the key, combined before its shuffle.
+    """
+    table = coerced(df, contract)
+    checks = row_checks(F.col, dict(df.dtypes), contract)
+    counted = df.agg(*[F.count_if(broken).alias(f"c{i}") for i, (_, _, broken) in enumerate(checks)])
+    parts = [violation_rows(counted, {(contract.table, c, rule): F.col(f"c{i}") for i, (c, rule, _) in enumerate(checks)})]
     for rule in contract.rules:
         if rule.unique:
             # Every row of a repeated key breaks the rule.
             repeated = df.where(F.col(rule.name).isNotNull()).groupBy(rule.name).agg(F.count(F.lit(1)).alias("_n"))
-            parts.append(
-                repeated.agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("n")).select(
-                    F.lit(rule.name).alias("column_name"), F.lit("unique").alias("rule"), "n"
-                )
-            )
-    violations = reduce(DataFrame.unionByName, parts).where("n > 0")
-    table = df.withColumns(coerced) if coerced else df
-    return table, violations.select(F.lit(contract.table).alias("table_name"), "column_name", "rule", "n")
+            rows = repeated.agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("n"))
+            parts.append(violation_rows(rows, {(contract.table, rule.name, "unique"): F.col("n")}))
+    return table, reduce(DataFrame.unionByName, parts)
 
 
 def raise_violations(violations: DataFrame) -> None:
     """Run the checks; the driver sees at most one row per rule."""
-    broken = violations.collect()
-    if broken:
-        told = ", ".join(f"{r.table_name}.{r.column_name} {r.rule} ({r.n} rows)" for r in broken)
+    raise_counts({(r.table_name, r.column_name, r.rule): r.n for r in violations.collect()})
+
+
+def raise_counts(counts: Mapping[tuple[str, str, str], int]) -> None:
+    """Fail if any ``(table, column, rule)`` was broken."""
+    told = ", ".join(f"{table}.{column} {rule} ({n} rows)" for (table, column, rule), n in counts.items() if n)
+    if told:
         raise ContractViolation(told)
 
 

@@ -11,7 +11,7 @@ from vacancylens.functions.times import epoch_seconds
 from vacancylens.operators import places
 from vacancylens.plans.clean import clean, extract_place_names
 from vacancylens.plans.insights import all_insights
-from vacancylens.plans.tables import warehouse_tables
+from vacancylens.plans.tables import ObservedContracts, warehouse_tables
 from vacancylens.session import new_folder
 from vacancylens.sources import snapshots as snap
 from vacancylens.sources import warehouse
@@ -50,7 +50,8 @@ def serve(
 
     The snapshot's postings are rows of the lake, so all steps are the work of many
     tasks. The cleaned documents are written first and read back for the relational
-    tables and the insights, so cleaning runs once. A ``sink`` (such as
+    tables and the insights, so cleaning runs once; what breaks a contract is counted
+    on that write. A ``sink`` (such as
     ``warehouse.jdbc_sink``) is given the five relational tables too. All tables are
     written and checked before anything becomes visible.
     """
@@ -58,10 +59,15 @@ def serve(
     spark = postings.sparkSession
     metadata = snapshot_head(spark, snapshot)
     known, most = _small_gazetteer(gazetteer, postings)
-    warehouse.write_documents(metadata, clean(postings, known, max_places=most), path, run)
+    cleaned = clean(postings, known, max_places=most)
+    checked = ObservedContracts(cleaned) if relational or sink is not None else None
+    warehouse.write_documents(metadata, cleaned if checked is None else checked.documents, path, run)
     documents = warehouse.read_written(spark, path, run, "documents")
     metadata = warehouse.read_written(spark, path, run, "metadata")
-    tables = warehouse_tables(documents) if relational or sink is not None else {}
+    tables = {}
+    if checked is not None:
+        checked.require(documents)
+        tables = warehouse_tables(documents, strict=False)
     if relational:
         warehouse.write_warehouse(tables, path, run)
     if insights:
