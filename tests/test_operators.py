@@ -169,6 +169,25 @@ def test_flow_scans_its_input_once(spark, tmp_path):
     coded = flow.encode_edges(edges, flow.flow_nodes(edges), 6)
     final = executed(coded)
     assert final.count("FileScan") == 1
+    numbered = flow.numbered_edges(edges)
+    plan = planned(numbered)
+    assert plan.count("FileScan") == 1 and "Join" not in plan and "WindowGroupLimit" in plan
+    assert sorted(map(tuple, numbered.select(*coded.columns).collect())) == sorted(map(tuple, coded.collect()))
+
+
+def test_edges_of_counted_pairs(spark):
+    rng = random.Random(2)
+    pairs = [(rng.choice(["a", "b", "c", "d", None]), rng.choice(["x", "y", "a", "b", None]), rng.randrange(1, 9)) for _ in range(80)]
+    df = spark.createDataFrame(pairs, "source string, target string, n int")
+    count, left, right = {}, {}, {}
+    for s, t, n in pairs:
+        count[s, t], left[s], right[t] = count.get((s, t), 0) + n, left.get(s, 0) + n, right.get(t, 0) + n
+
+    def top(totals, n):
+        return sorted((v for v in totals if v is not None), key=lambda v: (-totals[v], v))[:n]
+
+    expected = {(s, t, n) for (s, t), n in count.items() if s in top(left, 3) and t in top(right, 2) and n >= 5}
+    assert {tuple(r) for r in flow.edges_of_pairs(df, 3, 2, 5).collect()} == expected
 
 
 def test_sort_by_seniority(spark):

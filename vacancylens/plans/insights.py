@@ -84,8 +84,7 @@ def category_technology_flow(
 ) -> DataFrame:
     """Edges with the ids of their two nodes."""
     edges = category_technology_edges(documents, n_categories, n_technologies, min_flow)
-    encoded = flow.encode_edges(edges, flow.flow_nodes(edges), n_categories + n_technologies)
-    return encoded.select(
+    return flow.numbered_edges(edges).select(
         F.col("source").alias("category"), F.col("target").alias("technology"), "source_id", "target_id", "n"
     )
 
