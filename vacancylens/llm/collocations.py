@@ -37,8 +37,8 @@ from vacancylens.llm.arrays import LOWER, Texts, byte_set, complement, flagged,
 from vacancylens.llm.frames import list_column, over_texts, ready_for_python, stored
 
 MOST_WORDS, LEAST, TOP = 5, 100, 2000
-#: Occurrences that a task counts together, and stripe entries that it hands on together.
-OCCURRENCES, ENTRIES = 500_000, 50_000
+#: Occurrences that a task counts together, entries that it holds, and that it hands on together.
+OCCURRENCES, HELD_ENTRIES, ENTRIES = 500_000, 1_500_000, 50_000
 #: A prefix with more than this part of all words has its stripe in segments.
 HOT_SHARE, SEGMENT_BITS = 4096, 6
 #: Words of a row of the stored sequences, if a break allows.
@@ -88,12 +88,18 @@ def _chunk_words(chunk: Texts, rows: pa.RecordBatch) -> dict:
     return {
         "lang": pa.array(names, pa.string()).take(pa.array(of[at], pa.int64())),
         "word": [folded[a:b].decode("utf-8", "replace") for a, b in spans],
-        "a": distinct,
-        "b": _second(distinct),
         "n": n,
     }
 
 
+def _word_keys(chunk: Texts, rows: pa.RecordBatch) -> dict:
+    """Words, one a row, with the keys that :func:`_keys_and_breaks` gives them."""
+    _, code, tongue = _of_languages(rows)
+    keys = mix(span_hashes(chunk.data, chunk.offsets[:-1], chunk.offsets[1:]) * _FIRST + tongue[code])
+    keys[keys == OTHER] = 1
+    return {"lang": rows.column("lang"), "word": rows.column("word"), "f": rows.column("f"), "a": keys, "b": _second(keys)}
+
+
 def _bits_for(phrases: int) -> int:
     """A power of two, so that a key's low bits are its place."""
     return min(MOST_BITS, max(1 << 16, 1 << (BITS_EACH * phrases).bit_length()))
@@ -144,48 +150,60 @@ def _next_words(words_: np.ndarray, k: int, bitmap: np.ndarray) -> tuple[np.ndar
     return a[at], b[at], following
 
 
-def _stripes(a: np.ndarray, b: np.ndarray, word: np.ndarray, hot: np.ndarray) -> pa.RecordBatch:
-    """Occurrences as rows ``a, b, segment, words, counts``."""
+def _entries(a: np.ndarray, b: np.ndarray, word: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Equal ``(a, b, word)`` summed, entries of a prefix together and by word."""
     high = np.uint64(0xFFFFFFFF00000000)
     order = np.argsort((a & high) | (word >> np.uint64(32)), kind="stable")
-    a, b, word = a[order], b[order], word[order]
+    a, b, word, n = a[order], b[order], word[order], n[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (word[1:] != word[:-1])
+    at = np.flatnonzero(new)
+    return a[at], b[at], word[at], np.add.reduceat(n, at) if len(at) else n
+
+
+def _stripes(a: np.ndarray, b: np.ndarray, word: np.ndarray, n: np.ndarray, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Entries as rows ``a, b, segment, words, counts``."""
     segment = np.where(np.isin(a, hot), word >> np.uint64(64 - SEGMENT_BITS), np.uint64(0)) if len(hot) else np.zeros(len(a), np.uint64)
     prefix = np.ones(len(a), bool)
     prefix[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (segment[1:] != segment[:-1])
-    entry = prefix.copy()
-    entry[1:] |= word[1:] != word[:-1]
-    entries, prefixes = np.flatnonzero(entry), np.flatnonzero(prefix)
-    cuts = np.append(np.searchsorted(entries, prefixes), len(entries)).astype(np.int32)
-    lists = [pa.ListArray.from_arrays(pa.array(cuts), pa.array(v)) for v in (word[entries].view(np.int64), np.diff(np.append(entries, len(a))))]
-    flat = [pa.array(v[prefixes].view(np.int64)) for v in (a, b, segment)]
-    return pa.RecordBatch.from_arrays([*flat, *lists], names=["a", "b", "segment", "words", "counts"])
+    at = np.flatnonzero(prefix)
+    cuts = np.append(at, len(a)).astype(np.int32)
+    lists = [pa.ListArray.from_arrays(pa.array(cuts), pa.array(v)) for v in (word.view(np.int64), n)]
+    flat = [pa.array(v[at].view(np.int64)) for v in (a, b, segment)]
+    made = pa.RecordBatch.from_arrays([*flat, *lists], names=["a", "b", "segment", "words", "counts"])
+    parts = np.unique(np.searchsorted(cuts, np.arange(ENTRIES, len(a), ENTRIES)))
+    for lo, hi in zip([0, *parts], [*parts, len(made)], strict=True):
+        yield made.slice(lo, hi - lo)
 
 
 def _count_stripes(k: int, bitmap, hot) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            made = _stripes(*(np.concatenate(x) for x in zip(*held, strict=True)), hot.value)
-            ends = made.column("words").offsets.to_numpy()
-            cuts = np.unique(np.searchsorted(ends, np.arange(ENTRIES, ends[-1], ENTRIES)))
-            for lo, hi in zip([0, *cuts], [*cuts, len(made)], strict=True):
-                yield made.slice(lo, hi - lo)
+    def joined(parts: list[tuple]) -> tuple[np.ndarray, ...]:
+        return _entries(*(np.concatenate(x) for x in zip(*parts, strict=True)))
 
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, n_seen, held, n_held = [], 0, [], 0
         for batch in stream:  # every row of it ends with a break
             lists = batch.column(0)
             ends = lists.offsets.to_numpy()
             flat = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)[ends[0] : ends[-1]]
             if len(flat) < k:
                 continue
-            held.append(_next_words(flat, k, bitmap.value))
-            size += len(held[-1][0])
-            if size >= OCCURRENCES:
-                yield from flush()
-                held, size = [], 0
-        if size:
-            yield from flush()
+            a, b, word = _next_words(flat, k, bitmap.value)
+            seen.append((a, b, word, np.ones(len(a), np.int64)))
+            n_seen += len(a)
+            if n_seen < OCCURRENCES:
+                continue
+            held.append(joined(seen))
+            n_held += len(held[-1][0])
+            seen, n_seen = [], 0
+            if n_held > HELD_ENTRIES:
+                held = [joined(held)]
+                n_held = len(held[0][0])
+                if n_held > HELD_ENTRIES // 2:  # little was equal
+                    yield from _stripes(*held[0], hot.value)
+                    held, n_held = [], 0
+        if n_seen or n_held:
+            yield from _stripes(*joined(held + seen), hot.value)
 
     return run
 
@@ -300,10 +318,10 @@ def _mined(docs: DataFrame, least: int, lang_col: str, text_col: str) -> tuple[D
     ``languages``: ``lang, n``.
     """
     spark, narrow = docs.sparkSession, _words_of(docs, lang_col, text_col)
-    counted = over_texts(narrow, _chunk_words, "lang string, word string, a long, b long, n long")
-    counted = stored(counted.groupBy("lang", "word", "a", "b").agg(F.sum("n").alias("f")), "words")
-    one = counted.where(F.col("f") >= least).select("lang", F.array("a").alias("words"), F.col("word").alias("phrase"), "f", "a", "b")
-    one = stored(one, "phrases1")
+    counted = over_texts(narrow, _chunk_words, "lang string, word string, n long")
+    counted = stored(counted.groupBy("lang", "word").agg(F.sum("n").alias("f")), "words")
+    keyed = over_texts(counted.where(F.col("f") >= least), _word_keys, "lang string, word string, f long, a long, b long", column="word")
+    one = stored(keyed.select("lang", F.array("a").alias("words"), F.col("word").alias("phrase"), "f", "a", "b"), "phrases1")
     bitmap = spark.sparkContext.broadcast(_bitmap(one))
 
     def sequence(chunk: Texts, rows: pa.RecordBatch) -> dict:
