@@ -4,9 +4,11 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from plantext import planned
 from pyspark.sql import functions as F
 
-from vacancylens.plans import insights, profile, tables
+from vacancylens.operators import distribution
+from vacancylens.plans import cube, insights, profile, tables
 from vacancylens.schemas import DOCUMENT
 
 TECHNOLOGIES = ["Java", "JavaScript", "Python", "SQL", "PHP", ".Net", "AWS", "Go", "Scala", "C", None]
@@ -160,3 +162,57 @@ def test_partitioning_of_the_input_does_not_matter(docs):
 
     for name in insights.INSIGHTS:
         assert rows(name, 1) == rows(name, 7), name
+
+
+def shown(df):
+    """Rows as text with numbers rounded, in any order."""
+
+    def cell(value):
+        return f"{value:.6f}" if isinstance(value, float) else str(value)
+
+    return sorted(tuple(cell(row[c]) for c in sorted(df.columns)) for row in df.collect())
+
+
+@pytest.fixture(scope="module")
+def odd_docs(spark, docs):
+    """Documents with NaN, zero and negative salaries, missing lists and values."""
+    nan = float("nan")
+    base = docs[0][0]
+    changes = [
+        {"salary_mean": nan}, {"salary_mean": None}, {"salary_mean": 0.0}, {"salary_mean": -5.0}, {"salary_mean": 34999.99}, {"salary_mean": 35000.0},
+        {"seniority": None}, {"seniority": []}, {"seniority": ["Mid", "Mid", None]}, {"city": None}, {"city": [("X", None, 1.0), ("X", 2.0, 2.0)]},
+        {"id": None}, {"technology": None}, {"category": None}, {"remote": None}, {"contract_type": None},
+    ]
+    rows = [tuple(change.get(f.name, base[i]) for i, f in enumerate(DOCUMENT)) for change in changes * 3]
+    return docs[1].unionByName(spark.createDataFrame(rows, DOCUMENT))
+
+
+def test_insights_of_the_cube_equal_those_of_the_documents(docs, odd_docs):
+    for given in (docs[1], odd_docs, docs[1].limit(0)):
+        found = cube.insights_of_cube(cube.insight_cube(given).cache(), given)
+        assert set(found) == set(insights.INSIGHTS)
+        for name, query in insights.INSIGHTS.items():
+            wanted = query(given)
+            assert found[name].dtypes == wanted.dtypes, name
+            assert shown(found[name]) == shown(wanted), name
+
+
+def test_parameters_of_the_cube(docs):
+    cells = cube.insight_cube(docs[1]).cache()
+    assert shown(cube.category_technology_flow(cells, 2, 4, 60)) == shown(insights.category_technology_flow(docs[1], 2, 4, 60))
+    assert shown(cube.technology_salary_shape(cells, 3, 20000)) == shown(insights.technology_salary_shape(docs[1], 3, 20000))
+    assert shown(cube.salary_by_city(cells, 1, "Expert")) == shown(insights.salary_by_city(docs[1], 1, "Expert"))
+
+
+def test_the_documents_are_scanned_twice_for_all_insights(spark, docs, tmp_path, monkeypatch):
+    path, seen, parts = str(tmp_path / "d"), [], distribution._parts
+    docs[1].write.parquet(path)
+    given = spark.read.schema(DOCUMENT).parquet(path)
+    assert planned(cube.insight_cube(given)).count("FileScan") == 1
+    cube.insight_cube(given).write.parquet(f"{path}_cube")
+    cells = spark.read.parquet(f"{path}_cube")
+    monkeypatch.setattr(distribution, "_parts", lambda *a: seen.append(parts(*a)) or seen[-1])
+    found = cube.insights_of_cube(cells, given)
+    assert len(seen) == 1 and planned(seen[0]).count("technology#") > 0
+    assert [planned(df).count(f"{path}]") for df in seen] == [1]
+    assert all(f"{path}]" not in planned(df) for df in found.values())

@@ -47,6 +47,36 @@ def distribution(
     rows = df.select(*keys, number.alias("_v"), magnitude_bin(number).alias("_bin")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v")
     )
+    return summary(bin_counts(rows, keys), rows, keys, quantiles, F.lit(more_than), max_groups)
+
+
+def bin_counts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """First pass: per group and bin the number, mean, variance and range of its values."""
+    return rows.groupBy(*keys, "_bin").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.avg("_v").alias("_bin_mean"),
+        F.var_pop("_v").alias("_bin_var"),
+        F.min("_v").alias("_bin_min"),
+        F.max("_v").alias("_bin_max"),
+    )
+
+
+def summary(
+    bins: DataFrame,
+    rows: DataFrame,
+    keys: Sequence[str],
+    quantiles: dict[str, float] = QUARTILES,
+    more_than: Column | int = 0,
+    max_groups: int | None = None,
+    order: Sequence[str] = ("_bin",),
+) -> DataFrame:
+    """:func:`distribution` from counted bins, as :func:`bin_counts` gives them.
+
+    ``rows`` are the values behind them, ``(*keys, _v, _bin)``. Bins may be finer
+    than ``_bin``; ``order`` then names the columns whose order is that of the values.
+    ``more_than`` may depend on the keys.
+    """
+    keys = list(keys)
 
     # 0-based ranks around each quantile, and how far it lies between the two.
     ranks = {}
@@ -58,7 +88,7 @@ def distribution(
     for below, above, _ in ranks.values():
         for rank in (below, above):
             holds_a_rank |= (rank >= F.col("_start")) & (rank < F.col("_end"))
-    wanted = _ranked_bins(rows, keys).where((F.col("_total") > more_than) & holds_a_rank)
+    wanted = _ranked_bins(bins, keys, order).where((F.col("_total") > more_than) & holds_a_rank)
     most = None if max_groups is None else 2 * len(quantiles) * max_groups
     placed = _values_with_ranks(rows, wanted, keys, holds_a_rank, most)
 
@@ -73,24 +103,17 @@ def distribution(
     return placed.groupBy(*keys).agg(*[column.alias(name) for name, column in found.items()])
 
 
-def _ranked_bins(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """First pass: per group and bin the ranks it covers, with the group's totals.
+def _ranked_bins(per_bin: DataFrame, keys: list[str], order: Sequence[str]) -> DataFrame:
+    """Per group and bin the ranks it covers, with the group's totals.
 
     The totals ride on the bin rows, so the bins are needed in one place only
     and the first pass runs once.
     """
-    per_bin = rows.groupBy(*keys, "_bin").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.avg("_v").alias("_bin_mean"),
-        F.var_pop("_v").alias("_bin_var"),
-        F.min("_v").alias("_bin_min"),
-        F.max("_v").alias("_bin_max"),
-    )
     group = Window.partitionBy(*keys)
     # Pooled variance: spread inside the bins plus spread of the bin means.
     spread = F.col("_n") * (F.col("_bin_var") + F.pow(F.col("_bin_mean") - F.col("_mean"), 2))
     return (
-        per_bin.withColumn("_end", F.sum("_n").over(group.orderBy("_bin")))
+        per_bin.withColumn("_end", F.sum("_n").over(group.orderBy(*order)))
         .withColumn("_start", F.col("_end") - F.col("_n"))
         .withColumn("_total", F.sum("_n").over(group))
         .withColumn("_mean", F.sum(F.col("_n") * F.col("_bin_mean")).over(group) / F.col("_total"))

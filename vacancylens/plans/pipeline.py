@@ -10,7 +10,7 @@ from vacancylens import fixed_values as fixed
 from vacancylens.functions.times import epoch_seconds
 from vacancylens.operators import places
 from vacancylens.plans.clean import clean, extract_place_names
-from vacancylens.plans.insights import all_insights
+from vacancylens.plans.cube import insight_cube, insights_of_cube
 from vacancylens.plans.tables import ObservedContracts, warehouse_tables
 from vacancylens.session import new_folder
 from vacancylens.sources import snapshots as snap
@@ -95,11 +95,14 @@ def _small_gazetteer(gazetteer: DataFrame, postings: DataFrame) -> tuple[DataFra
 
 
 def write_insights(documents: DataFrame, path: str, run: str) -> None:
-    """Keep the insights of a run's documents as tables of the same run.
+    """Keep the insights of a run's documents, and the cube they come from, as tables of the same run.
 
-    Readers of the insights then scan small results and not the documents.
+    Readers then scan small results and not the documents; insights with other
+    parameters are summed from the stored cube.
     """
-    results = {f"insight_{name}": result for name, result in all_insights(documents).items()}
+    warehouse.write_warehouse({"cube": insight_cube(documents)}, path, run)
+    cube = warehouse.read_written(documents.sparkSession, path, run, "cube")
+    results = {f"insight_{name}": result for name, result in insights_of_cube(cube, documents).items()}
     warehouse.write_warehouse(results, path, run)
 
 

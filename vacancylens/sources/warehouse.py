@@ -9,6 +9,7 @@ previous set. The row published last is the served one.
 import time
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
@@ -21,6 +22,10 @@ from vacancylens.operators.contracts import require_rows
 from vacancylens.schemas import DOCUMENT, METADATA, SERVED
 
 
+#: Tables that are written at the same time.
+WRITERS = 4
+
+
 class Served(NamedTuple):
     """The run that readers see."""
 
@@ -52,8 +57,13 @@ def write_documents(metadata: DataFrame, documents: DataFrame, path: str, run: s
 
 
 def write_warehouse(tables: dict[str, DataFrame], path: str, run: str) -> None:
-    for name, table in tables.items():
-        table.write.parquet(_folder(path, run, name))
+    """Write the tables of a run, some at a time: most are small, and their jobs share the cluster."""
+
+    def write(named: tuple[str, DataFrame]) -> None:
+        named[1].write.parquet(_folder(path, run, named[0]))
+
+    with ThreadPoolExecutor(WRITERS) as pool:
+        list(pool.map(write, tables.items()))  # raises what a write raised
 
 
 def publish(metadata: DataFrame, path: str, key: str, run: str, batch: str | None = None) -> None:
