@@ -155,7 +155,76 @@ def _event_rows(condition: str = "true") -> str:
 
 _EVENTS = _event_rows()
 
+# The documents of the newest snapshot of events.
+_SERVED = """WITH docs AS (
+  SELECT CAST(event_id AS VARCHAR) AS id, upper(event_type[1]) || event_type[2:] AS technology, 'Backend' AS category,
+         event_type = 'view' AS remote, 'B2B' AS contract_type, (value * 2 + value) / 2 AS salary_mean
+  FROM events WHERE event_id // 2000 = (SELECT max(event_id // 2000) FROM events) AND event_type <> 'error'
+),
+levels AS (SELECT id, 'Mid' AS seniority FROM docs),
+cities AS (SELECT id, 'Warszawa' AS city, CAST(52.23 AS DOUBLE) AS lat, CAST(21.01 AS DOUBLE) AS lon FROM docs)"""
+
+
+def _all_insights(head: str) -> str:
+    """Every stored insight as ``(insight, label, n, value)``, over docs, levels and cities."""
+
+    def share(name: str, relation: str, top: str = "") -> str:
+        counted = f"SELECT {name} AS label, count(*) AS n FROM {relation} GROUP BY 1 {top}"
+        return f"SELECT label, n, round(n / sum(n) OVER (), 6) AS value FROM ({counted})"
+
+    def top(name: str) -> str:
+        return f"HAVING {name} IS NOT NULL ORDER BY n DESC, 1 LIMIT 12"
+
+    def city(name: str, level: str | None) -> str:
+        rows = "docs JOIN cities USING (id)" + (f" JOIN levels USING (id) WHERE seniority = '{level}'" if level else "")
+        return f"SELECT city AS label, count(id) AS n, round(avg(salary_mean), 3) AS value FROM {rows} GROUP BY 1 ORDER BY n DESC, 1 LIMIT 15"
+
+    bin_start = "CAST(floor(salary_mean / 1000) * 1000 AS BIGINT)"
+    by_level = "docs JOIN levels USING (id) WHERE technology IN (FROM level_top) AND salary_mean < 35000"
+    by_contract = "docs WHERE technology IN (FROM post_top) AND contract_type IN ('B2B', 'Permanent') AND salary_mean < 40000"
+    parts = {
+        "technology_share": share("technology", "docs", top("technology")),
+        "category_share": share("category", "docs", top("category")),
+        "seniority_share": share("seniority", "docs JOIN levels USING (id)"),
+        "remote_share": share("CASE WHEN remote THEN 'Yes' ELSE 'No' END", "docs"),
+        "category_technology_flow": "SELECT category || '/' || technology AS label, n, NULL AS value FROM edges",
+        "category_technology_nodes": """
+            SELECT label, row_number() OVER (ORDER BY label) - 1 AS n, NULL AS value
+            FROM (SELECT category AS label FROM edges UNION SELECT technology FROM edges)""",
+        "salary_by_city": city("salary_by_city", None),
+        "salary_by_city_junior": city("salary_by_city_junior", "Junior"),
+        "salary_by_city_mid": city("salary_by_city_mid", "Mid"),
+        "salary_by_city_senior": city("salary_by_city_senior", "Senior"),
+        "salary_histogram": f"""
+            SELECT seniority || '/' || {bin_start} AS label, count(*) AS n, NULL AS value
+            FROM docs JOIN levels USING (id) WHERE salary_mean > 0 AND salary_mean < 40000 GROUP BY 1""",
+        "technology_salary_distribution": f"""
+            SELECT seniority || '/' || technology AS label, count(*) AS n, round(quantile_cont(salary_mean, 0.5), 4) AS value
+            FROM {by_level} GROUP BY 1 HAVING count(*) > 3""",
+        "contract_salary_distribution": f"""
+            SELECT contract_type || '/' || technology AS label, count(*) AS n, round(quantile_cont(salary_mean, 0.5), 4) AS value
+            FROM {by_contract} GROUP BY 1""",
+        "technology_salary_shape": f"""
+            SELECT concat_ws('/', seniority, technology, {bin_start}) AS label, count(*) AS n, NULL AS value FROM {by_level} GROUP BY 1""",
+        "contract_salary_shape": f"""
+            SELECT concat_ws('/', contract_type, technology, {bin_start}) AS label, count(*) AS n, NULL AS value FROM {by_contract} GROUP BY 1""",
+    }
+    shown = " UNION ALL ".join(f"SELECT '{name}' AS insight, label, n, CAST(value AS DOUBLE) AS value FROM ({sql})" for name, sql in parts.items())
+    return f"""{head},
+    cats AS (SELECT category FROM docs GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 12),
+    techs AS (SELECT technology FROM docs GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 12),
+    edges AS (
+      SELECT category, technology, count(*) AS n FROM docs
+      WHERE category IN (FROM cats) AND technology IN (FROM techs) GROUP BY 1, 2 HAVING count(*) >= 12
+    ),
+    level_top AS (SELECT technology FROM docs JOIN levels USING (id) GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 8),
+    post_top AS (SELECT technology FROM docs GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 8)
+    {shown}"""
+
+
 ORACLES: dict[str, str] = {
+    "cube_insights": _all_insights(_DOCS),
+    "served_insight_tables": _all_insights(_SERVED),
     "technology_share": _top_share("technology", 12),
     "category_share": _top_share("category", 3),
     "seniority_share": f"""{_DOCS}, c AS (SELECT seniority, count(*) AS n FROM docs JOIN levels USING (id) GROUP BY 1)

@@ -1,6 +1,7 @@
 """The registered queries: one per operator family, over whole tables."""
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from vacancylens.functions.numbers import row_mean
 from vacancylens.functions.times import display_date, epoch_seconds, parse_iso
 from vacancylens.operators import contracts, counts, filters, flatten, groups, ordering, places
 from vacancylens.operators.distribution import describe
-from vacancylens.plans import clean, insights, profile, tables
+from vacancylens.plans import clean, cube, insights, profile, tables
 from vacancylens.plans.pipeline import archive, run_pipeline
 from vacancylens.session import configure, new_folder
 from vacancylens.sources import lake, pages, snapshots, warehouse
@@ -596,9 +597,8 @@ def repeated_batch(spark, sf_dir):
     return postings.withColumns({"n_runs": runs.agg(F.count("run")).scalar(), "batch": runs.agg(F.max("batch")).scalar()})
 
 
-@query
-def served_insights(spark, sf_dir):
-    """Stored insights after two ingestions, of the snapshot then served."""
+def _serve_in_two_parts(spark, sf_dir):
+    """The warehouse after two ingestions of all snapshots but their half each."""
     landing, path, stored = (new_folder(spark, p) for p in ("landing", "warehouse", "lake"))
     checkpoint, envelopes = new_folder(spark, "ingest"), view.event_envelopes(spark, sf_dir).select("payload")
     first = F.pmod(F.xxhash64("payload"), F.lit(2)) == 0
@@ -607,7 +607,57 @@ def served_insights(spark, sf_dir):
         ingest_new_snapshots(
             spark, landing, view.warsaw(spark), path, stored, checkpoint, lines=True, relational=False
         ).awaitTermination()
-    return warehouse.read_served(spark, path, "insight_remote_share")
+    return path
+
+
+@query
+def served_insights(spark, sf_dir):
+    """Stored insights after two ingestions, of the snapshot then served."""
+    return warehouse.read_served(spark, _serve_in_two_parts(spark, sf_dir), "insight_remote_share")
+
+
+#: What tells an insight's rows apart, its count, and a number to show with it.
+_SHOWN = {
+    "technology_share": (["technology"], "n", "share", 6),
+    "category_share": (["category"], "n", "share", 6),
+    "seniority_share": (["seniority"], "n", "share", 6),
+    "remote_share": (["remote"], "n", "share", 6),
+    "category_technology_flow": (["category", "technology"], "n", None, 0),
+    "category_technology_nodes": (["label"], "node_id", None, 0),
+    **{f"salary_by_city{level}": (["city"], "job_counts", "salary_mean", 3) for level in ("", "_junior", "_mid", "_senior")},
+    "salary_histogram": (["seniority", "bin_start"], "n", None, 0),
+    "technology_salary_distribution": (["seniority", "technology"], "n", "p50", 4),
+    "contract_salary_distribution": (["contract_type", "technology"], "n", "p50", 4),
+    "technology_salary_shape": (["seniority", "technology", "bin_start"], "n", None, 0),
+    "contract_salary_shape": (["contract_type", "technology", "bin_start"], "n", None, 0),
+}
+
+
+def _one_table(found):
+    """Insights, each with its own columns, as rows ``(insight, label, n, value)``."""
+    tables_ = []
+    for name, (label, n, value, digits) in _SHOWN.items():
+        number = F.lit(None).cast("double") if value is None else F.round(value, digits)
+        label = F.concat_ws("/", *[F.col(c).cast("string") for c in label])
+        tables_.append(found[name].select(F.lit(name).alias("insight"), label.alias("label"), F.col(n).cast("long").alias("n"), number.alias("value")))
+    return reduce(DataFrame.unionByName, tables_)
+
+
+@query
+def served_insight_tables(spark, sf_dir):
+    """Every insight stored with the snapshot that is served after two ingestions."""
+    path = _serve_in_two_parts(spark, sf_dir)
+    run = warehouse.require_served(spark, path).run
+    return _one_table({name: warehouse.read_written(spark, path, run, f"insight_{name}") for name in _SHOWN})
+
+
+@query
+def cube_insights(spark, sf_dir):
+    """Every insight from the cube, with its defaults."""
+    docs = view.documents(spark, sf_dir, "id", "technology", "category", "remote", "contract_type", "salary_mean", "city", "seniority")
+    path = new_folder(spark, "cube")
+    cube.insight_cube(docs).write.parquet(path)
+    return _one_table(cube.insights_of_cube(spark.read.parquet(path), docs))
 
 
 @query
