@@ -159,8 +159,10 @@ def document_postings(envelopes: DataFrame, expected_source: str = fixed.EXPECTE
     A row for each posting, with its document's head and the number announced; a
     document without postings has a row without ``pos``.
     """
-    checked = read_snapshot(envelopes).transform(check_source, expected_source)
-    head = ["source_name", "key", _document().alias("document"), "obtained_datetime", "modified", "path", F.col("raw_data.totalCount").alias("total")]
+    # Named before it is taken apart, so no posting carries its document along.
+    named = envelopes.withColumn("document", _document())
+    checked = read_snapshot(named).transform(check_source, expected_source)
+    head = ["source_name", "key", "document", "obtained_datetime", "modified", "path", F.col("raw_data.totalCount").alias("total")]
     rows = checked.select(*head, F.posexplode_outer("raw_data.postings").alias("pos", "_posting"))
     return rows.select(*ARCHIVED_POSTING.names[:8], *_fields(F.col("_posting")))
 
