@@ -47,11 +47,13 @@ def _folder(path: str, table: str, batch: str) -> str:
     return f"{path}/{table}/batch={batch}"
 
 
-def archive_batch(postings: DataFrame, payloads: DataFrame | None, path: str, batch: str | None = None) -> str:
+def archive_batch(
+    postings: DataFrame, payloads: DataFrame | None, path: str, batch: str | None = None, postings_a_file: int | None = None
+) -> str:
     """Store arrived postings and, if there are any, their documents; the batch's name."""
     spark, batch = postings.sparkSession, batch or uuid.uuid4().hex
     rows = postings.select(*ARCHIVED_POSTING.names)
-    rows.write.mode("overwrite").option("maxRecordsPerFile", POSTINGS_A_FILE).parquet(_folder(path, "postings", batch))
+    rows.write.mode("overwrite").option("maxRecordsPerFile", postings_a_file or POSTINGS_A_FILE).parquet(_folder(path, "postings", batch))
     if payloads is not None:
         documents = payloads.select(*RAW_SNAPSHOT.names)
         documents.write.mode("overwrite").option("maxRecordsPerFile", PAYLOADS_A_FILE).parquet(_folder(path, "payloads", batch))
