@@ -96,7 +96,8 @@ def test_ambiguous_alias_gives_one_place(spark):
     assert [c.city for c in found] == ["Warszawa", "Gdynia", "Białystok"]
 
 
-def test_lookup_adds_no_shuffle_to_a_deduplicated_table(spark):
+def test_lookup_adds_no_shuffle_to_a_deduplicated_table(spark, monkeypatch):
+    monkeypatch.setattr(clean, "VALUE_PLACES", 0)  # the join; the other way is tested below
     places = gazetteer(spark)
     assert measured_places(places) == 5
     final = executed(clean.clean(raw(spark), places, max_places=measured_places(places)))
@@ -116,3 +117,30 @@ def test_lookup_requires_no_places_column(spark):
     df = spark.createDataFrame([(1, ["Warsaw"]), (2, None), (3, [])], "k int, place_names array<string>")
     out = {r.k: [c.city for c in r.city] for r in lookup_places(df.withColumn("z", F.lit(0)), gazetteer(spark), ["k"]).collect()}
     assert out == {1: ["Warszawa"], 2: [], 3: []}
+
+
+def test_places_in_place_equal_the_join(spark, monkeypatch):
+    from vacancylens.operators import places
+
+    monkeypatch.setattr(places, "BUCKETS", 3)
+    rows = [(1, ["Warsaw", None, " BERLIN ", "Atlantis", "warsaw"]), (2, None), (3, []), (None, ["Gdynia"]), (None, ["Gdynia"])]
+    df = spark.createDataFrame(rows, "k int, place_names array<string>").withColumn("z", F.lit("z"))
+    double = gazetteer(spark).union(gazetteer(spark).withColumn("city", F.concat("city", F.lit("2"))))
+    for countries in (None, ["Polska"]):
+        mapped = places.map_places(df, double, countries=countries)
+        joined = lookup_places(df.where("k is not null"), double, ["k"], countries=countries)
+        assert dict(mapped.dtypes) == dict(joined.dtypes)
+        found = {r.k: r.city for r in mapped.collect() if r.k is not None}
+        assert found == {r.k: r.city for r in joined.collect()}
+        assert [[c.city for c in r.city] for r in mapped.where("k is null").collect()] == [["Gdynia"], ["Gdynia"]]
+    none = places.map_places(df, gazetteer(spark).limit(0))
+    assert [c.city for c in none.where("k = 1").first().city] == [None] * 5
+
+
+def test_a_small_gazetteer_neither_unfolds_nor_groups(spark):
+    places_ = gazetteer(spark)
+    plan = planned(clean.clean(raw(spark), places_, max_places=5))
+    # Without the lines of the subquery that makes the table.
+    main = "\n".join(line for line in plan.split("\n") if not line.lstrip().startswith(":"))
+    assert not any(word in main for word in ("Generate", "Join", "Aggregate", "collect_list"))
+    assert main.count("hashpartitioning(id") == 1 and "WindowGroupLimit" in main

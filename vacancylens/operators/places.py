@@ -11,6 +11,10 @@ from vacancylens.operators.bounded import broadcast_bounded, measured_rows
 #: A lookup table of at most this many rows (some 20 MB) may be broadcast.
 BROADCAST_PLACES = 200_000
 
+#: A lookup table of at most this many rows (some 2 MB) may be one value of a query,
+#: in this many buckets, each a map.
+VALUE_PLACES, BUCKETS = 20_000, 1024
+
 _CITY = "struct<city:string,lat:double,lon:double>"
 
 
@@ -97,3 +101,40 @@ def lookup_places(
         lambda p: F.struct(*[p.getField(name).alias(name) for name in ("city", "lat", "lon")]),
     )
     return regrouped.select(*keys, *others, cities.cast(f"array<{_CITY}>").alias(into))
+
+
+def _bucket(alias: Column) -> Column:
+    return F.pmod(F.xxhash64(alias), F.lit(BUCKETS)).cast("int")
+
+
+def _table_value(table: DataFrame) -> Column:
+    """A lookup table as one value: an array of maps from alias to place.
+
+    Spark searches a map from its beginning, so the aliases are spread over buckets
+    and a lookup sees a few of them.
+    """
+    place = F.struct(F.col("_city").alias("city"), F.col("_lat").alias("lat"), F.col("_lon").alias("lon"))
+    maps = table.groupBy(_bucket(F.col("_alias")).alias("at")).agg(F.map_from_entries(F.collect_list(F.struct("_alias", place))).alias("places"))
+    by_bucket = F.map_from_entries(F.collect_list(F.struct("at", "places")))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda at: F.col("by")[at])
+    return maps.agg(by_bucket.alias("by")).select(dense.alias("table")).scalar()
+
+
+def map_places(
+    df: DataFrame, gazetteer: DataFrame, names: str = "place_names", into: str = "city", countries: Sequence[str] | None = None
+) -> DataFrame:
+    """:func:`lookup_places` for a gazetteer of at most ``VALUE_PLACES`` rows.
+
+    The table is one value, computed once and sent with the tasks, and each list is
+    mapped where it is: rows are neither unfolded nor grouped, so they need no key.
+    """
+    missing = F.struct(F.lit(None).cast("string").alias("city"), F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"))
+    held = df.withColumn("_table", _table_value(lookup_table(gazetteer, countries)))
+
+    def found(name: Column) -> Column:
+        key = place_key(name)
+        return F.coalesce(F.col("_table")[_bucket(key)][key], missing)
+
+    cities = F.transform(F.coalesce(F.col(names), F.array().cast("array<string>")), found)
+    placed = held.withColumn(into, cities.cast(f"array<{_CITY}>"))
+    return placed.drop("_table", *([names] if names != into else []))

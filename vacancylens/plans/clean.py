@@ -20,7 +20,7 @@ from vacancylens.functions.text import (
 )
 from vacancylens.operators.filters import drop_columns, keep_equal
 from vacancylens.operators.groups import first_per_key
-from vacancylens.operators.places import lookup_places, place_names
+from vacancylens.operators.places import VALUE_PLACES, lookup_places, map_places, place_names
 
 
 def drop_unwanted(df: DataFrame) -> DataFrame:
@@ -106,7 +106,8 @@ def clean(
     is represented by its first row whatever that row's currency. Both filters
     come before the place lookup, so no place is looked up for nothing. Keys in
     addition to ``id`` (a snapshot key) clean several snapshots at once.
-    ``max_places`` is the size of a gazetteer known to be small.
+    ``max_places`` is the size of a gazetteer known to be small; a very small one is
+    looked up in place, without unfolding the lists.
     """
     extracted = (
         postings.transform(drop_unwanted)
@@ -118,6 +119,9 @@ def clean(
         .drop("location")
     )
     kept = extracted.transform(drop_duplicates, keys, order).transform(keep_currency).drop("salary")
-    placed = lookup_places(kept, gazetteer, keys, countries=fixed.KEPT_COUNTRIES, max_places=max_places)
+    if max_places is not None and max_places <= VALUE_PLACES:
+        placed = map_places(kept, gazetteer, countries=fixed.KEPT_COUNTRIES)
+    else:
+        placed = lookup_places(kept, gazetteer, keys, countries=fixed.KEPT_COUNTRIES, max_places=max_places)
     extra = [k for k in keys if k not in fixed.DOCUMENT_COLUMNS]
     return placed.transform(normalize_names).select(*extra, *fixed.DOCUMENT_COLUMNS)

@@ -407,6 +407,7 @@ ORACLES: dict[str, str] = {
     "envelope_json": _EVENTS,
     "archive_roundtrip": _EVENTS,
     "lake_postings": _EVENTS,
+    "compacted_lake": _EVENTS,
     "archived_heads": """
         SELECT 'nofluffjobs' AS source_name, obtained || '_nofluffjobs' AS key, obtained, n_postings, 1 AS n_files
         FROM (SELECT 1704067200 + (event_id // 2000) * 3600 AS obtained, count(*) AS n_postings FROM events GROUP BY 1)""",
@@ -460,3 +461,4 @@ ORACLES: dict[str, str] = {
         FROM pages WHERE page_id % 3 <> 0""",
     "posting_urls": f"{_DOCS} SELECT id, 'https://nofluffjobs.com/pl/job/' || url AS page_url FROM docs",
 }
+ORACLES["geo_lookup_joined"] = ORACLES["clean_locations"]

@@ -14,7 +14,7 @@ from vacancylens.operators.distribution import describe
 from vacancylens.plans import clean, cube, insights, profile, tables
 from vacancylens.plans.pipeline import archive, run_pipeline
 from vacancylens.session import configure, new_folder
-from vacancylens.sources import lake, pages, snapshots, warehouse
+from vacancylens.sources import lake, pages, retention, snapshots, warehouse
 from vacancylens.streaming.ingest import ingest_new_snapshots
 from vacancylens.workload import view
 
@@ -194,8 +194,8 @@ def crowded_describe(spark, sf_dir):
 
 
 def _cleaned(spark, sf_dir):
-    postings = view.raw_postings(spark, sf_dir)
-    return clean.clean(postings, view.gazetteer(spark, sf_dir), order=view.LINE_ORDER)
+    postings, known = view.raw_postings(spark, sf_dir), view.gazetteer(spark, sf_dir)
+    return clean.clean(postings, known, order=view.LINE_ORDER, max_places=places.measured_places(known))
 
 
 @query
@@ -267,6 +267,13 @@ def geo_lookup(spark, sf_dir):
     return found.select("s_suppkey", F.posexplode("city").alias("pos", "c")).select("s_suppkey", "pos", "c.*")
 
 
+@query
+def geo_lookup_joined(spark, sf_dir):
+    """Cleaned places by the join that serves gazetteers of any size."""
+    postings, known = view.raw_postings(spark, sf_dir), view.gazetteer(spark, sf_dir)
+    return tables.locations_table(clean.clean(postings, known, order=view.LINE_ORDER))
+
+
 @query
 def address_gazetteer(spark, sf_dir):
     nations = view.table(spark, sf_dir, "nation").join(
@@ -501,6 +508,17 @@ def lake_postings(spark, sf_dir):
     return _shown(lake.read_postings(spark, path))
 
 
+@query
+def compacted_lake(spark, sf_dir):
+    """Postings of a lake whose batches, one of them a repetition, were merged into one."""
+    path, envelopes = new_folder(spark, "lake"), view.event_envelopes(spark, sf_dir)
+    archive(envelopes, path)
+    archive(envelopes.where(F.col("path").cast("int") % 2 == 1), path)
+    retention.compact_lake(spark, path, older_than=0)
+    retention.compact_lake(spark, path, older_than=0)
+    return _shown(lake.read_postings(spark, path))
+
+
 @query
 def archived_heads(spark, sf_dir):
     """The lake's manifest after one batch came twice under its name and once under another."""
