@@ -85,6 +85,54 @@ def test_local_search_empties_bins():
     assert len(better) == 3 and sorted(k for b in better for k in b) == list(range(7))
 
 
+@pytest.mark.parametrize("low, high, most", [(1200, 1600, 360), (1000, 1400, 316), (600, 1000, 192)])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_the_search_saves_bins_of_best_fit(seed, low, high, most):
+    lengths = np.random.default_rng(seed).integers(low, high, 970)
+    packed = packing.pack_block(lengths, 4096)
+    assert sorted(k for b in packed for k in b) == list(range(970)) and max(lengths[b].sum() for b in packed) <= 4096
+    assert len(packed) <= most and len(packed) < len(packing.best_fit(lengths, 4096))
+
+
+def every_step(state, target):
+    """Gains of all steps there are for a bin, by trying them."""
+    gains = set()
+    sizes, groups = state.lengths, lambda b: [(k,) for k in state.members[b]] + [(i, j) for n, i in enumerate(state.members[b]) for j in state.members[b][n + 1 :]]
+    for donor in state.underfull():
+        for give in groups(donor) if donor != target else []:
+            for take in [(), *groups(target)]:
+                gain = sum(sizes[k] for k in give) - sum(sizes[k] for k in take)
+                allowed = len(give) + len(take) < 4 and 0 < gain <= state.capacity - state.fill[target]
+                if allowed and state.fill[target] + gain > state.fill[donor]:
+                    gains.add(int(gain))
+    return gains
+
+
+@pytest.mark.parametrize("seed, compared", [(0, 1 << 20), (1, 1), (2, 5)])
+def test_no_step_is_overlooked(seed, compared, monkeypatch):
+    monkeypatch.setattr(packing, "COMPARED", compared)
+    rnd = np.random.default_rng(seed)
+    lengths = rnd.integers(1, 40, 60)
+    bins = [[] for _ in range(20)]
+    for k in range(60):
+        rnd.choice([b for b in bins if sum(lengths[b]) + lengths[k] <= 100]).append(k)
+    state = packing._Bins([b for b in bins if b], lengths, 100)
+    steps = 0
+    while True:
+        squares, found = int((state.fill**2).sum()), None
+        partners = state.sorted_groups()
+        for target in state.underfull():
+            step, gains = state.best_step(target, partners), every_step(state, target)
+            assert (step is None) == (not gains) and (step is None or step[2] == max(gains))
+            found = found or (step and (target, step))
+        if found is None:
+            break
+        state.apply(found[0], *found[1])
+        assert int((state.fill**2).sum()) > squares
+        steps += 1
+    assert steps > 5
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_blocks_keep_all_pieces(seed):
     rnd = np.random.default_rng(seed)
@@ -102,3 +150,13 @@ def test_levels_join_the_open_bins_of_blocks(spark):
     packed = packing.pack(frame, 1000).collect()
     assert sorted((r.doc_id, r.length) for r in packed) == rows
     assert check_places(packed, 1000) <= 1.02 * math.ceil(sum(n for _, n in rows) / 1000) + 1
+
+
+def test_levels_go_on_while_they_save_sequences(spark, monkeypatch):
+    lengths = [int(n) for n in np.random.default_rng(3).integers(300, 401, 900)]
+    frame = spark.createDataFrame(list(enumerate(lengths)), "doc_id long, length long").repartition(9)
+    levels, pack_level = [], packing._pack_level
+    monkeypatch.setattr(packing, "_pack_level", lambda rows, level, capacity: levels.append(level) or pack_level(rows, level, capacity))
+    packed = packing.pack(frame, 1024).collect()
+    assert sorted((r.doc_id, r.length) for r in packed) == list(enumerate(lengths)) and levels[:2] == [0, 1]
+    assert check_places(packed, 1024) < len(packing.best_fit(np.array(lengths), 1024))

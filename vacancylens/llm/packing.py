@@ -2,11 +2,13 @@
 
 Texts are encoded and cut into pieces of at most ``capacity`` tokens. Pieces are
 packed in blocks of ``BLOCK`` of them, each in one task: largest first into the
-fullest bin that has room, then a local search. The emptiest bin gives documents
-away: it moves one, exchanges one for a smaller one, two for one, or one for two,
-whenever that fills the other bin further. Each step raises the sum of squared
-fills, and a bin that gets empty is gone. Bins of all blocks that are still
-underfull go into the next level, which packs their pieces together again.
+fullest bin that has room, then a local search. An underfull bin is filled further
+by a move of one or two documents from another one, or an exchange of one for one,
+two for one or one for two. Documents and pairs of all bins lie sorted by length,
+so partners that fit a bin's room are looked up and all of them are seen. A step
+has to raise the sum of squared fills; the search ends when no step does or when no
+bin can be saved. Bins of all blocks that are still underfull go into the next
+level, which packs their pieces together again, until a level saves no sequence.
 
 Null and empty texts are the end token alone. Repeated rows are packed each.
 Sequences and places are found by order of the stored rows, so a task that runs
@@ -33,13 +35,8 @@ CAPACITY = 4096
 BLOCK = 8192
 #: A bin with more room than this part of the capacity is packed again.
 OPEN_PART = 1 / 128
-#: Bins with the most room that a bin tries to give its documents to.
-TARGETS = 24
-#: Documents of a bin that are looked at for exchanges of two.
-PAIRED = 48
-#: Pairs of bins that a block's search looks at; all rows are packed whenever it ends.
-MOST_LOOKS = 20_000
-MOST_LEVELS = 6
+#: Partners that are compared together.
+COMPARED = 1 << 20
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
@@ -67,79 +64,120 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def _exchange(donor: list[int], target: list[int], room: int, size: list[int]) -> tuple[list[int], list[int]] | None:
-    """What to give to and take from a bin so that it is filled further, as far as possible."""
-    best, chosen = 0, None
-
-    def consider(give: list[int], take: list[int]) -> None:
-        nonlocal best, chosen
-        gain = sum(size[k] for k in give) - sum(size[k] for k in take)
-        if best < gain <= room:
-            best, chosen = gain, (give, take)
-
-    for d in donor:
-        consider([d], [])
-    few_d, few_t = donor[:PAIRED], target[:PAIRED]
-    for d in few_d:
-        for t in few_t:
-            consider([d], [t])
-    if best < room:
-        for i, d in enumerate(few_d):
-            for e in few_d[i + 1 :]:
-                consider([d, e], [])
-                if size[d] + size[e] > best:
-                    for t in few_t:
-                        consider([d, e], [t])
+class _Bins:
+    """Bins of documents while they are searched."""
+
+    def __init__(self, bins: list[list[int]], lengths: np.ndarray, capacity: int) -> None:
+        self.capacity, self.lengths = capacity, lengths.astype(np.int64)
+        self.members = [list(b) for b in bins]
+        self.of = np.empty(len(lengths), np.int64)
+        for b, own in enumerate(bins):
+            self.of[own] = b
+        self.fill = np.bincount(self.of, self.lengths, len(bins)).astype(np.int64)
+
+    def underfull(self) -> list[int]:
+        """Bins with documents and room, the emptiest first."""
+        open_ = np.flatnonzero((self.fill > 0) & (self.fill < self.capacity))
+        return open_[np.argsort(self.fill[open_], kind="stable")].tolist()
+
+    def _some(self, b: int) -> list[int]:
+        """A bin's documents, no more than two of a length: others make no other sums.
+
+        A bin has few different lengths (their sum is at most the capacity).
+        """
+        seen: dict[int, int] = {}
+        out = []
+        for k in self.members[b]:
+            size = int(self.lengths[k])
+            seen[size] = seen.get(size, 0) + 1
+            if seen[size] <= 2:
+                out.append(k)
+        return out
+
+    def _groups(self, b: int) -> tuple[np.ndarray, np.ndarray]:
+        """Documents, and pairs of documents, of a bin as rows of two; -1 for none."""
+        some = np.array(self._some(b), np.int64)
+        i, j = np.triu_indices(len(some), 1)
+        return np.stack([some, np.full(len(some), -1)], axis=1), np.stack([some[i], some[j]], axis=1)
+
+    def size(self, groups: np.ndarray) -> np.ndarray:
+        return np.where(groups >= 0, self.lengths[groups], 0).sum(axis=1)
+
+    def sorted_groups(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Single documents and pairs of all underfull bins, ``(groups, sizes)`` by size."""
+        found = [self._groups(b) for b in self.underfull()]
+        out = []
+        for kind in (0, 1):
+            groups = np.concatenate([np.zeros((0, 2), np.int64), *(f[kind] for f in found)])
+            sizes = self.size(groups)
+            order = np.argsort(sizes, kind="stable")
+            out.append((groups[order], sizes[order]))
+        return out
+
+    def best_step(self, target: int, partners: list[tuple[np.ndarray, np.ndarray]]) -> tuple | None:
+        """``(give, take, gain)`` that fills a bin furthest and raises the sum of squares."""
+        room = self.capacity - int(self.fill[target])
+        none = np.full((1, 2), -1)
+        singles, pairs = self._groups(target)
+        best, chosen = 0, None
+        # One document for none, one or two of the bin; two for none or one.
+        for (groups, sizes), own in zip(partners, ([none, singles, pairs], [none, singles]), strict=True):
+            takes = np.concatenate(own)
+            taken = self.size(takes)
+            lo, hi = np.searchsorted(sizes, taken + best, "right"), np.searchsorted(sizes, taken + room, "right")
+            counts = np.maximum(hi - lo, 0)
+            ends = np.cumsum(counts)
+            at = 0
+            while at < len(takes):
+                stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + COMPARED, "right")))
+                own_counts = counts[at:stop]
+                take = np.repeat(np.arange(at, stop), own_counts)
+                before = np.cumsum(own_counts) - own_counts
+                give = np.arange(len(take)) - np.repeat(before - lo[at:stop], own_counts)
+                gain = sizes[give] - taken[take]
+                first, second = groups[give, 0], groups[give, 1]
+                donor = self.of[first]
+                fits = (donor != target) & (self.fill[donor] < self.capacity) & (self.fill[target] + gain > self.fill[donor])
+                fits &= (second < 0) | (self.of[second] == donor)  # moved since the pairs were listed
+                gain = np.where(fits, gain, 0)
+                if len(gain) and gain.max() > best:
+                    k = int(gain.argmax())
+                    best, chosen = int(gain[k]), (groups[give[k]], takes[take[k]])
+                at = stop
             if best == room:
                 break
-        for i, t in enumerate(few_t):
-            for u in few_t[i + 1 :]:
-                taken = size[t] + size[u]
-                for d in few_d:
-                    if size[d] > taken:
-                        consider([d], [t, u])
-    return chosen
+        return None if chosen is None else (*chosen, best)
+
+    def apply(self, target: int, give: np.ndarray, take: np.ndarray, gain: int) -> int:
+        """Make a step; the bin that gave."""
+        donor = int(self.of[give[0]])
+        for group, here, there in ((give, donor, target), (take, target, donor)):
+            for k in group[group >= 0].tolist():
+                self.members[here].remove(k)
+                self.members[there].append(k)
+                self.of[k] = there
+        self.fill[target] += gain
+        self.fill[donor] -= gain
+        return donor
 
 
 def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
-    """Local search over the underfull bins until none can be emptied or ``MOST_LOOKS`` is reached."""
-    size = lengths.tolist()
-    fill = [sum(size[k] for k in b) for b in bins]
-    least = math.ceil(sum(fill) / capacity)
-    live = [b for b in range(len(bins)) if fill[b] < capacity]
-    stuck: set[int] = set()
-    count = len(bins)
-    looks = 0
-    while count > least and looks < MOST_LOOKS:
-        donors = [b for b in live if bins[b] and b not in stuck]
-        if not donors:
-            break
-        donor = min(donors, key=lambda b: (fill[b], b))
-        others = [b for b in live if b != donor and bins[b] and fill[donor] <= fill[b] < capacity]
-        others.sort(key=lambda b: (fill[b], b))
+    """Local search over the underfull bins until no step is left or no bin can be saved."""
+    state = _Bins(bins, lengths, capacity)
+    least = math.ceil(int(state.fill.sum()) / capacity)
+    count, changed = int((state.fill > 0).sum()), True
+    while changed and count > least:
         changed = False
-        for target in others[:TARGETS]:
-            while bins[donor]:
-                looks += 1
-                found = _exchange(bins[donor], bins[target], capacity - fill[target], size)
-                if found is None:
+        partners = state.sorted_groups()
+        for target in state.underfull():
+            while 0 < state.fill[target] < capacity and count > least:
+                step = state.best_step(target, partners)
+                if step is None:
                     break
-                give, take = found
-                gain = sum(size[k] for k in give) - sum(size[k] for k in take)
-                bins[donor] = [k for k in bins[donor] if k not in give] + take
-                bins[target] = [k for k in bins[target] if k not in take] + give
-                fill[donor], fill[target] = fill[donor] - gain, fill[target] + gain
+                donor = state.apply(target, *step)
+                count -= not state.fill[donor]
                 changed = True
-            if not bins[donor]:
-                break
-        if not bins[donor]:
-            count -= 1
-        if changed:
-            stuck.clear()
-        else:
-            stuck.add(donor)
-        live = [b for b in live if bins[b] and fill[b] < capacity]
-    return [b for b in bins if b]
+    return [b for b in state.members if b]
 
 
 def pack_block(lengths: np.ndarray, capacity: int) -> list[list[int]]:
@@ -183,7 +221,7 @@ def _pack_level(rows: DataFrame, level: int, capacity: int) -> DataFrame:
     schema = StructType(rows.schema.fields + StructType.fromDDL(places).fields)
 
     def pack(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = (level << 60) | (TaskContext.get().partitionId() << 34)
+        at = (level << 56) | (TaskContext.get().partitionId() << 34)
         held: list[pa.RecordBatch] = []
         n = 0
         for batch in stream:
@@ -217,21 +255,22 @@ def _pack_level(rows: DataFrame, level: int, capacity: int) -> DataFrame:
 
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Rows with a ``length`` of 1 to ``capacity``, with ``sequence_id`` and ``offset``."""
-    spark, columns = cut.sparkSession, cut.columns
-    rows, before, done = cut, None, []
-    for level in range(MOST_LEVELS):
-        packed = stored(_pack_level(rows, level, capacity), "packed")
-        is_open = F.col("room") > int(capacity * OPEN_PART)
-        state = packed.agg(F.countDistinct("block"), F.count_if(is_open)).first()
-        blocks, n_open = state
-        # One block, nothing left, or a level that hardly shrank: this is the result.
-        if blocks <= 1 or not n_open or level == MOST_LEVELS - 1 or (before is not None and n_open > before / 2):
-            done.append(packed)
+    columns, is_open = cut.columns, F.col("room") > int(capacity * OPEN_PART)
+    state = [F.countDistinct("block"), F.count_distinct(F.when(is_open, F.col("sequence_id"))), F.count_if(is_open), F.count_distinct("sequence_id")]
+    packed = stored(_pack_level(cut, 0, capacity), "packed")
+    blocks, n_open, n_rows, _ = packed.agg(*state).first()
+    done, level = [], 0
+    while blocks > 1 and n_open:
+        level += 1
+        rows = packed.filter(is_open).select(*columns).repartition(math.ceil(n_rows / BLOCK))
+        again = stored(_pack_level(rows, level, capacity), "packed")
+        blocks, now_open, n_rows, n_now = again.agg(*state).first()
+        if n_now >= n_open:  # nothing saved: the bins stay as they are
             break
         done.append(packed.filter(~is_open))
-        rows, before = packed.filter(is_open).select(*columns).repartition(math.ceil(n_open / BLOCK)), n_open
-    out = spark.createDataFrame([], packed.schema) if not done else done[0]
-    for more in done[1:]:
+        packed, n_open = again, now_open
+    out = packed
+    for more in done:
         out = out.unionByName(more)
     return out.select(*columns, "sequence_id", "offset")
 
