@@ -115,7 +115,8 @@ def test_no_step_is_overlooked(seed, compared, monkeypatch):
     lengths = rnd.integers(1, 40, 60)
     bins = [[] for _ in range(20)]
     for k in range(60):
-        rnd.choice([b for b in bins if sum(lengths[b]) + lengths[k] <= 100]).append(k)
+        fitting = [b for b in bins if sum(lengths[b]) + lengths[k] <= 100]
+        fitting[rnd.integers(len(fitting))].append(k)
     state = packing._Bins([b for b in bins if b], lengths, 100)
     steps = 0
     while True:
