@@ -133,7 +133,7 @@ GPL_COPY = "\n\nYou should have received a copy of the GNU General Public Licens
 
 def wrapped(text, width=None):
     """Words in lines of another width, paragraphs kept."""
-    return "\n\n".join("\n".join(textwrap.wrap(" ".join(p.split()), width or 10**6)) for p in text.split("\n\n"))
+    return "\n\n".join("\n".join(textwrap.wrap(" ".join(p.split()), width or 10**6, break_long_words=False, break_on_hyphens=False)) for p in text.split("\n\n"))
 
 
 @pytest.mark.parametrize(
@@ -158,6 +158,32 @@ def wrapped(text, width=None):
 )
 @pytest.mark.parametrize("comment", ["", "# ", " * "])
 def test_standard_notices_are_matched_whole(text, expected, comment):
-    for shown in (text, wrapped(text, 60), wrapped(text, 75), wrapped(text)):
+    for shown in (text, wrapped(text, 60), wrapped(text, 75), wrapped(text, 40), wrapped(text, 26), wrapped(text, 20), wrapped(text, 12), wrapped(text)):
         found = licenses.sentences("".join(f"{comment}{x}\n" for x in shown.split("\n")))
         assert licenses.match_rules(found) == ([expected], []), shown
+
+
+def test_sentences_with_long_names_and_no_end():
+    name = "the " + "Very Long and Honourable " * 40 + "Company"
+    endorse = f"Neither the name of {name} may be used to endorse or promote products derived from this software without specific prior written permission."
+    for width in (None, 20, 60):
+        assert licenses.sentences(wrapped(endorse, width)) == [("bsd-endorse", "", "")]
+        assert licenses.sentences(wrapped(f"Copyright 2020 {name} All rights reserved", width)) == [("all-rights", "", "")]
+    # A name ends where another known sentence begins.
+    found = licenses.sentences("Copyright 2020 Somebody\nLicensed under the MIT License\nAll rights reserved")
+    assert [n for n, _, _ in found] == ["mit-ref", "all-rights"]
+
+
+def test_many_lines_without_an_end_take_no_time():
+    for line in ("Copyright 2020 Somebody", "neither the name of it", "permission is hereby", "the software", "see the license"):
+        assert licenses.sentences(f"{line}\n" * 20_000) == []
+    assert licenses.sentences("Copyright 2020 me\n" + "some words\n" * 100_000) == []
+
+
+def test_every_known_sentence_is_found_at_any_width():
+    """Each fixed sentence, as plain words, wrapped after every word."""
+    for name, pattern in licenses.SENTENCES:
+        words = re.sub(r"\(\?:(\S+?)\|[^()]*?\)(?!\?)", r"\1", pattern)
+        if re.search(r"[\\()\[\].*+?{}|]", words):
+            continue
+        assert [n for n, _, _ in licenses.sentences(words.replace(" ", "\n"))] == [name], words

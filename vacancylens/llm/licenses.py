@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +41,7 @@ SENTENCES = (
     ("bsd-grant", r"redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
     ("bsd-source", r"(?:\d )?redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
     ("bsd-binary", r"(?:\d )?redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"),
-    ("bsd-endorse", r"(?:\d )?neither the name of .{1,120} may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("bsd-endorse", r"(?:\d )?neither the name of .+ may be used to endorse or promote products derived from this software without specific prior written permission"),
     ("bsd-ref", rf"(?:this (?:work|file|software|project) is )?(?:licensed|released|distributed) under the(?: terms of the)?(?: {_V} clause)? bsd license"),
     ("gpl-ref", rf"(?:this (?:work|file|software|project) is )?(?:licensed|released|distributed) under the(?: terms of the)? (?:gnu general public license|gnu gpl|gpl)(?: {_V})?"),
     ("gpl-free", rf"this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either {_V} of the license or at your option any later version"),
@@ -59,7 +60,7 @@ SENTENCES = (
     ("cc-ref", rf"(?:this (?:work|file|text|page) is )?(?:licensed|released|distributed) under(?: an?| the)? (?:cc|creative commons) (?P<k>by(?: nc)?(?: sa| nd)?|attribution(?: noncommercial)?(?: sharealike| noderiv(?:ative)?s)?)(?: {_V})?(?: international)?(?: license)?"),
     ("cc0-ref", r"(?:this (?:work|file|text|page) is )?(?:licensed|released|distributed) under(?: the)? cc0(?: 1 0)?(?: universal)?"),
     ("public-domain", r"this (?:is free and unencumbered software|work has been) released into the public domain"),
-    ("all-rights", r"(?:copyright .{0,80} )?all rights reserved"),
+    ("all-rights", r"(?:copyright .* )?all rights reserved"),
 )
 #: Rules in the order they are tried (fixed values): sequence of identifiers and licence.
 RULES = (
@@ -108,12 +109,18 @@ _BEGIN = frozenset(
     "this the licensed released distributed apache mit you unless see permission in redistribution redistributions "
     "neither if copyright all".split()
 )
-#: Lines that one sentence may be wrapped over.
-MOST_LINES = 16
+#: Sentences with a name in them, known by what stands before and after it (fixed values).
+_AROUND = (("neither the name of ", " may be used to endorse or promote products derived from this software without specific prior written permission"),
+           ("copyright ", " all rights reserved"))
 #: Parts of the names of Creative Commons licences, where they are written out.
 _CC = {"attribution": "by", "noncommercial": "nc", "sharealike": "sa", "noderivatives": "nd", "noderivs": "nd"}
 
 
+_FIXED = "|".join(f"(?:{p.replace('(?P<v>', '(?:').replace('(?P<k>', '(?:')})" for _, p in SENTENCES if ".+" not in p and "copyright .*" not in p)
+#: Known sentences without a name, and the beginnings of the others, for looking whether words may become one.
+_GROWING = regex.compile("|".join([_FIXED, "all rights reserved", *(rf"(?:\d )?{head}" for head, _ in _AROUND)]))
+
+
 def one_form(sentence: str) -> str:
     return " ".join(_WORD.findall(sentence.lower()))
 
@@ -136,33 +143,84 @@ def identify(form: str) -> tuple[str, str, str] | None:
     return None
 
 
+def _begins(form: str) -> bool:
+    """Whether some known sentence begins with these words."""
+    return bool(form) and _GROWING.fullmatch(form + " ", partial=True) is not None
+
+
+class _Parts:
+    """The parts of a text that its sentences are put together from."""
+
+    def __init__(self, text: str) -> None:
+        parts = [p for p in _CUT.split(text) if p and not p.isspace()]
+        self.forms, self.ended = [one_form(p) for p in parts], [_ended(p) for p in parts]
+        self._plain: dict[int, tuple[str, int] | None] = {}
+
+    def goes_on(self, n: int) -> bool:
+        return n + 1 < len(self.forms) and not self.ended[n]
+
+    def may_begin(self, k: int) -> bool:
+        first = self.forms[k].partition(" ")[0]
+        return first in _BEGIN or first.isdigit()
+
+    def _grown(self, k: int) -> tuple[str, int, bool]:
+        """Words from part ``k`` on until they are a known sentence or cannot become one."""
+        joined, n = self.forms[k], k
+        while (hit := identify(joined)) is None and self.goes_on(n) and _begins(joined):
+            n += 1
+            joined = f"{joined} {self.forms[n]}".strip()
+        return joined, n, hit is not None
+
+    def plain(self, k: int) -> bool:
+        """Whether a known sentence begins at part ``k``, however it is wrapped."""
+        if k not in self._plain:
+            self._plain[k] = self.may_begin(k) and self._grown(k)[2]
+        return self._plain[k]
+
+    def sentence(self, k: int) -> tuple[str, int]:
+        """The words of a sentence at part ``k`` and the part after it.
+
+        There is no bound on its lines: a known sentence has so many words, and one
+        with a name in it goes on to its own end, a full stop or another known sentence.
+        """
+        joined, n, known = self._grown(k)
+        if known:
+            return joined, n + 1
+        bare = re.sub(r"^\d ", "", joined)
+        for head, tail in _AROUND:
+            if f"{bare} ".startswith(head):
+                pieces, last = [joined], joined[-len(tail) :]
+                while self.goes_on(n) and not self.forms[n + 1].startswith(head) and not self.plain(n + 1):
+                    n += 1
+                    pieces.append(self.forms[n])
+                    last = f"{last} {self.forms[n]}"[-len(tail) :]
+                    if last == tail:
+                        return " ".join(pieces), n + 1
+        return self.forms[k], k + 1
+
+
 def sentences(text: str) -> list[tuple[str, str, str]]:
     """Identifiers (with version and kind) of the known sentences, in order."""
-    parts = [p for p in _CUT.split(text) if p and not p.isspace()]
-    forms = [one_form(p) for p in parts]
-    found, k = [], 0
-    while k < len(parts):
-        first = forms[k].partition(" ")[0]
-        if first not in _BEGIN and not first.isdigit():
+    parts, found, k = _Parts(text), [], 0
+    while k < len(parts.forms):
+        if not parts.may_begin(k):
             k += 1
             continue
-        hit, used = identify(forms[k]), 1
-        joined = forms[k]
-        n = k
-        while hit is None and n + 1 < len(parts) and n - k < MOST_LINES and not _ended(parts[n]):
+        joined, after = parts.sentence(k)
+        hit = identify(joined)
+        # A reference may go on with its version in the next lines.
+        n, longer = after - 1, joined
+        while hit is not None and hit[0].endswith("-ref") and parts.goes_on(n) and _begins(longer):
             n += 1
-            joined = f"{joined} {forms[n]}".strip()
-            hit, used = identify(joined), n - k + 1
-        # A reference may go on with its version in the next line.
-        if hit is not None and hit[0].endswith("-ref") and not hit[1] and k + used < len(parts) and not _ended(parts[k + used - 1]):
-            longer = identify(f"{joined} {forms[k + used]}")
-            if longer is not None and longer[0] == hit[0]:
-                hit, used = longer, used + 1
-        if hit is not None:
-            found.append(hit)
-            k += used
-        else:
+            longer = f"{longer} {parts.forms[n]}".strip()
+            more = identify(longer)
+            if more is not None and more[0] == hit[0] and (more[1] or not hit[1]):
+                hit, after = more, n + 1
+        if hit is None:
             k += 1
+        else:
+            found.append(hit)
+            k = after
     return found
 
 
