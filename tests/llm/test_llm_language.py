@@ -1,3 +1,6 @@
+import math
+
+import pytest
 import tricky
 
 import __spark_entry__ as entry
@@ -39,8 +42,48 @@ def test_nothing_to_learn_or_label(spark):
 def test_a_text_of_no_known_script_is_rejected(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = language.train(docs)
-    assert model.least <= language.RATHER / len(model.languages)
     assert language.keep_known(docs, model).count() >= 0.995 * docs.count()
+    # The calibrated score does its part by itself.
+    assert 1 / len(model.languages) < model.least < 1
+    model.most_unseen[:] = float("inf")
+    assert language.keep_known(docs, model).count() >= 0.995 * docs.count()
+    got = language.predict(tricky.texts(spark, *enumerate(UNLEARNED)), model).collect()
+    assert sum(r.rejected for r in got) >= len(UNLEARNED) - 1
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 3)
+    with pytest.raises(ValueError, match="more than 3"):
+        language.train(spark.read.parquet(f"{SF}/documents.parquet"))
+
+
+def by_hand(text, model):
+    """A text's logits from its subwords, one by one."""
+    symbols = [b if bytes([b]).isalpha() or b >= 128 else 0x20 for b in text.lower().encode()]
+    counts = {}
+    for size in language.SIZES:
+        for at in range(len(symbols) - size + 1):
+            run = symbols[at : at + size]
+            if 0x20 in run[1:-1] or all(s == 0x20 for s in run):
+                continue
+            bucket = 0
+            for k, symbol in enumerate(run):
+                bucket ^= int(language._TABLES[k][symbol])
+            counts[bucket] = counts.get(bucket, 0) + 1
+    total = sum(counts.values())
+    return [sum(float(row[b]) * n for b, n in counts.items()) / total + float(bias) for row, bias in zip(model.scores, model.bias)]
+
+
+def test_scores_equal_a_sum_over_subwords(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language.train(docs)
+    texts = ["The quick brown fox", "Der Fuchs, 12 x", "aé b--c", "que el de la", "OF THE and"]
+    got = {r.doc_id: r for r in language.predict(tricky.texts(spark, *enumerate(texts)), model).collect()}
+    for k, text in enumerate(texts):
+        z = [x / model.temperature for x in by_hand(text, model)]
+        p = [math.exp(x - max(z)) for x in z]
+        assert got[k].lang_pred == model.languages[z.index(max(z))]
+        assert got[k].score == pytest.approx(max(p) / sum(p), abs=1e-4)
 
 
 UNLEARNED = [

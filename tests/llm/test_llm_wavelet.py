@@ -80,3 +80,14 @@ def test_empty_table(spark):
 def test_a_row_without_an_id_fails(spark):
     with pytest.raises(Exception, match="has no place"):
         wavelet.write_shards(tricky.documents(spark), new_folder(spark, "shards"), FILE)
+
+
+def test_ids_of_any_width_round_trip():
+    for ids in ([70000, 5, 65543, 0], [2**32 - 1, 7], [0, 0], [1], []):
+        given = np.array(ids, np.uint32)
+        blob = wavelet.to_bytes(given, np.arange(1), np.array([len(ids)]))
+        matrix = wavelet.from_bytes(blob)[0]
+        assert matrix.decode().tolist() == ids and [matrix.access(k) for k in range(len(ids))] == ids
+        assert all(matrix.count(i) == ids.count(i) for i in ids) and matrix.count(2**33) == 0
+    with pytest.raises(ValueError, match="more than 16 bits"):
+        wavelet.to_bytes(np.array([70000], np.uint32), np.arange(1), np.array([1]), 16)

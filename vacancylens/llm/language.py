@@ -5,8 +5,7 @@ word, with the word's edge as a symbol), hashed into a fixed number of buckets;
 a linear softmax over that mean gives the languages. Embeddings and weights are
 trained by stochastic gradient descent in numpy on a bounded sample. A
 temperature is fitted on rows kept apart, and on the same rows the least score
-that a text must reach (all but ``REJECTED_SHARE`` of those classified right do,
-and one whose language is ``RATHER`` times as likely as a blind guess always does).
+that a text must reach (all but ``REJECTED_SHARE`` of those classified right do).
 
 A softmax is sure of texts in languages it never saw. So a text is also rejected
 if too many of its subwords were in no sampled text of its predicted language.
@@ -20,7 +19,8 @@ fold into one number for each bucket and language.
 
 Null texts and texts without a letter get ``und`` with score 0 and are rejected.
 Ties go to the language first in the alphabet. An empty table gives an empty
-one; without labelled rows every text is ``und``.
+one; without labelled rows every text is ``und``. More than ``MAX_LANGUAGES``
+different labels are an error.
 """
 
 from __future__ import annotations
@@ -39,10 +39,10 @@ from vacancylens.llm.sampling import bounded_by_label
 BUCKETS = 1 << 15
 SIZES = (2, 3, 4)
 DIMENSION = 16
-#: Sampled rows of a language, and of languages by number of rows.
+#: Sampled rows of a language, and the most languages of a model.
 SAMPLE_PER_LANGUAGE, MAX_LANGUAGES = 700, 200
 EPOCHS, RATE = 6, 12.0
-REJECTED_SHARE, RATHER = 0.0005, 1.5
+REJECTED_SHARE = 0.0005
 LEAST_HELD = 30
 #: Subwords added to a text's own, so that a few unseen ones do not reject a short text.
 ADDED = 10
@@ -227,7 +227,7 @@ def train(labelled: DataFrame, seed: int = 7) -> LanguageModel:
     model.temperature = min(np.geomspace(0.1, 10, 41).tolist(), key=loss)
     p = model.probabilities(logits)
     right = p.max(axis=1)[p.argmax(axis=1) == targets]
-    model.least = min(float(np.quantile(right, REJECTED_SHARE)), RATHER / len(languages)) if len(right) else 0.0
+    model.least = float(np.quantile(right, REJECTED_SHARE)) if len(right) else 0.0
 
     model.seen = np.zeros((len(languages), BUCKETS + 1), bool)
     model.seen[:, BUCKETS] = True

@@ -16,10 +16,12 @@ def bounded_by_label(rows: DataFrame, label: str, quota: int, seed: int = 17, ma
 
     A row is in by the hash of its id, so the sample doesn't depend on how the
     rows are laid out, and no label's rows meet in one task. The number of rows
-    is ``quota`` for each label in expectation. Labels beyond the ``max_labels``
-    most frequent get no row.
+    is ``quota`` for each label in expectation. More than ``max_labels`` different
+    labels are an error: no label is left out.
     """
-    counts = rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(max_labels).collect()
+    counts = rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(max_labels + 1).collect()
+    if len(counts) > max_labels:
+        raise ValueError(f"{label} has more than {max_labels} different values")
     if not counts:
         return rows.limit(0)
     draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))

@@ -49,6 +49,8 @@ class WaveletMatrix:
 
     @classmethod
     def of(cls, ids: np.ndarray, bits: int) -> WaveletMatrix:
+        if len(ids) and int(ids.max()) >> bits:
+            raise ValueError(f"id {int(ids.max())} needs more than {bits} bits")
         now = ids.astype(np.uint16 if bits <= 16 else np.uint32)
         planes, zeros = [], []
         for b in range(bits - 1, -1, -1):
@@ -145,8 +147,10 @@ class WaveletMatrix:
         return now.astype(np.uint32)
 
 
-def to_bytes(ids: np.ndarray, doc_ids: np.ndarray, lengths: np.ndarray, bits: int) -> bytes:
+def to_bytes(ids: np.ndarray, doc_ids: np.ndarray, lengths: np.ndarray, bits: int | None = None) -> bytes:
     """One shard: header, documents, zeros of each plane and planes, compressed."""
+    if bits is None:  # as wide as the largest id, which the file says
+        bits = max(1, int(ids.max()).bit_length()) if len(ids) else 1
     matrix = WaveletMatrix.of(ids, bits)
     parts = [
         _HEADER.pack(_MAGIC, len(ids), bits, len(lengths)),
@@ -181,12 +185,13 @@ SHARD_SCHEMA = "part long, shard int, first_doc long, n_docs long, n_tokens long
 
 
 def write_shards(
-    docs: DataFrame, path: str, file: TokenizerFile, end_id: int = 0, bits: int = 16,
+    docs: DataFrame, path: str, file: TokenizerFile, end_id: int = 0, bits: int | None = None,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> None:
     """Write all texts in ascending id order; every row of the files is a shard.
 
-    Rows without an id can't be placed and fail the run.
+    A shard has as many planes as its largest id has bits; with a stated number of
+    ``bits`` an id that needs more fails the run. Rows without an id can't be placed and fail the run.
     """
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ready_for_python(docs.sparkSession)
