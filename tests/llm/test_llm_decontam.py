@@ -57,10 +57,19 @@ def test_marks_case_and_lines_do_not_matter(spark):
 
 
 def test_clean_documents_and_short_items(spark):
-    docs = [(k, " ".join(prose(300))) for k in range(50)] + [(99, "to be or not to be")]
+    docs = [(k, " ".join(prose(300))) for k in range(50)] + [(99, "he said to be or not to be, and left")]
     assert run(spark, docs, [(1, " ".join(prose(40))), (2, "to be or not to be"), (3, None), (4, "")]) == {}
 
 
+def test_short_items_are_found_as_lines_and_whole_texts(spark):
+    short, one = "to be or not to be", "Yes!"
+    docs = [(1, "To be, or NOT\nto be?"), (2, "before\n\n - to be or not to be -\nafter"), (3, "to be or not to be it"), (4, "x to be or not to be"),
+            (5, "yes"), (6, "no\nyes, yes"), (7, "to be or\nnot"), (8, " ".join(prose(30)) + "\nYES\n" + " ".join(prose(30))), (9, "")]
+    got = run(spark, docs, [(1, short), (2, one), (3, "to be or not"), (4, "...")])
+    assert set(got) == {(1, 1), (2, 1), (5, 2), (8, 2), (7, 3)} | {(1, 3)}
+    assert (got[2, 1].start, got[2, 1].n_words, got[2, 1].n_same) == (1, 6, 6) and got[8, 2].start == 30
+
+
 def test_repeated_words_and_hot_passages(spark):
     same = " ".join(["again"] * 400)
     docs = [(k, same) for k in range(30)]

@@ -15,8 +15,9 @@ distance. A document holds a passage if ``WINDOW`` words (all, if the item has
 fewer) in a row agree in ``SHARE`` percent or more. The result has a row for each
 document and item with that.
 
-Items of fewer than ``LEAST_WORDS`` words identify nothing and match nothing; the
-same holds for documents. Null and empty texts hold nothing. Repeated rows of a
+Items of fewer than ``LEAST_WORDS`` words are no passage that could be told from
+common speech; a document holds one if a line of it or its whole text is the item,
+found by the hash of all words. Null and empty texts hold nothing. Repeated rows of a
 document give one row. An empty table on either side gives an empty result.
 """
 
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vacancylens.llm.arrays import LETTER, LOWER, Texts, Words, byte_set, flagged, mix, words
+from vacancylens.llm.arrays import LETTER, LOWER, Texts, Words, byte_set, complement, flagged, mix, windows, words
 from vacancylens.llm.frames import list_column, over_texts, small_side, stored, without
 
 #: The fewest masks of six words that miss nothing (found by search, counted in the tests).
@@ -41,6 +42,7 @@ _WORD = bytes(a | b for a, b in zip(LETTER, byte_set("0123456789"), strict=True)
 #: Characters that are words, and marks that are none, beyond ASCII (first and last, ascending).
 _SINGLE = ((0x0E00, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x312F), (0x31A0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF))
 _MARKS = ((0x0E4F, 0x0E4F), (0x0E5A, 0x0E5B), (0x104A, 0x104F), (0x17D4, 0x17DA), (0x2000, 0x206F), (0x3000, 0x3004), (0x3008, 0x303F), (0x30FB, 0x30FB), (0xFE10, 0xFE1F), (0xFE30, 0xFE4F), (0xFF00, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65))
+_IN_LINE = complement(byte_set("\n"))
 _PLACE = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -82,6 +84,27 @@ def seeds(hashes: np.ndarray, mask: int) -> np.ndarray:
     return mix(total)
 
 
+def _whole_seeds(found: Words, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First words and hashes of the spans of bytes that hold 1 to ``LEAST_WORDS`` - 1 words."""
+    first, last = np.searchsorted(found.starts, starts), np.searchsorted(found.starts, ends)
+    at, seed = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for n in range(1, LEAST_WORDS):
+        own = first[last - first == n]
+        at.append(own)
+        seed.append(mix(windows(found.hashes, n)[own] + _PLACE[n]) if len(own) else seed[0])
+    return np.concatenate(at), np.concatenate(seed)
+
+
+def _short_lines(chunk: Texts, found: Words) -> tuple[np.ndarray, np.ndarray]:
+    """The same for lines and whole texts; a text of one line gives one."""
+    lines = words(chunk, solid=_IN_LINE)
+    starts = np.concatenate([lines.starts, chunk.offsets[:-1]])
+    ends = np.concatenate([lines.ends, chunk.offsets[1:]])
+    at, seed = _whole_seeds(found, starts, ends)
+    kept = np.unique(np.stack([at.astype(np.uint64), seed]), axis=1) if len(at) else np.zeros((2, 0), np.uint64)
+    return kept[0].astype(np.int64), kept[1]
+
+
 def _inside(first: np.ndarray, n: int, span: int) -> np.ndarray:
     """Whether a window from each of n places stays in its text."""
     ends = np.repeat(first[1:], np.diff(first))[:n]
@@ -107,6 +130,10 @@ def _item_seeds(chunk: Texts, rows: pa.RecordBatch) -> dict:
         owner.append(of[keep])
         at.append(keep - found.first[of[keep]])
         seed.append(values[keep])
+    whole, hashes = _whole_seeds(found, chunk.offsets[:-1], chunk.offsets[1:])
+    owner.append(of[whole])
+    at.append(np.zeros(len(whole), np.int64))
+    seed.append(hashes)
     return {
         "item_id": rows.column(0).take(pa.array(np.concatenate(owner))),
         "at": np.concatenate(at),
@@ -184,11 +211,19 @@ def contaminated(
         bits = bitmap.value
         owner, at, seed = [], [], []
         of = np.repeat(np.arange(len(chunk)), found.counts)
+
+        def in_bitmap(values: np.ndarray) -> np.ndarray:
+            low = values & np.uint64(BITMAP_BITS - 1)
+            return np.flatnonzero(bits[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8) & 1)
+
+        whole, hashes = _short_lines(chunk, found)
+        keep = in_bitmap(hashes)
+        owner.append(of[whole[keep]])
+        at.append(whole[keep] - found.first[of[whole[keep]]])
+        seed.append(hashes[keep])
         for mask, pattern in enumerate(MASKS):
             values = seeds(found.hashes, mask)
-            low = values & np.uint64(BITMAP_BITS - 1)
-            set_bits = bits[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8) & 1
-            keep = np.flatnonzero(set_bits)
+            keep = in_bitmap(values)
             keep = keep[keep + len(pattern) <= found.first[of[keep] + 1]]
             owner.append(of[keep])
             at.append(keep - found.first[of[keep]])
