@@ -60,6 +60,23 @@ def op6_quote_threads(spark, sf_dir):
     return quotes.linked_conversations(table(spark, sf_dir, "conversations"))
 
 
+def _replies(conversations: DataFrame) -> DataFrame:
+    """Messages that quote the one before them, and the one before that a level deeper."""
+    first = conversations.groupBy("conv_id", "turn").agg(F.min(F.coalesce("text", F.lit(""))).alias("quoted"))
+    out = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    for back, mark in ((1, "> "), (2, "> > ")):
+        before = first.select("conv_id", (F.col("turn") + back).alias("turn"), F.replace("quoted", F.lit("\n"), F.lit(f"\n{mark}")).alias("quoted"))
+        quote = F.coalesce(F.concat(F.lit(mark), "quoted", F.lit("\n")), F.lit(""))
+        out = out.join(before, ["conv_id", "turn"], "left").withColumn("text", F.concat(quote, "text")).drop("quoted")
+    return out
+
+
+@query
+def quoted_replies(spark, sf_dir):
+    """:func:`op6_quote_threads` over messages that do quote: the given ones hold no quotes."""
+    return quotes.linked_conversations(_replies(table(spark, sf_dir, "conversations")))
+
+
 @query
 def op7_wavelet_shards(spark, sf_dir):
     file = TokenizerFile(public_tokenizers.path("byte_bpe_50k.json"), "byte")
@@ -74,6 +91,15 @@ def op8_host_quality(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents")).select(*columns)
 
 
+@query
+def short_text_host(spark, sf_dir):
+    """:func:`op8_host_quality` with all short texts on a host of their own, which fails as a whole."""
+    docs = table(spark, sf_dir, "documents")
+    host = F.when(F.char_length(F.coalesce("text", F.lit(""))) < 130, "short.example").otherwise(F.col("source"))
+    columns = ["doc_id", *quality.COUNTS[:5], "base_failed", "kept", "host_failed"]
+    return quality.judge(docs.withColumn("source", host)).select(*columns)
+
+
 #: Stands for the deployment's secret; the surrogates depend on it.
 SURROGATE_KEY = b"registered query"
 
@@ -308,3 +334,26 @@ LEFT JOIN threads t ON t.conv_id = o.conv_id AND t.turn = o.turn
 LEFT JOIN counted c ON c.conv_id = o.conv_id AND c.turn = o.turn
 """,
 }
+
+#: The same SQL over what the two queries derive from the given tables.
+ORACLES["quoted_replies"] = (
+    ORACLES["op6_quote_threads"]
+    .replace(
+        "WITH RECURSIVE messages AS (",
+        r"""
+WITH RECURSIVE firsts AS (
+  SELECT conv_id, turn, min(coalesce(text, '')) AS quoted FROM conversations GROUP BY conv_id, turn
+), replies AS (
+  SELECT c.conv_id, c.turn, role,
+    coalesce('> > ' || replace(g.quoted, chr(10), chr(10) || '> > ') || chr(10), '')
+      || coalesce('> ' || replace(f.quoted, chr(10), chr(10) || '> ') || chr(10), '') || coalesce(text, '') AS text
+  FROM conversations c
+  LEFT JOIN firsts f ON f.conv_id = c.conv_id AND f.turn = c.turn - 1
+  LEFT JOIN firsts g ON g.conv_id = c.conv_id AND g.turn = c.turn - 2
+), messages AS (""",
+    )
+    .replace("FROM conversations\n)", "FROM replies\n)")
+)
+ORACLES["short_text_host"] = ORACLES["op8_host_quality"].replace(
+    "source AS host", "CASE WHEN length(coalesce(text, '')) < 130 THEN 'short.example' ELSE source END AS host"
+)
