@@ -39,7 +39,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with surrogates for personal data; their lengths stay."""
+    """All documents, with surrogates for personal data; crowded values may get longer ones."""
     return pii.replace(docs, SURROGATE_KEY, count_col=None)
 
 
