@@ -41,6 +41,8 @@ SIZES = (2, 3, 4)
 DIMENSION = 16
 #: Sampled rows of a language, and the most languages of a model.
 SAMPLE_PER_LANGUAGE, MAX_LANGUAGES = 700, 200
+#: Sampled rows of all languages; longer texts (in bytes) are labelled and not learned from.
+SAMPLE_ROWS, LONGEST = 10_000, 1 << 18
 EPOCHS, RATE = 6, 12.0
 REJECTED_SHARE = 0.0005
 LEAST_HELD = 30
@@ -177,9 +179,14 @@ def _sample_bags(chunk: Texts, rows: pa.RecordBatch):
 
 
 def train(labelled: DataFrame, seed: int = 7) -> LanguageModel:
-    """Fit on ``labelled`` (doc_id, text, lang): about ``SAMPLE_PER_LANGUAGE`` rows of each."""
+    """Fit on ``labelled`` (doc_id, text, lang): about ``SAMPLE_PER_LANGUAGE`` rows of each.
+
+    The driver gets at most about ``SAMPLE_ROWS`` rows, each a bag of as many buckets
+    as a text of ``LONGEST`` bytes has at most.
+    """
     rows = labelled.filter("lang is not null and text is not null and doc_id is not null")
-    sample = bounded_by_label(rows, "lang", SAMPLE_PER_LANGUAGE, max_labels=MAX_LANGUAGES)
+    rows = rows.where(F.octet_length("text") <= LONGEST)
+    sample = bounded_by_label(rows, "lang", SAMPLE_PER_LANGUAGE, max_labels=MAX_LANGUAGES, most_rows=SAMPLE_ROWS)
     schema = "doc_id long, lang string, part int, bucket binary, n binary"
     bags = over_texts(sample.select("doc_id", "lang", "text"), _sample_bags, schema).collect()
     bags.sort(key=lambda r: (r["doc_id"], r["part"], r["lang"], r["bucket"]))
