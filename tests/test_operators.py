@@ -215,3 +215,20 @@ def test_flatten(spark):
     df = spark.sql("SELECT 1 AS id, named_struct('a', named_struct('b', 2), 'c', array(3)) AS s")
     flat = flatten.flatten_structs(df)
     assert flat.columns == ["id", "s.a.b", "s.c"] and tuple(flat.first()) == (1, 2, [3])
+
+
+def test_duplicate_members_send_each_row_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).selectExpr("if(id % 7 = 0, null, id % 60) k", "id v").write.parquet(path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = groups.duplicate_members(spark.read.parquet(path), ["k"])
+        plan = planned(found)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Rows once, their keys' counts once, and of these the repeated ones for the join.
+    assert plan.count("Exchange hashpartitioning") == 3
+    counts_ = plan[plan.index("Filter (_n") :]
+    assert counts_.count("Exchange hashpartitioning") == 1 and "partial_count" in counts_
+    keys = [None if i % 7 == 0 else i % 60 for i in range(100)]
+    assert sorted(r.v for r in found.collect()) == [i for i in range(100) if keys.count(keys[i]) > 1]
