@@ -138,3 +138,26 @@ def test_scripts_without_spaces(spark):
     got = run(spark, docs, items)
     assert set(got) == {(k, k) for k in range(1, 5)} | {(5, 2)}
     assert got[5, 2].n_same == got[5, 2].n_words == got[5, 2].item_words == 20
+
+
+def test_documents_are_the_same_with_one_item_a_seed(spark):
+    stem = prose(9)
+    # Items share half of their passage; a document may hold the half of one and the other half of another.
+    items = [stem + prose(12) for _ in range(6)] + [prose(6) + stem for _ in range(3)] + [prose(30)]
+    docs = [prose(20) + stem + prose(20) for _ in range(5)] + [prose(5) + i[: 9 + n] + prose(9) for n, i in enumerate(items)]
+    docs += [prose(3) + i[4:17] + prose(3) for i in items] + [items[0][:9] + items[1][9:]]
+    given = tricky.texts(spark, *((k, " ".join(d)) for k, d in enumerate(docs)))
+    benchmark = spark.createDataFrame([(n, " ".join(i)) for n, i in enumerate(items)], "item_id long, text string")
+    wanted = {k for k, d in enumerate(docs) if any(agree(i, d) for i in items)}
+    assert {r.doc_id for r in decontam.contaminated_ids(given, benchmark).collect()} == wanted and 0 < len(wanted) < len(docs)
+    assert {r.doc_id for r in decontam.drop_contaminated(given, benchmark).collect()} == set(range(len(docs))) - wanted
+
+
+def test_a_passage_of_many_items_makes_one_pair_for_a_document(spark, monkeypatch):
+    stem = " ".join(prose(20))
+    docs = tricky.texts(spark, *((k, f"{stem} own d{k}") for k in range(150)))
+    benchmark = spark.createDataFrame([(n, f"{stem} end {n}") for n in range(150)], "item_id long, text string")
+    pairs, confirmed = [], decontam._confirmed
+    monkeypatch.setattr(decontam, "_confirmed", lambda narrow, items, met: pairs.append(met.select("doc_id", "item_id").distinct().count()) or confirmed(narrow, items, met))
+    assert decontam.contaminated_ids(docs, benchmark).count() == 150
+    assert pairs == [150, 0]

@@ -188,15 +188,10 @@ def _verify(chunk: Texts, rows: pa.RecordBatch) -> dict:
     return out
 
 
-def contaminated(
-    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    item_col: str = "item_id", item_text_col: str = "text",
-) -> DataFrame:
-    """``doc_id, item_id, start, n_words, n_same, item_words``: passages that documents hold.
-
-    ``start`` and ``n_words`` are the words of the document at the longest
-    agreement, ``n_same`` of which are the item's.
-    """
+def _prepared(
+    docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(docs, items, seeds of items)`` under fixed names, without ids and texts that are null."""
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     narrow = narrow.filter("doc_id is not null and text is not null")
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text"))
@@ -204,7 +199,12 @@ def contaminated(
     of_items = over_texts(items, _item_seeds, "item_id long, at long, seed long")
     # A passage that repeats inside an item is found from its first place.
     of_items = stored(of_items.groupBy("item_id", "seed").agg(F.min("at").alias("at")), "seeds")
-    bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(of_items))
+    return narrow, items, of_items
+
+
+def _hits(narrow: DataFrame, of_items: DataFrame) -> DataFrame:
+    """``doc_id, doc_at, seed`` of the documents' windows that the bitmap lets through."""
+    bitmap = narrow.sparkSession.sparkContext.broadcast(_bitmap(of_items))
 
     def hits(chunk: Texts, rows: pa.RecordBatch) -> dict:
         found = words_of(chunk)
@@ -234,8 +234,12 @@ def contaminated(
             "seed": np.concatenate(seed),
         }
 
-    found = over_texts(narrow, hits, "doc_id long, doc_at long, seed long")
-    shifts = found.join(of_items, "seed").select("doc_id", "item_id", (F.col("doc_at") - F.col("at")).alias("shift"))
+    return over_texts(narrow, hits, "doc_id long, doc_at long, seed long")
+
+
+def _confirmed(narrow: DataFrame, items: DataFrame, met: DataFrame) -> DataFrame:
+    """Of hits joined with seeds of items (``doc_id, doc_at, item_id, at``) what the texts bear out."""
+    shifts = met.select("doc_id", "item_id", (F.col("doc_at") - F.col("at")).alias("shift"))
     near = stored(shifts.groupBy("doc_id", "item_id").agg(F.collect_set("shift").alias("shifts")), "hits")
     ids = stored(near.select("doc_id").distinct(), "hit_docs")
     texts = narrow.join(small_side(ids, ids.count()), "doc_id", "left_semi")
@@ -249,6 +253,37 @@ def contaminated(
     return longest.select("doc_id", "item_id", "best.start", "best.n_words", "best.n_same", "best.item_words")
 
 
+def contaminated(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    item_col: str = "item_id", item_text_col: str = "text",
+) -> DataFrame:
+    """``doc_id, item_id, start, n_words, n_same, item_words``: passages that documents hold.
+
+    ``start`` and ``n_words`` are the words of the document at the longest
+    agreement, ``n_same`` of which are the item's.
+    """
+    narrow, items, of_items = _prepared(docs, benchmark, id_col, text_col, item_col, item_text_col)
+    return _confirmed(narrow, items, _hits(narrow, of_items).join(of_items, "seed"))
+
+
+def contaminated_ids(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    item_col: str = "item_id", item_text_col: str = "text",
+) -> DataFrame:
+    """``doc_id`` of the documents with a row in :func:`contaminated`, each once.
+
+    First every hit meets one item that has its seed, so a passage that many items
+    share makes one pair for a document. Only documents for which that shows nothing
+    meet the others.
+    """
+    narrow, items, of_items = _prepared(docs, benchmark, id_col, text_col, item_col, item_text_col)
+    found = stored(_hits(narrow, of_items), "seed_hits")
+    one = of_items.groupBy("seed").agg(F.min(F.struct("item_id", "at")).alias("one")).select("seed", "one.*")
+    first = stored(_confirmed(narrow, items, found.join(one, "seed")).select("doc_id").distinct(), "contaminated")
+    rest = found.join(first, "doc_id", "left_anti").join(of_items, "seed")
+    return first.unionByName(_confirmed(narrow, items, rest).select("doc_id").distinct())
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a passage of the benchmark."""
-    return without(docs, contaminated(docs, benchmark).select("doc_id"))
+    return without(docs, contaminated_ids(docs, benchmark))
