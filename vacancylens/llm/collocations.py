@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vacancylens.llm.arrays import LOWER, Texts, byte_set, complement, flagged, mapped, mix, span_hashes, words
-from vacancylens.llm.frames import list_column, over_texts, ready_for_python, stored
+from vacancylens.llm.frames import list_column, over_texts, stored
 
 MOST_WORDS, LEAST, TOP = 5, 100, 2000
 #: Occurrences that a task counts together, entries that it holds, and that it hands on together.

@@ -112,7 +112,7 @@ def _kept_text(text: Column, keep: Column) -> Column:
 def _met(rest: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """``_rest, _lines, _dropped, _text`` from ``_rest, _doc, _text`` and the bitmaps."""
     keyed = rest.withColumn("_row", _version(F.col("_text")))
-    marks = bitmaps.select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row"), F.col("n_lines").alias("_n"), F.col("n_dropped").alias("_lost"), F.col("keep").alias("_keep"))
+    marks = bitmaps.select("doc_id", "row", "n_lines", "n_dropped", "keep").toDF("_doc", "_row", "_n", "_lost", "_keep")
     met = keyed.join(marks, ["_doc", "_row"], "left")
     text = F.when(F.col("_lost") > 0, _kept_text(F.col("_text"), F.col("_keep"))).otherwise(F.col("_text"))
     sizes = F.coalesce("_n", F.size(_split(F.col("_text"))))
