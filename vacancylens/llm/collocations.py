@@ -41,6 +41,8 @@ MOST_WORDS, LEAST, TOP = 5, 100, 2000
 OCCURRENCES, HELD_ENTRIES, ENTRIES = 500_000, 1_500_000, 50_000
 #: A prefix with more than this part of all words has its stripe in segments.
 HOT_SHARE, SEGMENT_BITS = 4096, 6
+#: Parts in which a language's phrases are ordered before the best of all are.
+RANKED_PARTS = 128
 #: Words of a row of the stored sequences, if a break allows.
 ROW_WORDS = 8192
 #: Bits of a bitmap for each frequent phrase, and the most of one bitmap (16 MiB).
@@ -380,6 +382,9 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, lang_col:
     phrases, totals, languages = _mined(docs, least, lang_col, text_col)
     scored = _worst_cuts(phrases, totals, languages).join(_subsumed(phrases, totals), "words", "left")
     kept = scored.where(F.coalesce("longer", F.lit(0)) < F.col("a"))
-    best = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    order = [F.desc("cut.score"), F.desc("a"), "phrase"]
+    # The best of a language are among the best of its parts, so no task orders a whole one.
+    part = Window.partitionBy("lang", F.pmod(F.xxhash64("words"), F.lit(RANKED_PARTS))).orderBy(*order)
+    ranked = kept.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= top)
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
