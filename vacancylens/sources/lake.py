@@ -78,7 +78,7 @@ def _heads(spark: SparkSession, path: str, batch: str, with_payloads: bool) -> D
     else:
         heads = heads.withColumn("payload_files", F.array().cast("array<string>"))
     heads = heads.withColumns({"archived": F.lit(time.time_ns() // 1000), "batch": F.lit(batch)})
-    return heads.select(*[F.col(f.name).cast(f.dataType) for f in ARCHIVED_HEAD]).coalesce(1)
+    return heads.select(*[F.col(f.name).cast(f.dataType) for f in ARCHIVED_HEAD])
 
 
 def _all_heads(spark: SparkSession, path: str) -> DataFrame:
