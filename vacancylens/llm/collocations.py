@@ -38,7 +38,7 @@ from vacancylens.llm.frames import list_column, over_texts, stored
 
 MOST_WORDS, LEAST, TOP = 5, 100, 2000
 #: Occurrences that a task counts together, entries that it holds, and that it hands on together.
-OCCURRENCES, HELD_ENTRIES, ENTRIES = 500_000, 1_500_000, 50_000
+OCCURRENCES, HELD_ENTRIES, ENTRIES = 400_000, 1_000_000, 50_000
 #: A prefix with more than this part of all words has its stripe in segments.
 HOT_SHARE, SEGMENT_BITS = 4096, 6
 #: Parts in which a language's phrases are ordered before the best of all are.
@@ -152,36 +152,51 @@ def _next_words(words_: np.ndarray, k: int, bitmap: np.ndarray) -> tuple[np.ndar
     return a[at], b[at], following
 
 
-def _entries(a: np.ndarray, b: np.ndarray, word: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Equal ``(a, b, word)`` summed, entries of a prefix together and by word."""
-    high = np.uint64(0xFFFFFFFF00000000)
-    order = np.argsort((a & high) | (word >> np.uint64(32)), kind="stable")
-    a, b, word, n = a[order], b[order], word[order], n[order]
-    new = np.ones(len(a), bool)
-    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (word[1:] != word[:-1])
+def _entries(parts: list[tuple]) -> tuple[np.ndarray, ...]:
+    """Equal ``(a, b, word)`` summed, entries of a prefix together and by word; empties ``parts``.
+
+    A column at a time, so that little more than the entries themselves is held.
+    """
+    columns = [np.concatenate([p[c] for p in parts]) for c in range(4)]
+    parts.clear()
+    order = np.argsort((columns[0] & np.uint64(0xFFFFFFFF00000000)) | (columns[2] >> np.uint64(32)), kind="stable")
+    for c in range(4):
+        columns[c] = columns[c][order]
+    del order
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in range(3):
+        new[1:] |= columns[c][1:] != columns[c][:-1]
     at = np.flatnonzero(new)
-    return a[at], b[at], word[at], np.add.reduceat(n, at) if len(at) else n
+    del new
+    if len(at):
+        columns[3] = np.add.reduceat(columns[3], at, dtype=np.int32)
+    for c in range(3):
+        columns[c] = columns[c][at]
+    return tuple(columns)
 
 
 def _stripes(a: np.ndarray, b: np.ndarray, word: np.ndarray, n: np.ndarray, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Entries as rows ``a, b, segment, words, counts``."""
-    segment = np.where(np.isin(a, hot), word >> np.uint64(64 - SEGMENT_BITS), np.uint64(0)) if len(hot) else np.zeros(len(a), np.uint64)
-    prefix = np.ones(len(a), bool)
-    prefix[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (segment[1:] != segment[:-1])
-    at = np.flatnonzero(prefix)
-    cuts = np.append(at, len(a)).astype(np.int32)
-    lists = [pa.ListArray.from_arrays(pa.array(cuts), pa.array(v)) for v in (word.view(np.int64), n)]
-    flat = [pa.array(v[at].view(np.int64)) for v in (a, b, segment)]
-    made = pa.RecordBatch.from_arrays([*flat, *lists], names=["a", "b", "segment", "words", "counts"])
-    parts = np.unique(np.searchsorted(cuts, np.arange(ENTRIES, len(a), ENTRIES)))
-    for lo, hi in zip([0, *parts], [*parts, len(made)], strict=True):
-        yield made.slice(lo, hi - lo)
+    segment = np.zeros(len(a), np.uint8)
+    if len(hot):
+        of_hot = np.isin(a, hot)
+        segment[of_hot] = word[of_hot] >> np.uint64(64 - SEGMENT_BITS)
+    prefix = np.zeros(len(a), bool)
+    prefix[:1] = True
+    for column in (a, b, segment):
+        prefix[1:] |= column[1:] != column[:-1]
+    cuts = np.append(np.flatnonzero(prefix), len(a))
+    ends = np.unique(np.searchsorted(cuts, np.arange(ENTRIES, len(a), ENTRIES)))
+    for lo, hi in zip([0, *ends], [*ends, len(cuts) - 1], strict=True):
+        first, last, own = cuts[lo], cuts[hi], cuts[lo:hi]
+        offsets = pa.array((cuts[lo : hi + 1] - first).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(v[first:last].astype(np.int64))) for v in (word.view(np.int64), n)]
+        flat = [pa.array(v[own].astype(np.uint64).view(np.int64)) for v in (a, b, segment)]
+        yield pa.RecordBatch.from_arrays([*flat, *lists], names=["a", "b", "segment", "words", "counts"])
 
 
 def _count_stripes(k: int, bitmap, hot) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def joined(parts: list[tuple]) -> tuple[np.ndarray, ...]:
-        return _entries(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, n_seen, held, n_held = [], 0, [], 0
         for batch in stream:  # every row of it ends with a break
@@ -191,21 +206,22 @@ def _count_stripes(k: int, bitmap, hot) -> Callable[[Iterator[pa.RecordBatch]],
             if len(flat) < k:
                 continue
             a, b, word = _next_words(flat, k, bitmap.value)
-            seen.append((a, b, word, np.ones(len(a), np.int64)))
+            seen.append((a, b, word, np.ones(len(a), np.int32)))
             n_seen += len(a)
             if n_seen < OCCURRENCES:
                 continue
-            held.append(joined(seen))
-            n_held += len(held[-1][0])
-            seen, n_seen = [], 0
+            held.append(_entries(seen))
+            n_held, n_seen = n_held + len(held[-1][0]), 0
             if n_held > HELD_ENTRIES:
-                held = [joined(held)]
+                held.append(_entries(held))
                 n_held = len(held[0][0])
                 if n_held > HELD_ENTRIES // 2:  # little was equal
-                    yield from _stripes(*held[0], hot.value)
-                    held, n_held = [], 0
+                    yield from _stripes(*held.pop(), hot.value)
+                    n_held = 0
         if n_seen or n_held:
-            yield from _stripes(*joined(held + seen), hot.value)
+            held += seen
+            seen = []
+            yield from _stripes(*_entries(held), hot.value)
 
     return run
 
