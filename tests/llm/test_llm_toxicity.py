@@ -105,3 +105,78 @@ def test_longer_texts_are_scored_and_not_learned_from(spark, monkeypatch):
     again = toxicity.train(docs.where("doc_id < 1000"), labels, none)
     assert (without.out == again.out).all() and (with_it.out != again.out).any()
     assert toxicity.score(docs, without).where("doc_id = 1000").count() == 1
+
+
+def no_languages():
+    return language.LanguageModel([], np.zeros((0, language.BUCKETS + 1)), np.zeros(0))
+
+
+def test_every_labelled_row_is_learned_from(spark):
+    def name(k):
+        return "".join(chr(97 + k // 26**j % 26) for j in range(4))
+
+    # Each word is in four of the texts learned from: too few for it in any smaller part of them.
+    ids = [k for k in range(16_000) if k % 4 != 1]
+    rows = [(d, f"{name(7 * (at // 8))} w", int(at % 8 < 4)) for at, d in enumerate(ids)]
+    rows = [(d, ("q" if toxic else "z") + text, toxic) for d, text, toxic in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), no_languages())
+    (chunk,) = arrays.texts(pa.array(sorted({text.split()[0] for _, text, _ in rows})))
+    buckets, _ = toxicity.word_buckets(chunk)
+    assert len(buckets) == 3000
+    assert (model.tables[0][0][buckets[:, 0]] != 0).any(axis=1).all()
+
+
+def test_a_threshold_is_the_best_of_all_rows(spark):
+    rnd = np.random.default_rng(3)
+    rows = [(code, float(p), int(rnd.random() < p * (code + 1) / 3)) for code in (-1, 0, 2) for p in rnd.integers(0, 900, 3000) / 1000]
+    rows += [(5, 0.25, 1)] * 10 + [(5, 0.25, 0)] * 3 + [(6, 0.5, 0), (6, 0.75, 1)]
+    points = spark.createDataFrame(rows, "code int, p double, toxic int").repartition(9)
+    got = toxicity._best_threshold(points)
+    assert sorted(got) == [-1, 0, 2, 5, 6] and got[5] == 0.125 and got[6] == 0.625
+    for code in (-1, 0, 2):
+        own = [(p, y) for c, p, y in rows if c == code]
+        values = sorted({p for p, _ in own}, reverse=True)
+        toxic = sum(y for _, y in own)
+
+        def f1(cut, own=own, toxic=toxic):
+            return 2 * sum(y for p, y in own if p >= cut) / (sum(p >= cut for p, _ in own) + toxic)
+
+        best = max(values, key=f1)
+        below = max((p for p in values if p < best), default=0.0)
+        assert got[code] == (best + below) / 2
+
+
+def test_calibration_is_the_logistic_regression_of_all_rows(spark):
+    rnd = np.random.default_rng(5)
+    z = rnd.normal(1, 3, 4000)
+    y = (rnd.random(4000) < 1 / (1 + np.exp(-(0.7 * z - 1)))).astype(int)
+    points = spark.createDataFrame(list(zip([0] * 4000, z.tolist(), y.tolist(), strict=True)), "code int, z double, toxic int").repartition(7)
+    slope, shift = toxicity._logistic(points, {0: (z.mean(), z.std())})[0]
+    p = 1 / (1 + np.exp(-(slope * z + shift)))
+    assert abs((p - y).sum()) < 1e-3  # the shift has no prior but a tiny one
+    assert abs(((p - y) * (z - z.mean()) / z.std()).sum() + slope * z.std() - 1) < 1e-3
+
+
+def test_shards_learn_whatever_the_layout(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD", 100)
+    rows = toy(1200)
+    labels = spark.createDataFrame([(k, int(k % 5 == 0)) for k, _ in rows], "doc_id long, toxic int")
+    one = toxicity.train(tricky.texts(spark, *rows), labels, no_languages())
+    other = toxicity.train(tricky.texts(spark, *rows[::-1]).repartition(5), labels.repartition(3), no_languages())
+    assert (one.out == other.out).all() and all((a == b).all() for a, b in zip(one.tables[2], other.tables[2], strict=True))
+    new = tricky.texts(spark, (1, "plain1 plain2 NASTY3, plain4 nasty"), (2, "plain1 plain2 plain3 plain4"))
+    assert {r.doc_id: r.predicted for r in toxicity.score(new, one).collect()} == {1: 1, 2: 0}
+
+
+def test_a_long_text_is_learned_in_spans(monkeypatch):
+    rnd = np.random.default_rng(1)
+    counts = rnd.integers(3, 900, (2, toxicity.BUCKETS + 1))
+    counts[:, toxicity.BUCKETS] = 1000
+    buckets = rnd.integers(0, toxicity.BUCKETS, (50, 2)).astype(np.uint16)
+    whole = toxicity._Network(1, counts)
+    parts = whole.copy()
+    whole.step(buckets, 0, np.float32(0.1))
+    monkeypatch.setattr(toxicity, "SPAN", 7)
+    parts.step(buckets, 0, np.float32(0.1))
+    assert np.allclose(whole.embedding, parts.embedding) and np.allclose(whole.dense(), parts.dense()) and whole.moved.any()
