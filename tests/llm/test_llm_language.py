@@ -1,10 +1,12 @@
 import math
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import tricky
 
 import __spark_entry__ as entry
-from vacancylens.llm import language
+from vacancylens.llm import arrays, language
 
 SF = "/root/testdata/sf0.01"
 
@@ -107,3 +109,25 @@ def test_unlearned_languages_go_and_learned_ones_stay(spark):
     labels = {r.doc_id: r for r in language.predict(held, model).collect()}
     right = [labels[r.doc_id] for r in held.select("doc_id", "lang").collect() if labels[r.doc_id].lang_pred == r.lang]
     assert sum(r.rejected for r in right) <= 0.003 * len(right)
+
+
+def test_counted_model_has_the_subwords_of_every_row(spark):
+    ids = range(4000)
+    rows = [(k, f"bon{k % 97} jour{k}", "fr") if k % 2 else (k, f"guten{k % 89} tag{k}", "de") for k in ids]
+    # As rare as a language can be, and a text that only one row has.
+    rows += [(5000, "xylofoon " * 5, "nl"), (5001, "qqvvzz", "fr"), (5002, None, "it"), (5003, "kein", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6)
+    model = language.counted(docs)
+    assert model.languages == ["de", "fr", "nl"]
+    n = np.zeros((3, language.BUCKETS))
+    for _, text, lang in rows:
+        if text is not None and lang is not None:
+            (chunk,) = arrays.texts(pa.array([text]))
+            for bucket in language.subwords(chunk):
+                np.add.at(n[model.languages.index(lang)], bucket[bucket < language.BUCKETS], 1)
+    overall = n.sum(axis=0) + 0.5
+    n += language.PRIOR * overall / overall.sum()
+    assert np.allclose(model.scores[:, :-1], np.log(n / n.sum(axis=1, keepdims=True))) and not model.scores[:, -1].any()
+    (chunk,) = arrays.texts(pa.array(["guten tag", "bon jour", "xylofoon", "qqvvzz"]))
+    assert [model.languages[k] for k in model.logits(chunk).argmax(axis=1)] == ["de", "fr", "nl", "fr"]
+    assert language.counted(docs.limit(0)).languages == []

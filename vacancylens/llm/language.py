@@ -21,10 +21,14 @@ Null texts and texts without a letter get ``und`` with score 0 and are rejected.
 Ties go to the language first in the alphabet. An empty table gives an empty
 one; without labelled rows every text is ``und``. More than ``MAX_LANGUAGES``
 different labels are an error.
+
+:func:`counted` makes a plainer model of the same form, for logits only: a bucket's
+log share of the subwords of a language, counted over all labelled rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,8 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vacancylens.llm.arrays import LETTER, LOWER, Texts, mapped
-from vacancylens.llm.frames import joined_with_text, over_texts, split_off_text
+from vacancylens.llm.arrays import LETTER, LOWER, Texts, mapped, texts
+from vacancylens.llm.frames import joined_with_text, over_texts, ready_for_python, split_off_text
 from vacancylens.llm.sampling import bounded_by_label
 
 BUCKETS = 1 << 15
@@ -50,6 +54,8 @@ LEAST_HELD = 30
 ADDED = 10
 #: Bytes of the excerpt that a sampled text adds, so short texts are learned too.
 EXCERPT = 60
+#: Subwords of all languages together that a counted language has besides its own.
+PRIOR = 1000
 UNKNOWN = "und"
 
 _EDGE = 0x20
@@ -250,6 +256,44 @@ def train(labelled: DataFrame, seed: int = 7) -> LanguageModel:
     return model
 
 
+def counted(labelled: DataFrame) -> LanguageModel:
+    """Logits from the subwords of all rows of ``labelled`` (text, lang); it rejects nothing.
+
+    Tasks send one number for each language and bucket they met, Spark adds them up.
+    """
+    ready_for_python(labelled.sparkSession)
+    rows = labelled.filter("lang is not null and text is not null")
+    found = rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()
+    if len(found) > MAX_LANGUAGES:
+        raise ValueError(f"lang has more than {MAX_LANGUAGES} different values")
+    languages = sorted(r["lang"] for r in found)
+    index = {name: k for k, name in enumerate(languages)}
+    width = BUCKETS + 1
+
+    def count(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(languages) * width, np.int64)
+        for batch in stream:
+            codes = np.array([index[name] for name in batch.column(0).to_pylist()], np.int64)
+            for chunk in texts(batch.column(1)):
+                row = np.repeat(codes[chunk.lo : chunk.hi] * width, np.diff(chunk.offsets))
+                for bucket in subwords(chunk):
+                    total += np.bincount(row + bucket, minlength=len(total))
+        at = np.flatnonzero(total)
+        at = at[at % width != BUCKETS]
+        yield pa.RecordBatch.from_arrays([pa.array((at // width).astype(np.int32)), pa.array((at % width).astype(np.int32)), pa.array(total[at])], ["code", "bucket", "n"])
+
+    scores = np.zeros((len(languages), width), np.float32)
+    if languages:
+        parts = rows.select("lang", "text").mapInArrow(count, "code int, bucket int, n long")
+        sums = parts.groupBy("code", "bucket").agg(F.sum("n").alias("n")).toArrow()  # at most MAX_LANGUAGES * BUCKETS
+        n = np.zeros((len(languages), BUCKETS))
+        n[sums["code"].to_numpy(), sums["bucket"].to_numpy()] = sums["n"].to_numpy()
+        overall = n.sum(axis=0) + 0.5
+        n += PRIOR * overall / overall.sum()
+        scores[:, :BUCKETS] = np.log(n / n.sum(axis=1, keepdims=True))
+    return LanguageModel(languages, scores, np.zeros(len(languages)))
+
+
 def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row ``doc_id, lang_pred, score, rejected``; reads the whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_LANGUAGES * BUCKETS floats

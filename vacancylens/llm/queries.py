@@ -116,7 +116,7 @@ def op10_toxicity(spark, sf_dir):
     held_out = sampling.id_remainder("doc_id", 4) == 2
     known = docs.filter(~held_out)
     labels = table(spark, sf_dir, "labels").filter(~held_out)
-    model = toxicity.train(known, labels, language.train(known))
+    model = toxicity.train(known, labels, language.counted(known))
     scores = toxicity.score(docs.select("doc_id", "text"), model)
     return scores.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
