@@ -163,6 +163,7 @@ def test_shards_learn_whatever_the_layout(spark, monkeypatch):
     rows = toy(1200)
     labels = spark.createDataFrame([(k, int(k % 5 == 0)) for k, _ in rows], "doc_id long, toxic int")
     one = toxicity.train(tricky.texts(spark, *rows), labels, no_languages())
+    monkeypatch.setattr("vacancylens.llm.frames.BROADCAST_ROWS", 10)  # labels are shuffled, as many are
     other = toxicity.train(tricky.texts(spark, *rows[::-1]).repartition(5), labels.repartition(3), no_languages())
     assert (one.out == other.out).all() and all((a == b).all() for a, b in zip(one.tables[2], other.tables[2], strict=True))
     new = tricky.texts(spark, (1, "plain1 plain2 NASTY3, plain4 nasty"), (2, "plain1 plain2 plain3 plain4"))
