@@ -1,7 +1,10 @@
 import random
 import re
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import tricky
 
@@ -95,6 +98,66 @@ def test_rows_of_sequences_end_at_breaks(monkeypatch):
     assert [len(p) for p in pieces] == [3, 1, 16, 10, 10, 0]
 
 
+class Value:
+    """Stands for a broadcast."""
+
+    def __init__(self, value):
+        self.value = value
+
+
+def test_stripes_of_a_task(monkeypatch):
+    """Few rows and little memory for many prefixes; all occurrences are in what merges them."""
+    monkeypatch.setattr(collocations, "ENTRIES", 20_000)
+    rng = np.random.default_rng(5)
+    common = rng.integers(1, (1 << 64) - 1, 40, np.uint64)
+    batches = []
+    for _ in range(40):
+        words = rng.integers(1, (1 << 64) - 1, 65_536, np.uint64)
+        at = rng.random(len(words)) < 0.2
+        words[at] = rng.choice(common, at.sum())
+        words[rng.random(len(words)) < 0.1] = 0
+        words[-1] = 0
+        batches.append(words)
+    batches.append(np.tile(np.array([7, 8, 0], np.uint64), 10_000))
+    bits, hot = 12, np.sort(common[:20])
+    every = Value(np.full(1 << 13, 255, np.uint8))
+
+    def counted(batches):
+        stream = (pa.RecordBatch.from_arrays([collocations._as_bytes(w, np.array([0, len(w) // 3, len(w)]))], names=["keys"]) for w in batches)
+        return collocations._count_stripes(2, every, Value(hot), bits)(stream)
+
+    tracemalloc.start()
+    rows = sum(len(b) for b in counted(batches))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows < 10 << bits and peak < 60e6  # before: a row for each prefix, 1,889,134; 91 MB
+
+    # Spark deals rows by bucket and sorts them.
+    monkeypatch.setattr(collocations, "OCCURRENCES", 20_000)
+    monkeypatch.setattr(collocations, "HELD_ENTRIES", 60_000)
+    batches = batches[-6:]
+    table = pa.Table.from_batches(counted(batches)).sort_by("bucket").combine_chunks()
+    merged = pa.Table.from_batches(collocations._merge_stripes(2, 2)(iter(table.to_batches(max_chunksize=100))))
+    whole = np.concatenate(batches)
+    first = whole[:-1] != 0
+    wanted = Counter(whole[:-1][first].tolist())
+    totals, parts = Counter(), Counter()
+    for a, total in zip(merged["a"].to_numpy().view(np.uint64).tolist(), merged["total"].to_pylist(), strict=True):
+        totals[a] += total
+        parts[a] += 1
+    assert totals == wanted
+    assert max(parts[a] for a in hot.tolist()) > 50 and all(n == 1 for a, n in parts.items() if a not in hot)
+    twice = Counter(zip(whole[:-1][first].tolist(), whole[1:][first].tolist(), strict=True))
+    found = Counter()
+    for a, words, counts in zip(merged["a"].to_numpy().view(np.uint64).tolist(), merged["words"].to_pylist(), merged["counts"].to_pylist(), strict=True):
+        found.update({(a, w % (1 << 64)): n for w, n in zip(words, counts, strict=True)})
+    assert found == Counter({p: n for p, n in twice.items() if n >= 2 and p[1]})
+
+
+def test_number_of_buckets():
+    assert [collocations._bucket_bits(n) for n in (0, 10**8, 10**9, 10**12)] == [12, 12, 13, 16]
+
+
 def test_scores_beyond_64_bits(spark):
     big = spark.createDataFrame([(10**12, 10**13, 10**12, 10**12)], "a long, n long, l long, r long")
     assert big.select(collocations._score()).first()[0] == 1000 * 10**12 * 10**13 // 10**24

@@ -7,8 +7,10 @@ by 64-bit hashes, prefixes by 128 bits; a language's words have hashes of its ow
    where a piece ends or a rarer word stands; no phrase to be found holds one.
 2. Level by level, every occurrence of a frequent prefix of k - 1 words adds its
    next word to the prefix's stripe, or ``OTHER`` (a break, or a word with which the
-   last k - 1 words are not frequent). Tasks build stripes for some millions of
-   occurrences at a time; equal prefixes are then merged elementwise.
+   last k - 1 words are not frequent). Tasks build stripes for some hundred thousand
+   entries at a time and hand them on by bucket, the leading bits of the prefix: a
+   row holds all stripes of a bucket as bytes, so Spark moves few rows, whatever the
+   number of prefixes. Equal prefixes of a bucket are then merged elementwise.
 3. A merged stripe holds all that is asked: its sum is the prefix's total, its
    entries of ``least`` or more are the phrases of k words, its greatest entry says
    whether a longer phrase to the right subsumes the prefix. The same entries, read
@@ -18,7 +20,8 @@ by 64-bit hashes, prefixes by 128 bits; a language's words have hashes of its ow
 Which prefixes may be frequent is asked of a bitmap whose size is bounded; if it
 says yes too often, more is counted, never less. Prefixes with more than one in
 ``HOT_SHARE`` of all words (at most so many) have their stripes in segments of the
-next word, so no task merges a whole one. Nothing else is limited.
+next word, each in a bucket of its own, so no task merges a whole one. Nothing else
+is limited.
 
 Null texts have no words, a null language is ``und``. Repeated rows count each time.
 Empty texts and tables give no phrase.
@@ -34,17 +37,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vacancylens.llm.arrays import LOWER, Texts, byte_set, complement, flagged, mapped, mix, span_hashes, words
-from vacancylens.llm.frames import list_column, over_texts, stored
+from vacancylens.llm.frames import over_texts, ready_for_python, stored
 
 MOST_WORDS, LEAST, TOP = 5, 100, 2000
 #: Occurrences that a task counts together, entries that it holds, and that it hands on together.
-OCCURRENCES, HELD_ENTRIES, ENTRIES = 400_000, 1_000_000, 50_000
+OCCURRENCES, HELD_ENTRIES, ENTRIES = 200_000, 700_000, 50_000
+#: Bytes of texts, sequences or stripes in a batch; worker and executor hold some copies of each.
+BATCH_BYTES = 1 << 19
 #: A prefix with more than this part of all words has its stripe in segments.
 HOT_SHARE, SEGMENT_BITS = 4096, 6
+#: Bits of a bucket: so many at least and at most (a sort by 16 bits takes one pass), and words for each.
+LEAST_BITS, MOST_BUCKET_BITS, BUCKET_WORDS = 12, 16, 1 << 17
 #: Parts in which a language's phrases are ordered before the best of all are.
 RANKED_PARTS = 128
-#: Words of a row of the stored sequences, if a break allows.
-ROW_WORDS = 8192
+#: Words of a row of the stored sequences, if a break allows. Spark's readers and writers of
+#: Parquet hold some thousand rows or a hundred at least, so rows are short.
+ROW_WORDS = 256
 #: Bits of a bitmap for each frequent phrase, and the most of one bitmap (16 MiB).
 BITS_EACH, MOST_BITS = 16, 1 << 27
 
@@ -127,6 +135,22 @@ def _held(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
 # ---- stripes ----------------------------------------------------------------
 
 
+def _as_bytes(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """Slices of an array as one binary column: a value of Spark's is then a slice and not a number."""
+    offsets = ((cuts - cuts[0]) * values.itemsize).astype(np.int32)
+    data = values[cuts[0] : cuts[-1]].copy()  # else the last batch would hold all entries until the next one comes
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _from_bytes(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all rows of :func:`_as_bytes`, and how many each row has."""
+    column = column.cast(pa.large_binary())
+    _, ends, data = column.buffers()
+    offsets = np.frombuffer(ends, np.int64)[column.offset : column.offset + len(column) + 1]
+    flat = np.zeros(0, np.uint8) if data is None else np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
+    return flat.view(kind), np.diff(offsets) // np.dtype(kind).itemsize
+
+
 def _second(keys: np.ndarray) -> np.ndarray:
     return mix(keys ^ _TURN)
 
@@ -152,14 +176,21 @@ def _next_words(words_: np.ndarray, k: int, bitmap: np.ndarray) -> tuple[np.ndar
     return a[at], b[at], following
 
 
-def _entries(parts: list[tuple]) -> tuple[np.ndarray, ...]:
+def _entries(parts: list[list]) -> list[np.ndarray]:
     """Equal ``(a, b, word)`` summed, entries of a prefix together and by word; empties ``parts``.
 
     A column at a time, so that little more than the entries themselves is held.
     """
-    columns = [np.concatenate([p[c] for p in parts]) for c in range(4)]
+    columns = []
+    for c in range(4):
+        columns.append(np.concatenate([p[c] for p in parts]))
+        for p in parts:
+            p[c] = None
     parts.clear()
-    order = np.argsort((columns[0] & np.uint64(0xFFFFFFFF00000000)) | (columns[2] >> np.uint64(32)), kind="stable")
+    key = columns[2] >> np.uint64(32)
+    key |= columns[0] & np.uint64(0xFFFFFFFF00000000)
+    order = np.argsort(key)
+    del key
     for c in range(4):
         columns[c] = columns[c][order]
     del order
@@ -173,41 +204,71 @@ def _entries(parts: list[tuple]) -> tuple[np.ndarray, ...]:
         columns[3] = np.add.reduceat(columns[3], at, dtype=np.int32)
     for c in range(3):
         columns[c] = columns[c][at]
-    return tuple(columns)
+    return columns
+
+
+def _bucket_bits(n_words: int) -> int:
+    return min(MOST_BUCKET_BITS, max(LEAST_BITS, (n_words // BUCKET_WORDS).bit_length()))
+
 
+def _buckets(a: np.ndarray, word: np.ndarray, hot: np.ndarray, bits: int) -> np.ndarray:
+    """The bucket of each entry: leading bits of its prefix, of a hot one (ascending ``hot``) with the segment."""
+    shift = np.uint64(64 - bits)
+    out = (a >> shift).astype(np.uint16)
+    if len(hot):
+        of_hot = np.flatnonzero(hot[np.minimum(np.searchsorted(hot, a), len(hot) - 1)] == a)
+        segment = word[of_hot] >> np.uint64(64 - SEGMENT_BITS)
+        out[of_hot] = mix(a[of_hot] + segment + np.uint64(1)) >> shift
+    return out
+
+
+_STRIPES = "bucket int, a binary, b binary, lengths binary, words binary, counts binary"
 
-def _stripes(a: np.ndarray, b: np.ndarray, word: np.ndarray, n: np.ndarray, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Entries as rows ``a, b, segment, words, counts``."""
-    segment = np.zeros(len(a), np.uint8)
+
+def _stripes(entries: list[np.ndarray], hot: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
+    """Entries as a row for each bucket: its prefixes, their numbers of entries, and these; empties ``entries``."""
+    bucket = _buckets(entries[0], entries[2], hot, bits)
     if len(hot):
-        of_hot = np.isin(a, hot)
-        segment[of_hot] = word[of_hot] >> np.uint64(64 - SEGMENT_BITS)
-    prefix = np.zeros(len(a), bool)
-    prefix[:1] = True
-    for column in (a, b, segment):
-        prefix[1:] |= column[1:] != column[:-1]
-    cuts = np.append(np.flatnonzero(prefix), len(a))
-    ends = np.unique(np.searchsorted(cuts, np.arange(ENTRIES, len(a), ENTRIES)))
-    for lo, hi in zip([0, *ends], [*ends, len(cuts) - 1], strict=True):
-        first, last, own = cuts[lo], cuts[hi], cuts[lo:hi]
-        offsets = pa.array((cuts[lo : hi + 1] - first).astype(np.int32))
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(v[first:last].astype(np.int64))) for v in (word.view(np.int64), n)]
-        flat = [pa.array(v[own].astype(np.uint64).view(np.int64)) for v in (a, b, segment)]
-        yield pa.RecordBatch.from_arrays([*flat, *lists], names=["a", "b", "segment", "words", "counts"])
-
-
-def _count_stripes(k: int, bitmap, hot) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        order = np.argsort(bucket, kind="stable")
+        bucket = bucket[order]
+        for c in range(4):
+            entries[c] = entries[c][order]
+        del order
+    a, b, word, n = entries
+    entries.clear()
+    new, fresh = np.zeros(len(a), bool), np.zeros(len(a), bool)
+    new[:1] = fresh[:1] = True
+    fresh[1:] = bucket[1:] != bucket[:-1]
+    new[1:] = fresh[1:]
+    for column in (a, b):
+        new[1:] |= column[1:] != column[:-1]
+    starts = np.flatnonzero(new)
+    lengths = np.diff(np.append(starts, len(a))).astype(np.int32)
+    rows = np.flatnonzero(fresh[starts])  # the first prefix of each bucket
+    prefixes, cuts, bucket = np.append(rows, len(starts)), np.append(starts[rows], len(a)), bucket[starts[rows]]
+    a, b = a[starts], b[starts]
+    del new, fresh, starts
+    ends = np.unique(np.searchsorted(cuts, np.arange(ENTRIES, len(word), ENTRIES)))
+    for lo, hi in zip([0, *ends], [*ends, len(rows)], strict=True):
+        if lo == hi:
+            continue
+        of_prefixes, of_entries = prefixes[lo : hi + 1], cuts[lo : hi + 1]
+        columns = [pa.array(bucket[lo:hi].astype(np.int32)), *(_as_bytes(v, of_prefixes) for v in (a, b, lengths)), *(_as_bytes(v, of_entries) for v in (word, n))]
+        yield pa.RecordBatch.from_arrays(columns, names=["bucket", "a", "b", "lengths", "words", "counts"])
+
+
+def _count_stripes(k: int, bitmap, hot, bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, n_seen, held, n_held = [], 0, [], 0
         for batch in stream:  # every row of it ends with a break
-            lists = batch.column(0)
-            ends = lists.offsets.to_numpy()
-            flat = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)[ends[0] : ends[-1]]
+            flat, _ = _from_bytes(batch.column(0), np.uint64)
             if len(flat) < k:
                 continue
             a, b, word = _next_words(flat, k, bitmap.value)
-            seen.append((a, b, word, np.ones(len(a), np.int32)))
+            # The second half of a word's key follows from the first and need not be held.
+            seen.append([a, b if k > 2 else np.zeros(len(a), np.uint8), word, np.ones(len(a), np.int32)])
             n_seen += len(a)
+            del a, b, word
             if n_seen < OCCURRENCES:
                 continue
             held.append(_entries(seen))
@@ -215,13 +276,19 @@ def _count_stripes(k: int, bitmap, hot) -> Callable[[Iterator[pa.RecordBatch]],
             if n_held > HELD_ENTRIES:
                 held.append(_entries(held))
                 n_held = len(held[0][0])
-                if n_held > HELD_ENTRIES // 2:  # little was equal
-                    yield from _stripes(*held.pop(), hot.value)
-                    n_held = 0
+                if n_held > HELD_ENTRIES // 2:  # little was equal: what was stays, if it is not much
+                    often = held[0][3] > 1
+                    n_held = int(often.sum())
+                    if n_held > HELD_ENTRIES // 4:
+                        often[:], n_held = False, 0
+                    kept, rest = [c[often] for c in held[0]], [c[~often] for c in held.pop()]
+                    held = [kept] if n_held else []
+                    del kept, often
+                    yield from _stripes(rest, hot.value, bits)
         if n_seen or n_held:
             held += seen
             seen = []
-            yield from _stripes(*_entries(held), hot.value)
+            yield from _stripes(_entries(held), hot.value, bits)
 
     return run
 
@@ -239,66 +306,75 @@ def _summed(group: np.ndarray, word: np.ndarray, n: np.ndarray) -> tuple[np.ndar
 _MERGED = "a long, b long, total long, best long, words array<long>, counts array<long>, next_a array<long>, next_b array<long>"
 
 
-def _merge_stripes(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows of sorted stripes to one row for each prefix and segment.
+def _merge_stripes(k: int, least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of stripes, sorted by bucket, to one row for each prefix and bucket.
 
-    The stripe at hand is held merged, so memory is that of a batch and of one
-    segment's distinct words.
+    The bucket at hand is held merged, so memory is that of a batch and of one
+    bucket's entries.
     """
     names = [c.split()[0] for c in _MERGED.split(", ")]
 
-    def finish(keys: np.ndarray, group: np.ndarray, word: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        first = np.searchsorted(group, np.arange(len(keys)))
+    def finish(a: np.ndarray, b: np.ndarray, group: np.ndarray, word: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        first = np.searchsorted(group, np.arange(len(a)))
         total = np.add.reduceat(n, first)
         phrase = word != OTHER
         best = np.maximum.reduceat(np.where(phrase, n, 0), first)
         kept = np.flatnonzero(phrase & (n >= least))
-        cuts = np.searchsorted(group[kept], np.arange(len(keys) + 1)).astype(np.int32)
-        a, b = keys[:, 0], keys[:, 1]
+        cuts = np.searchsorted(group[kept], np.arange(len(a) + 1)).astype(np.int32)
         longer = _longer(a[group[kept]], b[group[kept]], word[kept])
         lists = [pa.ListArray.from_arrays(pa.array(cuts), pa.array(v.view(np.int64))) for v in (word[kept], n[kept], *longer)]
-        flat = [pa.array(v.copy().view(np.int64)) for v in (a, b)]
+        flat = [pa.array(v.view(np.int64)) for v in (a, b)]
         return pa.RecordBatch.from_arrays([*flat, pa.array(total), pa.array(best), *lists], names=names)
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, last_word, last_n = None, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        # The last bucket so far: of its prefixes, the bucket, the key and the number of entries; the entries.
+        last = [np.zeros(0, kind) for kind in (np.int32, np.uint64, np.uint64, np.int64, np.uint64, np.int64)]
         for batch in stream:
             if not len(batch):
                 continue
-            keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("a", "b", "segment")], axis=1)
-            lists = batch.column("words")
-            offsets = lists.offsets.to_numpy()
-            word = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)[offsets[0] : offsets[-1]]
-            n = batch.column("counts").flatten().to_numpy(zero_copy_only=False)
-            lengths = np.diff(offsets)
-            if last is not None:  # goes before this batch's rows
-                keys = np.concatenate([last, keys])
-                lengths = np.concatenate([[len(last_word)], lengths])
-                word, n = np.concatenate([last_word, word]), np.concatenate([last_n, n])
-            new = np.ones(len(keys), bool)
-            new[1:] = (keys[1:] != keys[:-1]).any(axis=1)
-            group, word, n = _summed(np.repeat(np.cumsum(new) - 1, lengths), word, n)
-            keys = keys[new]
-            cut = int(np.searchsorted(group, len(keys) - 1))
-            if len(keys) > 1:
-                yield finish(keys[:-1], group[:cut], word[:cut], n[:cut])
-            last, last_word, last_n = keys[-1:], word[cut:], n[cut:]
-        if last is not None:
-            yield finish(last, np.zeros(len(last_word), np.int64), last_word, last_n)
+            (a, prefixes), (lengths, _), (word, _), (n, _) = (
+                _from_bytes(batch.column(c), kind) for c, kind in (("a", np.uint64), ("lengths", np.int32), ("words", np.uint64), ("counts", np.int32))
+            )
+            b = _from_bytes(batch.column("b"), np.uint64)[0] if k > 2 else _second(a)
+            bucket = np.repeat(batch.column("bucket").to_numpy(), prefixes)
+            bucket, a, b, lengths, word, n = (np.concatenate(v) for v in zip(last, (bucket, a, b, lengths, word, n), strict=True))
+            order = np.lexsort((b, a, bucket))
+            bucket, a, b = bucket[order], a[order], b[order]
+            new = np.ones(len(a), bool)
+            new[1:] = (bucket[1:] != bucket[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+            of = np.empty(len(a), np.int64)
+            of[order] = np.cumsum(new) - 1
+            group, word, n = _summed(np.repeat(of, lengths), word, n)
+            bucket, a, b = bucket[new], a[new], b[new]
+            whole = int(np.searchsorted(bucket, bucket[-1]))  # prefixes of buckets that are over
+            cut = int(np.searchsorted(group, whole))
+            if whole:
+                yield finish(a[:whole], b[:whole], group[:cut], word[:cut], n[:cut])
+            last = [bucket[whole:], a[whole:], b[whole:], np.bincount(group[cut:] - whole), word[cut:], n[cut:]]
+        _, a, b, lengths, word, n = last
+        if len(a):
+            yield finish(a, b, np.repeat(np.arange(len(a)), lengths), word, n)
 
     return run
 
 
+def _in_small_batches(df: DataFrame, purpose: str, codec: str | None = None) -> DataFrame:
+    """:func:`stored`, for functions in Python that need not see much at a time."""
+    ready_for_python(df.sparkSession, BATCH_BYTES)
+    out = stored(df, purpose, codec)
+    ready_for_python(df.sparkSession)
+    return out
+
+
 def _merged(sequences: DataFrame, k: int, frequent: DataFrame, n_words: int, least: int) -> DataFrame:
     """The stripes of all prefixes of k - 1 words."""
     context = sequences.sparkSession.sparkContext
     bitmap = context.broadcast(_bitmap(frequent))
     # No more than HOT_SHARE prefixes can have so many occurrences.
     hot = [r["a"] for r in frequent.where(F.col("f") > n_words // HOT_SHARE).select("a").collect()]
-    hot = context.broadcast(np.array(hot, np.int64).view(np.uint64))
-    counted = sequences.mapInArrow(_count_stripes(k, bitmap, hot), "a long, b long, segment long, words array<long>, counts array<long>")
-    keys = ["a", "b", "segment"]
-    return stored(counted.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_merge_stripes(least), _MERGED), f"stripes{k}")
+    hot = context.broadcast(np.sort(np.array(hot, np.int64).view(np.uint64)))
+    counted = sequences.mapInArrow(_count_stripes(k, bitmap, hot, _bucket_bits(n_words)), _STRIPES)
+    return _in_small_batches(counted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge_stripes(k, least), _MERGED), f"stripes{k}")
 
 
 # ---- phrases ----------------------------------------------------------------
@@ -344,9 +420,10 @@ def _mined(docs: DataFrame, least: int, lang_col: str, text_col: str) -> tuple[D
 
     def sequence(chunk: Texts, rows: pa.RecordBatch) -> dict:
         _, _, _, keys, begins = _keys_and_breaks(chunk, rows)
-        return {"keys": list_column(_sequence_rows(keys, begins, bitmap.value), pa.int64())}
+        rows = [np.zeros(0, np.uint64), *_sequence_rows(keys, begins, bitmap.value)]
+        return {"keys": _as_bytes(np.concatenate(rows), np.cumsum([len(r) for r in rows]))}
 
-    sequences = stored(over_texts(narrow, sequence, "keys array<long>"), "sequences")
+    sequences = _in_small_batches(over_texts(narrow, sequence, "keys binary"), "sequences", "zstd")
     n_words = counted.agg(F.sum("f")).first()[0] or 0
     last_words = one.select("lang", F.col("a").alias("word"), F.col("phrase").alias("last"))
     level, phrases = one, one

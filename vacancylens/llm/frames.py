@@ -22,20 +22,20 @@ BROADCAST_ROWS = 500_000
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def ready_for_python(spark: SparkSession) -> None:
+def ready_for_python(spark: SparkSession, batch_bytes: int = CHUNK) -> None:
     """Send the package along, and bound batches by their bytes in this session."""
     ship_package(spark)
-    spark.conf.set(_BATCH_BYTES, str(CHUNK))
+    spark.conf.set(_BATCH_BYTES, str(batch_bytes))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, codec: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read back, which cuts its lineage."""
     path = new_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
