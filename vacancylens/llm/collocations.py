@@ -427,7 +427,8 @@ def _mined(docs: DataFrame, least: int, lang_col: str, text_col: str) -> tuple[D
     n_words = counted.agg(F.sum("f")).first()[0] or 0
     last_words = one.select("lang", F.col("a").alias("word"), F.col("phrase").alias("last"))
     level, phrases = one, one
-    totals = spark.createDataFrame([], "words array<long>, total long, best long")
+    none = F.lit(0).cast("long")
+    totals = one.where(F.lit(False)).select("words", none.alias("total"), none.alias("best"))  # rows of the driver's would start more workers
     for k in range(2, MOST_WORDS + 1):
         if level.isEmpty():
             break
